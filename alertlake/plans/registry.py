@@ -18,6 +18,8 @@ from alertlake import fixed
 from alertlake.functions import text as T
 from alertlake.operators import dedup
 from alertlake.operators import links as L
+from alertlake.operators import route as R
+from alertlake.sources import dims
 from alertlake.plans import sqlx
 from alertlake.plans import views as V
 
@@ -272,3 +274,137 @@ def q_max_offer_id(spark, d):
     """A1: greatest offer number in an archive, 0 when none parse."""
     ids = _id_strings(spark, d)
     return ids.agg(dedup.max_offer_number(ids, "id_str").alias("max_id"))
+
+
+# ---------------------------------------------------------------- routing
+
+CORPUS_PROVIDERS = fixed.PROVIDERS + [
+    ("corp_blog_net", "corp-blog", ["blog.tionsh.example.net", "blog.ththan.example.net"], False),
+    ("corp_net", "corp-net", ["example.net"], False),
+    ("corp_net_digest", "corp-net", ["example.net"], True),
+    ("corp_com", "corp-com", ["example.com"], False),
+    ("corp_mobile", "corp-mobile", ["m.therou.example.com", "m.ththth.example.net"], True),
+    ("corp_spam", "corp-spam", ["spam-farm.example.org", "www.cheap-pills.example.com"], False),
+]
+CORPUS_EXTRACTABLE = fixed.EXTRACTABLE_PROVIDERS + ["corp_blog_net", "corp_net", "corp_com"]
+
+
+def _pdim(spark):
+    return dims.provider_dim(spark, CORPUS_PROVIDERS)
+
+
+def _sql_values(rows, cols):
+    def lit(v):
+        if isinstance(v, bool):
+            return "TRUE" if v else "FALSE"
+        if isinstance(v, int):
+            return str(v)
+        return sqlx.q(v)
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"(VALUES {body}) t({', '.join(cols)})"
+
+
+SQL_PDIM = "pdim AS (SELECT * FROM " + _sql_values(
+    [(k, i, folder, dmn.lower(), len(dmn.split(".")), skip)
+     for i, (k, folder, ds, skip) in enumerate(CORPUS_PROVIDERS) for dmn in ds],
+    ["provider_key", "cfg_pos", "folder", "domain", "n_parts", "skip"]) + ")"
+SQL_DMAP = "dmap AS (SELECT domain, arg_max(folder, cfg_pos) AS folder FROM pdim GROUP BY domain)"
+SQL_PAGE_DOMAINS = V.SQL_PAGE_MAILS + ",\npm AS (SELECT page_id, from_hdr, " + sqlx.sender_domain("from_hdr") + " AS sender_domain FROM page_mails)"
+SQL_SUFFIXES = """cand AS (
+  SELECT sender_domain, array_to_string(parts[i:], '.') AS suffix, (len(parts) - i + 1)::INTEGER AS n_parts
+  FROM (SELECT DISTINCT sender_domain, string_split(sender_domain, '.') AS parts FROM pm) x, range(1, len(parts) + 1) r(i))"""
+SQL_PROVIDER = """prov AS (
+  SELECT sender_domain, provider_key, folder, skip, cfg_pos, match_parts FROM (
+    SELECT c.sender_domain, d.provider_key, d.folder, d.skip, d.cfg_pos, c.n_parts AS match_parts,
+           row_number() OVER (PARTITION BY c.sender_domain ORDER BY c.n_parts DESC, d.cfg_pos) AS rn
+    FROM cand c JOIN pdim d ON d.domain = c.suffix) t WHERE rn = 1)"""
+SQL_EXPECTED = """expf AS (
+  SELECT sender_domain, folder AS expected_folder FROM (
+    SELECT c.sender_domain, m.folder, row_number() OVER (PARTITION BY c.sender_domain ORDER BY c.n_parts DESC) AS rn
+    FROM cand c JOIN dmap m ON m.domain = c.suffix) t WHERE rn = 1)"""
+
+
+def _page_domains(spark, d):
+    return R.with_sender_domain(V.page_mails(spark, d).select("page_id", "from_hdr"), "from_hdr")
+
+
+@register("q_sender_domain", V.with_ctes(SQL_PAGE_DOMAINS, body="SELECT page_id, from_hdr, sender_domain FROM pm"))
+def q_sender_domain(spark, d):
+    """Sender domain of the From header."""
+    return _page_domains(spark, d)
+
+
+@register("q_domain_dim", V.with_ctes(SQL_PDIM, SQL_DMAP, SQL_PAGE_DOMAINS, body="""
+SELECT pm.page_id, pm.sender_domain, m.folder AS folder_exact,
+       pm.sender_domain IN (SELECT domain FROM pdim WHERE NOT skip) AS active
+FROM pm LEFT JOIN dmap m ON m.domain = pm.sender_domain"""))
+def q_domain_dim(spark, d):
+    """R2 + R3 + O3: exact domain->folder lookup (later config entry wins) and
+    membership of the active (non-skipped, distinct) domain list."""
+    pdim = _pdim(spark)
+    dmap = F.broadcast(dims.domain_folder_map(pdim).withColumnRenamed("domain", "sender_domain")
+                       .withColumnRenamed("folder", "folder_exact"))
+    act = F.broadcast(dims.active_domains(pdim).withColumnRenamed("domain", "sender_domain")
+                      .withColumn("active", F.lit(True)))
+    pm = _page_domains(spark, d).select("page_id", "sender_domain")
+    out = pm.join(dmap, "sender_domain", "left").join(act, "sender_domain", "left")
+    return out.select("page_id", "sender_domain", "folder_exact",
+                      F.coalesce("active", F.lit(False)).alias("active"))
+
+
+@register("q_suffix_route", V.with_ctes(SQL_PDIM, SQL_DMAP, SQL_PAGE_DOMAINS, SQL_SUFFIXES, SQL_EXPECTED, body="""
+SELECT pm.page_id, pm.sender_domain, e.expected_folder FROM pm LEFT JOIN expf e USING (sender_domain)"""))
+def q_suffix_route(spark, d):
+    """Expected folder from the longest configured domain suffix."""
+    pm = _page_domains(spark, d).select("page_id", "sender_domain")
+    return R.expected_folder(pm, dims.domain_folder_map(_pdim(spark)))
+
+
+@register("q_provider_detect", V.with_ctes(SQL_PDIM, SQL_PAGE_DOMAINS, SQL_SUFFIXES, SQL_PROVIDER, body=f"""
+SELECT pm.page_id, pm.sender_domain, p.provider_key, p.match_parts,
+       coalesce(CASE p.provider_key {' '.join(f"WHEN {sqlx.q(k)} THEN {sqlx.q(v)}" for k, v in fixed.SOURCE_DISPLAY.items())} END,
+                p.provider_key) AS "Source"
+FROM pm LEFT JOIN prov p USING (sender_domain)"""))
+def q_provider_detect(spark, d):
+    """J2 + T11: most specific provider (config order breaks ties) and its display name."""
+    pm = _page_domains(spark, d).select("page_id", "sender_domain")
+    routed = R.detect_provider(pm, _pdim(spark))
+    return routed.select("page_id", "sender_domain", "provider_key", "match_parts",
+                         T.source_display(F.col("provider_key")).alias("Source"))
+
+
+SQL_ACTUAL_FOLDER = "'corp-' || regexp_extract(pm.sender_domain, '([a-z]+)$', 1)"
+
+
+@register("q_folder_audit", V.with_ctes(SQL_PDIM, SQL_DMAP, SQL_PAGE_DOMAINS, SQL_SUFFIXES, SQL_EXPECTED, body=f"""
+SELECT verdict, count(*) AS n_files FROM (
+  SELECT CASE WHEN e.expected_folder IS NULL THEN 'unknown'
+              WHEN e.expected_folder = {SQL_ACTUAL_FOLDER} THEN 'ok' ELSE 'misplaced' END AS verdict
+  FROM pm LEFT JOIN expf e USING (sender_domain)) t GROUP BY verdict"""))
+def q_folder_audit(spark, d):
+    """Files per verdict; the folder a page sits in is named after its top-level domain."""
+    pm = _page_domains(spark, d).select("page_id", "sender_domain")
+    routed = R.expected_folder(pm, dims.domain_folder_map(_pdim(spark)))
+    actual = F.concat(F.lit("corp-"), F.regexp_extract("sender_domain", "([a-z]+)$", 1))
+    return (routed.select(R.folder_verdict(F.col("expected_folder"), actual).alias("verdict"))
+            .groupBy("verdict").agg(F.count(F.lit(1)).alias("n_files")))
+
+
+@register("q_dispatch", V.with_ctes(SQL_PDIM, SQL_PAGE_DOMAINS, SQL_SUFFIXES, SQL_PROVIDER, body=f"""
+SELECT page_id, provider_key, dispatch_reason,
+       CASE WHEN dispatch_reason IN ('missing_file', 'unknown_provider') THEN 'ERREUR'
+            WHEN dispatch_reason IS NOT NULL THEN 'IGNORE' END AS dispatch_status
+FROM (SELECT pm.page_id, p.provider_key,
+             CASE WHEN pg.html IS NULL OR pg.html = '' THEN 'missing_file'
+                  WHEN p.provider_key IS NULL THEN 'unknown_provider'
+                  WHEN p.skip THEN 'skip'
+                  WHEN NOT list_contains([{', '.join(sqlx.q(k) for k in CORPUS_EXTRACTABLE)}], p.provider_key) THEN 'no_extractor'
+             END AS dispatch_reason
+      FROM pm LEFT JOIN prov p USING (sender_domain) JOIN pages pg ON pg.page_id = pm.page_id) t"""))
+def q_dispatch(spark, d):
+    """ERREUR (missing file / unknown provider), IGNORE (skip / no job), else to extract."""
+    pm = R.with_sender_domain(V.page_mails(spark, d).select("page_id", "from_hdr", "html"), "from_hdr")
+    routed = R.detect_provider(pm, _pdim(spark))
+    present = F.col("html").isNotNull() & (F.col("html") != "")
+    out = R.dispatch(routed, CORPUS_EXTRACTABLE, present)
+    return out.select("page_id", "provider_key", "dispatch_reason", "dispatch_status")

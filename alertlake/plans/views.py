@@ -122,3 +122,39 @@ SQL_EV_FILES = f"""ev_files AS (
 
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+# ---------------------------------------------------------------- mails from pages / events
+
+HOST_RE = r"^[a-z]+://([^/:?#]+)"
+
+
+def page_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page is a received mail: sender = an address at the page's host."""
+    p = table(spark, sf_dir, "pages")
+    host = F.regexp_extract("url", HOST_RE, 1)
+    return p.select("page_id", "url", "html",
+                    F.concat(F.lit("Alerts <x@"), host, F.lit(">")).alias("from_hdr"))
+
+
+SQL_PAGE_MAILS = f"""page_mails AS (
+  SELECT page_id, url, html, 'Alerts <x@' || regexp_extract(url, '{HOST_RE}', 1) || '>' AS from_hdr FROM pages)"""
+
+
+def mail_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message listing: each event is a message from the host of page ``user_id``."""
+    e = table(spark, sf_dir, "events")
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", HOST_RE, 1).alias("host"))
+    return e.join(p, e.user_id == p.page_id).select(
+        "event_id",
+        F.concat(F.lit("g"), F.col("event_id").cast("string")).alias("gmail_id"),
+        F.concat(F.lit("<"), F.col("user_id").cast("string"), F.lit("@mail>")).alias("message_id"),
+        F.concat(F.lit("x@"), F.col("host")).alias("from_hdr"),
+        F.col("ts").alias("date_ts"),
+        "event_type")
+
+
+SQL_MAIL_LIST = f"""mail_list AS (
+  SELECT e.event_id, 'g' || e.event_id::VARCHAR AS gmail_id, '<' || e.user_id::VARCHAR || '@mail>' AS message_id,
+         'x@' || regexp_extract(p.url, '{HOST_RE}', 1) AS from_hdr, e.ts AS date_ts, e.event_type
+  FROM events e JOIN pages p ON p.page_id = e.user_id)"""
