@@ -101,3 +101,14 @@ def first_per_key(df: DataFrame, key_cols: list[str], order_col: str,
     """Flag the first row (by ``order_col``) of each key, skew-safe."""
     first = with_group_stats(df, key_cols, [F.min(order_col).alias("_first")], count_col="_grp_n")
     return first.withColumn(out_col, F.col(order_col) == F.col("_first")).drop("_grp_n", "_first")
+
+
+def rank_within_group(df: DataFrame, key_cols: list[str], order_cols: list[str],
+                      out_col: str = "rank") -> DataFrame:
+    """``row_number() over (partition by keys order by ...)`` without sending a
+    hot group to one task: a global ordered numbering (range shuffle splits
+    big groups over many partitions) minus the group's first number."""
+    seq = assign_ordered_ids(df, key_cols + order_cols, out_col="_gseq")
+    first = with_group_stats(seq, key_cols, [F.min("_gseq").alias("_gfirst")], count_col="_grp_n")
+    return (first.withColumn(out_col, (F.col("_gseq") - F.col("_gfirst") + 1).cast("bigint"))
+            .drop("_gseq", "_gfirst", "_grp_n"))

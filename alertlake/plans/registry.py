@@ -20,6 +20,8 @@ from alertlake.operators import dedup
 from alertlake.operators import links as L
 from alertlake.operators import route as R
 from alertlake.sources import dims
+from alertlake.sources import ledger as LG
+from alertlake.sources import mail as M
 from alertlake.plans import sqlx
 from alertlake.plans import views as V
 
@@ -408,3 +410,233 @@ def q_dispatch(spark, d):
     present = F.col("html").isNotNull() & (F.col("html") != "")
     out = R.dispatch(routed, CORPUS_EXTRACTABLE, present)
     return out.select("page_id", "provider_key", "dispatch_reason", "dispatch_status")
+
+
+# ---------------------------------------------------------------- mail ingest, ledger, index
+#
+# Over ``ev_files`` (events as landed mail files).  The run day D is the last
+# day present; the ledger "before the run" holds the last file per message
+# fetched before D; the files of day D are this run's new files.
+
+def _run_day(spark, d) -> str:
+    """Scalar: the last day present (one value to the driver)."""
+    mx = V.table(spark, d, "events").agg(F.max("ts").alias("m")).first()["m"]
+    return mx.strftime("%Y-%m-%d")
+
+
+def _ev_ledger(files):
+    return LG.latest_per_message(files.withColumn("indexed_at", F.col("fetched_at")), "event_id")
+
+
+SQL_RUN = """run AS (SELECT date_trunc('day', max(ts)) AS d, max(ts) AS t FROM events)"""
+SQL_LEDGER_ALL = """ledger_all AS (
+  SELECT message_id, arg_max_null(gmail_id, event_id) AS gmail_id, arg_max_null(fichier, event_id) AS fichier,
+         arg_max_null(date_email, event_id) AS date_email, arg_max_null(fetched_at, event_id) AS fetched_at,
+         arg_max_null(fetched_at, event_id) AS indexed_at, arg_max_null(statut_extraction, event_id) AS statut_extraction
+  FROM ev_files GROUP BY message_id)"""
+SQL_LEDGER_OLD = SQL_LEDGER_ALL.replace("ledger_all AS", "ledger_old AS").replace(
+    "FROM ev_files GROUP BY", "FROM ev_files WHERE ts < (SELECT d FROM run) GROUP BY")
+SQL_NEW_FILES = """new_files AS (SELECT * FROM ev_files WHERE ts >= (SELECT d FROM run))"""
+
+
+def _paris_sql(ts: str) -> str:
+    return f"timezone('{fixed.LOCAL_TZ}', timezone('UTC', {ts}))"
+
+
+def _offset_sql(ts: str) -> str:
+    mins = f"((epoch({_paris_sql(ts)}) - epoch({ts})) / 60)::INTEGER"
+    return (f"(CASE WHEN {mins} < 0 THEN '-' ELSE '+' END || lpad((abs({mins}) // 60)::VARCHAR, 2, '0') "
+            f"|| lpad((abs({mins}) % 60)::VARCHAR, 2, '0'))")
+
+
+OFFSET_OF_EVENT = {"click": 2, "error": -5}
+
+
+def _sql_offset_hours():
+    whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in OFFSET_OF_EVENT.items())
+    return f"(CASE event_type {whens} ELSE 0 END)"
+
+
+@register("q_header_dates", f"""
+SELECT event_id, date_raw, strftime(timezone('UTC', p), '%Y-%m-%d %H:%M:%S') AS date_utc,
+       strftime({_paris_sql("timezone('UTC', p)")}, '%Y-%m-%dT%H:%M:%S') || {_offset_sql("timezone('UTC', p)")} AS date_email,
+       strftime({_paris_sql("timezone('UTC', p)")}, '%Y%m%d-%H%M') AS name_prefix
+FROM (SELECT event_id, date_raw, strptime(regexp_replace(date_raw, '^[A-Za-z]{{3}}, ', ''), '%d %b %Y %H:%M:%S %z') AS p
+      FROM (SELECT event_id, strftime(ts + to_hours({_sql_offset_hours()}), '%a, %d %b %Y %H:%M:%S') || ' ' ||
+                   CASE WHEN {_sql_offset_hours()} < 0 THEN '-' ELSE '+' END || lpad(abs({_sql_offset_hours()})::VARCHAR, 2, '0') || '00' AS date_raw
+            FROM events) r) t""")
+def q_header_dates(spark, d):
+    """S3 + R11 prefix: Date headers with sender offsets parsed back to instants,
+    then shown in the mailbox zone (ledger date form and file-name prefix)."""
+    e = V.table(spark, d, "events")
+    hours = F.lit(0)
+    for k, v in OFFSET_OF_EVENT.items():
+        hours = F.when(F.col("event_type") == k, F.lit(v)).otherwise(hours)
+    shifted = F.col("ts") + F.make_interval(hours=hours)
+    off = F.concat(F.when(hours < 0, F.lit("-")).otherwise(F.lit("+")),
+                   F.lpad(F.abs(hours).cast("string"), 2, "0"), F.lit("00"))
+    raw = F.concat(F.date_format(shifted, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" "), off)
+    m = e.select("event_id", raw.alias("date_raw"))
+    ts = M.parse_mail_date(F.col("date_raw"))
+    return m.select("event_id", "date_raw", F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("date_utc"),
+                    M.local_iso(ts).alias("date_email"), M.name_prefix(ts).alias("name_prefix"))
+
+
+@register("q_low_watermark", V.with_ctes(V.SQL_EV_FILES, SQL_LEDGER_ALL, body=f"""
+SELECT count(*) FILTER (WHERE real) AS n_real, max(fetched_at) FILTER (WHERE real) AS last_fetch,
+       strftime(strptime(max(fetched_at) FILTER (WHERE real), '%Y-%m-%dT%H:%M:%SZ') - INTERVAL {fixed.OVERLAP_MARGIN_HOURS} HOUR, '%Y/%m/%d') AS after_date
+FROM (SELECT *, coalesce(gmail_id, '') NOT IN ('before_gmail_api', 'manual') AND coalesce(fetched_at, '') <> '' AS real
+      FROM ledger_all) t"""))
+def q_low_watermark(spark, d):
+    """Incremental start date from the ledger (sentinel source ids ignored)."""
+    return LG.low_watermark(_ev_ledger(V.ev_files(spark, d)))
+
+
+@register("q_delta_partition", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, body="""
+SELECT event_id, fichier, strftime(ts, '%Y%m%d') AS run_date FROM ev_files
+WHERE ts >= (SELECT d FROM run) AND ts < (SELECT d FROM run) + INTERVAL 1 DAY"""))
+def q_delta_partition(spark, d):
+    """The run day's delta only (a day-range predicate pushed to the scan)."""
+    day = _run_day(spark, d)
+    lo = F.lit(day).cast("timestamp_ntz")
+    e = V.ev_files(spark, d).where((F.col("ts") >= lo) & (F.col("ts") < lo + F.expr("INTERVAL 1 DAY")))
+    return e.select("event_id", "fichier", F.date_format("ts", "yyyyMMdd").alias("run_date"))
+
+
+@register("q_catchup", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_ALL, body="""
+SELECT message_id, statut_extraction FROM ledger_all
+WHERE substr(fetched_at, 1, 10) = strftime((SELECT d FROM run), '%Y-%m-%d')
+  AND statut_extraction IS NOT NULL AND statut_extraction <> 'PENDING'"""))
+def q_catchup(spark, d):
+    """Entries fetched on the run day that already left PENDING."""
+    day = _run_day(spark, d)
+    led = _ev_ledger(V.ev_files(spark, d))
+    return led.where((F.substring("fetched_at", 1, 10) == day) & F.col("statut_extraction").isNotNull()
+                     & (F.col("statut_extraction") != "PENDING")).select("message_id", "statut_extraction")
+
+
+@register("q_pending", V.with_ctes(V.SQL_EV_FILES, SQL_LEDGER_ALL, body="""
+SELECT message_id, date_email, row_number() OVER (ORDER BY date_email, message_id)::BIGINT AS pending_rank
+FROM ledger_all WHERE coalesce(statut_extraction, 'PENDING') = 'PENDING'"""))
+def q_pending(spark, d):
+    """R8 + O1: PENDING entries (missing status counts) numbered in
+    (date_email string, message_id) order without a single-partition sort."""
+    led = _ev_ledger(V.ev_files(spark, d)).where(R.is_pending(F.col("statut_extraction")))
+    ranked = dedup.assign_ordered_ids(led.select("message_id", "date_email"), ["date_email", "message_id"],
+                                      out_col="pending_rank")
+    return ranked.select("message_id", "date_email", "pending_rank")
+
+
+@register("q_legacy_ledger", V.with_ctes(V.SQL_EV_FILES, body="""
+SELECT message_id, 'before_gmail_api' AS gmail_id, arg_max_null(fichier, event_id) AS fichier,
+       arg_max_null(date_email, event_id) AS date_email, arg_max_null(fetched_at, event_id) AS fetched_at,
+       arg_max_null(fetched_at, event_id) AS indexed_at,
+       arg_max_null(coalesce(nullif(coalesce(statut_extraction, ''), ''), 'PENDING'), event_id) AS statut_extraction
+FROM ev_files GROUP BY message_id"""))
+def q_legacy_ledger(spark, d):
+    """Legacy index rows converted to ledger entries (last row per id wins)."""
+    f = V.ev_files(spark, d)
+    index = f.select(F.col("message_id").alias("Message-ID"), F.col("fichier").alias("Fichier"),
+                     F.col("date_email").alias("Date_email"), F.col("fetched_at").alias("Date_indexation"),
+                     F.coalesce("statut_extraction", F.lit("")).alias("Statut_extraction"), "event_id")
+    return LG.legacy_index_to_ledger(index, "event_id")
+
+
+SQL_FILE_ACTIONS = """acts AS (
+  SELECT f.*, o.fichier AS known_path,
+         CASE WHEN o.fichier IS NOT NULL AND o.fichier <> f.fichier THEN 'duplicate'
+              WHEN o.fichier IS NULL AND string_split(f.fichier, '/') <> min(string_split(f.fichier, '/')) OVER (PARTITION BY f.message_id) THEN 'duplicate'
+              WHEN regexp_matches(f.file_name, '^[0-9]{8}-[0-9]{4}-') THEN 'reindex' ELSE 'rename' END AS action
+  FROM new_files f LEFT JOIN ledger_old o USING (message_id))"""
+
+
+def _file_actions(spark, d):
+    """W3 + R10 over this run's files against the ledger before the run."""
+    day = _run_day(spark, d)
+    files = V.ev_files(spark, d)
+    lo = F.lit(day).cast("timestamp_ntz")
+    old = _ev_ledger(files.where(F.col("ts") < lo)).select("message_id", F.col("fichier").alias("known_path"))
+    new = files.where(F.col("ts") >= lo).withColumn("_path_key", F.split("fichier", "/"))
+    j = new.join(old, "message_id", "left")
+    j = dedup.first_per_key(j, ["message_id"], "_path_key", out_col="_first_path")
+    dup = F.when(F.col("known_path").isNotNull(), F.col("known_path") != F.col("fichier")) \
+        .otherwise(~F.col("_first_path"))
+    action = F.when(dup, F.lit("duplicate")).otherwise(
+        R.file_action(F.lit(None).cast("string"), F.col("fichier"), F.col("file_name")))
+    return j.withColumn("action", action).drop("_path_key", "_first_path")
+
+
+@register("q_message_dedup", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, SQL_NEW_FILES, SQL_FILE_ACTIONS, body="""
+SELECT fichier, message_id, action = 'duplicate' AS is_duplicate,
+       CASE WHEN action = 'duplicate' THEN '_duplicates/' || file_name END AS quarantine_path
+FROM acts"""))
+def q_message_dedup(spark, d):
+    """W3 + R13: a Message-ID known under another file, or a later path of
+    the same new Message-ID, goes to quarantine."""
+    a = _file_actions(spark, d)
+    dup = F.col("action") == "duplicate"
+    return a.select("fichier", "message_id", dup.alias("is_duplicate"),
+                    F.when(dup, F.concat(F.lit("_duplicates/"), F.col("file_name"))).alias("quarantine_path"))
+
+
+@register("q_file_action", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, SQL_NEW_FILES, SQL_FILE_ACTIONS,
+                                       body="SELECT fichier, message_id, action FROM acts"))
+def q_file_action(spark, d):
+    """Duplicate / reindex / rename per file of the run."""
+    return _file_actions(spark, d).select("fichier", "message_id", "action")
+
+
+@register("q_index_summary", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, SQL_NEW_FILES, SQL_FILE_ACTIONS,
+                                         body="SELECT action, count(*) AS n_files FROM acts GROUP BY action"))
+def q_index_summary(spark, d):
+    """Files per index action."""
+    return _file_actions(spark, d).groupBy("action").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+@register("q_canonical_name", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, SQL_NEW_FILES, SQL_FILE_ACTIONS, body=f"""
+SELECT fichier, folder || '/' || base || CASE WHEN n > 1 THEN '_' || n::VARCHAR ELSE '' END || '.eml' AS new_name
+FROM (SELECT fichier, folder, base, row_number() OVER (PARTITION BY folder, base ORDER BY string_split(fichier, '/')) AS n
+      FROM (SELECT fichier, folder, strftime({_paris_sql('ts')}, '%Y%m%d-%H%M') || '-' || regexp_replace(file_name, '\\.eml$', '') AS base
+            FROM acts WHERE action = 'rename') r) t"""))
+def q_canonical_name(spark, d):
+    """``yyyyMMdd-HHmm-<stem>[_n].eml`` in local time; ``_n`` (from 2) for
+    names colliding in one folder, by path order (skew-safe rank)."""
+    a = _file_actions(spark, d).where(F.col("action") == "rename")
+    ts = F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")
+    base = F.concat(M.name_prefix(ts), F.lit("-"), F.regexp_replace("file_name", r"\.eml$", ""))
+    a = a.select("fichier", "folder", base.alias("base"), F.split("fichier", "/").alias("_k"))
+    ranked = dedup.rank_within_group(a, ["folder", "base"], ["_k"], out_col="n")
+    name = F.concat(F.col("folder"), F.lit("/"), F.col("base"),
+                    F.when(F.col("n") > 1, F.concat(F.lit("_"), F.col("n").cast("string"))).otherwise(F.lit("")),
+                    F.lit(".eml"))
+    return ranked.select("fichier", name.alias("new_name"))
+
+
+@register("q_ledger_upsert", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, SQL_NEW_FILES, SQL_FILE_ACTIONS, body=f"""
+SELECT coalesce(n.message_id, o.message_id) AS message_id,
+       CASE WHEN n.message_id IS NOT NULL THEN coalesce(o.gmail_id, 'manual') ELSE o.gmail_id END AS gmail_id,
+       CASE WHEN n.message_id IS NOT NULL THEN n.fichier ELSE o.fichier END AS fichier,
+       CASE WHEN n.message_id IS NOT NULL THEN n.date_email ELSE o.date_email END AS date_email,
+       CASE WHEN n.message_id IS NOT NULL THEN coalesce(o.fetched_at, (SELECT strftime(t, '%Y-%m-%dT%H:%M:%SZ') FROM run)) ELSE o.fetched_at END AS fetched_at,
+       CASE WHEN n.message_id IS NOT NULL THEN (SELECT strftime(t, '%Y-%m-%dT%H:%M:%SZ') FROM run) ELSE o.indexed_at END AS indexed_at,
+       CASE WHEN n.message_id IS NOT NULL THEN coalesce(o.statut_extraction, 'PENDING') ELSE o.statut_extraction END AS statut_extraction
+FROM ledger_old o FULL OUTER JOIN (
+  SELECT message_id,
+         CASE WHEN action = 'rename' THEN folder || '/' || strftime({_paris_sql('ts')}, '%Y%m%d-%H%M') || '-' || regexp_replace(file_name, '\\.eml$', '') || '.eml'
+              ELSE fichier END AS fichier,
+         strftime({_paris_sql('ts')}, '%Y-%m-%dT%H:%M:%S') || {_offset_sql('ts')} AS date_email
+  FROM acts WHERE action <> 'duplicate') n USING (message_id)"""))
+def q_ledger_upsert(spark, d):
+    """R14 + S6: index results merged into the ledger (full outer join)."""
+    files = V.ev_files(spark, d)
+    day = _run_day(spark, d)
+    run_t = files.agg(F.max("ts").alias("t")).first()["t"].strftime("%Y-%m-%dT%H:%M:%SZ")
+    old = _ev_ledger(files.where(F.col("ts") < F.lit(day).cast("timestamp_ntz")))
+    a = _file_actions(spark, d).where(F.col("action") != "duplicate")
+    ts = F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")
+    renamed = F.concat(F.col("folder"), F.lit("/"), M.name_prefix(ts), F.lit("-"),
+                       F.regexp_replace("file_name", r"\.eml$", ""), F.lit(".eml"))
+    idx = a.select("message_id",
+                   F.when(F.col("action") == "rename", renamed).otherwise(F.col("fichier")).alias("fichier"),
+                   M.local_iso(ts).alias("date_email"))
+    return LG.upsert_index(old.select(*LG.LEDGER_COLUMNS), idx, F.lit(run_t))
