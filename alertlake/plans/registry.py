@@ -19,6 +19,8 @@ from alertlake.functions import text as T
 from alertlake.operators import dedup
 from alertlake.operators import links as L
 from alertlake.operators import route as R
+from alertlake.operators import enrich as EN
+from alertlake.operators import publish as PB
 from alertlake.sources import dims
 from alertlake.sources import ledger as LG
 from alertlake.sources import mail as M
@@ -640,3 +642,246 @@ def q_ledger_upsert(spark, d):
                    F.when(F.col("action") == "rename", renamed).otherwise(F.col("fichier")).alias("fichier"),
                    M.local_iso(ts).alias("date_email"))
     return LG.upsert_index(old.select(*LG.LEDGER_COLUMNS), idx, F.lit(run_t))
+
+
+# ---------------------------------------------------------------- offers, status, publish
+#
+# ``conversations`` as extraction output: a conversation is a mail, a turn is
+# a raw offer (title = text, company = role); system turns have an empty
+# title and are rejected.
+
+def conv_raw(spark, d):
+    c = V.table(spark, d, "conversations")
+    return c.select(
+        F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("message_id"),
+        F.col("turn").alias("offer_pos"),
+        F.lit("conversations").alias("provider_key"),
+        F.lit("").alias("date_email"),
+        F.when(F.col("role") == "system", F.lit("")).otherwise(F.col("text")).alias("titre"),
+        F.col("role").alias("entreprise"),
+        *[F.lit("").alias(c) for c in ["ville", "dept", "type_contrat", "salaire_min", "salaire_max", "url", "notes"]],
+        F.lit("vide").alias("url_qualite"))
+
+
+def conv_rows(spark, d):
+    return EN.offer_rows(conv_raw(spark, d), keywords=CORPUS_STACK, blacklist=CORPUS_BLACKLIST)
+
+
+SQL_CONV = f"""conv_raw AS (
+  SELECT 'c' || conv_id::VARCHAR AS message_id, turn AS offer_pos, 'conversations' AS provider_key, '' AS date_email,
+         CASE WHEN role = 'system' THEN '' ELSE text END AS titre, role AS entreprise, '' AS ville, '' AS notes
+  FROM conversations),
+conv_valid AS (SELECT *, row_number() OVER (ORDER BY date_email, message_id, offer_pos) AS seq FROM conv_raw WHERE titre <> ''),
+conv_keyed AS (SELECT *, printf('E%06d', seq) AS "ID", {sqlx.dedup_key('entreprise', 'ville', 'titre')} AS cle FROM conv_valid),
+conv_first AS (SELECT cle, arg_min("ID", seq) AS first_id FROM conv_keyed GROUP BY cle),
+conv_bl AS (SELECT k.*, CASE WHEN k."ID" <> f.first_id THEN f.first_id ELSE '' END AS doublon,
+                   {sqlx.blacklist_term('titre', CORPUS_BLACKLIST)} AS bl
+            FROM conv_keyed k JOIN conv_first f USING (cle)),
+offer_rows AS (
+  SELECT "ID", 'FALSE' AS "Traite", substr(date_email, 1, 10) AS "Date_decouverte", provider_key AS "Source",
+         titre AS "Titre", entreprise AS "Entreprise", cle AS "Cle_dedup", doublon AS "Doublon_ID", ville AS "Ville",
+         '' AS "Dept", '' AS "Type_contrat", '' AS "Salaire_min", '' AS "Salaire_max", '' AS "URL",
+         'vide' AS "URL_qualite", '' AS "URL_redirect", {sqlx.stack_tags("titre || ' ' || notes", CORPUS_STACK)} AS "Stack",
+         coalesce('{fixed.BLACKLIST_REASON_PREFIX}' || bl, '') AS "Raison_exclusion", '' AS "Date_candidature",
+         concat_ws(' | ', nullif(notes, ''), '{fixed.BLACKLIST_NOTE_PREFIX}' || bl) AS "Notes", message_id AS "Message_ID", seq
+  FROM conv_bl)"""
+SQL_MAIL_STATUS = """mail_status AS (
+  SELECT message_id, count(*) FILTER (WHERE titre <> '') AS n_ok, count(*) FILTER (WHERE titre = '') AS n_rejected,
+         CASE WHEN count(*) FILTER (WHERE titre = '') = 0 AND count(*) FILTER (WHERE titre <> '') > 0 THEN 'OK' ELSE 'PARTIEL' END AS statut_extraction
+  FROM conv_raw GROUP BY message_id)"""
+OFFER_COLS_SQL = ", ".join(f'"{c}"' for c in fixed.OFFER_COLUMNS)
+
+
+@register("q_offer_rows", V.with_ctes(SQL_CONV, body=f"SELECT {OFFER_COLS_SQL} FROM offer_rows"))
+def q_offer_rows(spark, d):
+    """P1 (+T12, W1, W2, T6-T9): the 21-column offer rows."""
+    return conv_rows(spark, d).drop("_seq")
+
+
+@register("q_rejects", V.with_ctes(SQL_CONV, body="SELECT message_id, offer_pos, 'titre_vide' AS reason FROM conv_raw WHERE titre = ''"))
+def q_rejects(spark, d):
+    """Offers rejected for an empty title (no ID consumed)."""
+    return EN.rejects(conv_raw(spark, d))
+
+
+@register("q_mail_status", V.with_ctes(SQL_CONV, SQL_MAIL_STATUS, body="SELECT * FROM mail_status"))
+def q_mail_status(spark, d):
+    """A5: OK / PARTIEL per mail."""
+    return EN.mail_status(conv_raw(spark, d))
+
+
+@register("q_run_stats", V.with_ctes(SQL_CONV, SQL_MAIL_STATUS, body="""
+SELECT (SELECT count(*) FILTER (WHERE statut_extraction = 'OK') FROM mail_status) AS fichiers_ok,
+       (SELECT count(*) FILTER (WHERE statut_extraction = 'PARTIEL') FROM mail_status) AS fichiers_partiel,
+       (SELECT count(*) FILTER (WHERE statut_extraction = 'ERREUR') FROM mail_status) AS erreurs,
+       (SELECT count(*) FILTER (WHERE statut_extraction = 'IGNORE') FROM mail_status) AS ignores,
+       (SELECT count(*) FROM offer_rows) AS offres_ecrites,
+       (SELECT count(*) FILTER (WHERE "Doublon_ID" <> '') FROM offer_rows) AS doublons,
+       (SELECT count(*) FILTER (WHERE "Raison_exclusion" <> '') FROM offer_rows) AS blacklistes,
+       FALSE AS dry_run"""))
+def q_run_stats(spark, d):
+    """A4: run counters."""
+    raw = conv_raw(spark, d)
+    return PB.run_stats(EN.mail_status(raw), conv_rows(spark, d))
+
+
+@register("q_run_events", V.with_ctes(SQL_CONV, SQL_MAIL_STATUS, body="""
+SELECT level, message_id, msg FROM (
+  SELECT CASE WHEN statut_extraction = 'OK' THEN 'INFO' ELSE 'WARN' END AS level, message_id,
+         CASE WHEN statut_extraction = 'OK' THEN n_ok::VARCHAR || ' offre(s) écrites'
+              ELSE n_ok::VARCHAR || ' offre(s) OK, ' || n_rejected::VARCHAR || ' ignorée(s)' END AS msg
+  FROM mail_status
+  UNION ALL
+  SELECT 'WARN', message_id, 'Offre ignorée (titre vide)' FROM conv_raw WHERE titre = ''
+  UNION ALL
+  SELECT 'INFO', "Message_ID", 'Doublon : ' || "Cle_dedup" || ' → ' || "Doublon_ID" FROM offer_rows WHERE "Doublon_ID" <> '') t"""))
+def q_run_events(spark, d):
+    """Run log entries as rows (mail outcome, rejected offers, duplicates)."""
+    raw = conv_raw(spark, d)
+    st = EN.mail_status(raw)
+    ok = F.col("statut_extraction") == "OK"
+    mails = st.select(F.when(ok, F.lit("INFO")).otherwise(F.lit("WARN")).alias("level"), "message_id",
+                      F.when(ok, F.concat(F.col("n_ok").cast("string"), F.lit(" offre(s) écrites")))
+                      .otherwise(F.concat(F.col("n_ok").cast("string"), F.lit(" offre(s) OK, "),
+                                          F.col("n_rejected").cast("string"), F.lit(" ignorée(s)"))).alias("msg"))
+    rej = EN.rejects(raw).select(F.lit("WARN").alias("level"), "message_id",
+                                 F.lit("Offre ignorée (titre vide)").alias("msg"))
+    dups = conv_rows(spark, d).where(F.col("Doublon_ID") != "").select(
+        F.lit("INFO").alias("level"), F.col("Message_ID").alias("message_id"),
+        F.concat(F.lit("Doublon : "), F.col("Cle_dedup"), F.lit(" → "), F.col("Doublon_ID")).alias("msg"))
+    return mails.unionByName(rej).unionByName(dups)
+
+
+@register("q_offers_by_mail", V.with_ctes(SQL_CONV, SQL_MAIL_STATUS, body="""
+SELECT o."ID", o."Message_ID" AS message_id, s.statut_extraction FROM offer_rows o JOIN mail_status s ON s.message_id = o."Message_ID\""""))
+def q_offers_by_mail(spark, d):
+    """Offers joined to their mail on Message_ID."""
+    st = EN.mail_status(conv_raw(spark, d)).select("message_id", "statut_extraction")
+    o = conv_rows(spark, d).select("ID", F.col("Message_ID").alias("message_id"))
+    return o.join(st, "message_id")
+
+
+@register("q_row_flags", V.with_ctes(SQL_CONV, body="""
+SELECT "ID", "Doublon_ID" <> '' AS is_duplicate, contains(lower("Notes"), 'blacklist') AS is_blacklisted,
+       CASE WHEN contains(lower("Notes"), 'blacklist') THEN 'blacklisted' WHEN "Doublon_ID" <> '' THEN 'duplicate' ELSE 'new' END AS row_flag
+FROM offer_rows"""))
+def q_row_flags(spark, d):
+    """Duplicate / blacklisted flags (blacklisted takes priority)."""
+    r = conv_rows(spark, d)
+    dup = F.col("Doublon_ID") != ""
+    bl = F.lower(F.col("Notes")).contains("blacklist")
+    return r.select("ID", dup.alias("is_duplicate"), bl.alias("is_blacklisted"),
+                    F.when(bl, F.lit("blacklisted")).when(dup, F.lit("duplicate")).otherwise(F.lit("new")).alias("row_flag"))
+
+
+@register("q_worklist", V.with_ctes(SQL_CONV, body="""
+SELECT "ID", "Date_decouverte", row_number() OVER (ORDER BY "Date_decouverte", "ID")::BIGINT AS work_rank
+FROM offer_rows WHERE "Raison_exclusion" = ''"""))
+def q_worklist(spark, d):
+    """Rows still to review (not excluded), by discovery date."""
+    r = conv_rows(spark, d).where(F.col("Raison_exclusion") == "").select("ID", "Date_decouverte")
+    return dedup.assign_ordered_ids(r, ["Date_decouverte", "ID"], out_col="work_rank")
+
+
+SQL_PUB = SQL_CONV + ",\n" + V.SQL_DOC_OFFERS + """,
+published AS (SELECT "ID" FROM offer_rows),
+last_pub AS (SELECT coalesce(max(CAST(substr("ID", 2) AS BIGINT)), 0) AS last_id FROM published),
+delta AS (SELECT "ID", CAST(substr("ID", 2) AS BIGINT) AS id_num FROM doc_offers WHERE CAST(substr("ID", 2) AS BIGINT) > (SELECT last_id FROM last_pub))"""
+
+
+def _delta(spark, d):
+    """Published sheet = the conversation offers; new rows = the document offers."""
+    pub = conv_rows(spark, d).select("ID")
+    last = pub.agg(PB.max_published(pub).alias("m")).first()["m"]
+    return PB.publish_delta(V.doc_offers(spark, d).select("ID", "ord"), last), pub
+
+
+@register("q_publish_delta", V.with_ctes(SQL_PUB, body="SELECT \"ID\", id_num FROM delta"))
+def q_publish_delta(spark, d):
+    """P3 + A2: offers with an ID above the last published one."""
+    delta, _ = _delta(spark, d)
+    return delta.select("ID", "id_num")
+
+
+@register("q_append_pos", V.with_ctes(SQL_PUB, body="""
+SELECT "ID", (SELECT count(*) + 1 FROM published) + row_number() OVER (ORDER BY id_num) AS sheet_row FROM delta"""))
+def q_append_pos(spark, d):
+    """Sheet rows of the new rows: after the header and the published rows."""
+    delta, pub = _delta(spark, d)
+    last_row = pub.count() + 1
+    return PB.append_positions(delta.select("ID", "id_num"), last_row, "id_num").select("ID", "sheet_row")
+
+
+@register("q_publish_shape", V.with_ctes(SQL_CONV, body="SELECT " + ", ".join(
+    ("CASE WHEN \"Raison_exclusion\" <> '' THEN 'TRUE' ELSE 'FALSE' END AS \"Traite\"" if c == "Traite" else
+     f"CASE WHEN \"{c}\" <> '' THEN '''' || \"{c}\" ELSE \"{c}\" END AS \"{c}\"" if c in PB.FORCE_TEXT_COLUMNS else
+     f"coalesce(\"{c}\", '') AS \"{c}\"") for c in fixed.OFFER_COLUMNS) + " FROM offer_rows"))
+def q_publish_shape(spark, d):
+    """Rows as published (all text, header order)."""
+    return PB.publish_shape(conv_rows(spark, d))
+
+
+@register("q_islands", V.with_ctes(SQL_CONV, body="""
+SELECT flag, min(pos)::BIGINT AS range_start, max(pos)::BIGINT AS range_end FROM (
+  SELECT flag, pos, pos - row_number() OVER (PARTITION BY flag ORDER BY pos) AS grp FROM (
+    SELECT seq + 1 AS pos, CASE WHEN "Raison_exclusion" = '' THEN 'dropdown' ELSE 'clear' END AS flag FROM offer_rows) a) b
+GROUP BY flag, grp"""))
+def q_islands(spark, d):
+    """W4 + W5: contiguous sheet-row ranges without (dropdown) / with (clear) an exclusion reason."""
+    r = conv_rows(spark, d).withColumn("pos", F.col("_seq") + 1)
+    flag = F.when(F.col("Raison_exclusion") == "", F.lit("dropdown")).otherwise(F.lit("clear"))
+    return PB.islands(r, "pos", flag)
+
+
+SQL_AUDIT = """audit AS (
+  SELECT CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS status,
+         strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS recorded_at,
+         CASE WHEN value > 50 THEN strftime(ts + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%SZ') END AS acked_at
+  FROM events WHERE event_type IN ('error', 'purchase'))"""
+
+
+@register("q_gate", V.with_ctes(SQL_AUDIT, body="""
+SELECT count(*) FILTER (WHERE status = 'failed' AND acked_at IS NULL) > 0 AS blocked,
+       count(*) FILTER (WHERE status = 'failed' AND acked_at IS NULL) AS n_unacked,
+       max(recorded_at) FILTER (WHERE status = 'failed' AND acked_at IS NULL) AS last_failure_at FROM audit"""))
+def q_gate(spark, d):
+    """Publish attempts (errors = failed, purchases = ok; high value = acknowledged)
+    and the resulting gate state."""
+    e = V.table(spark, d, "events").where(F.col("event_type").isin("error", "purchase"))
+    audit = e.select(F.when(F.col("event_type") == "error", F.lit("failed")).otherwise(F.lit("ok")).alias("status"),
+                     F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("recorded_at"),
+                     F.when(F.col("value") > 50, F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"),
+                                                               "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("acked_at"))
+    return PB.gate_state(audit)
+
+
+@register("q_resolve_ids", V.with_ctes(V.SQL_EV_FILES, SQL_LEDGER_ALL, body="""
+SELECT p.message_id, l.gmail_id, p.pos FROM (
+  SELECT message_id, row_number() OVER (ORDER BY date_email, message_id)::BIGINT AS pos
+  FROM ledger_all WHERE coalesce(statut_extraction, 'PENDING') = 'PENDING') p
+JOIN ledger_all l USING (message_id)
+WHERE l.gmail_id IS NOT NULL AND l.gmail_id NOT IN ('before_gmail_api', 'manual')"""))
+def q_resolve_ids(spark, d):
+    """P9 + J7: the PENDING snapshot (taken before extraction, kept in order)
+    resolved to real source ids; sentinel and unknown ids dropped."""
+    led = _ev_ledger(V.ev_files(spark, d))
+    snap = dedup.assign_ordered_ids(
+        led.where(R.is_pending(F.col("statut_extraction"))).select("message_id", "date_email"),
+        ["date_email", "message_id"], out_col="pos").select("message_id", "pos")
+    return PB.resolve_source_ids(snap, led).select("message_id", "gmail_id", "pos")
+
+
+@register("q_cleanup_semi", V.with_ctes(V.SQL_EV_FILES, SQL_LEDGER_ALL, V.SQL_MAIL_LIST, body="""
+SELECT m.gmail_id, m.gmail_id IN (SELECT gmail_id FROM ledger_all
+         WHERE statut_extraction IS NOT NULL AND statut_extraction NOT IN ('PENDING', 'ERREUR')
+           AND gmail_id IS NOT NULL AND gmail_id NOT IN ('before_gmail_api', 'manual')) AS to_trash
+FROM mail_list m WHERE m.event_type = 'click'"""))
+def q_cleanup_semi(spark, d):
+    """Labelled messages (clicks) that the ledger confirms processed go to
+    trash (semi join); the others are kept (anti join)."""
+    led = _ev_ledger(V.ev_files(spark, d))
+    labelled = V.mail_list(spark, d).where(F.col("event_type") == "click").select("gmail_id")
+    proc = PB.processed_source_ids(led)
+    yes = labelled.join(proc, "gmail_id", "left_semi").withColumn("to_trash", F.lit(True))
+    no = labelled.join(proc, "gmail_id", "left_anti").withColumn("to_trash", F.lit(False))
+    return yes.unionByName(no)
