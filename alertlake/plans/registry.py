@@ -21,6 +21,8 @@ from alertlake.operators import links as L
 from alertlake.operators import route as R
 from alertlake.operators import enrich as EN
 from alertlake.operators import publish as PB
+from alertlake.operators import geo as G
+from alertlake.functions import rx
 from alertlake.sources import dims
 from alertlake.sources import ledger as LG
 from alertlake.sources import mail as M
@@ -885,3 +887,225 @@ def q_cleanup_semi(spark, d):
     yes = labelled.join(proc, "gmail_id", "left_semi").withColumn("to_trash", F.lit(True))
     no = labelled.join(proc, "gmail_id", "left_anti").withColumn("to_trash", F.lit(False))
     return yes.unionByName(no)
+
+
+# ---------------------------------------------------------------- geo and parsing
+#
+# ``part.p_name`` ("red bolt", "small ring", ...) plays the city string; the
+# city dimension is the package default extended with corpus entries; the
+# geocoder stand-in is a reference table derived from ``part``.
+
+CORPUS_CITIES = fixed.CITY_DEPT + [("hot gear", "21"), ("red widget", "22"), ("blue widget", "23"),
+                                   ("small gizmo", "24"), ("smallville", "25")]
+_WSQ = sqlx.q(rx.space_class() + "+")
+
+
+def _sql_cities():
+    return "cdimk AS (SELECT pos, lower(city) AS city_key, dept FROM " + _sql_values(
+        [(i, c, dd) for i, (c, dd) in enumerate(CORPUS_CITIES)], ["pos", "city", "dept"]) + ")"
+
+
+SQL_GEO = _sql_cities() + f""",
+ck AS (SELECT ville, strip_accents(regexp_replace(lower(ville), {sqlx.q('^' + rx.space_class() + '+|' + rx.space_class() + '+$')}, '', 'g')) AS k
+       FROM (SELECT DISTINCT p_name AS ville FROM part WHERE coalesce(p_name, '') <> '') c),
+ex AS (SELECT city_key, arg_min(dept, pos) AS dept_exact FROM cdimk GROUP BY city_key),
+c1 AS (SELECT ck.ville, ck.k, ex.dept_exact,
+              coalesce(string_split_regex(regexp_replace(ck.k, {sqlx.q('^' + rx.space_class() + '+')}, '', 'g'), {_WSQ})[1], '') AS w
+       FROM ck LEFT JOIN ex ON ex.city_key = ck.k),
+pref AS (SELECT w, arg_min(dept, pos) AS dept_prefix
+         FROM (SELECT DISTINCT w FROM c1 WHERE dept_exact IS NULL AND w <> '') x JOIN cdimk ON starts_with(city_key, x.w) GROUP BY w),
+gref AS (SELECT p_name AS ville, substr(min(lpad((p_size * 1000)::VARCHAR, 5, '0')), 1, 2) AS dept_geocode FROM part GROUP BY p_name),
+res AS (SELECT c1.ville, c1.dept_exact, CASE WHEN c1.dept_exact IS NULL THEN pref.dept_prefix END AS dept_prefix,
+               CASE WHEN c1.dept_exact IS NULL AND pref.dept_prefix IS NULL THEN gref.dept_geocode END AS dept_geocode
+        FROM c1 LEFT JOIN pref USING (w) LEFT JOIN gref USING (ville))"""
+
+
+def _geo(spark, d, with_geocode=True):
+    part = V.table(spark, d, "part")
+    cdim = dims.city_dim(spark, CORPUS_CITIES)
+    gref = None
+    if with_geocode:
+        gref = part.select(F.col("p_name").alias("city"),
+                           F.lpad((F.col("p_size") * 1000).cast("string"), 5, "0").alias("postcode"))
+    return part, G.resolve_cities(part.select(F.col("p_name").alias("ville")), cdim, gref)
+
+
+@register("q_city_exact", V.with_ctes(SQL_GEO, body="SELECT ville, dept_exact FROM res"))
+def q_city_exact(spark, d):
+    """Exact key lookup (distinct cities)."""
+    _, res = _geo(spark, d, with_geocode=False)
+    return res.select("ville", "dept_exact")
+
+
+@register("q_city_prefix", V.with_ctes(SQL_GEO, body="SELECT ville, dept_exact, dept_prefix FROM res"))
+def q_city_prefix(spark, d):
+    """First configured city starting with the first word, when no exact match."""
+    _, res = _geo(spark, d, with_geocode=False)
+    return res.select("ville", "dept_exact", "dept_prefix")
+
+
+@register("q_geocode_ref", V.with_ctes(SQL_GEO, body="""
+SELECT p.p_partkey, p.p_name AS ville, coalesce(r.dept_exact, r.dept_prefix, r.dept_geocode, '') AS "Dept",
+       CASE WHEN r.dept_exact IS NOT NULL THEN 'exact' WHEN r.dept_prefix IS NOT NULL THEN 'prefix'
+            WHEN r.dept_geocode IS NOT NULL THEN 'geocode' ELSE 'none' END AS dept_method
+FROM part p LEFT JOIN res r ON r.ville = p.p_name"""))
+def q_geocode_ref(spark, d):
+    """J3 -> J4 -> J5 chain per row, with the method that resolved it."""
+    part, res = _geo(spark, d)
+    rows = part.select("p_partkey", F.col("p_name").alias("ville"))
+    small, _ = sized_broadcast_df(res.drop("_grp_n"))
+    j = rows.join(small, "ville", "left")
+    return j.select("p_partkey", "ville", F.coalesce("Dept", F.lit("")).alias("Dept"),
+                    F.coalesce("dept_method", F.lit("none")).alias("dept_method"))
+
+
+def sized_broadcast_df(df):
+    from alertlake.operators.joins import sized_broadcast
+    return sized_broadcast(df)
+
+
+SQL_PLACES = """places AS (
+  SELECT p_partkey, CASE p_type WHEN 'ECONOMY' THEN lpad(p_size::VARCHAR, 2, '0') || ' - ' || p_name
+                                WHEN 'SMALL' THEN p_name || ' (' || lpad(p_size::VARCHAR, 2, '0') || ')'
+                                WHEN 'MEDIUM' THEN lpad((p_size * 1000)::VARCHAR, 5, '0') || ' ' || p_name
+                                WHEN 'PROMO' THEN p_name || ' (Hybride)' ELSE p_name END AS place FROM part)"""
+
+
+def _sql_place():
+    w = rx.space_class()
+    trim = lambda x: f"regexp_replace({x}, {sqlx.q('^' + w + '+|' + w + '+$')}, '', 'g')"
+    p = trim("place")
+    m1, m2, m3 = (f"regexp_matches({p}, {sqlx.q(r)})" for r in (G.LOC_DEPT_CITY, G.LOC_CITY_DEPT, G.LOC_POSTCODE_CITY))
+    ville = (f"CASE WHEN {m1} THEN {trim(f'regexp_extract({p}, {sqlx.q(G.LOC_DEPT_CITY)}, 2)')} "
+             f"WHEN {m2} THEN {trim(f'regexp_extract({p}, {sqlx.q(G.LOC_CITY_DEPT)}, 1)')} "
+             f"WHEN {m3} THEN {trim(f'regexp_extract({p}, {sqlx.q(G.LOC_POSTCODE_CITY)}, 2)')} "
+             f"ELSE {trim(f'regexp_replace({p}, {sqlx.q(G.LOC_MODE)}, {chr(39)}{chr(39)}, {chr(39)}g{chr(39)})')} END")
+    dept = (f"CASE WHEN {m1} THEN regexp_extract({p}, {sqlx.q(G.LOC_DEPT_CITY)}, 1) "
+            f"WHEN {m2} THEN regexp_extract({p}, {sqlx.q(G.LOC_CITY_DEPT)}, 2) "
+            f"WHEN {m3} THEN substr(regexp_extract({p}, {sqlx.q(G.LOC_POSTCODE_CITY)}, 1), 1, 2) ELSE '' END")
+    return f"SELECT p_partkey, place, {ville} AS ville, {dept} AS dept FROM places"
+
+
+@register("q_place_parse", V.with_ctes(SQL_PLACES, body=_sql_place()))
+def q_place_parse(spark, d):
+    """The four place layouts of the templates."""
+    p = V.table(spark, d, "part")
+    size2 = F.lpad(F.col("p_size").cast("string"), 2, "0")
+    place = (F.when(F.col("p_type") == "ECONOMY", F.concat(size2, F.lit(" - "), F.col("p_name")))
+             .when(F.col("p_type") == "SMALL", F.concat(F.col("p_name"), F.lit(" ("), size2, F.lit(")")))
+             .when(F.col("p_type") == "MEDIUM", F.concat(F.lpad((F.col("p_size") * 1000).cast("string"), 5, "0"),
+                                                         F.lit(" "), F.col("p_name")))
+             .when(F.col("p_type") == "PROMO", F.concat(F.col("p_name"), F.lit(" (Hybride)")))
+             .otherwise(F.col("p_name")))
+    p = p.select("p_partkey", place.alias("place"))
+    ville, dept = G.parse_place(F.col("place"))
+    return p.select("p_partkey", "place", ville.alias("ville"), dept.alias("dept"))
+
+
+SQL_SALARY_BLOCKS = """blocks AS (
+  SELECT o_orderkey, ((o_custkey * 10 + 20000) // 1000)::VARCHAR || ' ' || lpad(((o_custkey * 10 + 20000) % 1000)::VARCHAR, 3, '0')
+         || ' <span itemprop=''salaryCurrency''>€</span> à '
+         || ((o_custkey * 10 + 25000) // 1000)::VARCHAR || ' ' || lpad(((o_custkey * 10 + 25000) % 1000)::VARCHAR, 3, '0')
+         || ' <span itemprop=''salaryCurrency''>€</span> '
+         || CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'par mois' ELSE 'par an' END AS block
+  FROM orders)"""
+
+
+def _sql_salary():
+    r = sqlx.q(G.SALARY_RE)
+    period = f"regexp_extract(block, {r}, 3)"
+    fac = f"(CASE WHEN {period} = 'par mois' THEN 12 ELSE 1 END)"
+    amt = lambda g: f"(TRY_CAST(regexp_replace(regexp_extract(block, {r}, {g}), {sqlx.q(rx.space_class())}, '', 'g') AS BIGINT) * {fac})"
+    ok = f"({period} <> '' AND {amt(1)} IS NOT NULL AND {amt(2)} IS NOT NULL)"
+    return (f"SELECT o_orderkey, CASE WHEN {ok} THEN {amt(1)}::VARCHAR ELSE '' END AS salaire_min, "
+            f"CASE WHEN {ok} THEN {amt(2)}::VARCHAR ELSE '' END AS salaire_max FROM blocks")
+
+
+@register("q_salary", V.with_ctes(SQL_SALARY_BLOCKS, body=_sql_salary()))
+def q_salary(spark, d):
+    """Salary range text -> annual integers (monthly x12)."""
+    o = V.table(spark, d, "orders")
+
+    def grouped(n):
+        return F.concat((n / 1000).cast("bigint").cast("string"), F.lit(" "),
+                        F.lpad((n % 1000).cast("string"), 3, "0"))
+    a = F.col("o_custkey") * 10 + 20000
+    b = F.col("o_custkey") * 10 + 25000
+    cur = " <span itemprop='salaryCurrency'>€</span> "
+    period = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("par mois")).otherwise(F.lit("par an"))
+    block = F.concat(grouped(a), F.lit(cur + "à "), grouped(b), F.lit(cur), period)
+    smin, smax = G.parse_salary(block)
+    return o.select("o_orderkey", smin.alias("salaire_min"), smax.alias("salaire_max"))
+
+
+# ---------------------------------------------------------------- fetch flow
+
+ACTIVE_DOMAINS = sorted({dm.lower() for _, _, ds, skip in CORPUS_PROVIDERS if not skip for dm in ds})
+SQL_ACTIVE = "active AS (SELECT * FROM " + _sql_values([(x,) for x in ACTIVE_DOMAINS], ["domain"]) + ")"
+SQL_LISTING = f"""listing AS (
+  SELECT m.*, {sqlx.sender_domain('m.from_hdr')} AS sender_domain FROM mail_list m
+  WHERE m.date_ts >= (SELECT strptime(strftime(strptime(max(fetched_at) FILTER (WHERE coalesce(gmail_id, '') NOT IN ('before_gmail_api', 'manual') AND coalesce(fetched_at, '') <> ''), '%Y-%m-%dT%H:%M:%SZ') - INTERVAL {fixed.OVERLAP_MARGIN_HOURS} HOUR, '%Y/%m/%d'), '%Y/%m/%d') FROM ledger_old)
+    AND EXISTS (SELECT 1 FROM active a WHERE {sqlx.sender_domain('m.from_hdr')} = a.domain OR ends_with({sqlx.sender_domain('m.from_hdr')}, '.' || a.domain)))"""
+
+
+def _listing(spark, d):
+    """R4 + R5: messages from active sender domains since the low watermark
+    of the ledger before the run (one date to the driver, pushed as a literal)."""
+    day = _run_day(spark, d)
+    old = _ev_ledger(V.ev_files(spark, d).where(F.col("ts") < F.lit(day).cast("timestamp_ntz")))
+    after = LG.low_watermark(old).first()["after_date"]
+    lo = F.to_timestamp(F.lit(after), "yyyy/MM/dd").cast("timestamp_ntz")
+    m = R.with_sender_domain(V.mail_list(spark, d).where(F.col("date_ts") >= lo), "from_hdr")
+    return m.where(R.sender_predicate(F.col("sender_domain"), ACTIVE_DOMAINS)), old
+
+
+@register("q_source_filter", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, V.SQL_MAIL_LIST, SQL_ACTIVE, SQL_LISTING,
+                                         body="SELECT event_id, gmail_id, sender_domain FROM listing"))
+def q_source_filter(spark, d):
+    """Sender-domain and since-date predicate over the message listing."""
+    m, _ = _listing(spark, d)
+    return m.select("event_id", "gmail_id", "sender_domain")
+
+
+SQL_UNSEEN = SQL_PDIM + ",\n" + SQL_DMAP + """,
+pm AS (SELECT DISTINCT sender_domain FROM listing),
+""" + SQL_SUFFIXES + ",\n" + SQL_EXPECTED + """,
+unseen AS (
+  SELECT l.event_id, l.gmail_id, l.message_id,
+         CASE WHEN l.gmail_id IN (SELECT gmail_id FROM ledger_old WHERE gmail_id IS NOT NULL) THEN 'known_source_id'
+              WHEN l.message_id IS NULL THEN 'no_message_id'
+              WHEN l.message_id IN (SELECT message_id FROM ledger_old) THEN 'known_message_id'
+              WHEN e.expected_folder IS NULL THEN 'unknown_domain' END AS skip_reason
+  FROM listing l LEFT JOIN expf e USING (sender_domain))"""
+
+
+def _unseen(spark, d):
+    """Drop known source ids, then known Message-IDs, then unroutable senders."""
+    m, old = _listing(spark, d)
+    known_g = old.select("gmail_id").where(F.col("gmail_id").isNotNull()).distinct().withColumn("_kg", F.lit(True))
+    known_m = old.select("message_id").distinct().withColumn("_km", F.lit(True))
+    routed = R.expected_folder(m, dims.domain_folder_map(_pdim(spark)))
+    j = routed.join(known_g, "gmail_id", "left").join(known_m, "message_id", "left")
+    reason = (F.when(F.col("_kg").isNotNull(), F.lit("known_source_id"))
+              .when(F.col("message_id").isNull(), F.lit("no_message_id"))
+              .when(F.col("_km").isNotNull(), F.lit("known_message_id"))
+              .when(F.col("expected_folder").isNull(), F.lit("unknown_domain")))
+    return j.select("event_id", "gmail_id", "message_id", reason.alias("skip_reason"))
+
+
+@register("q_unseen_anti", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, V.SQL_MAIL_LIST, SQL_ACTIVE, SQL_LISTING, SQL_UNSEEN,
+                                       body="SELECT event_id, gmail_id, message_id, skip_reason FROM unseen"))
+def q_unseen_anti(spark, d):
+    """Listing rows with the reason they are skipped (NULL = new)."""
+    return _unseen(spark, d)
+
+
+@register("q_fetch_summary", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, V.SQL_MAIL_LIST, SQL_ACTIVE, SQL_LISTING, SQL_UNSEEN, body="""
+SELECT count(*) AS n_found, count(*) FILTER (WHERE skip_reason IS DISTINCT FROM 'known_source_id') AS n_new,
+       count(*) FILTER (WHERE skip_reason IS NULL) AS n_downloaded FROM unseen"""))
+def q_fetch_summary(spark, d):
+    """Found / new / downloaded counts."""
+    u = _unseen(spark, d)
+    return u.agg(F.count(F.lit(1)).cast("bigint").alias("n_found"),
+                 F.count_if(~F.col("skip_reason").eqNullSafe("known_source_id")).cast("bigint").alias("n_new"),
+                 F.count_if(F.col("skip_reason").isNull()).cast("bigint").alias("n_downloaded"))
