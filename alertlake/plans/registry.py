@@ -1109,3 +1109,32 @@ def q_fetch_summary(spark, d):
     return u.agg(F.count(F.lit(1)).cast("bigint").alias("n_found"),
                  F.count_if(~F.col("skip_reason").eqNullSafe("known_source_id")).cast("bigint").alias("n_new"),
                  F.count_if(F.col("skip_reason").isNull()).cast("bigint").alias("n_downloaded"))
+
+
+# ---------------------------------------------------------------- flagship (entry)
+
+def page_offers_raw(spark, d):
+    """Links of routed pages as raw offers: X13 -> R1/J2 -> T3 -> X11."""
+    links = V.page_links(spark, d)
+    mails = R.with_sender_domain(V.page_mails(spark, d).select("page_id", "from_hdr"), "from_hdr")
+    routed = R.dispatch(R.detect_provider(mails, _pdim(spark)), CORPUS_EXTRACTABLE)
+    to_extract = routed.where(F.col("dispatch_status").isNull()).select("page_id", "provider_key", "sender_domain")
+    j = links.join(to_extract, "page_id")
+    nid = F.regexp_extract("href", NATIVE_ID_RE, 1)
+    prefix = F.concat(F.lit("https://"), F.regexp_extract("url", HOST_RE, 1), F.lit("/view/"))
+    url, quality = L.url_quality(nid, prefix, F.col("href"))
+    return j.select(
+        F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("message_id"),
+        F.col("pos").alias("offer_pos"), "provider_key", F.lit("").alias("date_email"),
+        F.trim(T.clean_entities(F.col("anchor_text"))).alias("titre"),
+        F.col("sender_domain").alias("entreprise"),
+        *[F.lit("").alias(c) for c in ["ville", "dept", "type_contrat", "salaire_min", "salaire_max", "notes"]],
+        url.alias("url"), quality.alias("url_qualite"))
+
+
+@register("q_flagship")
+def q_flagship(spark, d):
+    """Pages -> links -> provider routing -> cleaning -> ordered IDs ->
+    duplicate links -> 21-column offer rows."""
+    raw = page_offers_raw(spark, d)
+    return EN.offer_rows(raw, keywords=CORPUS_STACK, blacklist=CORPUS_BLACKLIST).drop("_seq")
