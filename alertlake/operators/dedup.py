@@ -7,7 +7,7 @@ shuffle on the dedup key (links), both distributed and skew-safe.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertlake.functions import text as T
@@ -36,18 +36,20 @@ def assign_ordered_ids(df: DataFrame, order_cols: list[str | Column], out_col: s
               .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    counts = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: bounded by the partition count, safe to broadcast.
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
+    # One count per partition (bounded by the partition count, not the data):
+    # prefix offsets become a literal array indexed by partition id.
+    counts = {r["_pid"]: r["_n"] for r in
+              ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect()}
+    offsets, acc = [], 0
+    for p in range(max(counts, default=-1) + 1):
+        offsets.append(acc)
+        acc += counts.get(p, 0)
+    off_arr = F.array(*[F.lit(o).cast("bigint") for o in offsets]) if offsets else F.array(F.lit(0).cast("bigint"))
     start_col = start if isinstance(start, Column) else F.lit(start)
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    return (ranged.withColumn("_pid", pid)
-            .join(F.broadcast(offsets), "_pid")
-            .withColumn(out_col, (start_col - 1 + F.col("_off") + local + 1).cast("bigint"))
-            .drop("_pid", "_off", "_mid"))
+    return (ranged.withColumn(out_col, (start_col - 1 + F.element_at(off_arr, (pid + 1).cast("int"))
+                                        + local + 1).cast("bigint"))
+            .drop("_mid"))
 
 
 def max_offer_number(archive: DataFrame | None, id_col: str = "ID") -> Column:
