@@ -101,8 +101,8 @@ def duplicate_count(df: DataFrame, key_col: str, out_col: str = "dup_count") ->
 def first_per_key(df: DataFrame, key_cols: list[str], order_col: str,
                   out_col: str = "is_first") -> DataFrame:
     """Flag the first row (by ``order_col``) of each key, skew-safe."""
-    first = with_group_stats(df, key_cols, [F.min(order_col).alias("_first")], count_col="_grp_n")
-    return first.withColumn(out_col, F.col(order_col) == F.col("_first")).drop("_grp_n", "_first")
+    first = with_group_stats(df, key_cols, [F.min(order_col).alias("_grp_first")], count_col="_grp_n")
+    return first.withColumn(out_col, F.col(order_col) == F.col("_grp_first")).drop("_grp_n", "_grp_first")
 
 
 def rank_within_group(df: DataFrame, key_cols: list[str], order_cols: list[str],
