@@ -209,8 +209,11 @@ def _keyed(spark, d):
     o = V.doc_offers(spark, d)
     arch = V.archived_doc_ids(spark, d).distinct().withColumn("archived", F.lit(True))
     o = o.join(arch, "ord", "left").withColumn("archived", F.coalesce("archived", F.lit(False)))
+    # Compact keyed rows (no text), materialised once: the key map, the
+    # duplicate links and the counts all read them several times.
     return o.select("ord", "ID", "archived",
-                    T.dedup_key(F.col("entreprise"), F.col("ville"), F.col("titre")).alias("Cle_dedup"))
+                    T.dedup_key(F.col("entreprise"), F.col("ville"), F.col("titre")).alias("Cle_dedup")) \
+        .checkpoint(eager=True)
 
 
 @register("q_key_map", V.with_ctes(SQL_KEYED, body="""

@@ -18,10 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertlake.functions import text as T
+from alertlake.session import spread
+
+
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 # ---------------------------------------------------------------- doc_offers

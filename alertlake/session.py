@@ -40,6 +40,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def spread(df):
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    Text work is CPU-bound per row; a small file read as a handful of splits
+    would leave cores idle.  Large inputs already have more splits than
+    cores, so on a cluster this is a no-op."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
