@@ -119,3 +119,35 @@ def sender_predicate(domain: Column, active: list[str]) -> Column:
 
 def with_sender_domain(df: DataFrame, from_col: str, out_col: str = "sender_domain") -> DataFrame:
     return df.withColumn(out_col, T.sender_domain(F.col(from_col)))
+
+
+def canonical_names(renames: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Final name of each renamed file.
+
+    ``renames(folder, base, path)``: target ``<base>.eml`` per file.  Files
+    sharing a target in one folder are taken in path order; the k-th takes
+    the k-th free name among ``base.eml``, ``base_2.eml``, ``base_3.eml``, ...
+    skipping names already present (``existing(folder, name)``).  The rank is
+    skew-safe; the taken suffixes per target are few (the files of a folder
+    carrying that exact name), so they travel as a small array per target."""
+    from alertlake.operators import dedup
+
+    r = renames.withColumn("_k", F.split("path", "/"))
+    r = dedup.rank_within_group(r, ["folder", "base"], ["_k"], out_col="_rank")
+    if existing is not None:
+        stem = F.regexp_replace("name", r"\.eml$", "")
+        plain = existing.select("folder", stem.alias("base"), F.lit(1).alias("n"))
+        numbered = existing.where(F.col("name").rlike(r"_[0-9]+\.eml$")).select(
+            "folder", F.regexp_extract("name", r"^(.*)_([0-9]+)\.eml$", 1).alias("base"),
+            F.regexp_extract("name", r"^(.*)_([0-9]+)\.eml$", 2).cast("int").alias("n"))
+        taken = plain.unionByName(numbered).groupBy("folder", "base").agg(F.collect_set("n").alias("_taken"))
+        r = r.join(taken, ["folder", "base"], "left")
+    else:
+        r = r.withColumn("_taken", F.lit(None).cast("array<int>"))
+    taken_arr = F.coalesce(F.col("_taken"), F.array().cast("array<int>"))
+    free = F.filter(F.sequence(F.lit(1), F.col("_rank").cast("int") + F.size(taken_arr)),
+                    lambda x: ~F.array_contains(taken_arr, x))
+    n = F.element_at(free, F.col("_rank").cast("int"))
+    name = F.concat(F.col("base"), F.when(n > 1, F.concat(F.lit("_"), n.cast("string"))).otherwise(F.lit("")),
+                    F.lit(".eml"))
+    return r.withColumn("new_name", name).drop("_k", "_rank", "_taken")

@@ -600,23 +600,34 @@ def q_index_summary(spark, d):
     return _file_actions(spark, d).groupBy("action").agg(F.count(F.lit(1)).alias("n_files"))
 
 
-@register("q_canonical_name", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, SQL_NEW_FILES, SQL_FILE_ACTIONS, body=f"""
+SQL_CANON = f"""renames AS (
+  SELECT fichier, folder, strftime({_paris_sql('ts')}, '%Y%m%d-%H%M') || '-' || regexp_replace(file_name, '\\.eml$', '') AS base,
+         string_split(fichier, '/') AS k FROM acts WHERE action = 'rename'),
+taken AS (
+  SELECT folder, base, list(DISTINCT n) AS taken FROM (
+    SELECT folder, regexp_replace(file_name, '\\.eml$', '') AS base, 1 AS n FROM ev_files
+    UNION ALL
+    SELECT folder, regexp_extract(file_name, '^(.*)_([0-9]+)\\.eml$', 1), CAST(regexp_extract(file_name, '^(.*)_([0-9]+)\\.eml$', 2) AS INTEGER)
+    FROM ev_files WHERE regexp_matches(file_name, '_[0-9]+\\.eml$')) t GROUP BY folder, base),
+ranked AS (SELECT r.*, row_number() OVER (PARTITION BY r.folder, r.base ORDER BY r.k) AS rk, coalesce(t.taken, []) AS taken
+           FROM renames r LEFT JOIN taken t USING (folder, base))"""
+
+
+@register("q_canonical_name", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, SQL_NEW_FILES, SQL_FILE_ACTIONS, SQL_CANON, body="""
 SELECT fichier, folder || '/' || base || CASE WHEN n > 1 THEN '_' || n::VARCHAR ELSE '' END || '.eml' AS new_name
-FROM (SELECT fichier, folder, base, row_number() OVER (PARTITION BY folder, base ORDER BY string_split(fichier, '/')) AS n
-      FROM (SELECT fichier, folder, strftime({_paris_sql('ts')}, '%Y%m%d-%H%M') || '-' || regexp_replace(file_name, '\\.eml$', '') AS base
-            FROM acts WHERE action = 'rename') r) t"""))
+FROM (SELECT fichier, folder, base,
+             list_filter(range(1, rk + len(taken) + 1), lambda x: NOT list_contains(taken, x))[rk] AS n FROM ranked) t"""))
 def q_canonical_name(spark, d):
-    """``yyyyMMdd-HHmm-<stem>[_n].eml`` in local time; ``_n`` (from 2) for
-    names colliding in one folder, by path order (skew-safe rank)."""
+    """``yyyyMMdd-HHmm-<stem>[_n].eml`` in local time; colliding targets
+    take the next free ``_n`` (from 2) in path order, skipping names already
+    present in the folder."""
     a = _file_actions(spark, d).where(F.col("action") == "rename")
     ts = F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")
     base = F.concat(M.name_prefix(ts), F.lit("-"), F.regexp_replace("file_name", r"\.eml$", ""))
-    a = a.select("fichier", "folder", base.alias("base"), F.split("fichier", "/").alias("_k"))
-    ranked = dedup.rank_within_group(a, ["folder", "base"], ["_k"], out_col="n")
-    name = F.concat(F.col("folder"), F.lit("/"), F.col("base"),
-                    F.when(F.col("n") > 1, F.concat(F.lit("_"), F.col("n").cast("string"))).otherwise(F.lit("")),
-                    F.lit(".eml"))
-    return ranked.select("fichier", name.alias("new_name"))
+    ren = a.select("fichier", "folder", base.alias("base"), F.col("fichier").alias("path"))
+    existing = V.ev_files(spark, d).select("folder", F.col("file_name").alias("name"))
+    out = R.canonical_names(ren, existing)
+    return out.select("fichier", F.concat(F.col("folder"), F.lit("/"), F.col("new_name")).alias("new_name"))
 
 
 @register("q_ledger_upsert", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, SQL_NEW_FILES, SQL_FILE_ACTIONS, body=f"""

@@ -8,8 +8,9 @@ entity an operator works on, the same way in Spark (DataFrame) and in SQL
   ``entreprise`` = source, ``ville`` = lang, ``ord`` = doc_id; a document with
   a ``labels`` row counts as already archived.
 * ``page_links``: anchors of ``pages.html`` (generic link extraction, X13).
-* ``ev_files``: each event is a landed mail file: message id = user, path
-  built from type and id, fetch time = ts, status from the event type.
+* ``ev_files``: each event is a landed mail file: message id = user (and
+  day, for digest-like types), path built from type and id, fetch time =
+  ts, status from the event type.
 """
 
 from __future__ import annotations
@@ -76,6 +77,9 @@ SQL_PAGE_LINKS = """page_links AS (
 
 # ---------------------------------------------------------------- ev_files
 
+# Events of these types are daily digests: one Message-ID per user and day
+# (repeated deliveries of a day are copies); other types reuse one id per user.
+DAILY_MESSAGE_TYPES = ("view", "click", "signup")
 STATUS_OF_EVENT = {"view": None, "signup": "PENDING", "click": "OK",
                    "purchase": "PARTIEL", "error": "ERREUR"}
 
@@ -96,7 +100,10 @@ def ev_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.col("event_id"),
         F.col("ts"),
-        F.concat(F.lit("<"), F.col("user_id").cast("string"), F.lit("@mail>")).alias("message_id"),
+        F.when(F.col("event_type").isin(*DAILY_MESSAGE_TYPES),
+               F.concat(F.lit("<"), F.col("user_id").cast("string"), F.lit("."),
+                        F.date_format("ts", "yyyyMMdd"), F.lit("@mail>")))
+        .otherwise(F.concat(F.lit("<"), F.col("user_id").cast("string"), F.lit("@mail>"))).alias("message_id"),
         F.col("event_type").alias("folder"),
         name.alias("file_name"),
         F.concat(F.col("event_type"), F.lit("/"), name).alias("fichier"),
@@ -114,7 +121,9 @@ def _sql_status() -> str:
 
 
 SQL_EV_FILES = f"""ev_files AS (
-  SELECT event_id, ts, '<' || user_id::VARCHAR || '@mail>' AS message_id, event_type AS folder,
+  SELECT event_id, ts,
+         CASE WHEN event_type IN ('view', 'click', 'signup') THEN '<' || user_id::VARCHAR || '.' || strftime(ts, '%Y%m%d') || '@mail>'
+              ELSE '<' || user_id::VARCHAR || '@mail>' END AS message_id, event_type AS folder,
          fname AS file_name, event_type || '/' || fname AS fichier,
          CASE WHEN value < 2 THEN 'before_gmail_api' WHEN value < 4 THEN 'manual'
               ELSE 'g' || event_id::VARCHAR END AS gmail_id,

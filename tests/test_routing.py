@@ -54,3 +54,14 @@ def test_file_action(spark):
                                 ("p/x.eml", "p/a.eml", "a.eml")], "known string, path string, name string")
     out = [r[0] for r in df.select(R.file_action(F.col("known"), F.col("path"), F.col("name"))).collect()]
     assert out == ["rename", "reindex", "rename", "reindex", "duplicate"]
+
+
+def test_canonical_names_collisions(spark):
+    ren = spark.createDataFrame([("p", "20240101-1000-a", "p/x1.eml"), ("p", "20240101-1000-a", "p/x2.eml"),
+                                 ("p", "20240101-1000-a", "p/x3.eml"), ("q", "20240101-1000-a", "q/x.eml")],
+                                "folder string, base string, path string")
+    existing = spark.createDataFrame([("p", "20240101-1000-a.eml"), ("p", "20240101-1000-a_3.eml")],
+                                     "folder string, name string")
+    out = {r["path"]: r["new_name"] for r in R.canonical_names(ren, existing).collect()}
+    assert out == {"p/x1.eml": "20240101-1000-a_2.eml", "p/x2.eml": "20240101-1000-a_4.eml",
+                   "p/x3.eml": "20240101-1000-a_5.eml", "q/x.eml": "20240101-1000-a.eml"}
