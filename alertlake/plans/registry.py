@@ -683,24 +683,35 @@ def conv_rows(spark, d):
     return EN.offer_rows(conv_raw(spark, d), keywords=CORPUS_STACK, blacklist=CORPUS_BLACKLIST)
 
 
-SQL_CONV = f"""conv_raw AS (
-  SELECT 'c' || conv_id::VARCHAR AS message_id, turn AS offer_pos, 'conversations' AS provider_key, '' AS date_email,
-         CASE WHEN role = 'system' THEN '' ELSE text END AS titre, role AS entreprise, '' AS ville, '' AS notes
-  FROM conversations),
-conv_valid AS (SELECT *, row_number() OVER (ORDER BY date_email, message_id, offer_pos) AS seq FROM conv_raw WHERE titre <> ''),
-conv_keyed AS (SELECT *, printf('E%06d', seq) AS "ID", {sqlx.dedup_key('entreprise', 'ville', 'titre')} AS cle FROM conv_valid),
-conv_first AS (SELECT cle, arg_min("ID", seq) AS first_id FROM conv_keyed GROUP BY cle),
-conv_bl AS (SELECT k.*, CASE WHEN k."ID" <> f.first_id THEN f.first_id ELSE '' END AS doublon,
+def sql_offer_rows(raw: str, prefix: str) -> str:
+    """SQL twin of ``enrich.offer_rows`` over a raw-offers CTE named ``raw``."""
+    src = " ".join(f"WHEN {sqlx.q(k)} THEN {sqlx.q(v)}" for k, v in fixed.SOURCE_DISPLAY.items())
+    return f"""{prefix}_valid AS (SELECT *, row_number() OVER (ORDER BY date_email, message_id, offer_pos) AS seq FROM {raw} WHERE coalesce(titre, '') <> ''),
+{prefix}_keyed AS (SELECT *, printf('E%06d', seq) AS "ID", {sqlx.dedup_key('entreprise', 'ville', 'titre')} AS cle FROM {prefix}_valid),
+{prefix}_first AS (SELECT cle, arg_min("ID", seq) AS first_id FROM {prefix}_keyed GROUP BY cle),
+{prefix}_bl AS (SELECT k.*, CASE WHEN k."ID" <> f.first_id THEN f.first_id ELSE '' END AS doublon,
                    {sqlx.blacklist_term('titre', CORPUS_BLACKLIST)} AS bl
-            FROM conv_keyed k JOIN conv_first f USING (cle)),
-offer_rows AS (
-  SELECT "ID", 'FALSE' AS "Traite", substr(date_email, 1, 10) AS "Date_decouverte", provider_key AS "Source",
+            FROM {prefix}_keyed k JOIN {prefix}_first f USING (cle)),
+{prefix}_rows AS (
+  SELECT "ID", 'FALSE' AS "Traite", substr(date_email, 1, 10) AS "Date_decouverte",
+         coalesce(CASE provider_key {src} END, provider_key) AS "Source",
          titre AS "Titre", entreprise AS "Entreprise", cle AS "Cle_dedup", doublon AS "Doublon_ID", ville AS "Ville",
-         '' AS "Dept", '' AS "Type_contrat", '' AS "Salaire_min", '' AS "Salaire_max", '' AS "URL",
-         'vide' AS "URL_qualite", '' AS "URL_redirect", {sqlx.stack_tags("titre || ' ' || notes", CORPUS_STACK)} AS "Stack",
+         '' AS "Dept", '' AS "Type_contrat", '' AS "Salaire_min", '' AS "Salaire_max", url AS "URL",
+         url_qualite AS "URL_qualite", '' AS "URL_redirect", {sqlx.stack_tags("titre || ' ' || notes", CORPUS_STACK)} AS "Stack",
          coalesce('{fixed.BLACKLIST_REASON_PREFIX}' || bl, '') AS "Raison_exclusion", '' AS "Date_candidature",
          concat_ws(' | ', nullif(notes, ''), '{fixed.BLACKLIST_NOTE_PREFIX}' || bl) AS "Notes", message_id AS "Message_ID", seq
-  FROM conv_bl)"""
+  FROM {prefix}_bl)"""
+
+
+SQL_CONV = """conv_raw AS (
+  SELECT 'c' || conv_id::VARCHAR AS message_id, turn AS offer_pos, 'conversations' AS provider_key, '' AS date_email,
+         CASE WHEN role = 'system' THEN '' ELSE text END AS titre, role AS entreprise, '' AS ville, '' AS notes,
+         '' AS url, 'vide' AS url_qualite
+  FROM conversations),
+""" + sql_offer_rows("conv_raw", "conv") + """,
+offer_rows AS (SELECT * FROM conv_rows)"""
+
+
 SQL_MAIL_STATUS = """mail_status AS (
   SELECT message_id, count(*) FILTER (WHERE titre <> '') AS n_ok, count(*) FILTER (WHERE titre = '') AS n_rejected,
          CASE WHEN count(*) FILTER (WHERE titre = '') = 0 AND count(*) FILTER (WHERE titre <> '') > 0 THEN 'OK' ELSE 'PARTIEL' END AS statut_extraction
@@ -1146,7 +1157,22 @@ def page_offers_raw(spark, d):
         url.alias("url"), quality.alias("url_qualite"))
 
 
-@register("q_flagship")
+SQL_FLAGSHIP = V.with_ctes(V.SQL_PAGE_LINKS, SQL_PDIM, SQL_PAGE_DOMAINS, SQL_SUFFIXES, SQL_PROVIDER, f"""to_ext AS (
+  SELECT pm.page_id, pm.sender_domain, p.provider_key FROM pm JOIN prov p USING (sender_domain)
+  WHERE NOT p.skip AND list_contains([{', '.join(sqlx.q(k) for k in CORPUS_EXTRACTABLE)}], p.provider_key)),
+page_raw AS (
+  SELECT 'p' || l.page_id::VARCHAR AS message_id, l.pos AS offer_pos, t.provider_key, '' AS date_email,
+         trim({sqlx.clean_entities('l.anchor_text')}, ' ') AS titre, t.sender_domain AS entreprise, '' AS ville, '' AS notes,
+         CASE WHEN regexp_extract(l.href, '{NATIVE_ID_RE}', 1) <> ''
+              THEN 'https://' || regexp_extract(l.url, '{HOST_RE}', 1) || '/view/' || regexp_extract(l.href, '{NATIVE_ID_RE}', 1)
+              WHEN l.href <> '' THEN {sqlx.clean_entities('l.href')} ELSE '' END AS url,
+         CASE WHEN regexp_extract(l.href, '{NATIVE_ID_RE}', 1) <> '' THEN 'construite'
+              WHEN l.href <> '' THEN 'email' ELSE 'vide' END AS url_qualite
+  FROM page_links l JOIN to_ext t USING (page_id)),
+""" + sql_offer_rows("page_raw", "page"), body=f"SELECT {OFFER_COLS_SQL} FROM page_rows")
+
+
+@register("q_flagship", SQL_FLAGSHIP)
 def q_flagship(spark, d):
     """Pages -> links -> provider routing -> cleaning -> ordered IDs ->
     duplicate links -> 21-column offer rows."""
