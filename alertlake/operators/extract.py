@@ -62,9 +62,9 @@ FT_LOC = r"^([0-9]{2})" + WS + "*-" + WS + "*(.+)"
 
 
 def extract_france_travail(emails: DataFrame) -> DataFrame:
+    # an offer id is marked seen before the row is validated (first match wins)
     m = L.explode_matches(emails, "html", FT_OFFER, {"url": 1, "oid": 2, "t_html": 3, "loc_html": 4, "ctx": 5},
-                          ["message_id"])
-    m = L.first_per_native_id(m, ["message_id"], ["oid"])  # marked seen before validation
+                          ["message_id"], first_by=["oid"])
     titre = _strip(T.clean_entities(F.regexp_replace("t_html", "<[^>]+>", " ")))
     spans = F.transform(F.regexp_extract_all("loc_html", F.lit(FT_SPAN), 1),
                         lambda s: _strip(T.clean_entities(s), " -"))
@@ -94,12 +94,21 @@ IA_CITY = r"^(.+?)" + WS + r"*\(([0-9]{2})\)$"
 
 
 def extract_indeed_alerte(emails: DataFrame) -> DataFrame:
-    m = L.explode_matches(emails, "html", IA_BLOCK, {"href": 1, "t_raw": 2, "body": 3}, ["message_id"])
-    m = m.withColumn("titre", _strip(T.clean_entities(F.col("t_raw")))).where(F.length("titre") >= 3)
-    jk = F.regexp_extract("href", IA_JK, 1)
-    m = m.withColumn("_jk", jk).withColumn(
-        "_dk", F.when(F.col("_jk") != "", F.col("_jk")).otherwise(F.concat_ws("\u0000", "titre", "href")))
-    m = L.first_per_native_id(m, ["message_id"], ["_dk"])  # validated first, then dedup
+    # Blocks are validated (title of 3+ characters) before the dedup on the
+    # offer id (jk) or, without one, on (title, link); all on the row's array.
+    zipped = F.arrays_zip(*[F.regexp_extract_all("html", F.lit(IA_BLOCK), g).alias(n)
+                            for n, g in (("href", 1), ("t_raw", 2), ("body", 3))])
+    blocks = F.transform(zipped, lambda m, i: F.struct(
+        m["href"].alias("href"), m["body"].alias("body"), (i + 1).cast("bigint").alias("p"),
+        _strip(T.clean_entities(m["t_raw"])).alias("titre"),
+        F.regexp_extract(m["href"], IA_JK, 1).alias("jk")))
+    valid = F.filter(blocks, lambda b: F.length(b["titre"]) >= 3)
+    kept = L.first_in_array(valid, lambda b: F.when(
+        b["jk"] != "", F.struct(F.lit(1).alias("k"), b["jk"].alias("a"), F.lit("").alias("b")))
+        .otherwise(F.struct(F.lit(2).alias("k"), b["titre"].alias("a"), b["href"].alias("b"))))
+    m = emails.select("message_id", F.explode(kept).alias("_b")).select(
+        "message_id", F.col("_b.p").alias("pos"), F.col("_b.href").alias("href"), F.col("_b.body").alias("body"),
+        F.col("_b.titre").alias("titre"), F.col("_b.jk").alias("_jk"))
     head = F.substring("body", 1, 1500)
     infos = F.regexp_extract_all(head, F.lit(IA_INFO), 1)
     lieu = _strip(T.clean_entities(F.get(infos, 1)))
@@ -157,8 +166,9 @@ LI_INFO = (r'<p[^>]*class="[^"]*line-clamp-1[^"]*"[^>]*>' + WS + r'*([^<]+? · [
 
 
 def extract_linkedin(emails: DataFrame) -> DataFrame:
-    m = L.explode_matches(emails, "html", LI_PAIR, {"job_id": 1, "t_raw": 2}, ["message_id", "html"])
-    m = L.first_per_native_id(m, ["message_id"], ["job_id"])  # marked seen before validation
+    # a job id is marked seen before its title is validated (first match wins)
+    m = L.explode_matches(emails, "html", LI_PAIR, {"job_id": 1, "t_raw": 2}, ["message_id", "html"],
+                          first_by=["job_id"])
     m = m.withColumn("titre", _strip(T.clean_entities(F.col("t_raw")))).where(F.length("titre") >= 5)
     idx = F.instr(F.col("html"), F.concat(F.lit("jobs/view/"), F.col("job_id")))  # 1-based
     info = _strip(T.clean_entities(F.regexp_extract(F.substring("html", idx, 6000), LI_INFO, 1)))

@@ -72,8 +72,8 @@ def attach_dept(offers: DataFrame, resolved: DataFrame, city_col: str = "ville",
                 dept_col: str = "dept") -> DataFrame:
     """Fill an empty ``dept_col`` from the resolved cities (skew-safe join back)."""
     res = resolved.select(city_col, "_grp_n", F.col("Dept").alias("_dept_resolved"))
-    small, ok = sized_broadcast(res)
-    j = offers.join(small, city_col, "left") if ok else join_back(offers, res, [city_col], "_grp_n", "left")
+    small, ok = sized_broadcast(res, materialize=True)
+    j = offers.join(small, city_col, "left") if ok else join_back(offers, small, [city_col], "_grp_n", "left")
     fill = F.when(F.coalesce(F.col(dept_col), F.lit("")) == "", F.coalesce(F.col("_dept_resolved"), F.lit(""))) \
         .otherwise(F.col(dept_col))
     return j.withColumn(dept_col, fill).drop("_grp_n", "_dept_resolved")

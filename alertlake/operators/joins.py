@@ -9,8 +9,15 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                    materialize: bool = False) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows, else
-    ``(df, False)``.  The check reads at most ``max_rows + 1`` rows."""
+    ``(df, False)``.  The check reads at most ``max_rows + 1`` rows.
+
+    ``materialize=True`` first checkpoints ``df`` (for a small table derived
+    from a large input, e.g. one row per sender domain), so the size check and
+    the join read the stored result instead of aggregating the input twice."""
+    if materialize:
+        df = df.checkpoint(eager=True)
     n = df.limit(max_rows + 1).count()
     return (F.broadcast(df), True) if n <= max_rows else (df, False)

@@ -13,20 +13,32 @@ from alertlake.functions import text as T
 
 
 def explode_matches(df: DataFrame, text_col: str, pattern: str, groups: dict[str, int],
-                    keep: list[str], pos_col: str = "pos", limit: int | None = None) -> DataFrame:
+                    keep: list[str], pos_col: str = "pos", limit: int | None = None,
+                    first_by: list[str] | None = None) -> DataFrame:
     """One row per match of ``pattern`` in ``text_col`` with its 1-based position.
 
     ``groups`` maps output column -> capture group.  ``limit`` keeps the first
     ``limit`` matches of each document (a feature of some templates: applied
-    before any later filter).
+    before any later filter).  ``first_by`` keeps only the first match of each
+    value of those groups (X12 within-document dedup), decided on the match
+    array of the row itself: no shuffle.
     """
     arrays = [F.regexp_extract_all(text_col, F.lit(pattern), g).alias(name) for name, g in groups.items()]
     zipped = F.arrays_zip(*arrays)
     if limit is not None:
         zipped = F.slice(zipped, 1, limit)
-    out = df.select(*keep, F.posexplode(zipped).alias("_p", "_m"))
-    return out.select(*keep, (F.col("_p") + 1).cast("bigint").alias(pos_col),
-                      *[F.col(f"_m.{name}").alias(name) for name in groups])
+    pos = F.transform(zipped, lambda m, i: F.struct(m.alias("m"), (i + 1).cast("bigint").alias("p")))
+    if first_by:
+        pos = first_in_array(pos, lambda e: F.struct(*[e["m"][k] for k in first_by]))
+    out = df.select(*keep, F.explode(pos).alias("_e"))
+    return out.select(*keep, F.col("_e.p").alias(pos_col),
+                      *[F.col(f"_e.m.{name}").alias(name) for name in groups])
+
+
+def first_in_array(arr: Column, key) -> Column:
+    """Elements whose ``key`` does not occur earlier in the array (order kept)."""
+    keys = F.transform(arr, key)
+    return F.filter(arr, lambda e, i: F.array_position(keys, key(e)) == i + 1)
 
 
 def first_per_native_id(df: DataFrame, doc_cols: list[str], id_cols: list[str],

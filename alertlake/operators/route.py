@@ -33,10 +33,10 @@ def _per_domain(mails: DataFrame, domain_col: str) -> DataFrame:
 
 
 def _attach(mails: DataFrame, per_domain: DataFrame, domain_col: str) -> DataFrame:
-    small, ok = sized_broadcast(per_domain)
+    small, ok = sized_broadcast(per_domain, materialize=True)
     if ok:
         return mails.join(small, domain_col, "left").drop("_grp_n")
-    return join_back(mails, per_domain, [domain_col], "_grp_n").drop("_grp_n")
+    return join_back(mails, small, [domain_col], "_grp_n").drop("_grp_n")
 
 
 def detect_provider(mails: DataFrame, pdim: DataFrame, domain_col: str = "sender_domain") -> DataFrame:

@@ -41,6 +41,8 @@ def join_back(rows: DataFrame, stats: DataFrame, keys: list[str], count_col: str
     (used to find hot keys).  The salt of a row does not affect the result:
     every salt of a hot key meets a copy of that key's stats row.
     """
+    # One row per key, read twice (hot-key list and the join): stored once.
+    stats = stats.checkpoint(eager=True)
     hot = F.broadcast(hot_keys(stats, keys, count_col, hot_rows, max_hot))
     salted_rows = (rows.join(hot, keys, "left")
                    .withColumn("_salt", F.when(F.col("_hot"), (F.rand(7) * buckets).cast("int"))

@@ -10,6 +10,7 @@ storage on a cluster):
 ``rejects/``, ``run_events/``, ``run_history/``   per run
 ``published/``     published rows, partition ``batch_id``
 ``publish_audit/`` one row per publish attempt (the gate reads it)
+``routed/``        mails of a run with their provider, partitioned by run and provider
 ``to_mark/``       source ids to mark as processed, per run
 
 Write order follows the reference: offers, rejects, history, events, then
@@ -160,7 +161,16 @@ def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dr
                                                           "sender_domain")
     mails = pending.join(emails.withColumnRenamed("path", "fichier"), ["message_id", "fichier"], "left")
     routed = route.detect_provider(mails, dims.provider_dim(spark, cfg.providers))
-    routed = route.dispatch(routed, cfg.extractable, F.col("html").isNotNull()).checkpoint(eager=True)
+    routed = route.dispatch(routed, cfg.extractable, F.col("html").isNotNull())
+    if dry_run:
+        routed = routed.checkpoint(eager=True)
+    else:
+        # Stored partitioned by provider: each extraction job's provider filter
+        # becomes partition pruning, so the seven jobs read each mail once in total.
+        rp = ws.path("routed")
+        (routed.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "provider_key").parquet(rp))
+        routed = spark.read.parquet(rp).where(F.col("run_id") == run_id).drop("run_id")
     to_extract = routed.where(F.col("dispatch_status").isNull())
     raw = X.extract_offers(to_extract.select("message_id", "provider_key", "subject", "html"),
                            [p for p in cfg.extractable if p in X.EXTRACTORS])

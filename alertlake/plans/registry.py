@@ -165,8 +165,9 @@ SELECT page_id, href, min(pos) AS pos, arg_min(anchor_text, pos) AS anchor_text
 FROM page_links GROUP BY page_id, href"""))
 def q_within_dedup(spark, d):
     """First occurrence of each link target within a page."""
-    links = V.page_links(spark, d).select("page_id", "href", "pos", "anchor_text")
-    return L.first_per_native_id(links, ["page_id"], ["href"])
+    first = L.explode_matches(V.table(spark, d, "pages"), "html", V.LINK_RE, {"href": 1, "anchor_text": 2},
+                              ["page_id"], first_by=["href"])
+    return first.select("page_id", "href", "pos", "anchor_text")
 
 
 HOST_RE = r"^[a-z]+://([^/:?#]+)"
