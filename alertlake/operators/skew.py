@@ -33,14 +33,17 @@ def hot_keys(stats: DataFrame, keys: list[str], count_col: str,
 
 
 def join_back(rows: DataFrame, stats: DataFrame, keys: list[str], count_col: str,
-              how: str = "left", hot_rows: int = DEFAULT_HOT_ROWS,
-              max_hot: int = DEFAULT_MAX_HOT, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              how: str = "left", hot_rows: int | None = None,
+              max_hot: int | None = None, buckets: int | None = None) -> DataFrame:
     """``rows JOIN stats USING (keys)`` with hot keys salted.
 
     ``stats`` must hold one row per key and a row-count column ``count_col``
     (used to find hot keys).  The salt of a row does not affect the result:
     every salt of a hot key meets a copy of that key's stats row.
     """
+    hot_rows = DEFAULT_HOT_ROWS if hot_rows is None else hot_rows
+    max_hot = DEFAULT_MAX_HOT if max_hot is None else max_hot
+    buckets = DEFAULT_BUCKETS if buckets is None else buckets
     # One row per key, read twice (hot-key list and the join): stored once.
     stats = stats.checkpoint(eager=True)
     hot = F.broadcast(hot_keys(stats, keys, count_col, hot_rows, max_hot))
