@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from alertlake.functions import text as T
 from alertlake.operators.skew import join_back, with_group_stats
-from alertlake.session import ensure_checkpoint_dir
+from alertlake.session import ensure_checkpoint_dir, materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row index
 
@@ -34,7 +34,7 @@ def assign_ordered_ids(df: DataFrame, order_cols: list[str | Column], out_col: s
     ranged = (df.repartitionByRange(n, *order_cols)
               .sortWithinPartitions(*order_cols)
               .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+              .transform(materialize))
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
     # One count per partition (bounded by the partition count, not the data):
     # prefix offsets become a literal array indexed by partition id.

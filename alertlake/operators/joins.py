@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from alertlake.session import materialize as _materialize
 
 # Rows above which a dimension is joined by shuffle instead of broadcast.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -18,6 +19,6 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     from a large input, e.g. one row per sender domain), so the size check and
     the join read the stored result instead of aggregating the input twice."""
     if materialize:
-        df = df.checkpoint(eager=True)
+        df = df.transform(_materialize)
     n = df.limit(max_rows + 1).count()
     return (F.broadcast(df), True) if n <= max_rows else (df, False)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from alertlake.session import materialize
 
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_MAX_HOT = 1_000
@@ -45,7 +46,7 @@ def join_back(rows: DataFrame, stats: DataFrame, keys: list[str], count_col: str
     max_hot = DEFAULT_MAX_HOT if max_hot is None else max_hot
     buckets = DEFAULT_BUCKETS if buckets is None else buckets
     # One row per key, read twice (hot-key list and the join): stored once.
-    stats = stats.checkpoint(eager=True)
+    stats = stats.transform(materialize)
     hot = F.broadcast(hot_keys(stats, keys, count_col, hot_rows, max_hot))
     salted_rows = (rows.join(hot, keys, "left")
                    .withColumn("_salt", F.when(F.col("_hot"), (F.rand(7) * buckets).cast("int"))

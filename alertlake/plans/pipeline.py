@@ -34,6 +34,7 @@ from alertlake.operators import dedup, enrich, geo, publish, route
 from alertlake.operators import extract as X
 from alertlake.operators.joins import sized_broadcast
 from alertlake.sources import dims, ledger as LG, mail as M
+from alertlake.session import materialize
 
 OFFERS_SCHEMA = ", ".join(f"`{c}` string" for c in fixed.OFFER_COLUMNS) + ", run_id string"
 AUDIT_SCHEMA = "batch_id string, status string, message string, recorded_at string, acked_at string"
@@ -120,7 +121,7 @@ def index_decoded(spark: SparkSession, ws: Workspace, decoded: DataFrame, run_id
     ts = M.parse_mail_date(F.col("date_raw"))
     decoded = decoded.withColumn("date_email", F.coalesce(M.local_iso(ts), F.lit(""))) \
         .withColumn("sender_domain", T.sender_domain(F.col("from_hdr"))) \
-        .withColumn("run_id", F.lit(run_id)).checkpoint(eager=True)
+        .withColumn("run_id", F.lit(run_id)).transform(materialize)
     errors = decoded.where(F.col("message_id").isNull())
     ok = decoded.where(F.col("message_id").isNotNull())
     known = ledger.select("message_id", F.col("fichier").alias("known_path"))
@@ -137,7 +138,7 @@ def index_decoded(spark: SparkSession, ws: Workspace, decoded: DataFrame, run_id
     if not dry_run:
         _overwrite_partition(ok.select(*[c.split()[0] for c in EMAIL_COLS.split(", ")]),
                              ws.path("emails"), "run_id")
-        LG.write_versioned(new_ledger.checkpoint(eager=True), ws.path("ledger"), f"index {run_id}")
+        LG.write_versioned(new_ledger.transform(materialize), ws.path("ledger"), f"index {run_id}")
     return counts
 
 
@@ -156,14 +157,14 @@ def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dr
         _overwrite_partition(pending.withColumn("run_id", F.lit(run_id)), snap_path, "run_id")
         pending = spark.read.parquet(snap_path).where(F.col("run_id") == run_id).drop("run_id")
     else:
-        pending = pending.checkpoint(eager=True)
+        pending = pending.transform(materialize)
     emails = ws.read(spark, "emails", EMAIL_COLS).select("message_id", "path", "from_hdr", "subject", "html",
                                                           "sender_domain")
     mails = pending.join(emails.withColumnRenamed("path", "fichier"), ["message_id", "fichier"], "left")
     routed = route.detect_provider(mails, dims.provider_dim(spark, cfg.providers))
     routed = route.dispatch(routed, cfg.extractable, F.col("html").isNotNull())
     if dry_run:
-        routed = routed.checkpoint(eager=True)
+        routed = routed.transform(materialize)
     else:
         # Stored partitioned by provider: each extraction job's provider filter
         # becomes partition pruning, so the seven jobs read each mail once in total.
@@ -174,7 +175,7 @@ def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dr
     to_extract = routed.where(F.col("dispatch_status").isNull())
     raw = X.extract_offers(to_extract.select("message_id", "provider_key", "subject", "html"),
                            [p for p in cfg.extractable if p in X.EXTRACTORS])
-    raw = raw.join(pending.select("message_id", "date_email"), "message_id").checkpoint(eager=True)
+    raw = raw.join(pending.select("message_id", "date_email"), "message_id").transform(materialize)
     archive = ws.read(spark, "offers", OFFERS_SCHEMA).where(F.col("run_id") != run_id)
     start = archive.agg(dedup.max_offer_number(archive)).first()[0] + 1
     amap = dedup.key_map(archive.withColumn("ord", T.parse_offer_id_lenient(F.col("ID"))), canonical=cfg.canonical)
@@ -182,7 +183,7 @@ def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dr
     raw_geo = geo.attach_dept(raw, resolved)
     rows = enrich.offer_rows(raw_geo, start_id=start, archive_map=amap, keywords=cfg.keywords,
                              blacklist=cfg.blacklist).drop("_seq").withColumn("run_id", F.lit(run_id))
-    rows = rows.checkpoint(eager=True)
+    rows = rows.transform(materialize)
     extracted_status = enrich.mail_status(raw, to_extract.select("message_id"))
     status = routed.where(F.col("dispatch_status").isNotNull()).select("message_id", F.col("dispatch_status")
                                                                         .alias("statut_extraction")) \
@@ -197,7 +198,7 @@ def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dr
     _overwrite_partition(publish.history_row(stats, run_id).withColumn("run_id", F.lit(run_id)),
                          ws.path("run_history"), "run_id")
     _overwrite_partition(events.withColumn("run_id", F.lit(run_id)), ws.path("run_events"), "run_id")
-    LG.write_versioned(LG.set_status(ledger, status).checkpoint(eager=True), ws.path("ledger"),
+    LG.write_versioned(LG.set_status(ledger, status).transform(materialize), ws.path("ledger"),
                        f"extract {run_id}")
     return out
 
@@ -229,7 +230,7 @@ def publish_run(spark: SparkSession, ws: Workspace, batch_id: str, now: str, dry
         if run_id is not None:
             offers = offers.where(F.col("run_id") == run_id)
         delta = publish.publish_delta(offers, last)
-        shaped = publish.publish_shape(delta).withColumn("batch_id", F.lit(batch_id)).checkpoint(eager=True)
+        shaped = publish.publish_shape(delta).withColumn("batch_id", F.lit(batch_id)).transform(materialize)
         n = shaped.count()
         if dry_run or n == 0:
             return n

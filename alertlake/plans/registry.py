@@ -28,6 +28,7 @@ from alertlake.sources import ledger as LG
 from alertlake.sources import mail as M
 from alertlake.plans import sqlx
 from alertlake.plans import views as V
+from alertlake.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -214,7 +215,7 @@ def _keyed(spark, d):
     # duplicate links and the counts all read them several times.
     return o.select("ord", "ID", "archived",
                     T.dedup_key(F.col("entreprise"), F.col("ville"), F.col("titre")).alias("Cle_dedup")) \
-        .checkpoint(eager=True)
+        .transform(materialize)
 
 
 @register("q_key_map", V.with_ctes(SQL_KEYED, body="""

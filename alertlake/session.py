@@ -22,6 +22,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Remove checkpoint files once the checkpointed data is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -40,6 +42,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def materialize(df):
+    """Reliable checkpoint (shared folder, survives executor loss) that cuts
+    the lineage; the folder is ensured first (see ``ensure_checkpoint_dir``)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def spread(df):
     """Round-robin a scan that yields fewer splits than the cluster has cores.
 
