@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertlake.functions import text as T
+from alertlake.operators.joins import sized_broadcast
 from alertlake.operators.skew import join_back, with_group_stats
 from alertlake.session import ensure_checkpoint_dir, materialize
 
@@ -73,13 +74,25 @@ def key_map(archive: DataFrame, key_col: str = "Cle_dedup", id_col: str = "ID",
 
 def link_duplicates(batch: DataFrame, key_col: str = "Cle_dedup", id_col: str = "ID",
                     order_col: str = "ord", archive_map: DataFrame | None = None,
-                    out_col: str = "Doublon_ID") -> DataFrame:
-    """The first row of a key gets ``""``; later rows of that key in the
-    batch get the first row's ID; a key already in ``archive_map`` (columns
-    ``key_col``, ``_arch_id``) links every batch row to the archived ID."""
+                    out_col: str = "Doublon_ID", archive: DataFrame | None = None,
+                    canonical: str = "last", archive_order_col: str = "ord") -> DataFrame:
+    """W2 + J6: the first row of a key gets ``""``; later rows of that key in the
+    batch get the first row's ID; a key already archived links every batch
+    row to the archived ID.
+
+    The archive is given either as a ready map (``archive_map``: ``key_col``,
+    ``_arch_id``) or as rows (``archive``: ``key_col``, ``id_col``,
+    ``archive_order_col``).  Rows are first semi-joined with the batch's keys (a
+    broadcast of the batch's distinct keys when small enough), so only archive
+    rows sharing a key with the batch are aggregated: per-run work follows the
+    batch, not the whole history."""
     stats = batch.groupBy(key_col).agg(
         F.count(F.lit(1)).alias("_grp_n"),
-        F.min_by(F.col(id_col), F.col(order_col)).alias("_first_id"))
+        F.min_by(F.col(id_col), F.col(order_col)).alias("_first_id")).transform(materialize)
+    if archive is not None:
+        keys, _ = sized_broadcast(stats.select(key_col))
+        archive_map = key_map(archive.join(keys, key_col, "left_semi"), key_col, id_col, archive_order_col,
+                              canonical)
     if archive_map is not None:
         stats = stats.join(archive_map, key_col, "left")
     else:

@@ -35,15 +35,20 @@ def rejects(raw: DataFrame) -> DataFrame:
 
 def offer_rows(raw: DataFrame, start_id: int | Column = 1, archive_map: DataFrame | None = None,
                keywords: dict[str, list[str]] | None = None, blacklist: list[str] | None = None,
-               dept: Column | None = None) -> DataFrame:
-    """The 21 offer columns (plus ``_seq``, the numeric ID)."""
+               dept: Column | None = None, archive: DataFrame | None = None,
+               canonical: str = "last") -> DataFrame:
+    """The 21 offer columns (plus ``_seq``, the numeric ID).
+
+    ``archive`` (rows with ``Cle_dedup``, ``ID``, ``ord``) or ``archive_map``
+    gives the keys of earlier runs (see ``dedup.link_duplicates``)."""
     valid = raw.where(valid_offer(F.col("titre")))
     # The key is computed before the ID checkpoint, so it is materialised once
     # and not recomputed by each branch of the duplicate-link join.
     valid = valid.withColumn("Cle_dedup", T.dedup_key(_s("entreprise"), _s("ville"), _s("titre")))
     ided = dedup.assign_ordered_ids(valid, ORDER, out_col="_seq", start=start_id)
     ided = ided.withColumn("ID", T.format_offer_id(F.col("_seq")))
-    linked = dedup.link_duplicates(ided, order_col="_seq", archive_map=archive_map)
+    linked = dedup.link_duplicates(ided, order_col="_seq", archive_map=archive_map, archive=archive,
+                                   canonical=canonical)
     bl = T.blacklist_term(F.col("titre"), blacklist)
     stack = T.stack_tags(F.concat(_s("titre"), F.lit(" "), _s("notes")), keywords)
     dept_col = dept if dept is not None else _s("dept")

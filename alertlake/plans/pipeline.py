@@ -178,11 +178,11 @@ def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dr
     raw = raw.join(pending.select("message_id", "date_email"), "message_id").transform(materialize)
     archive = ws.read(spark, "offers", OFFERS_SCHEMA).where(F.col("run_id") != run_id)
     start = archive.agg(dedup.max_offer_number(archive)).first()[0] + 1
-    amap = dedup.key_map(archive.withColumn("ord", T.parse_offer_id_lenient(F.col("ID"))), canonical=cfg.canonical)
+    arch_rows = archive.select("Cle_dedup", "ID", T.parse_offer_id_lenient(F.col("ID")).alias("ord"))
     resolved = geo.resolve_cities(raw.select("ville"), dims.city_dim(spark, cfg.cities))
     raw_geo = geo.attach_dept(raw, resolved)
-    rows = enrich.offer_rows(raw_geo, start_id=start, archive_map=amap, keywords=cfg.keywords,
-                             blacklist=cfg.blacklist).drop("_seq").withColumn("run_id", F.lit(run_id))
+    rows = enrich.offer_rows(raw_geo, start_id=start, archive=arch_rows, canonical=cfg.canonical,
+                             keywords=cfg.keywords, blacklist=cfg.blacklist).drop("_seq").withColumn("run_id", F.lit(run_id))
     rows = rows.transform(materialize)
     extracted_status = enrich.mail_status(raw, to_extract.select("message_id"))
     status = routed.where(F.col("dispatch_status").isNotNull()).select("message_id", F.col("dispatch_status")

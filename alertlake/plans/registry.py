@@ -237,9 +237,9 @@ def q_dup_link(spark, d):
     """W2 + J6: link new offers to the archived ID of their key, else to the
     first new offer of the key."""
     k = _keyed(spark, d)
-    amap = dedup.key_map(k.where("archived"), canonical="last")
     batch = k.where(~F.col("archived")).drop("archived")
-    return dedup.link_duplicates(batch, archive_map=amap).select("ord", "ID", "Cle_dedup", "Doublon_ID")
+    arch = k.where("archived").select("Cle_dedup", "ID", "ord")
+    return dedup.link_duplicates(batch, archive=arch, canonical="last").select("ord", "ID", "Cle_dedup", "Doublon_ID")
 
 
 @register("q_dup_count", V.with_ctes(SQL_KEYED, body="""
