@@ -88,8 +88,9 @@ def link_duplicates(batch: DataFrame, key_col: str = "Cle_dedup", id_col: str =
     batch, not the whole history."""
     stats = batch.groupBy(key_col).agg(
         F.count(F.lit(1)).alias("_grp_n"),
-        F.min_by(F.col(id_col), F.col(order_col)).alias("_first_id")).transform(materialize)
+        F.min_by(F.col(id_col), F.col(order_col)).alias("_first_id"))
     if archive is not None:
+        stats = stats.transform(materialize)  # read by the size check, the semi join and the join
         keys, _ = sized_broadcast(stats.select(key_col))
         archive_map = key_map(archive.join(keys, key_col, "left_semi"), key_col, id_col, archive_order_col,
                               canonical)

@@ -24,7 +24,8 @@ def publish_delta(rows: DataFrame, last_published: int | Column, id_col: str = "
     return rows.withColumn("id_num", T.parse_offer_id_strict(F.col(id_col))).where(F.col("id_num") > last)
 
 
-def publish_shape(rows: DataFrame, headers: list[str] | None = None) -> DataFrame:
+def publish_shape(rows: DataFrame, headers: list[str] | None = None,
+                  keep: tuple[str, ...] = ("sheet_row",)) -> DataFrame:
     """Published row shape: header order, missing values as "", ``Traite``
     = (exclusion reason present), text-forced columns prefixed with a quote."""
     headers = fixed.OFFER_COLUMNS if headers is None else headers
@@ -36,7 +37,7 @@ def publish_shape(rows: DataFrame, headers: list[str] | None = None) -> DataFram
         elif h in FORCE_TEXT_COLUMNS:
             v = F.when(v != "", F.concat(F.lit("'"), v)).otherwise(v)
         cols.append(v.alias(h))
-    return rows.select(*cols)
+    return rows.select(*cols, *[c for c in keep if c in rows.columns])
 
 
 def append_positions(delta: DataFrame, last_row: int, order_col: str, out_col: str = "sheet_row") -> DataFrame:

@@ -94,6 +94,15 @@ def folder_verdict(expected: Column, actual: Column) -> Column:
             .when(expected == actual, F.lit("ok")).otherwise(F.lit("misplaced")))
 
 
+def folder_audit(files: DataFrame, domain_map: DataFrame, actual_col: str = "folder",
+                 domain_col: str = "sender_domain") -> tuple[DataFrame, DataFrame]:
+    """(detail rows with their verdict, verdict counts) of a file scan
+    against the folder expected from the sender domain."""
+    routed = expected_folder(files, domain_map, domain_col)
+    detail = routed.withColumn("verdict", folder_verdict(F.col("expected_folder"), F.col(actual_col)))
+    return detail, detail.groupBy("verdict").agg(F.count(F.lit(1)).alias("n_files"))
+
+
 def is_pending(status: Column, statuses: tuple[str, ...] = ("PENDING",)) -> Column:
     """Missing status counts as PENDING; only listed statuses are (re)processed."""
     return F.coalesce(status, F.lit("PENDING")).isin(*statuses)

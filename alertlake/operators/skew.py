@@ -39,24 +39,26 @@ def join_back(rows: DataFrame, stats: DataFrame, keys: list[str], count_col: str
     """``rows JOIN stats USING (keys)`` with hot keys salted.
 
     ``stats`` must hold one row per key and a row-count column ``count_col``
-    (used to find hot keys).  The salt of a row does not affect the result:
-    every salt of a hot key meets a copy of that key's stats row.
+    (used to find hot keys).  The hot-key list (at most ``max_hot`` keys, a
+    proven bound) is read on the driver: when it is empty the plan is a plain
+    join; otherwise rows of a hot key spread over ``buckets`` salts and that
+    key's stats row is replicated per salt.  The salt of a row does not affect
+    the result: every salt of a hot key meets a copy of its stats row.
     """
     hot_rows = DEFAULT_HOT_ROWS if hot_rows is None else hot_rows
     max_hot = DEFAULT_MAX_HOT if max_hot is None else max_hot
     buckets = DEFAULT_BUCKETS if buckets is None else buckets
     # One row per key, read twice (hot-key list and the join): stored once.
     stats = stats.transform(materialize)
-    hot = F.broadcast(hot_keys(stats, keys, count_col, hot_rows, max_hot))
-    salted_rows = (rows.join(hot, keys, "left")
-                   .withColumn("_salt", F.when(F.col("_hot"), (F.rand(7) * buckets).cast("int"))
-                               .otherwise(F.lit(0)))
-                   .drop("_hot"))
-    salted_stats = (stats.join(hot, keys, "left")
-                    .withColumn("_salt", F.explode(
-                        F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                        .otherwise(F.array(F.lit(0)))))
-                    .drop("_hot"))
+    hot = [tuple(r) for r in hot_keys(stats, keys, count_col, hot_rows, max_hot).select(*keys).collect()]
+    if not hot:
+        return rows.join(stats, keys, how)
+    key = F.struct(*[F.col(k) for k in keys])
+    lits = [F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, h)]) for h in hot]
+    is_hot = key.isin(*lits)
+    salted_rows = rows.withColumn("_salt", F.when(is_hot, (F.rand(7) * buckets).cast("int")).otherwise(F.lit(0)))
+    salted_stats = stats.withColumn("_salt", F.explode(
+        F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))))
     return salted_rows.join(salted_stats, keys + ["_salt"], how).drop("_salt")
 
 

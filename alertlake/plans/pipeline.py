@@ -11,6 +11,7 @@ storage on a cluster):
 ``published/``     published rows, partition ``batch_id``
 ``publish_audit/`` one row per publish attempt (the gate reads it)
 ``routed/``        mails of a run with their provider, partitioned by run and provider
+``quarantine/``    duplicate files of a run (R13)
 ``to_mark/``       source ids to mark as processed, per run
 
 Write order follows the reference: offers, rejects, history, events, then
@@ -53,6 +54,7 @@ class Config:
     cities: list = field(default_factory=lambda: list(fixed.CITY_DEPT))
     canonical: str = "last"          # archive key -> ID: last archived row (reproduced) or first
     statuses: tuple = ("PENDING",)   # statuses (re)processed by extraction
+    csv_deltas: str | None = None    # folder for dated CSV deltas (S9), None = Parquet only
 
 
 class Workspace:
@@ -138,6 +140,12 @@ def index_decoded(spark: SparkSession, ws: Workspace, decoded: DataFrame, run_id
     if not dry_run:
         _overwrite_partition(ok.select(*[c.split()[0] for c in EMAIL_COLS.split(", ")]),
                              ws.path("emails"), "run_id")
+        # Duplicates go to quarantine (path and the file already indexed)
+        dups = j.where(F.col("action") == "duplicate").select(
+            "path", "message_id", "known_path",
+            F.concat(F.lit("_duplicates/"), F.regexp_extract("path", "([^/]+)$", 1)).alias("quarantine_path"),
+            F.lit(run_id).alias("run_id"))
+        _overwrite_partition(dups, ws.path("quarantine"), "run_id")
         LG.write_versioned(new_ledger.transform(materialize), ws.path("ledger"), f"index {run_id}")
     return counts
 
@@ -194,6 +202,9 @@ def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dr
     if dry_run:
         return out
     _overwrite_partition(rows, ws.path("offers"), "run_id")
+    if cfg.csv_deltas:
+        from alertlake.sources import offers_io
+        offers_io.write_dated_delta(rows.drop("run_id"), cfg.csv_deltas, run_id)
     _overwrite_partition(enrich.rejects(raw).withColumn("run_id", F.lit(run_id)), ws.path("rejects"), "run_id")
     _overwrite_partition(publish.history_row(stats, run_id).withColumn("run_id", F.lit(run_id)),
                          ws.path("run_history"), "run_id")
@@ -230,7 +241,11 @@ def publish_run(spark: SparkSession, ws: Workspace, batch_id: str, now: str, dry
         if run_id is not None:
             offers = offers.where(F.col("run_id") == run_id)
         delta = publish.publish_delta(offers, last)
-        shaped = publish.publish_shape(delta).withColumn("batch_id", F.lit(batch_id)).transform(materialize)
+        # W6 + P5: rows go after the header and the rows already published
+        last_row = pub.count() + 1
+        placed = publish.append_positions(delta, last_row, "id_num")
+        shaped = publish.publish_shape(placed).withColumn("sheet_row", F.col("sheet_row")) \
+            .withColumn("batch_id", F.lit(batch_id)).transform(materialize)
         n = shaped.count()
         if dry_run or n == 0:
             return n

@@ -395,10 +395,9 @@ SELECT verdict, count(*) AS n_files FROM (
 def q_folder_audit(spark, d):
     """Files per verdict; the folder a page sits in is named after its top-level domain."""
     pm = _page_domains(spark, d).select("page_id", "sender_domain")
-    routed = R.expected_folder(pm, dims.domain_folder_map(_pdim(spark)))
-    actual = F.concat(F.lit("corp-"), F.regexp_extract("sender_domain", "([a-z]+)$", 1))
-    return (routed.select(R.folder_verdict(F.col("expected_folder"), actual).alias("verdict"))
-            .groupBy("verdict").agg(F.count(F.lit(1)).alias("n_files")))
+    pm = pm.withColumn("folder", F.concat(F.lit("corp-"), F.regexp_extract("sender_domain", "([a-z]+)$", 1)))
+    _, summary = R.folder_audit(pm, dims.domain_folder_map(_pdim(spark)))
+    return summary
 
 
 @register("q_dispatch", V.with_ctes(SQL_PDIM, SQL_PAGE_DOMAINS, SQL_SUFFIXES, SQL_PROVIDER, body=f"""

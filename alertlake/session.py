@@ -44,9 +44,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 def materialize(df):
     """Reliable checkpoint (shared folder, survives executor loss) that cuts
-    the lineage; the folder is ensured first (see ``ensure_checkpoint_dir``)."""
+    the lineage; the folder is ensured first (see ``ensure_checkpoint_dir``).
+
+    The data is persisted while the checkpoint is written: a reliable
+    checkpoint otherwise computes its plan twice (once for the eager count,
+    once to write the files)."""
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def spread(df):

@@ -61,6 +61,9 @@ def test_two_runs(spark, workspace):
     assert first["Message_ID"] == "<a@x>" and first["Date_decouverte"] == "2026-06-01"
     assert offers.where(F.col("Message_ID") == "<c@x>").first()["Dept"] == "13"
     assert r1["published"] == 3
+    pub = spark.read.parquet(workspace.path("published"))
+    assert sorted(r["sheet_row"] for r in pub.collect()) == [2, 3, 4]       # after the header row
+    assert spark.read.parquet(workspace.path("quarantine")).first()["path"] == "misc/f.eml"
     assert r1["marked"] == 0                                     # locally indexed mails carry the "manual" id
 
     r2 = P.run_pipeline(spark, workspace, "r2", "2026-06-03T10:00:00Z")
