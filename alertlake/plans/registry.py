@@ -55,17 +55,17 @@ CORPUS_CONTRACTS = fixed.CONTRACT_TERMS["france_travail"] + ["Été", "Über", "
 
 @register("q_strip_accents", "SELECT doc_id, strip_accents(text) AS folded FROM documents")
 def q_strip_accents(spark, d):
-    return V.table(spark, d, "documents").select("doc_id", T.strip_accents(F.col("text")).alias("folded"))
+    return V.table(spark, d, "documents", text_work=True).select("doc_id", T.strip_accents(F.col("text")).alias("folded"))
 
 
 @register("q_normalize", f"SELECT doc_id, {sqlx.normalize('text')} AS norm_text FROM documents")
 def q_normalize(spark, d):
-    return V.table(spark, d, "documents").select("doc_id", T.normalize(F.col("text")).alias("norm_text"))
+    return V.table(spark, d, "documents", text_work=True).select("doc_id", T.normalize(F.col("text")).alias("norm_text"))
 
 
 @register("q_clean_html", f"SELECT page_id, {sqlx.clean_html('html')} AS page_text FROM pages")
 def q_clean_html(spark, d):
-    return V.table(spark, d, "pages").select("page_id", T.clean_html(F.col("html")).alias("page_text"))
+    return V.table(spark, d, "pages", text_work=True).select("page_id", T.clean_html(F.col("html")).alias("page_text"))
 
 
 @register("q_title_slug", V.with_ctes(V.SQL_DOC_OFFERS, body=f"SELECT ord, {sqlx.title_slug('titre')} AS slug FROM doc_offers"))
@@ -81,24 +81,24 @@ def q_dedup_key(spark, d):
 
 @register("q_blacklist", f"SELECT doc_id, {sqlx.blacklist_term('text', CORPUS_BLACKLIST)} AS blacklist_term FROM documents")
 def q_blacklist(spark, d):
-    return V.table(spark, d, "documents").select(
+    return V.table(spark, d, "documents", text_work=True).select(
         "doc_id", T.blacklist_term(F.col("text"), CORPUS_BLACKLIST).alias("blacklist_term"))
 
 
 @register("q_stack_tags", f"SELECT doc_id, {sqlx.stack_tags('text', CORPUS_STACK)} AS \"Stack\" FROM documents")
 def q_stack_tags(spark, d):
-    return V.table(spark, d, "documents").select("doc_id", T.stack_tags(F.col("text"), CORPUS_STACK).alias("Stack"))
+    return V.table(spark, d, "documents", text_work=True).select("doc_id", T.stack_tags(F.col("text"), CORPUS_STACK).alias("Stack"))
 
 
 @register("q_contract_type", f"SELECT doc_id, {sqlx.contract_type('text', CORPUS_CONTRACTS)} AS \"Type_contrat\" FROM documents")
 def q_contract_type(spark, d):
-    return V.table(spark, d, "documents").select(
+    return V.table(spark, d, "documents", text_work=True).select(
         "doc_id", T.contract_type(F.col("text"), CORPUS_CONTRACTS).alias("Type_contrat"))
 
 
 @register("q_subject_slug", f"SELECT doc_id, {sqlx.subject_slug('text')} AS subject_slug FROM documents")
 def q_subject_slug(spark, d):
-    return V.table(spark, d, "documents").select("doc_id", T.subject_slug(F.col("text")).alias("subject_slug"))
+    return V.table(spark, d, "documents", text_work=True).select("doc_id", T.subject_slug(F.col("text")).alias("subject_slug"))
 
 
 @register("q_b64_landing", """
@@ -106,7 +106,7 @@ SELECT item_id, raw, decode(from_base64(translate(raw, '-_', '+/'))) AS decoded
 FROM (SELECT item_id, translate(to_base64(encode(text)), '+/', '-_') AS raw FROM benchmark)""")
 def q_b64_landing(spark, d):
     """URL-safe base64 message payloads landed as a table, decoded in Spark."""
-    b = V.table(spark, d, "benchmark")
+    b = V.table(spark, d, "benchmark", text_work=True)
     # base64() may wrap lines (MIME style); the landed payload is one line.
     b64 = F.regexp_replace(F.base64(F.encode("text", "UTF-8")), r"[\r\n]", "")
     landed = b.select("item_id", F.translate(b64, "+/", "-_").alias("raw"))
@@ -134,7 +134,7 @@ WHERE NOT list_contains({FOOTER_SQL}, lower(rtrim(trim(ts[i]), ' ,.')))""")
 def q_topk_links(spark, d):
     """O2: first 20 anchors with a 5-100 character text per page, cut before
     the footer-title filter (the template's order)."""
-    m = L.explode_matches(V.table(spark, d, "pages"), "html", TOPK_RE, {"href": 1, "title": 2},
+    m = L.explode_matches(V.table(spark, d, "pages", text_work=True), "html", TOPK_RE, {"href": 1, "title": 2},
                           ["page_id"], limit=fixed.TALENT_MAX_ANCHORS)
     footer = F.array(*[F.lit(t) for t in fixed.TALENT_FOOTER_TITLES])
     key = F.lower(F.regexp_replace(F.trim(F.col("title")), r"[ ,.]+$", ""))
@@ -156,7 +156,7 @@ SELECT page_id, pos, para, last_href FROM (
 WHERE para <> ''""")
 def q_carry_forward(spark, d):
     """The last link seen before each paragraph (a card's link opens before its title)."""
-    tok = L.explode_matches(V.table(spark, d, "pages"), "html", CF_RE, {"href": 1, "para": 2}, ["page_id"])
+    tok = L.explode_matches(V.table(spark, d, "pages", text_work=True), "html", CF_RE, {"href": 1, "para": 2}, ["page_id"])
     out = L.carry_forward_last(tok, ["page_id"], "pos", F.col("href"), "last_href")
     return out.where(F.col("para") != "").select("page_id", "pos", "para", "last_href")
 
@@ -166,7 +166,7 @@ SELECT page_id, href, min(pos) AS pos, arg_min(anchor_text, pos) AS anchor_text
 FROM page_links GROUP BY page_id, href"""))
 def q_within_dedup(spark, d):
     """First occurrence of each link target within a page."""
-    first = L.explode_matches(V.table(spark, d, "pages"), "html", V.LINK_RE, {"href": 1, "anchor_text": 2},
+    first = L.explode_matches(V.table(spark, d, "pages", text_work=True), "html", V.LINK_RE, {"href": 1, "anchor_text": 2},
                               ["page_id"], first_by=["href"])
     return first.select("page_id", "href", "pos", "anchor_text")
 
@@ -668,7 +668,7 @@ def q_ledger_upsert(spark, d):
 # title and are rejected.
 
 def conv_raw(spark, d):
-    c = V.table(spark, d, "conversations")
+    c = V.table(spark, d, "conversations", text_work=True)
     return c.select(
         F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("message_id"),
         F.col("turn").alias("offer_pos"),

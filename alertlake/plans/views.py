@@ -22,18 +22,18 @@ from alertlake.functions import text as T
 from alertlake.session import spread
 
 
-TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, text_work: bool = False) -> DataFrame:
+    """A driver table.  ``text_work=True`` for queries doing heavy per-row text
+    work: a scan with fewer splits than cores is then spread over all cores
+    (a no-op for large inputs); light queries read the table as split."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return spread(df) if text_work else df
 
 
 # ---------------------------------------------------------------- doc_offers
 
 def doc_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", text_work=True)
     return d.select(
         F.col("doc_id").alias("ord"),
         F.col("text").alias("titre"),
@@ -59,7 +59,7 @@ LINK_RE = r'<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>'
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages")
+    p = table(spark, sf_dir, "pages", text_work=True)
     arr = F.arrays_zip(
         F.regexp_extract_all("html", F.lit(LINK_RE), 1).alias("href"),
         F.regexp_extract_all("html", F.lit(LINK_RE), 2).alias("anchor_text"))
