@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from alertlake.functions import text as T
 from alertlake.operators.joins import sized_broadcast
 from alertlake.operators.skew import join_back, with_group_stats
-from alertlake.session import ensure_checkpoint_dir, materialize
+from alertlake.session import ensure_checkpoint_dir, keep, materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row index
 
@@ -90,7 +90,7 @@ def link_duplicates(batch: DataFrame, key_col: str = "Cle_dedup", id_col: str =
         F.count(F.lit(1)).alias("_grp_n"),
         F.min_by(F.col(id_col), F.col(order_col)).alias("_first_id"))
     if archive is not None:
-        stats = stats.transform(materialize)  # read by the size check, the semi join and the join
+        stats = keep(stats)  # read by the size check, the semi join and the join
         keys, _ = sized_broadcast(stats.select(key_col))
         archive_map = key_map(archive.join(keys, key_col, "left_semi"), key_col, id_col, archive_order_col,
                               canonical)

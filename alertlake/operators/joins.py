@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from alertlake.session import materialize as _materialize
+from alertlake.session import keep
 
 # Rows above which a dimension is joined by shuffle instead of broadcast.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -15,10 +15,10 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     """``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows, else
     ``(df, False)``.  The check reads at most ``max_rows + 1`` rows.
 
-    ``materialize=True`` first checkpoints ``df`` (for a small table derived
-    from a large input, e.g. one row per sender domain), so the size check and
-    the join read the stored result instead of aggregating the input twice."""
+    ``materialize=True`` keeps ``df`` (for a small table derived from a large
+    input, e.g. one row per sender domain): the size check fills it and the
+    join reads it instead of aggregating the input twice."""
     if materialize:
-        df = df.transform(_materialize)
+        df = keep(df)
     n = df.limit(max_rows + 1).count()
     return (F.broadcast(df), True) if n <= max_rows else (df, False)

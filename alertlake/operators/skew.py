@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from alertlake.session import materialize
+from alertlake.session import keep
 
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_MAX_HOT = 1_000
@@ -48,8 +48,8 @@ def join_back(rows: DataFrame, stats: DataFrame, keys: list[str], count_col: str
     hot_rows = DEFAULT_HOT_ROWS if hot_rows is None else hot_rows
     max_hot = DEFAULT_MAX_HOT if max_hot is None else max_hot
     buckets = DEFAULT_BUCKETS if buckets is None else buckets
-    # One row per key, read twice (hot-key list and the join): stored once.
-    stats = stats.transform(materialize)
+    # One row per key, read twice (hot-key list and the join): kept once.
+    stats = keep(stats)
     hot = [tuple(r) for r in hot_keys(stats, keys, count_col, hot_rows, max_hot).select(*keys).collect()]
     if not hot:
         return rows.join(stats, keys, how)

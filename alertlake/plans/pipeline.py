@@ -34,8 +34,8 @@ from alertlake.functions import text as T
 from alertlake.operators import dedup, enrich, geo, publish, route
 from alertlake.operators import extract as X
 from alertlake.operators.joins import sized_broadcast
+from alertlake.session import materialize, release_kept
 from alertlake.sources import dims, ledger as LG, mail as M
-from alertlake.session import materialize
 
 OFFERS_SCHEMA = ", ".join(f"`{c}` string" for c in fixed.OFFER_COLUMNS) + ", run_id string"
 AUDIT_SCHEMA = "batch_id string, status string, message string, recorded_at string, acked_at string"
@@ -284,10 +284,12 @@ def run_pipeline(spark: SparkSession, ws: Workspace, run_id: str, now: str, cfg:
     report = {"index": ingest_and_index(spark, ws, run_id, now, dry_run)}
     if dry_run:
         report["extract"] = None
+        release_kept()
         return report
     report["extract"] = extract_run(spark, ws, cfg, run_id, dry_run)
     report["published"] = publish_run(spark, ws, run_id, now, dry_run)
     report["marked"] = mark_run(spark, ws, run_id, dry_run)
+    release_kept()
     return report
 
 

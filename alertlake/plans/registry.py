@@ -28,7 +28,7 @@ from alertlake.sources import ledger as LG
 from alertlake.sources import mail as M
 from alertlake.plans import sqlx
 from alertlake.plans import views as V
-from alertlake.session import materialize
+from alertlake.session import keep, materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -211,11 +211,10 @@ def _keyed(spark, d):
     o = V.doc_offers(spark, d)
     arch = V.archived_doc_ids(spark, d).distinct().withColumn("archived", F.lit(True))
     o = o.join(arch, "ord", "left").withColumn("archived", F.coalesce("archived", F.lit(False)))
-    # Compact keyed rows (no text), materialised once: the key map, the
-    # duplicate links and the counts all read them several times.
-    return o.select("ord", "ID", "archived",
-                    T.dedup_key(F.col("entreprise"), F.col("ville"), F.col("titre")).alias("Cle_dedup")) \
-        .transform(materialize)
+    # Compact keyed rows (no text), kept once: the key map, the duplicate
+    # links and the counts all read them several times.
+    return keep(o.select("ord", "ID", "archived",
+                         T.dedup_key(F.col("entreprise"), F.col("ville"), F.col("titre")).alias("Cle_dedup")))
 
 
 @register("q_key_map", V.with_ctes(SQL_KEYED, body="""

@@ -58,6 +58,27 @@ def materialize(df):
     return out
 
 
+def keep(df):
+    """Keep a small, short-lineage derived table (per-key stats, per-domain
+    routes, keyed rows) for reuse within a job: persisted memory-and-disk,
+    filled by its first use.  A lost block is recomputed from its short,
+    deterministic lineage; long lineages use ``materialize`` instead."""
+    from pyspark import StorageLevel
+
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(kept)
+    return kept
+
+
+_KEPT: list = []
+
+
+def release_kept() -> None:
+    """Unpersist everything ``keep`` persisted (end of a run or micro-batch)."""
+    while _KEPT:
+        _KEPT.pop().unpersist()
+
+
 def spread(df):
     """Round-robin a scan that yields fewer splits than the cluster has cores.
 

@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from alertlake import fixed
 from alertlake.plans import pipeline as P
+from alertlake.session import release_kept
 from alertlake.sources import mail as M
 
 COMMITS_SCHEMA = "query_id string, batch_id long, run_id string"
@@ -55,6 +56,7 @@ def process_batch(spark: SparkSession, ws: P.Workspace, cfg: P.Config, query_id:
     P.publish_run(spark, ws, run_id, now, dry_run=False)
     spark.createDataFrame([(query_id, batch_id, run_id)], COMMITS_SCHEMA) \
         .write.mode("append").parquet(ws.path("stream_commits"))
+    release_kept()
 
 
 def start(spark: SparkSession, ws: P.Workspace, checkpoint: str, cfg: P.Config | None = None,
