@@ -28,7 +28,7 @@ from alertlake.sources import ledger as LG
 from alertlake.sources import mail as M
 from alertlake.plans import sqlx
 from alertlake.plans import views as V
-from alertlake.session import keep, materialize
+from alertlake.session import keep, materialize, memo
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -425,10 +425,20 @@ def q_dispatch(spark, d):
 # day present; the ledger "before the run" holds the last file per message
 # fetched before D; the files of day D are this run's new files.
 
+_RUN_TIMES = memo()
+
+
+def _run_time(spark, d):
+    """Scalar: the latest event time (one value to the driver), read once per
+    run and data folder."""
+    if d not in _RUN_TIMES:
+        _RUN_TIMES[d] = V.table(spark, d, "events").agg(F.max("ts").alias("m")).first()["m"]
+    return _RUN_TIMES[d]
+
+
 def _run_day(spark, d) -> str:
-    """Scalar: the last day present (one value to the driver)."""
-    mx = V.table(spark, d, "events").agg(F.max("ts").alias("m")).first()["m"]
-    return mx.strftime("%Y-%m-%d")
+    """The last day present."""
+    return _run_time(spark, d).strftime("%Y-%m-%d")
 
 
 def _ev_ledger(files):
@@ -648,7 +658,7 @@ def q_ledger_upsert(spark, d):
     """R14 + S6: index results merged into the ledger (full outer join)."""
     files = V.ev_files(spark, d)
     day = _run_day(spark, d)
-    run_t = files.agg(F.max("ts").alias("t")).first()["t"].strftime("%Y-%m-%dT%H:%M:%SZ")
+    run_t = _run_time(spark, d).strftime("%Y-%m-%dT%H:%M:%SZ")
     old = _ev_ledger(files.where(F.col("ts") < F.lit(day).cast("timestamp_ntz")))
     a = _file_actions(spark, d).where(F.col("action") != "duplicate")
     ts = F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")

@@ -71,12 +71,23 @@ def keep(df):
 
 
 _KEPT: list = []
+_MEMOS: list[dict] = []
+
+
+def memo() -> dict:
+    """A per-run memo for driver-side scalars (cleared with ``release_kept``)."""
+    m: dict = {}
+    _MEMOS.append(m)
+    return m
 
 
 def release_kept() -> None:
-    """Unpersist everything ``keep`` persisted (end of a run or micro-batch)."""
+    """Unpersist everything ``keep`` persisted and clear run memos (end of a
+    run or micro-batch)."""
     while _KEPT:
         _KEPT.pop().unpersist()
+    for m in _MEMOS:
+        m.clear()
 
 
 def spread(df):
