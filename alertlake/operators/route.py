@@ -136,27 +136,36 @@ def canonical_names(renames: DataFrame, existing: DataFrame | None = None) -> Da
     ``renames(folder, base, path)``: target ``<base>.eml`` per file.  Files
     sharing a target in one folder are taken in path order; the k-th takes
     the k-th free name among ``base.eml``, ``base_2.eml``, ``base_3.eml``, ...
-    skipping names already present (``existing(folder, name)``).  The rank is
-    skew-safe; the taken suffixes per target are few (the files of a folder
-    carrying that exact name), so they travel as a small array per target."""
+    skipping names already present (``existing(folder, name)``).
+
+    Without gathering a target's taken names anywhere: with the taken
+    numbers sorted (``t_i`` the i-th smallest), the k-th free number equals
+    the rank of ``k - 1/2`` among ``{t_i - i}`` and ``{k' - 1/2}`` of the
+    target.  Both ranks are skew-safe group ranks."""
     from alertlake.operators import dedup
 
     r = renames.withColumn("_k", F.split("path", "/"))
-    r = dedup.rank_within_group(r, ["folder", "base"], ["_k"], out_col="_rank")
+    r = dedup.rank_within_group(r, ["folder", "base"], ["_k"], out_col="_rank").drop("_k")
     if existing is not None:
         stem = F.regexp_replace("name", r"\.eml$", "")
-        plain = existing.select("folder", stem.alias("base"), F.lit(1).alias("n"))
-        numbered = existing.where(F.col("name").rlike(r"_[0-9]+\.eml$")).select(
-            "folder", F.regexp_extract("name", r"^(.*)_([0-9]+)\.eml$", 1).alias("base"),
-            F.regexp_extract("name", r"^(.*)_([0-9]+)\.eml$", 2).cast("int").alias("n"))
-        taken = plain.unionByName(numbered).groupBy("folder", "base").agg(F.collect_set("n").alias("_taken"))
-        r = r.join(taken, ["folder", "base"], "left")
+        numbered_re = r"^(.*)_([2-9]|[1-9][0-9]+)\.eml$"   # the names the counter can produce
+        plain = existing.where(F.col("name").endswith(".eml")).select("folder", stem.alias("base"),
+                                                                     F.lit(1).alias("n"))
+        numbered = existing.where(F.col("name").rlike(numbered_re)).select(
+            "folder", F.regexp_extract("name", numbered_re, 1).alias("base"),
+            F.regexp_extract("name", numbered_re, 2).cast("int").alias("n"))
+        taken = plain.unionByName(numbered).distinct()
+        taken = taken.join(r.select("folder", "base").distinct(), ["folder", "base"], "left_semi")
+    if existing is None or taken.limit(1).count() == 0:  # no target name is taken: k-th file -> k
+        n = F.col("_rank")
     else:
-        r = r.withColumn("_taken", F.lit(None).cast("array<int>"))
-    taken_arr = F.coalesce(F.col("_taken"), F.array().cast("array<int>"))
-    free = F.filter(F.sequence(F.lit(1), F.col("_rank").cast("int") + F.size(taken_arr)),
-                    lambda x: ~F.array_contains(taken_arr, x))
-    n = F.element_at(free, F.col("_rank").cast("int"))
+        taken = dedup.rank_within_group(taken, ["folder", "base"], ["n"], out_col="_i")
+        t = taken.select("folder", "base", (F.col("n") - F.col("_i")).cast("double").alias("_v"),
+                         F.lit(None).cast("string").alias("path"))
+        q = r.select("folder", "base", (F.col("_rank") - 0.5).alias("_v"), "path")
+        u = dedup.rank_within_group(t.unionByName(q), ["folder", "base"], ["_v"], out_col="_n")
+        r = r.join(u.where(F.col("path").isNotNull()).select("path", "_n"), "path")
+        n = F.col("_n")
     name = F.concat(F.col("base"), F.when(n > 1, F.concat(F.lit("_"), n.cast("string"))).otherwise(F.lit("")),
                     F.lit(".eml"))
-    return r.withColumn("new_name", name).drop("_k", "_rank", "_taken")
+    return r.withColumn("new_name", name).drop("_rank", "_n")

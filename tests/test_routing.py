@@ -65,3 +65,11 @@ def test_canonical_names_collisions(spark):
     out = {r["path"]: r["new_name"] for r in R.canonical_names(ren, existing).collect()}
     assert out == {"p/x1.eml": "20240101-1000-a_2.eml", "p/x2.eml": "20240101-1000-a_4.eml",
                    "p/x3.eml": "20240101-1000-a_5.eml", "q/x.eml": "20240101-1000-a.eml"}
+
+
+def test_canonical_names_exact_names_only(spark):
+    ren = spark.createDataFrame([("p", "b", "p/1.eml"), ("p", "b", "p/2.eml")], "folder string, base string, path string")
+    existing = spark.createDataFrame([("p", "b.eml"), ("p", "b_02.eml"), ("p", "b_1.eml"), ("p", "b_2.eml"),
+                                      ("p", "b_3.eml"), ("p", "other.eml")], "folder string, name string")
+    out = {r["path"]: r["new_name"] for r in R.canonical_names(ren, existing).collect()}
+    assert out == {"p/1.eml": "b_4.eml", "p/2.eml": "b_5.eml"}
