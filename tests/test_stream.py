@@ -37,3 +37,32 @@ def test_stream_runs(spark, tmpdir_path):
     q = S.start(spark, ws, ckpt, now="2026-06-04T10:00:00Z")      # nothing new
     q.awaitTermination(300)
     assert spark.read.parquet(ws.path("offers")).count() == 3
+
+
+def test_stream_equals_batch(spark, tmpdir_path):
+    """The same mail folder processed by the batch pipeline and by one
+    availableNow stream run gives the same offers and the same ledger."""
+    from tests.test_extract import FT, IA
+
+    def fill(src):
+        write_eml(src / "linkedin" / "a.eml", "<a@x>", "L <j@linkedin.com>", "x", "Mon, 01 Jun 2026 10:00:00 +0200", LI)
+        write_eml(src / "talent-com" / "b.eml", "<b@x>", "T <n@alerts.talent.com>", "x", "Mon, 01 Jun 2026 09:00:00 +0000", TC)
+        write_eml(src / "france-travail" / "c.eml", "<c@x>", "FT <n@offre.francetravail.fr>", "x",
+                  "Tue, 02 Jun 2026 08:00:00 +0200", FT + FT)
+        write_eml(src / "indeed" / "d.eml", "<d@x>", "I <a@jobalert.indeed.com>", "x", "Tue, 02 Jun 2026 07:00:00 +0200", IA)
+        write_eml(src / "misc" / "e.eml", "<e@x>", "X <a@unknown.example>", "?", "Tue, 02 Jun 2026 08:00:00 +0200", "<p/>")
+
+    cols = ["ID", "Source", "Titre", "Entreprise", "Cle_dedup", "Doublon_ID", "Ville", "Dept", "URL", "Message_ID"]
+    fill(tmpdir_path / "s1")
+    fill(tmpdir_path / "s2")
+    wb = P.Workspace(str(tmpdir_path / "wb"), str(tmpdir_path / "s1"))
+    P.run_pipeline(spark, wb, "r1", "2026-06-03T10:00:00Z")
+    ws = P.Workspace(str(tmpdir_path / "ws"), str(tmpdir_path / "s2"))
+    S.start(spark, ws, str(tmpdir_path / "ck"), now="2026-06-03T10:00:00Z").awaitTermination(300)
+    batch = sorted(tuple(r) for r in spark.read.parquet(wb.path("offers")).select(*cols).collect())
+    stream = sorted(tuple(r) for r in spark.read.parquet(ws.path("offers")).select(*cols).collect())
+    assert batch == stream and len(batch) == 4
+    lcols = ["message_id", "fichier", "date_email", "statut_extraction"]
+    lb = sorted(tuple(r) for r in LG.read_versioned(spark, wb.path("ledger"), LG.LEDGER_SCHEMA).select(*lcols).collect())
+    ls = sorted(tuple(r) for r in LG.read_versioned(spark, ws.path("ledger"), LG.LEDGER_SCHEMA).select(*lcols).collect())
+    assert lb == ls
