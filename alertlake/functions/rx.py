@@ -34,6 +34,12 @@ def space_chars() -> str:
     return _ranges_to_class([cp for cp in range(0x3100) if chr(cp).isspace()])
 
 
+@functools.cache
+def space_list() -> str:
+    """The characters of Python's ``\\s`` on str, as a plain string (for translate)."""
+    return "".join(chr(cp) for cp in range(0x3100) if chr(cp).isspace())
+
+
 def space_class(extra: str = "") -> str:
     return "[" + space_chars() + extra + "]"
 
