@@ -20,6 +20,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The only Arrow path is the MIME decoder: raw mails can weigh hundreds of
+    # KB, so batches are capped (10 000 rows by default) to bound worker memory.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Remove checkpoint files once the checkpointed data is no longer referenced.

@@ -74,7 +74,9 @@ def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def decode_mails(files: DataFrame) -> DataFrame:
     """S2 + S3 (headers): one row per file in the ``EMAILS_SCHEMA`` shape;
-    a file that cannot be parsed gets ``parse_error`` instead of failing the job."""
+    a file that cannot be parsed gets ``parse_error`` instead of failing the job.
+    Batches follow ``spark.sql.execution.arrow.maxRecordsPerBatch`` (500 in
+    ``alertlake.session``), which bounds the memory of one Python worker."""
     return files.select("path", "content").mapInPandas(_decode_batches, EMAILS_SCHEMA)
 
 
