@@ -41,20 +41,6 @@ def first_in_array(arr: Column, key) -> Column:
     return F.filter(arr, lambda e, i: F.array_position(keys, key(e)) == i + 1)
 
 
-def first_per_native_id(df: DataFrame, doc_cols: list[str], id_cols: list[str],
-                        pos_col: str = "pos") -> DataFrame:
-    """X12 within-document dedup: keep the first match per (document, native id).
-
-    Expressed as a partial aggregation (``min_by`` of the whole row by
-    position) rather than a window, so a document with many repeats of one
-    id costs one record per map task in the shuffle.
-    """
-    payload = [c for c in df.columns if c not in doc_cols + id_cols]
-    agg = df.groupBy(*doc_cols, *id_cols).agg(
-        F.min_by(F.struct(*[F.col(c) for c in payload]), F.col(pos_col)).alias("_r"))
-    return agg.select(*doc_cols, *id_cols, *[F.col(f"_r.{c}").alias(c) for c in payload])
-
-
 def carry_forward_last(df: DataFrame, part_cols: list[str], order_col: str, value: Column,
                        out_col: str) -> DataFrame:
     """Last non-empty ``value`` at or before each row of the partition."""

@@ -33,7 +33,6 @@ from alertlake import fixed
 from alertlake.functions import text as T
 from alertlake.operators import dedup, enrich, geo, publish, route
 from alertlake.operators import extract as X
-from alertlake.operators.joins import sized_broadcast
 from alertlake.session import materialize, release_kept
 from alertlake.sources import dims, ledger as LG, mail as M
 
@@ -291,7 +290,3 @@ def run_pipeline(spark: SparkSession, ws: Workspace, run_id: str, now: str, cfg:
     report["marked"] = mark_run(spark, ws, run_id, dry_run)
     release_kept()
     return report
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    return sized_broadcast(df)[0]
