@@ -105,6 +105,22 @@ def low_watermark(ledger: DataFrame, margin_hours: int = fixed.OVERLAP_MARGIN_HO
     return agg.withColumn("after_date", after)
 
 
+def after_date(ledger: DataFrame, since_days: int | None = None, now: str | None = None,
+               margin_hours: int = fixed.OVERLAP_MARGIN_HOURS) -> str:
+    """R5 decision: the low watermark of the ledger, else ``now - since_days``
+    (``now`` as ``yyyy-MM-ddTHH:mm:ssZ``), else an error.  Returns ``yyyy/MM/dd``."""
+    import datetime as dt
+
+    got = low_watermark(ledger, margin_hours).first()["after_date"]
+    if got is not None:
+        return got
+    if since_days is not None:
+        base = (dt.datetime.strptime(now, "%Y-%m-%dT%H:%M:%SZ") if now
+                else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+        return (base - dt.timedelta(days=since_days)).strftime("%Y/%m/%d")
+    raise ValueError("no previous fetch in the ledger and no since_days given: no starting point")
+
+
 # ---------------------------------------------------------------- versioned table store
 
 def write_versioned(df: DataFrame, root: str, mode_note: str = "") -> str:

@@ -93,3 +93,12 @@ def test_resolve_ids_cap_and_cleanup(spark):
     with pytest.raises(RuntimeError):
         PB.check_cap(spark.range(201))
     PB.check_cap(spark.range(200))
+
+
+def test_after_date_fallback_and_error(spark):
+    only_sentinels = L(spark, [("a", "manual", "f", "", "2026-06-10T02:00:00Z", "", "OK")])
+    assert LG.after_date(only_sentinels, since_days=3, now="2026-06-10T12:00:00Z") == "2026/06/07"
+    with pytest.raises(ValueError):
+        LG.after_date(only_sentinels)
+    real = L(spark, [("a", "g1", "f", "", "2026-06-10T02:00:00Z", "", "OK")])
+    assert LG.after_date(real, since_days=3) == "2026/06/09"
