@@ -4,7 +4,7 @@ All state lives in Parquet tables under one workspace folder (shared
 storage on a cluster):
 
 ``emails/``        decoded mails, appended once per new file (never re-read as .eml)
-``ledger/``        versioned ledger (``CURRENT`` pointer swapped atomically)
+``ledger/``        versioned ledger (a version is current once recorded in ``_versions``)
 ``snapshots/``     PENDING ids taken before extraction, per run
 ``offers/``        offer archive, partition ``run_id`` (rewritten whole on replay)
 ``rejects/``, ``run_events/``, ``run_history/``   per run
@@ -62,13 +62,11 @@ class Workspace:
         self.sources = sources
 
     def path(self, name: str) -> str:
-        return os.path.join(self.root, name)
+        return f"{self.root.rstrip('/')}/{name}"
 
     def read(self, spark: SparkSession, name: str, schema: str) -> DataFrame:
-        p = self.path(name)
-        if not os.path.exists(p) or not any(n.endswith(".parquet") or "=" in n for n in os.listdir(p)):
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(p)
+        """A workspace table (empty with ``schema`` when not written yet)."""
+        return LG.read_table(spark, self.path(name), schema)
 
 
 EMAIL_COLS = ("path string, message_id string, from_hdr string, subject string, date_raw string, html string, "

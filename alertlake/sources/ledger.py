@@ -1,14 +1,12 @@
 """Status ledger: one row per Message-ID.
 
 The ledger is a table (Parquet), not a JSON file: upserts are a full outer
-join on ``message_id`` written to a new version folder, then a small pointer
-file is swapped atomically, so readers never see a half-written ledger.
+join on ``message_id`` written to a new version folder, which becomes current
+only once recorded, so readers never see a half-written ledger.
 """
 
 from __future__ import annotations
 
-import json
-import os
 import uuid
 from pathlib import Path
 
@@ -122,29 +120,40 @@ def after_date(ledger: DataFrame, since_days: int | None = None, now: str | None
 
 
 # ---------------------------------------------------------------- versioned table store
+#
+# Spark I/O only (works on any Hadoop-compatible store): each version is
+# written in full under a sortable name, then a one-row record is appended to
+# ``<root>/_versions``; readers take the greatest recorded version, so a crash
+# before the record leaves the previous version current.
+
+VERSIONS_SCHEMA = "version string, note string"
+
 
 def write_versioned(df: DataFrame, root: str, mode_note: str = "") -> str:
-    """Write ``df`` as a new version under ``root`` and point ``root/CURRENT`` at it.
+    import time
 
-    The pointer is written to a temp file and renamed (atomic on one file
-    system), so a crash leaves either the old or the new version current.
-    """
-    version = f"v-{uuid.uuid4().hex[:12]}"
-    target = os.path.join(root, version)
+    version = f"v-{time.strftime('%Y%m%d%H%M%S', time.gmtime())}-{time.time_ns() % 10**9:09d}-{uuid.uuid4().hex[:8]}"
+    target = f"{root.rstrip('/')}/{version}"
     df.write.mode("errorifexists").parquet(target)
-    Path(root).mkdir(parents=True, exist_ok=True)
-    tmp = os.path.join(root, f".CURRENT.{version}.tmp")
-    with open(tmp, "w", encoding="utf-8") as f:
-        json.dump({"version": version, "note": mode_note}, f)
-    os.replace(tmp, os.path.join(root, "CURRENT"))
+    df.sparkSession.createDataFrame([(version, mode_note)], VERSIONS_SCHEMA) \
+        .coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/_versions")
     return target
 
 
+def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
+    """A table that may not exist yet (then empty with ``schema``)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 def read_versioned(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """Current version of a versioned table; empty when none was written yet."""
-    ptr = os.path.join(root, "CURRENT")
-    if not os.path.exists(ptr):
+    versions = read_table(spark, f"{root.rstrip('/')}/_versions", VERSIONS_SCHEMA, "json")
+    current = versions.agg(F.max("version").alias("v")).first()["v"]
+    if current is None:
         return spark.createDataFrame([], schema)
-    with open(ptr, encoding="utf-8") as f:
-        version = json.load(f)["version"]
-    return spark.read.schema(schema).parquet(os.path.join(root, version))
+    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{current}")

@@ -15,8 +15,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -63,7 +61,6 @@ def start(spark: SparkSession, ws: P.Workspace, checkpoint: str, cfg: P.Config |
           now: str | None = None, available_now: bool = True, query_id: str = "mail-ingest") -> StreamingQuery:
     """Start the ingest stream (``availableNow`` processes what is there, then stops)."""
     cfg = cfg or P.Config()
-    os.makedirs(ws.root, exist_ok=True)
 
     def body(batch: DataFrame, batch_id: int) -> None:
         stamp = now or batch.sparkSession.range(1).select(
