@@ -33,6 +33,7 @@ from alertlake import fixed
 from alertlake.functions import text as T
 from alertlake.operators import dedup, enrich, geo, publish, route
 from alertlake.operators import extract as X
+from alertlake.operators.joins import sized_broadcast
 from alertlake.session import materialize, release_kept
 from alertlake.sources import dims, ledger as LG, mail as M
 
@@ -123,7 +124,11 @@ def index_decoded(spark: SparkSession, ws: Workspace, decoded: DataFrame, run_id
         .withColumn("run_id", F.lit(run_id)).transform(materialize)
     errors = decoded.where(F.col("message_id").isNull())
     ok = decoded.where(F.col("message_id").isNotNull())
-    known = ledger.select("message_id", F.col("fichier").alias("known_path"))
+    # Only ledger entries of this batch's Message-IDs are looked up: the batch
+    # ids (small, size-checked) are broadcast into a semi join with the ledger.
+    batch_ids, _ = sized_broadcast(ok.select("message_id").distinct(), materialize=True)
+    known = ledger.join(batch_ids, "message_id", "left_semi") \
+        .select("message_id", F.col("fichier").alias("known_path"))
     j = ok.join(known, "message_id", "left").withColumn("_k", F.split("path", "/"))
     j = dedup.first_per_key(j, ["message_id"], "_k", out_col="_first")
     dup = F.when(F.col("known_path").isNotNull(), F.col("known_path") != F.col("path")).otherwise(~F.col("_first"))
@@ -165,7 +170,14 @@ def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dr
         pending = pending.transform(materialize)
     emails = ws.read(spark, "emails", EMAIL_COLS).select("message_id", "path", "from_hdr", "subject", "html",
                                                           "sender_domain")
-    mails = pending.join(emails.withColumnRenamed("path", "fichier"), ["message_id", "fichier"], "left")
+    # pending is small next to the landed mails: it is broadcast (size-checked)
+    # into an inner join, so the stored html is read once and never shuffled;
+    # pending mails without a landed file are added back (html NULL).
+    keys = ["message_id", "fichier"]
+    pend_b, _ = sized_broadcast(pending, materialize=True)
+    found = emails.withColumnRenamed("path", "fichier").join(pend_b, keys, "inner")
+    missing = pending.join(found.select(*keys), keys, "left_anti")
+    mails = found.unionByName(missing, allowMissingColumns=True)
     routed = route.detect_provider(mails, dims.provider_dim(spark, cfg.providers))
     routed = route.dispatch(routed, cfg.extractable, F.col("html").isNotNull())
     if dry_run:
