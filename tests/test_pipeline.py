@@ -85,3 +85,20 @@ def test_dry_run_writes_nothing(spark, workspace):
     r = P.run_pipeline(spark, workspace, "r1", "2026-06-02T10:00:00Z", dry_run=True)
     assert r["index"]["rename"] >= 1
     assert not os.path.exists(workspace.path("ledger"))
+
+
+def test_failed_publish_is_recorded_and_blocks(spark, tmpdir_path):
+    from alertlake import fixed
+    ws = P.Workspace(str(tmpdir_path / "ws"), str(tmpdir_path / "none"))
+    row = {c: "" for c in fixed.OFFER_COLUMNS}
+    row.update({"ID": "not-an-id", "Titre": "x"})
+    bad = spark.createDataFrame([tuple(row[c] for c in fixed.OFFER_COLUMNS) + ("r0",)], P.OFFERS_SCHEMA)
+    bad.write.partitionBy("run_id").parquet(ws.path("offers"))
+    with pytest.raises(Exception):
+        P.publish_run(spark, ws, "b1", "2026-06-02T10:00:00Z", dry_run=False)
+    audit = spark.read.parquet(ws.path("publish_audit")).collect()
+    assert [(r["batch_id"], r["status"]) for r in audit] == [("b1", "failed")]
+    with pytest.raises(P.PublishBlocked):
+        P.check_gate(spark, ws)
+    P.ack_failures(spark, ws, "2026-06-02T11:00:00Z")
+    P.check_gate(spark, ws)
