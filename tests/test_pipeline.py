@@ -102,3 +102,12 @@ def test_failed_publish_is_recorded_and_blocks(spark, tmpdir_path):
         P.check_gate(spark, ws)
     P.ack_failures(spark, ws, "2026-06-02T11:00:00Z")
     P.check_gate(spark, ws)
+
+
+def test_csv_delta_export(spark, workspace, tmpdir_path):
+    from alertlake.sources import offers_io as IO
+    cfg = P.Config(csv_deltas=str(tmpdir_path / "deltas"))
+    P.run_pipeline(spark, workspace, "r1", "2026-06-02T10:00:00Z", cfg=cfg)
+    rows = IO.read_dated_delta(spark, cfg.csv_deltas, "r1").collect()
+    assert sorted(r["ID"] for r in rows) == ["E000001", "E000002", "E000003"]
+    assert all(r["Traite"] == "FALSE" for r in rows)
