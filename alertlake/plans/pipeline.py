@@ -4,7 +4,8 @@ All state lives in Parquet tables under one workspace folder (shared
 storage on a cluster):
 
 ``emails/``        decoded mails, appended once per new file (never re-read as .eml)
-``ledger/``        versioned ledger (a version is current once recorded in ``_versions``)
+``ledger/``        ledger hash-bucketed by Message-ID; a run writes a version of the
+                   buckets it touches, current once recorded in ``_versions``
 ``snapshots/``     PENDING ids taken before extraction, per run
 ``offers/``        offer archive, partition ``run_id`` (rewritten whole on replay)
 ``rejects/``, ``run_events/``, ``run_history/``   per run
@@ -104,7 +105,7 @@ def relative_path(path: Column, root: str) -> Column:
 
 def ingest_and_index(spark: SparkSession, ws: Workspace, run_id: str, now: str, dry_run: bool) -> dict:
     """Decode the files not yet in the ledger, then index them."""
-    ledger = LG.read_versioned(spark, ws.path("ledger"), LG.LEDGER_SCHEMA)
+    ledger = LG.read_ledger(spark, ws.path("ledger"))
     files = M.scan_mail_files(spark, ws.sources).withColumn("rel", relative_path(F.col("path"), ws.sources))
     new_files = files.join(ledger.select(F.col("fichier").alias("rel")).distinct(), "rel", "left_anti")
     decoded = M.decode_mails(new_files.select(F.col("rel").alias("path"), "content"))
@@ -117,13 +118,15 @@ def index_decoded(spark: SparkSession, ws: Workspace, decoded: DataFrame, run_id
 
     A Message-ID known under another file, or a later path (sort order) of a
     Message-ID new in this batch, is a duplicate and is not indexed."""
-    ledger = LG.read_versioned(spark, ws.path("ledger"), LG.LEDGER_SCHEMA)
     ts = M.parse_mail_date(F.col("date_raw"))
     decoded = decoded.withColumn("date_email", F.coalesce(M.local_iso(ts), F.lit(""))) \
         .withColumn("sender_domain", T.sender_domain(F.col("from_hdr"))) \
         .withColumn("run_id", F.lit(run_id)).transform(materialize)
     errors = decoded.where(F.col("message_id").isNull())
     ok = decoded.where(F.col("message_id").isNotNull())
+    # only the ledger buckets of this batch's Message-IDs are read and rewritten
+    buckets = LG.touched_buckets(ok)
+    ledger = LG.read_ledger(spark, ws.path("ledger"), buckets)
     # Only ledger entries of this batch's Message-IDs are looked up: the batch
     # ids (small, size-checked) are broadcast into a semi join with the ledger.
     batch_ids, _ = sized_broadcast(ok.select("message_id").distinct(), materialize=True)
@@ -148,7 +151,7 @@ def index_decoded(spark: SparkSession, ws: Workspace, decoded: DataFrame, run_id
             F.concat(F.lit("_duplicates/"), F.regexp_extract("path", "([^/]+)$", 1)).alias("quarantine_path"),
             F.lit(run_id).alias("run_id"))
         _overwrite_partition(dups, ws.path("quarantine"), "run_id")
-        LG.write_versioned(new_ledger.transform(materialize), ws.path("ledger"), f"index {run_id}")
+        LG.write_ledger(new_ledger.transform(materialize), ws.path("ledger"), buckets, f"index {run_id}")
     return counts
 
 
@@ -159,7 +162,7 @@ def rx_escape(s: str) -> str:
 
 def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dry_run: bool) -> dict:
     """P9 snapshot, dispatch, extraction jobs, offer rows, statuses, sinks, ledger last."""
-    ledger = LG.read_versioned(spark, ws.path("ledger"), LG.LEDGER_SCHEMA)
+    ledger = LG.read_ledger(spark, ws.path("ledger"))
     pending = ledger.where(route.is_pending(F.col("statut_extraction"), cfg.statuses)) \
         .select("message_id", "fichier", "date_email")
     snap_path = ws.path("snapshots")
@@ -218,8 +221,9 @@ def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dr
     _overwrite_partition(publish.history_row(stats, run_id).withColumn("run_id", F.lit(run_id)),
                          ws.path("run_history"), "run_id")
     _overwrite_partition(events.withColumn("run_id", F.lit(run_id)), ws.path("run_events"), "run_id")
-    LG.write_versioned(LG.set_status(ledger, status).transform(materialize), ws.path("ledger"),
-                       f"extract {run_id}")
+    buckets = LG.touched_buckets(status)
+    LG.write_ledger(LG.set_status(LG.read_ledger(spark, ws.path("ledger"), buckets), status)
+                    .transform(materialize), ws.path("ledger"), buckets, f"extract {run_id}")
     return out
 
 
@@ -277,7 +281,7 @@ def _audit(spark, ws, batch_id, status, message, now):
 def mark_run(spark: SparkSession, ws: Workspace, run_id: str, dry_run: bool) -> int:
     """J7 + A9: source ids of the run's snapshot, checked against the safety cap."""
     snap = spark.read.parquet(ws.path("snapshots")).where(F.col("run_id") == run_id)
-    ledger = LG.read_versioned(spark, ws.path("ledger"), LG.LEDGER_SCHEMA)
+    ledger = LG.read_ledger(spark, ws.path("ledger"))
     ids = publish.resolve_source_ids(snap.select("message_id"), ledger)
     publish.check_cap(ids)
     if not dry_run:

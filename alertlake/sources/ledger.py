@@ -157,3 +157,63 @@ def read_versioned(spark: SparkSession, root: str, schema: str) -> DataFrame:
     if current is None:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{current}")
+
+
+# ---------------------------------------------------------------- bucketed ledger
+#
+# The ledger is hash-bucketed by Message-ID.  A run rewrites only the buckets
+# its Message-IDs fall in; each version records the buckets it wrote, and the
+# current ledger is, per bucket, the latest version holding it.  Per-run work
+# follows the run's ids, not the whole history.
+
+N_BUCKETS = 64
+BUCKETED_VERSIONS_SCHEMA = "version string, note string, buckets array<int>"
+
+
+def bucket_of(message_id: Column, n_buckets: int = N_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(message_id), F.lit(n_buckets)).cast("int")
+
+
+def _ledger_versions(spark: SparkSession, root: str) -> DataFrame:
+    return read_table(spark, f"{root.rstrip('/')}/_versions", BUCKETED_VERSIONS_SCHEMA, "json")
+
+
+def read_ledger(spark: SparkSession, root: str, buckets: list[int] | None = None) -> DataFrame:
+    """Current ledger (optionally only some buckets); empty when never written."""
+    v = _ledger_versions(spark, root).select("version", F.explode("buckets").alias("b"))
+    if buckets is not None:
+        v = v.where(F.col("b").isin(*buckets))
+    # at most one row per bucket: a bounded list of paths
+    latest = v.groupBy("b").agg(F.max("version").alias("version")).collect()
+    paths = [f"{root.rstrip('/')}/{r['version']}/_bucket={r['b']}" for r in latest]
+    if not paths:
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(*paths)
+
+
+def touched_buckets(ids: DataFrame, n_buckets: int = N_BUCKETS) -> list[int]:
+    """Buckets of some Message-IDs (at most ``n_buckets`` numbers)."""
+    return sorted(r[0] for r in ids.select(bucket_of(F.col("message_id"), n_buckets).alias("b"))
+                  .distinct().collect())
+
+
+def write_ledger(df: DataFrame, root: str, buckets: list[int], note: str = "",
+                 n_buckets: int = N_BUCKETS) -> str | None:
+    """Write the rows of the given buckets as a new version (other buckets keep
+    their current version).  ``df`` must hold every row of those buckets."""
+    import time
+
+    if not buckets:
+        return None
+    version = f"v-{time.strftime('%Y%m%d%H%M%S', time.gmtime())}-{time.time_ns() % 10**9:09d}-{uuid.uuid4().hex[:8]}"
+    target = f"{root.rstrip('/')}/{version}"
+    rows = df.select(*LEDGER_COLUMNS).withColumn("_bucket", bucket_of(F.col("message_id"), n_buckets))
+    rows = rows.where(F.col("_bucket").isin(*buckets))
+    rows.write.mode("errorifexists").partitionBy("_bucket").parquet(target)
+    # a bucket left empty still gets a (empty) folder so that it is current
+    spark = df.sparkSession
+    for b in buckets:
+        spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(f"{target}/_bucket={b}")
+    spark.createDataFrame([(version, note, list(buckets))], BUCKETED_VERSIONS_SCHEMA) \
+        .coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/_versions")
+    return target

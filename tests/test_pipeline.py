@@ -49,7 +49,7 @@ def test_two_runs(spark, workspace):
     assert ex["offres_ecrites"] == 3 and ex["fichiers_ok"] == 3
     assert ex["erreurs"] == 1 and ex["ignores"] == 1     # unknown domain; provider without a job
     assert ex["fichiers_partiel"] == 1                   # Q2: the digest is shadowed, extracted, 0 offers
-    led = {r["message_id"]: r for r in LG.read_versioned(spark, workspace.path("ledger"), LG.LEDGER_SCHEMA).collect()}
+    led = {r["message_id"]: r for r in LG.read_ledger(spark, workspace.path("ledger")).collect()}
     assert led["<a@x>"]["fichier"] == "linkedin/a.eml"          # first path in sort order
     assert led["<a@x>"]["date_email"] == "2026-06-01T10:00:00+0200"
     assert {k: v["statut_extraction"] for k, v in led.items()} == {

@@ -16,7 +16,7 @@ def test_stream_runs(spark, tmpdir_path):
     ckpt = str(tmpdir_path / "ckpt")
     q = S.start(spark, ws, ckpt, now="2026-06-02T10:00:00Z")
     q.awaitTermination(300)
-    led = LG.read_versioned(spark, ws.path("ledger"), LG.LEDGER_SCHEMA)
+    led = LG.read_ledger(spark, ws.path("ledger"))
     assert sorted(r["message_id"] for r in led.collect()) == ["<a@x>", "<c@x>"]   # repeated id dropped
     offers = spark.read.parquet(ws.path("offers"))
     assert offers.count() == 2
@@ -26,7 +26,7 @@ def test_stream_runs(spark, tmpdir_path):
               LI.replace("9876543210", "1111111111"))
     q = S.start(spark, ws, ckpt, now="2026-06-03T10:00:00Z")
     q.awaitTermination(300)
-    led = {r["message_id"]: r for r in LG.read_versioned(spark, ws.path("ledger"), LG.LEDGER_SCHEMA).collect()}
+    led = {r["message_id"]: r for r in LG.read_ledger(spark, ws.path("ledger")).collect()}
     assert sorted(led) == ["<a@x>", "<c@x>", "<e@x>"] and led["<e@x>"]["statut_extraction"] == "OK"
     offers = spark.read.parquet(ws.path("offers"))
     assert sorted(r["ID"] for r in offers.collect()) == ["E000001", "E000002", "E000003"]
@@ -63,6 +63,6 @@ def test_stream_equals_batch(spark, tmpdir_path):
     stream = sorted(tuple(r) for r in spark.read.parquet(ws.path("offers")).select(*cols).collect())
     assert batch == stream and len(batch) == 4
     lcols = ["message_id", "fichier", "date_email", "statut_extraction"]
-    lb = sorted(tuple(r) for r in LG.read_versioned(spark, wb.path("ledger"), LG.LEDGER_SCHEMA).select(*lcols).collect())
-    ls = sorted(tuple(r) for r in LG.read_versioned(spark, ws.path("ledger"), LG.LEDGER_SCHEMA).select(*lcols).collect())
+    lb = sorted(tuple(r) for r in LG.read_ledger(spark, wb.path("ledger")).select(*lcols).collect())
+    ls = sorted(tuple(r) for r in LG.read_ledger(spark, ws.path("ledger")).select(*lcols).collect())
     assert lb == ls
