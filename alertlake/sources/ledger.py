@@ -210,9 +210,12 @@ def write_ledger(df: DataFrame, root: str, buckets: list[int], note: str = "",
     rows = df.select(*LEDGER_COLUMNS).withColumn("_bucket", bucket_of(F.col("message_id"), n_buckets))
     rows = rows.where(F.col("_bucket").isin(*buckets))
     rows.write.mode("errorifexists").partitionBy("_bucket").parquet(target)
-    # a bucket left empty still gets a (empty) folder so that it is current
+    # a touched bucket left without rows still gets an (empty) folder, so that
+    # it is current (at most n_buckets numbers read back)
     spark = df.sparkSession
-    for b in buckets:
+    written = {r[0] for r in read_table(spark, target, LEDGER_SCHEMA + ", _bucket int")
+               .select("_bucket").distinct().collect()}
+    for b in sorted(set(buckets) - written):
         spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(f"{target}/_bucket={b}")
     spark.createDataFrame([(version, note, list(buckets))], BUCKETED_VERSIONS_SCHEMA) \
         .coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/_versions")
