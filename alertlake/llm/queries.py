@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlake.llm import exact, shard, simhash, urls
+from alertlake.llm import bpe, embed, exact, langid, linededup, pack, quality, shard, simhash, urls
 from alertlake.llm.common import table
 
+#: The vocabulary file of BPE and packing.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -28,6 +32,21 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@_query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@_query("op3_embedding_dedup", embed.ORACLE)
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), quality.trusted_ids(table(spark, sf_dir, "labels")))
+
+
 @_query("op5_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -36,11 +55,26 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@_query("op6_bpe")
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 @_query("op7_sharding", shard.oracle(shard.SHARD_BYTES))
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign_shards(table(spark, sf_dir, "documents"))
 
 
+@_query("op8_line_dedup")
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.deduplicate_lines(table(spark, sf_dir, "documents"))
+
+
+@_query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 @_query("op10_url_filter", urls.oracle())
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
