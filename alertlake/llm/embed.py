@@ -74,9 +74,9 @@ def _pivots(classes: DataFrame, kind: str, block: int) -> dict:
         return {}
     wanted = classes.sparkSession.createDataFrame(
         share, T.StructType([classes.schema["label"], T.StructField("dim", T.IntegerType()),
-                             T.StructField("n", T.LongType()), T.StructField("take", T.LongType())]))
+                             T.StructField("total", T.LongType()), T.StructField("take", T.LongType())]))
     # About four times as many candidates as pivots, by hash; the first few of each label are used.
-    mark = F.pmod(F.xxhash64("vec"), F.col("n"))
+    mark = F.pmod(F.xxhash64("vec"), F.col("total"))
     sample = (classes.join(F.broadcast(wanted), ["label", "dim"]).where(mark < 4 * F.col("take"))
               .select("label", "dim", "take", "vec", mark.alias("mark")).collect())
     found: dict = {}

@@ -93,12 +93,13 @@ class Lines:
         self.key = np.zeros(count, np.uint64)
         self.key[full] = _hash_runs(word, first, held)
 
-        token = np.zeros(max(0, len(word) - shingle + 1), np.uint64)
+        many = max(0, len(word) - shingle + 1)
+        token = np.zeros(many, np.uint64)
         for k in range(shingle):
-            token += word[k:len(word) - shingle + 1 + k] * _WEIGHTS[100 + k]
-        inside = line[:len(token)] == line[shingle - 1:]
+            token += word[k:k + many] * _WEIGHTS[100 + k]
+        inside = line[:many] == line[shingle - 1:shingle - 1 + many]
         short = held < shingle
-        owner = np.concatenate([line[:len(token)][inside], full[short]])
+        owner = np.concatenate([line[:many][inside], full[short]])
         token = np.concatenate([_mix(token[inside]), self.key[full[short]]])
         order = np.lexsort((token, owner))
         owner, token = owner[order], token[order]
