@@ -68,9 +68,9 @@ def _hash_runs(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.nd
 
 
 class Lines:
-    """The lines of a slice of texts: for each line its text's number, place, key, and different tokens."""
+    """The lines of a slice of texts: for each line its text's number, place, and key (0 without words)."""
 
-    def __init__(self, texts: pa.Array, shingle: int = SHINGLE):
+    def __init__(self, texts: pa.Array):
         raw = [(t or "").encode() for t in texts.to_pylist()]
         data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
         breaks = np.flatnonzero(data == 10)
@@ -82,33 +82,53 @@ class Lines:
         space = _SPACE[data]
         begin = np.flatnonzero(~space & np.append(True, space[:-1]))
         size = np.flatnonzero(space & np.append(False, ~space[:-1])) - begin
-        count = len(breaks)
-        if not len(begin):
-            self.key, self.line, self.token = np.zeros(count, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64)
-            self.n = np.zeros(count, np.int64)
-            return
-        word = _hash_runs(data[~space].astype(np.uint64) + _U(1), np.cumsum(size) - size, size)
-        line = np.searchsorted(breaks, begin)
-        full, first, held = np.unique(line, return_index=True, return_counts=True)
-        self.key = np.zeros(count, np.uint64)
-        self.key[full] = _hash_runs(word, first, held)
-
+        self.key = np.zeros(len(breaks), np.uint64)
+        self.words = np.zeros(len(breaks), np.int64)
+        self.word = np.empty(0, np.uint64)
+        self.of = np.empty(0, np.int64)
+        if len(begin):
+            self.word = _hash_runs(data[~space].astype(np.uint64) + _U(1), np.cumsum(size) - size, size)
+            self.of = np.searchsorted(breaks, begin)
+            full, first, held = np.unique(self.of, return_index=True, return_counts=True)
+            self.key[full] = _hash_runs(self.word, first, held)
+            self.words[full] = held
+
+    def first(self) -> np.ndarray:
+        """Which lines with words are the first of their key."""
+        _, at = np.unique(self.key, return_index=True)
+        out = np.zeros(len(self.key), bool)
+        out[at] = True
+        return out & (self.words > 0)
+
+    def tokens(self, use: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of the chosen lines, each as often as it occurs, and their lines, in order."""
+        some = use[self.of]
+        word, of = self.word[some], self.of[some]
         many = max(0, len(word) - shingle + 1)
         token = np.zeros(many, np.uint64)
         for k in range(shingle):
             token += word[k:k + many] * _WEIGHTS[100 + k]
-        inside = line[:many] == line[shingle - 1:shingle - 1 + many]
-        short = held < shingle
-        owner = np.concatenate([line[:many][inside], full[short]])
-        token = np.concatenate([_mix(token[inside]), self.key[full[short]]])
-        order = np.lexsort((token, owner))
-        owner, token = owner[order], token[order]
-        new = np.append(True, (owner[1:] != owner[:-1]) | (token[1:] != token[:-1]))
-        self.line, self.token = owner[new], token[new]
-        self.n = np.bincount(self.line, minlength=count)
+        inside = of[:many] == of[shingle - 1:shingle - 1 + many]
+        short = np.flatnonzero(use & (self.words > 0) & (self.words < shingle))
+        return np.concatenate([_mix(token[inside]), self.key[short]]), np.concatenate([of[:many][inside], short])
+
+    def sets(self, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The different tokens of the chosen lines, by line and token, and their lines."""
+        token, line = self.tokens(use)
+        # One sort by line and a token's high bits; where these agree for different tokens, one by both.
+        rough = (line.astype(np.uint64) << _U(40)) | (token >> _U(24))
+        order = np.argsort(rough)
+        token, line, rough = token[order], line[order], rough[order]
+        if len(line) and (int(line[-1]) >= 1 << 24 or np.any((rough[1:] == rough[:-1]) & (token[1:] != token[:-1]))):
+            order = np.lexsort((token, line))
+            token, line = token[order], line[order]
+        new = np.ones(len(token), bool)
+        new[1:] = (line[1:] != line[:-1]) | (token[1:] != token[:-1])
+        return token[new], line[new]
+
 
-    def cells(self) -> np.ndarray:
-        return (self.token & _U(CELLS - 1)).astype(np.int64)
+def _cells(token: np.ndarray) -> np.ndarray:
+    return (token & _U(CELLS - 1)).astype(np.int64)
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -116,7 +136,7 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Lines]]:
-    for part in slices(batches, "text", 2 << 20):
+    for part in slices(batches, "text", 1 << 20):
         yield part, Lines(part.column(part.schema.get_field_index("text")))
 
 
@@ -124,17 +144,17 @@ def _lines_and_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     """Step 1: a row for each line, and at the end the token counts of the task."""
     row, sketch = TaskContext.get().partitionId() << 33, np.zeros(CELLS, np.int64)
     for part, lines in _read(batches):
-        sketch += np.bincount(lines.cells(), minlength=CELLS)
+        sketch += np.bincount(_cells(lines.tokens(lines.words > 0)[0]), minlength=CELLS)
         n = len(lines.key)
         yield pa.RecordBatch.from_arrays(
             [part.column(0).take(pa.array(lines.text)), pa.array(lines.text + row), pa.array(lines.place.astype(np.int32)),
-             _long(lines.key), pa.array(lines.n.astype(np.int32)), pa.nulls(n, pa.binary())],
-            names=["doc_id", "row", "line", "key", "n", "sketch"])
+             _long(lines.key), pa.array(lines.words.astype(np.int32)), pa.nulls(n, pa.binary())],
+            names=["doc_id", "row", "line", "key", "words", "sketch"])
         row += part.num_rows
     packed = zlib.compress(sketch.astype("<i8").tobytes(), 1)
     yield pa.RecordBatch.from_arrays(
         [pa.nulls(1, pa.int64()), *[pa.array([0], t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int32())],
-         pa.array([packed], pa.binary())], names=["doc_id", "row", "line", "key", "n", "sketch"])
+         pa.array([packed], pa.binary())], names=["doc_id", "row", "line", "key", "words", "sketch"])
 
 
 def _add_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,15 +178,13 @@ def _prefixes(rarity):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, lines in _read(batches):
-            _, first = np.unique(lines.key, return_index=True)
-            once = np.zeros(len(lines.key), bool)
-            once[first] = True
-            use = once[lines.line]
-            line, token = lines.line[use], lines.token[use]
-            order = np.lexsort((token, rarity.value[lines.cells()[use]], line))
+            token, line = lines.sets(lines.first())
+            # The rarest first; tokens of equal rarity stay in their order.
+            rare = np.minimum(rarity.value[_cells(token)], (1 << 32) - 1)
+            order = np.argsort((line << 32) + rare, kind="stable")
             line, token = line[order], token[order]
-            n = lines.n[line]
             held = np.bincount(line, minlength=len(lines.key))
+            n = held[line]
             at = np.arange(len(line)) - (np.cumsum(held) - held)[line]
             use = at <= n - -(-n * NUMERATOR // DENOMINATOR)
             yield pa.RecordBatch.from_arrays(
@@ -257,12 +275,11 @@ def _token_sets(bitmap):
         for _, lines in _read(batches):
             bit = lines.key & _U(FILTER_BITS - 1)
             on = (bitmap.value[(bit >> _U(3)).astype(np.int64)] >> (bit & _U(7)).astype(np.uint8)) & 1
-            keys, first = np.unique(lines.key, return_index=True)
-            first = first[(on[first] == 1) & (lines.n[first] > 0)]
-            begin = np.cumsum(lines.n) - lines.n
+            token, line = lines.sets(lines.first() & (on == 1))
+            owner, first = np.unique(line, return_index=True)
+            cuts = np.append(first, len(token)).tolist()
             yield pa.RecordBatch.from_arrays(
-                [_long(lines.key[first]),
-                 pa.array([lines.token[begin[i]:begin[i] + lines.n[i]].tobytes() for i in first], pa.binary())],
+                [_long(lines.key[owner]), pa.array([token[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())],
                 names=["key", "tokens"])
 
     return run
@@ -286,17 +303,29 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 4: the keys of lines with an earlier match; a tile's rows come together."""
 
-    def compare(rows: pa.Table) -> list[int]:
-        sets = [np.frombuffer(t.as_buffer(), np.uint64) for t in rows.column("tokens")]
-        keys = rows.column("key").to_numpy()
-        order = np.lexsort([rows.column(c).to_numpy() for c in ("line", "row", "doc")])
-        rank = np.empty(len(order), int)
-        rank[order] = np.arange(len(order))
+    def compare(sets: list[np.ndarray], rank: np.ndarray) -> np.ndarray:
+        """Which sets match one of a smaller rank."""
         n = np.array([len(s) for s in sets])
+        if len(sets) == 2:
+            a, b = sets
+            at = np.searchsorted(b, a)
+            at[at == len(b)] = 0
+            both = int(np.count_nonzero(b[at] == a))
+            if both * DENOMINATOR < (n[0] + n[1] - both) * NUMERATOR:
+                return np.empty(0, int)
+            return np.array([int(rank[1] > rank[0])])
         shared = _overlaps(sets)
         near = shared * DENOMINATOR >= (n[:, None] + n - shared) * NUMERATOR
         near &= rank[None] < rank[:, None]
-        return keys[near.any(axis=1)].tolist()
+        return np.flatnonzero(near.any(axis=1))
+
+    def run(rows: pa.Table, cuts: list[int]) -> pa.RecordBatch:
+        keys = rows.column("key").to_numpy()
+        sets = [np.frombuffer(t, np.uint64) for t in rows.column("tokens").to_pylist()]
+        rank = np.empty(len(keys), int)
+        rank[np.lexsort([rows.column(c).to_numpy() for c in ("line", "row", "doc")])] = np.arange(len(keys))
+        found = [keys[a:b][compare(sets[a:b], rank[a:b])] for a, b in zip(cuts, cuts[1:]) if b - a > 1]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([keys[:0], *found]))], names=["key"])
 
     held: pa.Table | None = None
     for batch in batches:
@@ -304,16 +333,15 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = now if held is None else pa.concat_tables([held, now])
         if not held.num_rows:
             continue
-        names = [held.column(c).to_numpy() for c in ("gid", "down", "across")]
         new = np.zeros(held.num_rows - 1, bool)
-        for x in names:
+        for c in ("gid", "down", "across"):
+            x = held.column(c).to_numpy()
             new |= x[1:] != x[:-1]
         cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
-        found = [k for a, b in zip(cuts, cuts[1:]) for k in compare(held.slice(a, b - a))]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["key"])
+        yield run(held.slice(0, cuts[-1]), cuts)
         held = held.slice(cuts[-1]).combine_chunks()
     if held is not None and held.num_rows:
-        yield pa.RecordBatch.from_arrays([pa.array(compare(held), pa.int64())], names=["key"])
+        yield run(held, [0, held.num_rows])
 
 
 def _tiles(members: DataFrame) -> DataFrame:
@@ -337,7 +365,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are not read."""
     bound_batches(docs.sparkSession)
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    first = save(source.mapInArrow(_lines_and_sketch, "doc_id long, row long, line int, key long, n int, sketch binary"))
+    first = save(source.mapInArrow(_lines_and_sketch, "doc_id long, row long, line int, key long, words int, sketch binary"))
     rarity = _rarity(first.where("sketch is not null").select("sketch"))
     lines = first.where("sketch is null").drop("sketch")
 
@@ -350,7 +378,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .groupBy("key").agg(F.first("tokens").alias("tokens")))
     # A line's place is that of its first copy; one row for each copied key and task is shuffled.
     place = F.struct(F.coalesce("doc_id", F.lit(-1 << 63)).alias("doc"), "row", "line")
-    firsts = save(lines.where("n > 0").groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies")))
+    firsts = save(lines.where("words > 0").groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies")))
     whole = save(sets.join(firsts.select("key", "first.*"), "key").join(keys, "key", "left_semi"))
     tiles = _tiles(members).join(whole, "key")
     found = save(tiles.repartition("gid", "down", "across").sortWithinPartitions("gid", "down", "across")
@@ -362,7 +390,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = lines.join(marked, "key", "left")
     gone = F.coalesce("matched", F.lit(False)) | (F.col("first").isNotNull() & ~(
         (F.col("row") == F.col("first.row")) & (F.col("line") == F.col("first.line"))))
-    return joined.select(F.col("doc_id").alias(id_col), "row", "line", (gone & (F.col("n") > 0)).alias("removed"))
+    return joined.select(F.col("doc_id").alias(id_col), "row", "line", (gone & (F.col("words") > 0)).alias("removed"))
 
 
 def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
