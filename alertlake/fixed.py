@@ -22,8 +22,6 @@ RAW_OFFER_FIELDS = [
     "salaire_min", "salaire_max", "url", "url_qualite", "notes",
 ]
 
-URL_QUALITY_VALUES = ["construite", "email", "vide"]
-
 ID_PREFIX = "E"
 ID_FORMAT = "E%06d"
 
@@ -247,12 +245,6 @@ CONTRACT_TERMS = {
     "talent_com": ["CDI", "CDD", "Alternance", "Stage", "Freelance", "Indépendant"],
 }
 
-# Canonical short URL templates for provider-native offer ids.
-URL_TEMPLATES = {
-    "indeed_alerte": "https://fr.indeed.com/viewjob?jk={}",
-    "linkedin": "https://www.linkedin.com/jobs/view/{}",
-}
-
 # Footer links of one provider that look like offer titles.
 TALENT_FOOTER_TITLES = [
     "contactez-nous",
@@ -285,3 +277,9 @@ TALENT_MAX_ANCHORS = 20
 
 # Canonical mail file name: yyyyMMdd-HHmm-<stem>[_n].eml
 CANONICAL_NAME_PREFIX_RE = r"^\d{8}-\d{4}-"
+
+# Zone names of the old mail date format and their offsets.
+ZONE_OFFSETS = [("Z", "+0000"), ("UT", "+0000"), ("UTC", "+0000"), ("GMT", "+0000"), ("EST", "-0500"), ("EDT", "-0400"),
+                ("CST", "-0600"), ("CDT", "-0500"), ("MST", "-0700"), ("MDT", "-0600"), ("PST", "-0800"), ("PDT", "-0700")]
+# Published columns that a sheet must keep as text.
+FORCE_TEXT_COLUMNS = ("Source", "Dept")

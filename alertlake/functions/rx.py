@@ -70,11 +70,3 @@ def escape(literal: str) -> str:
 def sql_quote(s: str) -> str:
     """SQL string literal."""
     return "'" + s.replace("'", "''") + "'"
-
-
-def is_valid_python(pattern: str) -> bool:
-    try:
-        re.compile(pattern)
-        return True
-    except re.error:
-        return False

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertlake import fixed
@@ -144,8 +144,10 @@ def extract_indeed_match(emails: DataFrame) -> DataFrame:
                       F.when(has, _strip(F.regexp_extract(subj, r"(?s)^(.*) – (.*)$", 2))).alias("entreprise"),
                       T.clean_html(F.col("html")).alias("_text"))
     m = m.where(F.coalesce("titre", F.lit("")) != "")
-    segs = F.regexp_extract_all(
-        "_text", F.concat(F.lit("(?s)\\Q"), F.col("entreprise"), F.lit("\\E(?=(.{0,160}))")), 1)
+    # the company as a literal, also where it holds the quoting's own end mark; without one there is no place
+    literal = F.replace(F.col("entreprise"), F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    segs = F.when(F.col("entreprise") != "", F.regexp_extract_all(
+        "_text", F.concat(F.lit("(?s)\\Q"), literal, F.lit("\\E(?=(.{0,160}))")), 1))
     seg = F.get(F.filter(segs, lambda s: s.rlike(rx.java(IM_LOC))), 0)
     g = lambda i: F.regexp_extract(seg, rx.java(IM_LOC), i)
     ville = (F.when(g(1) != "", _strip(g(2))).when(g(3) != "", _strip(g(3)))
@@ -227,16 +229,33 @@ JJ_SALARY_NUM = r"([0-9][0-9" + WSC + r"]+)" + WS + r"*<span itemprop=['\"]salar
 JJ_SALARY = JJ_SALARY_NUM + WS + r"*à" + WS + r"*" + JJ_SALARY_NUM + WS + r"*(par an|par mois)"
 
 
+def _after(state: Column, match: Column) -> Column:
+    """The starts so far and that of the next match, searched from the last one's end."""
+    at = F.call_function("locate", match, F.col("html"), state["next"])
+    return F.struct((at + F.length(match)).alias("next"), F.concat(state["all"], F.array(at)).alias("all"))
+
+
 def extract_jobijoba(emails: DataFrame) -> DataFrame:
-    pieces = emails.select("message_id", F.posexplode(F.split("html", "(?d)(?=" + JJ_TITLE + ")")).alias("_i", "block"))
-    # A card's link opens before its title: carry the last link of earlier pieces forward.
-    w = Window.partitionBy("message_id").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.withColumn("_last_link", F.get(F.reverse(F.regexp_extract_all("block", F.lit(JJ_CLIC), 1)), 0))
-    pieces = pieces.withColumn("url", F.last("_last_link", ignorenulls=True).over(w))
-    b = pieces.where(F.col("block").rlike("^" + JJ_TITLE))
-    b = b.withColumn("titre", _strip(T.clean_entities(F.regexp_extract("block", "^" + JJ_TITLE, 1))))
-    b = b.withColumn("platform", _strip(F.regexp_extract("block", "^" + JJ_TITLE, 2)))
-    b = b.where(F.length("titre") >= 4).withColumn("pos", F.col("_i").cast("bigint"))
+    # Titles are found one after another, each behind the end of the one before; a card reaches from
+    # its title to the next one.  All on the row's own arrays: nothing is shuffled.
+    found = F.regexp_extract_all("html", F.lit(JJ_TITLE), 0)
+    starts = F.aggregate(
+        "_titles", F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("all")),
+        _after)["all"]
+    m = emails.withColumn("_titles", found).where(F.size("_titles") > 0).withColumn("_starts", starts)
+    ends = F.concat(F.slice("_starts", 2, F.size("_starts")), F.array(F.length("html") + 1))
+    pieces = F.concat(F.array(F.substring("html", F.lit(1), F.get("_starts", F.lit(0)) - 1)),
+                      F.zip_with("_starts", ends, lambda a, b: F.substring(F.col("html"), a, b - a)))
+    m = m.withColumn("_pieces", pieces)
+    # A card's link opens before its title: the last link of all earlier pieces.
+    last = F.transform("_pieces", lambda x: F.get(F.reverse(F.regexp_extract_all(x, F.lit(JJ_CLIC), 1)), 0))
+    m = m.withColumn("_links", last).select(
+        "message_id", "_links", F.posexplode(F.arrays_zip(
+            F.col("_titles").alias("title"), F.slice("_pieces", 2, F.size("_starts")).alias("block"))).alias("_i", "_c"))
+    m = m.withColumn("url", F.get(F.reverse(F.filter(F.slice("_links", F.lit(1), F.col("_i") + 1), lambda x: x.isNotNull())), 0))
+    b = m.select("message_id", "url", (F.col("_i") + 1).cast("bigint").alias("pos"), F.col("_c.block").alias("block"),
+                 _strip(T.clean_entities(F.regexp_extract("_c.title", JJ_TITLE, 1))).alias("titre"),
+                 _strip(F.regexp_extract("_c.title", JJ_TITLE, 2)).alias("platform")).where(F.length("titre") >= 4)
     period = F.regexp_extract("block", JJ_SALARY, 3)
     factor = F.when(period == "par mois", F.lit(12)).otherwise(F.lit(1))
     amt = lambda g: (F.regexp_replace(F.regexp_extract("block", JJ_SALARY, g), WS, "").try_cast("bigint") * factor)

@@ -36,9 +36,16 @@ def explode_matches(df: DataFrame, text_col: str, pattern: str, groups: dict[str
 
 
 def first_in_array(arr: Column, key) -> Column:
-    """Elements whose ``key`` does not occur earlier in the array (order kept)."""
-    keys = F.transform(arr, key)
-    return F.filter(arr, lambda e, i: F.array_position(keys, key(e)) == i + 1)
+    """Elements whose ``key`` does not occur earlier in the array (order kept).
+
+    The array and its keys are bound to lambda variables, so the regexes that make
+    the array run once per row, not once per element."""
+    def first(a: Column) -> Column:
+        both = F.struct(a.alias("a"), F.transform(a, key).alias("k"))
+        return F.element_at(F.transform(F.array(both), lambda b: F.filter(
+            b["a"], lambda e, i: F.array_position(b["k"], F.get(b["k"], i)) == i + 1)), 1)
+
+    return F.element_at(F.transform(F.array(arr), first), 1)
 
 
 def carry_forward_last(df: DataFrame, part_cols: list[str], order_col: str, value: Column,

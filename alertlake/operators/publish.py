@@ -9,9 +9,6 @@ from alertlake import fixed
 from alertlake.functions import text as T
 from alertlake.operators import dedup
 
-FORCE_TEXT_COLUMNS = ("Source", "Dept")
-
-
 def max_published(published: DataFrame, id_col: str = "ID") -> Column:
     """A2: greatest published offer number, 0 when nothing is published (strict parse)."""
     return F.coalesce(F.max(T.parse_offer_id_strict(F.col(id_col))), F.lit(0)).cast("bigint")
@@ -34,7 +31,7 @@ def publish_shape(rows: DataFrame, headers: list[str] | None = None,
         v = F.coalesce(F.col(h).cast("string"), F.lit("")) if h in rows.columns else F.lit("")
         if h == "Traite":
             v = F.when(F.coalesce(F.col("Raison_exclusion"), F.lit("")) != "", F.lit("TRUE")).otherwise(F.lit("FALSE"))
-        elif h in FORCE_TEXT_COLUMNS:
+        elif h in fixed.FORCE_TEXT_COLUMNS:
             v = F.when(v != "", F.concat(F.lit("'"), v)).otherwise(v)
         cols.append(v.alias(h))
     return rows.select(*cols, *[c for c in keep if c in rows.columns])
@@ -67,10 +64,10 @@ def resolve_source_ids(message_ids: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def check_cap(df: DataFrame, cap: int = fixed.MAX_MESSAGES_PER_RUN) -> None:
-    """Refuse a batch above the safety cap (reads at most cap + 1 rows)."""
-    n = df.limit(cap + 1).count()
+    """Refuse a batch above the safety cap."""
+    n = df.count()
     if n > cap:
-        raise RuntimeError(f"{n if n <= cap else f'more than {cap}'} messages to mark, above the safety cap ({cap})")
+        raise RuntimeError(f"{n} messages to mark, above the safety cap ({cap})")
 
 
 def processed_source_ids(ledger: DataFrame) -> DataFrame:

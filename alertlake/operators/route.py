@@ -153,7 +153,7 @@ def canonical_names(renames: DataFrame, existing: DataFrame | None = None) -> Da
                                                                      F.lit(1).alias("n"))
         numbered = existing.where(F.col("name").rlike(numbered_re)).select(
             "folder", F.regexp_extract("name", numbered_re, 1).alias("base"),
-            F.regexp_extract("name", numbered_re, 2).cast("int").alias("n"))
+            F.regexp_extract("name", numbered_re, 2).try_cast("bigint").alias("n")).where("n is not null")
         taken = plain.unionByName(numbered).distinct()
         taken = taken.join(r.select("folder", "base").distinct(), ["folder", "base"], "left_semi")
     if existing is None or taken.limit(1).count() == 0:  # no target name is taken: k-th file -> k

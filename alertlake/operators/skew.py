@@ -6,11 +6,12 @@ pattern used instead everywhere in this package:
 
 1. ``groupBy(key).agg(...)``: partial (map-side) aggregation, so a hot key
    costs one small record per map task in the shuffle;
-2. join the per-key result back, salting the hot keys: rows of a hot key are
-   spread over ``buckets`` salt values and the (single) stats row of that key
-   is replicated to every salt.  The hot-key list is the top ``max_hot`` keys
-   above ``hot_rows`` rows, so its broadcast size is bounded by construction.
-   Keys beyond that list are still split at run time by AQE's skew join.
+2. join the per-key result back.  The statistics rows of the hottest keys (a list
+   of at most ``max_hot``, so bounded by construction) are broadcast: rows of a
+   hot key stay where they are.  All other rows are joined by shuffle, where
+   AQE still splits a partition that turns out large.
+
+Keys are compared null-safely: rows with a NULL key form a group like any other.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from alertlake.session import keep
 
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_MAX_HOT = 1_000
-DEFAULT_BUCKETS = 64
 
 
 def hot_keys(stats: DataFrame, keys: list[str], count_col: str,
@@ -33,33 +33,34 @@ def hot_keys(stats: DataFrame, keys: list[str], count_col: str,
             .select(*keys, F.lit(True).alias("_hot")))
 
 
+def _joined(rows: DataFrame, stats: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``rows JOIN stats`` on null-safe equality of the keys, with one copy of them."""
+    renamed = stats.select(*[F.col(k).alias(f"_s_{k}") if k in keys else F.col(k) for k in stats.columns])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+    return rows.join(renamed, same, how).drop(*[f"_s_{k}" for k in keys])
+
+
 def join_back(rows: DataFrame, stats: DataFrame, keys: list[str], count_col: str,
-              how: str = "left", hot_rows: int | None = None,
-              max_hot: int | None = None, buckets: int | None = None) -> DataFrame:
-    """``rows JOIN stats USING (keys)`` with hot keys salted.
+              how: str = "left", hot_rows: int | None = None, max_hot: int | None = None) -> DataFrame:
+    """``rows JOIN stats USING (keys)``, null-safe, without shuffling the rows of hot keys.
 
-    ``stats`` must hold one row per key and a row-count column ``count_col``
-    (used to find hot keys).  The hot-key list (at most ``max_hot`` keys, a
-    proven bound) is read on the driver: when it is empty the plan is a plain
-    join; otherwise rows of a hot key spread over ``buckets`` salts and that
-    key's stats row is replicated per salt.  The salt of a row does not affect
-    the result: every salt of a hot key meets a copy of its stats row.
-    """
+    ``stats`` must hold one row per key and a row-count column ``count_col`` (used to
+    find hot keys).  Without a hot key the plan is a plain join."""
     hot_rows = DEFAULT_HOT_ROWS if hot_rows is None else hot_rows
     max_hot = DEFAULT_MAX_HOT if max_hot is None else max_hot
-    buckets = DEFAULT_BUCKETS if buckets is None else buckets
     # One row per key, read twice (hot-key list and the join): kept once.
     stats = keep(stats)
-    hot = [tuple(r) for r in hot_keys(stats, keys, count_col, hot_rows, max_hot).select(*keys).collect()]
-    if not hot:
-        return rows.join(stats, keys, how)
-    key = F.struct(*[F.col(k) for k in keys])
-    lits = [F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, h)]) for h in hot]
-    is_hot = key.isin(*lits)
-    salted_rows = rows.withColumn("_salt", F.when(is_hot, (F.rand(7) * buckets).cast("int")).otherwise(F.lit(0)))
-    salted_stats = stats.withColumn("_salt", F.explode(
-        F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))))
-    return salted_rows.join(salted_stats, keys + ["_salt"], how).drop("_salt")
+    hot = keep(hot_keys(stats, keys, count_col, hot_rows, max_hot))
+    if hot.isEmpty():
+        return _joined(rows, stats, keys, how)
+    marked = _joined(rows, F.broadcast(hot), keys, "left")
+    is_hot = F.col("_hot").isNotNull()
+    hot_stats = _joined(stats, F.broadcast(hot), keys, "inner").drop("_hot")
+    warm = _joined(marked.where(is_hot).drop("_hot"), F.broadcast(hot_stats), keys, how)
+    cold = _joined(marked.where(~is_hot).drop("_hot"), stats, keys, how)
+    return warm.unionByName(cold)
 
 
 def with_group_stats(rows: DataFrame, keys: list[str], aggs: list, count_col: str = "_grp_n",

@@ -12,7 +12,8 @@ storage on a cluster):
 ``published/``     published rows, partition ``batch_id``
 ``publish_audit/`` one row per publish attempt (the gate reads it)
 ``routed/``        mails of a run with their provider, partitioned by run and provider
-``quarantine/``    duplicate files of a run (R13)
+``quarantine/``    duplicate files of a run (R13), under a name free in the quarantine
+``index_errors/``  files of a run that cannot be indexed: no Message-ID, or no readable date
 ``to_mark/``       source ids to mark as processed, per run
 
 Write order follows the reference: offers, rejects, history, events, then
@@ -26,17 +27,18 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertlake import fixed
 from alertlake.functions import text as T
-from alertlake.operators import dedup, enrich, geo, publish, route
+from alertlake.operators import dedup, enrich, fetch, geo, publish, route
 from alertlake.operators import extract as X
 from alertlake.operators.joins import sized_broadcast
 from alertlake.session import materialize, release_kept
-from alertlake.sources import dims, ledger as LG, mail as M
+from alertlake.sources import dims, ledger as LG, mail as M, offers_io
 
 OFFERS_SCHEMA = ", ".join(f"`{c}` string" for c in fixed.OFFER_COLUMNS) + ", run_id string"
 AUDIT_SCHEMA = "batch_id string, status string, message string, recorded_at string, acked_at string"
@@ -56,12 +58,18 @@ class Config:
     canonical: str = "last"          # archive key -> ID: last archived row (reproduced) or first
     statuses: tuple = ("PENDING",)   # statuses (re)processed by extraction
     csv_deltas: str | None = None    # folder for dated CSV deltas (S9), None = Parquet only
+    csv_headers: bool | None = None  # header line of those files: always, never, None = automatic
+    geocode: DataFrame | None = None  # (city, postcode) reference of J5
+    mark_cap: int | None = None      # A9: most messages that a run may mark, checked before publishing (None = off)
+    sender_domains: list = field(default_factory=list)  # R4: active sender domains of a fetch (none: those of the providers)
 
 
 class Workspace:
     def __init__(self, root: str, sources: str):
         self.root = root
         self.sources = sources
+        self.preview: tuple[DataFrame, DataFrame] | None = None  # mails and ledger of a dry run
+        self.preview_offers: DataFrame | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -71,29 +79,36 @@ class Workspace:
         return LG.read_table(spark, self.path(name), schema)
 
 
+QUARANTINE_SCHEMA = "path string, message_id string, known_path string, quarantine_path string, run_id string"
 EMAIL_COLS = ("path string, message_id string, from_hdr string, subject string, date_raw string, html string, "
               "text string, parse_error string, date_email string, sender_domain string, run_id string")
 
 
-def _overwrite_partition(df: DataFrame, path: str, col: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(col).parquet(path))
+def _replace_run(df: DataFrame, path: str, run: str, col: str = "run_id") -> None:
+    """Write a run's rows as its partition, in place of whatever it held: a replay without rows leaves it empty."""
+    df.write.mode("overwrite").parquet(f"{path}/{col}={run}")
 
 
 def check_gate(spark: SparkSession, ws: Workspace) -> None:
-    state = publish.gate_state(ws.read(spark, "publish_audit", AUDIT_SCHEMA)).first()
+    state = publish.gate_state(_audit_state(spark, ws)).first()
     if state["blocked"]:
         raise PublishBlocked(f"publish blocked: unacknowledged failure recorded at {state['last_failure_at']}")
 
 
 def ack_failures(spark: SparkSession, ws: Workspace, now: str) -> None:
-    """Acknowledge every recorded failure (the gate opens again)."""
+    """Acknowledge every recorded failure (the gate opens again).
+
+    Acknowledged rows are appended, nothing is rewritten: a crash leaves the gate closed."""
+    open_rows = _audit_state(spark, ws).where((F.col("status") == "failed") & F.col("acked_at").isNull())
+    open_rows.withColumn("acked_at", F.lit(now)).transform(materialize) \
+        .write.mode("append").parquet(ws.path("publish_audit"))
+
+
+def _audit_state(spark: SparkSession, ws: Workspace) -> DataFrame:
+    """One row per publish attempt; an attempt is acknowledged once any of its rows is."""
     audit = ws.read(spark, "publish_audit", AUDIT_SCHEMA)
-    acked = audit.withColumn("acked_at", F.when((F.col("status") == "failed") & F.col("acked_at").isNull(),
-                                                F.lit(now)).otherwise(F.col("acked_at")))
-    tmp = ws.path(f"publish_audit.{now.replace(':', '')}.tmp")
-    acked.write.mode("overwrite").parquet(tmp)
-    spark.read.parquet(tmp).write.mode("overwrite").parquet(ws.path("publish_audit"))
+    return audit.groupBy("batch_id", "status", "message", "recorded_at").agg(F.max("acked_at").alias("acked_at")) \
+        .select("batch_id", "status", "message", "recorded_at", "acked_at")
 
 
 def relative_path(path: Column, root: str) -> Column:
@@ -104,12 +119,43 @@ def relative_path(path: Column, root: str) -> Column:
 
 
 def ingest_and_index(spark: SparkSession, ws: Workspace, run_id: str, now: str, dry_run: bool) -> dict:
-    """Decode the files not yet in the ledger, then index them."""
+    """Decode the files that no run has seen, then index them.
+
+    Paths are listed without their content and compared with the ledger, the quarantine and the index errors;
+    only the new ones are then read (their list is part of Spark's own listing of the folder)."""
+    seen = LG.read_ledger(spark, ws.path("ledger")).select(F.col("fichier").alias("rel"))
+    for name in ("quarantine", "index_errors"):
+        # a replayed run finds its own files again
+        seen = seen.unionByName(ws.read(spark, name, "path string, run_id string").where(F.col("run_id") != run_id)
+                                .select(F.col("path").alias("rel")))
+    listed = M.scan_mail_files(spark, ws.sources).select("path", relative_path(F.col("path"), ws.sources).alias("rel"))
+    new = [r.path for r in listed.join(seen.distinct(), "rel", "left_anti").select("path").collect()]
+    files = M.read_mail_files(spark, new).select(relative_path(F.col("path"), ws.sources).alias("path"), "content")
+    return index_decoded(spark, ws, M.decode_mails(files), run_id, now, dry_run)
+
+
+LISTING_SCHEMA = "gmail_id string, from_hdr string, date_ts timestamp, raw string"
+
+
+def fetch_and_index(spark: SparkSession, ws: Workspace, cfg: Config, listing: DataFrame, run_id: str, now: str,
+                    dry_run: bool, since_days: int | None = None) -> dict:
+    """Index the messages of a listing (``LISTING_SCHEMA``; ``raw`` is URL-safe base64).
+
+    Messages of active senders since the ledger's low watermark, not known by their source id, are decoded and
+    indexed with that id and ``fetched_at = now``; so the run can later mark them at their source."""
     ledger = LG.read_ledger(spark, ws.path("ledger"))
-    files = M.scan_mail_files(spark, ws.sources).withColumn("rel", relative_path(F.col("path"), ws.sources))
-    new_files = files.join(ledger.select(F.col("fichier").alias("rel")).distinct(), "rel", "left_anti")
-    decoded = M.decode_mails(new_files.select(F.col("rel").alias("path"), "content"))
-    return index_decoded(spark, ws, decoded, run_id, now, dry_run)
+    after = LG.after_date(ledger, since_days, now)
+    domains = cfg.sender_domains or sorted({d.lower() for _, _, ds, skip in cfg.providers if not skip for d in ds})
+    chosen = fetch.select_listing(listing, domains, after)
+    decoded = M.decode_mails(chosen.select(F.concat(F.lit("fetched/"), "gmail_id", F.lit(".eml")).alias("path"),
+                                           fetch.payload(F.col("raw")).alias("content")))
+    ids = decoded.select(F.regexp_extract("path", r"^fetched/(.*)\.eml$", 1).alias("gmail_id"), "path", "message_id",
+                         "from_hdr")
+    judged = fetch.skip_reasons(route.with_sender_domain(ids, "from_hdr"), ledger,
+                                dims.domain_folder_map(dims.provider_dim(spark, cfg.providers))).transform(materialize)
+    new = judged.where("skip_reason is null").select("path", "gmail_id")
+    counts = index_decoded(spark, ws, decoded.join(new, "path"), run_id, now, dry_run)
+    return {**counts, **fetch.summary(judged).first().asDict()}
 
 
 def index_decoded(spark: SparkSession, ws: Workspace, decoded: DataFrame, run_id: str, now: str,
@@ -118,12 +164,17 @@ def index_decoded(spark: SparkSession, ws: Workspace, decoded: DataFrame, run_id
 
     A Message-ID known under another file, or a later path (sort order) of a
     Message-ID new in this batch, is a duplicate and is not indexed."""
+    if "gmail_id" not in decoded.columns:
+        decoded = decoded.withColumn("gmail_id", F.lit(None).cast("string"))
     ts = M.parse_mail_date(F.col("date_raw"))
-    decoded = decoded.withColumn("date_email", F.coalesce(M.local_iso(ts), F.lit(""))) \
+    decoded = decoded.withColumn("date_email", M.local_iso(ts)) \
         .withColumn("sender_domain", T.sender_domain(F.col("from_hdr"))) \
         .withColumn("run_id", F.lit(run_id)).transform(materialize)
-    errors = decoded.where(F.col("message_id").isNull())
-    ok = decoded.where(F.col("message_id").isNotNull())
+    reason = F.when(F.col("parse_error").isNotNull(), F.col("parse_error")) \
+        .when(F.col("message_id").isNull(), F.lit("no Message-ID")) \
+        .when(F.col("date_email").isNull(), F.concat(F.lit("no readable date: "), F.coalesce("date_raw", F.lit(""))))
+    errors = decoded.withColumn("reason", reason).where("reason is not null")
+    ok = decoded.where(reason.isNull())
     # only the ledger buckets of this batch's Message-IDs are read and rewritten
     buckets = LG.touched_buckets(ok)
     ledger = LG.read_ledger(spark, ws.path("ledger"), buckets)
@@ -138,19 +189,25 @@ def index_decoded(spark: SparkSession, ws: Workspace, decoded: DataFrame, run_id
     j = j.withColumn("action", F.when(dup, F.lit("duplicate")).otherwise(
         route.file_action(F.lit(None).cast("string"), F.col("path"), F.regexp_extract("path", "([^/]+)$", 1))))
     kept = j.where(F.col("action") != "duplicate")
-    new_ledger = LG.upsert_index(ledger, kept.select("message_id", F.col("path").alias("fichier"), "date_email"),
-                                 F.lit(now))
+    new_ledger = LG.upsert_index(ledger, kept.select("message_id", F.col("path").alias("fichier"), "date_email",
+                                                     "gmail_id"), F.lit(now))
     counts = {r["action"]: r["n"] for r in j.groupBy("action").agg(F.count(F.lit(1)).alias("n")).collect()}
     counts["errors"] = errors.count()
-    if not dry_run:
-        _overwrite_partition(ok.select(*[c.split()[0] for c in EMAIL_COLS.split(", ")]),
-                             ws.path("emails"), "run_id")
-        # Duplicates go to quarantine (path and the file already indexed)
+    landed = ok.select(*[c.split()[0] for c in EMAIL_COLS.split(", ")])
+    if dry_run:
+        ws.preview = (landed, new_ledger.transform(materialize))
+    else:
+        _replace_run(landed, ws.path("emails"), run_id)
+        _replace_run(errors.select("path", "message_id", "reason"), ws.path("index_errors"), run_id)
+        # Duplicates go to quarantine, under a name that no earlier file there has
+        base = F.regexp_replace(F.regexp_extract("path", "([^/]+)$", 1), r"\.eml$", "")
         dups = j.where(F.col("action") == "duplicate").select(
-            "path", "message_id", "known_path",
-            F.concat(F.lit("_duplicates/"), F.regexp_extract("path", "([^/]+)$", 1)).alias("quarantine_path"),
-            F.lit(run_id).alias("run_id"))
-        _overwrite_partition(dups, ws.path("quarantine"), "run_id")
+            "path", "message_id", "known_path", F.lit("_duplicates").alias("folder"), base.alias("base"))
+        there = ws.read(spark, "quarantine", QUARANTINE_SCHEMA).where(F.col("run_id") != run_id).select(
+            F.lit("_duplicates").alias("folder"), F.regexp_extract("quarantine_path", "([^/]+)$", 1).alias("name"))
+        named = route.canonical_names(dups, there)
+        _replace_run(named.select("path", "message_id", "known_path",
+                                  F.concat_ws("/", "folder", "new_name").alias("quarantine_path")), ws.path("quarantine"), run_id)
         LG.write_ledger(new_ledger.transform(materialize), ws.path("ledger"), buckets, f"index {run_id}")
     return counts
 
@@ -160,19 +217,33 @@ def rx_escape(s: str) -> str:
     return rx.escape(s)
 
 
-def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dry_run: bool) -> dict:
-    """P9 snapshot, dispatch, extraction jobs, offer rows, statuses, sinks, ledger last."""
+def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dry_run: bool,
+                now: str | None = None) -> dict:
+    """P9 snapshot, dispatch, extraction jobs, offer rows, statuses, sinks, ledger last.
+
+    A dry run also takes the mails that a dry index run would have landed, and writes nothing.  ``now``
+    dates the CSV delta (today without it)."""
     ledger = LG.read_ledger(spark, ws.path("ledger"))
+    if dry_run and ws.preview:
+        fresh = ws.preview[1]
+        ledger = ledger.join(fresh.select("message_id"), "message_id", "left_anti").unionByName(fresh)
     pending = ledger.where(route.is_pending(F.col("statut_extraction"), cfg.statuses)) \
         .select("message_id", "fichier", "date_email")
     snap_path = ws.path("snapshots")
     if not dry_run:
-        _overwrite_partition(pending.withColumn("run_id", F.lit(run_id)), snap_path, "run_id")
+        _replace_run(pending, snap_path, run_id)
         pending = spark.read.parquet(snap_path).where(F.col("run_id") == run_id).drop("run_id")
     else:
         pending = pending.transform(materialize)
-    emails = ws.read(spark, "emails", EMAIL_COLS).select("message_id", "path", "from_hdr", "subject", "html",
-                                                          "sender_domain")
+    wanted = ["message_id", "path", "from_hdr", "subject", "html", "sender_domain"]
+    emails = ws.read(spark, "emails", EMAIL_COLS)
+    # Mails lie in the partition of the run that landed them: two narrow columns tell which
+    # runs the pending ones come from, and only those partitions' html is read.
+    runs = [r.run_id for r in emails.select("message_id", "run_id").join(pending.select("message_id"), "message_id", "left_semi")
+            .select("run_id").distinct().collect()]
+    emails = emails.where(F.col("run_id").isin(*runs)).select(*wanted)
+    if dry_run and ws.preview:
+        emails = emails.unionByName(ws.preview[0].select(*wanted))
     # pending is small next to the landed mails: it is broadcast (size-checked)
     # into an inner join, so the stored html is read once and never shuffled;
     # pending mails without a landed file are added back (html NULL).
@@ -189,9 +260,9 @@ def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dr
         # Stored partitioned by provider: each extraction job's provider filter
         # becomes partition pruning, so the seven jobs read each mail once in total.
         rp = ws.path("routed")
-        (routed.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "provider_key").parquet(rp))
-        routed = spark.read.parquet(rp).where(F.col("run_id") == run_id).drop("run_id")
+        own = f"{rp}/run_id={run_id}"
+        routed.write.mode("overwrite").partitionBy("provider_key").parquet(own)
+        routed = spark.read.schema(routed.schema).parquet(own)
     to_extract = routed.where(F.col("dispatch_status").isNull())
     raw = X.extract_offers(to_extract.select("message_id", "provider_key", "subject", "html"),
                            [p for p in cfg.extractable if p in X.EXTRACTORS])
@@ -199,7 +270,7 @@ def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dr
     archive = ws.read(spark, "offers", OFFERS_SCHEMA).where(F.col("run_id") != run_id)
     start = archive.agg(dedup.max_offer_number(archive)).first()[0] + 1
     arch_rows = archive.select("Cle_dedup", "ID", T.parse_offer_id_lenient(F.col("ID")).alias("ord"))
-    resolved = geo.resolve_cities(raw.select("ville"), dims.city_dim(spark, cfg.cities))
+    resolved = geo.resolve_cities(raw.select("ville"), dims.city_dim(spark, cfg.cities), cfg.geocode)
     raw_geo = geo.attach_dept(raw, resolved)
     rows = enrich.offer_rows(raw_geo, start_id=start, archive=arch_rows, canonical=cfg.canonical,
                              keywords=cfg.keywords, blacklist=cfg.blacklist).drop("_seq").withColumn("run_id", F.lit(run_id))
@@ -212,15 +283,15 @@ def extract_run(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str, dr
     events = _run_events(routed, extracted_status, rows)
     out = stats.first().asDict()
     if dry_run:
+        ws.preview_offers = rows
         return out
-    _overwrite_partition(rows, ws.path("offers"), "run_id")
+    _replace_run(rows.drop("run_id"), ws.path("offers"), run_id)
     if cfg.csv_deltas:
-        from alertlake.sources import offers_io
-        offers_io.write_dated_delta(rows.drop("run_id"), cfg.csv_deltas, run_id)
-    _overwrite_partition(enrich.rejects(raw).withColumn("run_id", F.lit(run_id)), ws.path("rejects"), "run_id")
-    _overwrite_partition(publish.history_row(stats, run_id).withColumn("run_id", F.lit(run_id)),
-                         ws.path("run_history"), "run_id")
-    _overwrite_partition(events.withColumn("run_id", F.lit(run_id)), ws.path("run_events"), "run_id")
+        day = (now or datetime.now(timezone.utc).isoformat())[:10].replace("-", "")
+        offers_io.write_dated_delta(rows.drop("run_id"), cfg.csv_deltas, day, run_id, cfg.csv_headers)
+    _replace_run(enrich.rejects(raw), ws.path("rejects"), run_id)
+    _replace_run(publish.history_row(stats, run_id), ws.path("run_history"), run_id)
+    _replace_run(events, ws.path("run_events"), run_id)
     buckets = LG.touched_buckets(status)
     LG.write_ledger(LG.set_status(LG.read_ledger(spark, ws.path("ledger"), buckets), status)
                     .transform(materialize), ws.path("ledger"), buckets, f"extract {run_id}")
@@ -251,6 +322,8 @@ def publish_run(spark: SparkSession, ws: Workspace, batch_id: str, now: str, dry
         pub = ws.read(spark, "published", OFFERS_SCHEMA.replace("run_id", "batch_id"))
         last = pub.agg(publish.max_published(pub)).first()[0]
         offers = ws.read(spark, "offers", OFFERS_SCHEMA)
+        if dry_run and ws.preview_offers is not None:
+            offers = offers.unionByName(ws.preview_offers.select(*offers.columns))
         if run_id is not None:
             offers = offers.where(F.col("run_id") == run_id)
         delta = publish.publish_delta(offers, last)
@@ -262,14 +335,14 @@ def publish_run(spark: SparkSession, ws: Workspace, batch_id: str, now: str, dry
         n = shaped.count()
         if dry_run or n == 0:
             return n
-        _overwrite_partition(shaped, ws.path("published"), "batch_id")
+        _replace_run(shaped.drop("batch_id"), ws.path("published"), batch_id, "batch_id")
         _audit(spark, ws, batch_id, "ok", "", now)
         return n
     except PublishBlocked:
         raise
     except Exception as e:  # record, then re-raise: the next run refuses until acknowledged
         if not dry_run:
-            _audit(spark, ws, batch_id, "failed", str(e)[:500], now)
+            _audit(spark, ws, batch_id, "failed", str(e), now)
         raise
 
 
@@ -278,29 +351,36 @@ def _audit(spark, ws, batch_id, status, message, now):
         .write.mode("append").parquet(ws.path("publish_audit"))
 
 
-def mark_run(spark: SparkSession, ws: Workspace, run_id: str, dry_run: bool) -> int:
-    """J7 + A9: source ids of the run's snapshot, checked against the safety cap."""
+def ids_to_mark(spark: SparkSession, ws: Workspace, cfg: Config, run_id: str) -> DataFrame:
+    """J7 + A9: source ids of the run's snapshot; an error above ``cfg.mark_cap``."""
     snap = spark.read.parquet(ws.path("snapshots")).where(F.col("run_id") == run_id)
-    ledger = LG.read_ledger(spark, ws.path("ledger"))
-    ids = publish.resolve_source_ids(snap.select("message_id"), ledger)
-    publish.check_cap(ids)
-    if not dry_run:
-        _overwrite_partition(ids.withColumn("run_id", F.lit(run_id)), ws.path("to_mark"), "run_id")
+    ids = publish.resolve_source_ids(snap.select("message_id"), LG.read_ledger(spark, ws.path("ledger"))).transform(materialize)
+    if cfg.mark_cap is not None:
+        publish.check_cap(ids, cfg.mark_cap)
+    return ids
+
+
+def mark_run(ws: Workspace, ids: DataFrame, run_id: str) -> int:
+    _replace_run(ids, ws.path("to_mark"), run_id)
     return ids.count()
 
 
 def run_pipeline(spark: SparkSession, ws: Workspace, run_id: str, now: str, cfg: Config | None = None,
-                 dry_run: bool = False) -> dict:
-    """Fail-fast run; a dry run plans and counts but writes nothing."""
+                 dry_run: bool = False, listing: DataFrame | None = None, since_days: int | None = None) -> dict:
+    """Fail-fast run: fetch (with a ``listing``) or scan, index, extract, publish, mark.
+
+    A dry run simulates every stage and writes nothing."""
     cfg = cfg or Config()
     check_gate(spark, ws)
-    report = {"index": ingest_and_index(spark, ws, run_id, now, dry_run)}
-    if dry_run:
-        report["extract"] = None
-        release_kept()
-        return report
-    report["extract"] = extract_run(spark, ws, cfg, run_id, dry_run)
+    ws.preview = ws.preview_offers = None
+    if listing is not None:
+        report = {"index": fetch_and_index(spark, ws, cfg, listing, run_id, now, dry_run, since_days)}
+    else:
+        report = {"index": ingest_and_index(spark, ws, run_id, now, dry_run)}
+    report["extract"] = extract_run(spark, ws, cfg, run_id, dry_run, now)
+    if not dry_run:
+        ids = ids_to_mark(spark, ws, cfg, run_id)
     report["published"] = publish_run(spark, ws, run_id, now, dry_run)
-    report["marked"] = mark_run(spark, ws, run_id, dry_run)
+    report["marked"] = 0 if dry_run else mark_run(ws, ids, run_id)
     release_kept()
     return report

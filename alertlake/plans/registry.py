@@ -20,6 +20,7 @@ from alertlake.operators import dedup
 from alertlake.operators import links as L
 from alertlake.operators import route as R
 from alertlake.operators import enrich as EN
+from alertlake.operators import fetch as FE
 from alertlake.operators import publish as PB
 from alertlake.operators import geo as G
 from alertlake.functions import rx
@@ -111,7 +112,7 @@ def q_b64_landing(spark, d):
     b64 = F.regexp_replace(F.base64(F.encode("text", "UTF-8")), r"[\r\n]", "")
     landed = b.select("item_id", F.translate(b64, "+/", "-_").alias("raw"))
     return landed.select("item_id", "raw",
-                         F.decode(F.unbase64(F.translate("raw", "-_", "+/")), "UTF-8").alias("decoded"))
+                         F.decode(FE.payload(F.col("raw")), "UTF-8").alias("decoded"))
 
 
 # ---------------------------------------------------------------- links
@@ -812,12 +813,14 @@ def q_row_flags(spark, d):
 
 
 @register("q_worklist", V.with_ctes(SQL_CONV, body="""
-SELECT "ID", "Date_decouverte", row_number() OVER (ORDER BY "Date_decouverte", "ID")::BIGINT AS work_rank
+SELECT "ID", "Date_decouverte", row_number() OVER (ORDER BY "Date_decouverte", CAST(substr("ID", 2) AS BIGINT))::BIGINT AS work_rank
 FROM offer_rows WHERE "Raison_exclusion" = ''"""))
 def q_worklist(spark, d):
     """Rows still to review (not excluded), by discovery date."""
     r = conv_rows(spark, d).where(F.col("Raison_exclusion") == "").select("ID", "Date_decouverte")
-    return dedup.assign_ordered_ids(r, ["Date_decouverte", "ID"], out_col="work_rank")
+    # by the ID's number: as strings, E1000000 would come before E999999
+    r = r.withColumn("_number", T.parse_offer_id_lenient(F.col("ID")))
+    return dedup.assign_ordered_ids(r, ["Date_decouverte", "_number"], out_col="work_rank").drop("_number")
 
 
 SQL_PUB = SQL_CONV + ",\n" + V.SQL_DOC_OFFERS + """,
@@ -851,7 +854,7 @@ def q_append_pos(spark, d):
 
 @register("q_publish_shape", V.with_ctes(SQL_CONV, body="SELECT " + ", ".join(
     ("CASE WHEN \"Raison_exclusion\" <> '' THEN 'TRUE' ELSE 'FALSE' END AS \"Traite\"" if c == "Traite" else
-     f"CASE WHEN \"{c}\" <> '' THEN '''' || \"{c}\" ELSE \"{c}\" END AS \"{c}\"" if c in PB.FORCE_TEXT_COLUMNS else
+     f"CASE WHEN \"{c}\" <> '' THEN '''' || \"{c}\" ELSE \"{c}\" END AS \"{c}\"" if c in fixed.FORCE_TEXT_COLUMNS else
      f"coalesce(\"{c}\", '') AS \"{c}\"") for c in fixed.OFFER_COLUMNS) + " FROM offer_rows"))
 def q_publish_shape(spark, d):
     """Rows as published (all text, header order)."""
@@ -1089,9 +1092,7 @@ def _listing(spark, d):
     day = _run_day(spark, d)
     old = _ev_ledger(V.ev_files(spark, d).where(F.col("ts") < F.lit(day).cast("timestamp_ntz")))
     after = LG.low_watermark(old).first()["after_date"]
-    lo = F.to_timestamp(F.lit(after), "yyyy/MM/dd").cast("timestamp_ntz")
-    m = R.with_sender_domain(V.mail_list(spark, d).where(F.col("date_ts") >= lo), "from_hdr")
-    return m.where(R.sender_predicate(F.col("sender_domain"), ACTIVE_DOMAINS)), old
+    return FE.select_listing(V.mail_list(spark, d), ACTIVE_DOMAINS, after), old
 
 
 @register("q_source_filter", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, V.SQL_MAIL_LIST, SQL_ACTIVE, SQL_LISTING,
@@ -1117,15 +1118,8 @@ unseen AS (
 def _unseen(spark, d):
     """Drop known source ids, then known Message-IDs, then unroutable senders."""
     m, old = _listing(spark, d)
-    known_g = old.select("gmail_id").where(F.col("gmail_id").isNotNull()).distinct().withColumn("_kg", F.lit(True))
-    known_m = old.select("message_id").distinct().withColumn("_km", F.lit(True))
-    routed = R.expected_folder(m, dims.domain_folder_map(_pdim(spark)))
-    j = routed.join(known_g, "gmail_id", "left").join(known_m, "message_id", "left")
-    reason = (F.when(F.col("_kg").isNotNull(), F.lit("known_source_id"))
-              .when(F.col("message_id").isNull(), F.lit("no_message_id"))
-              .when(F.col("_km").isNotNull(), F.lit("known_message_id"))
-              .when(F.col("expected_folder").isNull(), F.lit("unknown_domain")))
-    return j.select("event_id", "gmail_id", "message_id", reason.alias("skip_reason"))
+    judged = FE.skip_reasons(m, old, dims.domain_folder_map(_pdim(spark)))
+    return judged.select("event_id", "gmail_id", "message_id", "skip_reason")
 
 
 @register("q_unseen_anti", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, V.SQL_MAIL_LIST, SQL_ACTIVE, SQL_LISTING, SQL_UNSEEN,
@@ -1140,10 +1134,7 @@ SELECT count(*) AS n_found, count(*) FILTER (WHERE skip_reason IS DISTINCT FROM
        count(*) FILTER (WHERE skip_reason IS NULL) AS n_downloaded FROM unseen"""))
 def q_fetch_summary(spark, d):
     """Found / new / downloaded counts."""
-    u = _unseen(spark, d)
-    return u.agg(F.count(F.lit(1)).cast("bigint").alias("n_found"),
-                 F.count_if(~F.col("skip_reason").eqNullSafe("known_source_id")).cast("bigint").alias("n_new"),
-                 F.count_if(F.col("skip_reason").isNull()).cast("bigint").alias("n_downloaded"))
+    return FE.summary(_unseen(spark, d))
 
 
 # ---------------------------------------------------------------- flagship (entry)
@@ -1188,3 +1179,7 @@ def q_flagship(spark, d):
     duplicate links -> 21-column offer rows."""
     raw = page_offers_raw(spark, d)
     return EN.offer_rows(raw, keywords=CORPUS_STACK, blacklist=CORPUS_BLACKLIST).drop("_seq")
+
+
+# The extraction jobs' queries register themselves.
+from alertlake.plans import templates as _templates  # noqa: E402,F401

@@ -9,24 +9,22 @@ shape as the package defaults) to override them.
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertlake import fixed
 from alertlake.functions import text as T
+from alertlake.sources.ledger import read_table
 
 ProviderRow = tuple[str, str, list[str], bool]
 
 
-def providers_from_json(path: str | Path) -> list[ProviderRow]:
-    """Provider rules from a patterns JSON file; ``_``-prefixed keys are metadata.
+def providers_from_json(spark: SparkSession, path: str) -> list[ProviderRow]:
+    """Provider rules from a patterns JSON file on any store; ``_``-prefixed keys are metadata.
     A missing file gives no providers."""
-    p = Path(path)
-    if not p.exists():
-        return []
-    cfg = json.loads(p.read_text(encoding="utf-8"))
+    found = read_table(spark, str(path), "value string", "text", {"wholetext": "true"}).first()
+    cfg = json.loads(found.value) if found else {}
     return [(k, v.get("folder") or "", list(v.get("sender_domains", [])), bool(v.get("skip", False)))
             for k, v in cfg.items() if not k.startswith("_")]
 
@@ -51,12 +49,6 @@ def active_domains(pdim: DataFrame) -> DataFrame:
     return pdim.where(~F.col("skip")).select("domain").distinct()
 
 
-def stack_dim(spark: SparkSession, keywords: dict[str, list[str]] | None = None) -> DataFrame:
-    keywords = fixed.STACK_KEYWORDS if keywords is None else keywords
-    rows = [(i, name, v) for i, (name, vs) in enumerate(keywords.items()) for v in vs]
-    return spark.createDataFrame(rows, "pos int, canonical string, variation string")
-
-
 def city_dim(spark: SparkSession, cities: list[tuple[str, str]] | None = None,
              strict_compat: bool = True) -> DataFrame:
     """City -> département with the lookup key.
@@ -71,8 +63,3 @@ def city_dim(spark: SparkSession, cities: list[tuple[str, str]] | None = None,
     df = spark.createDataFrame(rows, "pos int, city string, dept string")
     key = F.lower(F.col("city")) if strict_compat else T.strip_accents(F.lower(F.col("city")))
     return df.withColumn("city_key", key)
-
-
-def blacklist_dim(spark: SparkSession, terms: list[str] | None = None) -> DataFrame:
-    terms = fixed.TITLE_BLACKLIST if terms is None else terms
-    return spark.createDataFrame([(i, t) for i, t in enumerate(terms)], "pos int, term string")

@@ -8,7 +8,6 @@ only once recorded, so readers never see a half-written ledger.
 from __future__ import annotations
 
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +26,7 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
 
 def read_ledger_json(spark: SparkSession, path: str) -> DataFrame:
     """A legacy JSON ledger object ``{message_id: {...}}``; missing -> empty."""
-    if not Path(path).exists():
-        return empty_ledger(spark)
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = read_table(spark, str(path), "value string", "text", {"wholetext": "true"})
     m = raw.select(F.explode(F.from_json("value", f"map<string, {_ENTRY}>")).alias("message_id", "e"))
     return m.select("message_id", *[F.col(f"e.{c}").alias(c) for c in LEDGER_COLUMNS[1:]])
 
@@ -61,11 +58,12 @@ def latest_per_message(rows: DataFrame, order_col: str) -> DataFrame:
 def upsert_index(ledger: DataFrame, indexed: DataFrame, now: Column) -> DataFrame:
     """R14 + S6: merge index results (message_id, fichier, date_email) into the
     ledger.  Indexed entries keep their source id, fetch time and status
-    (defaults: ``manual``, now, PENDING) and get the new file, date and
+    (defaults: the indexed row's ``gmail_id``, else ``manual``; now; PENDING) and get the new file, date and
     ``indexed_at = now``; other ledger entries are unchanged."""
     o = ledger.select(*[F.col(c).alias(f"o_{c}") for c in LEDGER_COLUMNS])
     n = indexed.select(F.col("message_id").alias("n_message_id"), F.col("fichier").alias("n_fichier"),
-                       F.col("date_email").alias("n_date_email"))
+                       F.col("date_email").alias("n_date_email"),
+                       (F.col("gmail_id") if "gmail_id" in indexed.columns else F.lit(None).cast("string")).alias("n_gmail_id"))
     j = o.join(n, F.col("o_message_id") == F.col("n_message_id"), "full_outer")
     hit = F.col("n_message_id").isNotNull()
 
@@ -74,7 +72,7 @@ def upsert_index(ledger: DataFrame, indexed: DataFrame, now: Column) -> DataFram
 
     return j.select(
         F.coalesce("n_message_id", "o_message_id").alias("message_id"),
-        pick(F.coalesce("o_gmail_id", F.lit("manual")), "gmail_id").alias("gmail_id"),
+        pick(F.coalesce("o_gmail_id", "n_gmail_id", F.lit("manual")), "gmail_id").alias("gmail_id"),
         pick(F.col("n_fichier"), "fichier").alias("fichier"),
         pick(F.col("n_date_email"), "date_email").alias("date_email"),
         pick(F.coalesce(F.col("o_fetched_at"), now), "fetched_at").alias("fetched_at"),
@@ -107,56 +105,31 @@ def after_date(ledger: DataFrame, since_days: int | None = None, now: str | None
                margin_hours: int = fixed.OVERLAP_MARGIN_HOURS) -> str:
     """R5 decision: the low watermark of the ledger, else ``now - since_days``
     (``now`` as ``yyyy-MM-ddTHH:mm:ssZ``), else an error.  Returns ``yyyy/MM/dd``."""
-    import datetime as dt
-
-    got = low_watermark(ledger, margin_hours).first()["after_date"]
-    if got is not None:
-        return got
+    start = F.col("after_date")
     if since_days is not None:
-        base = (dt.datetime.strptime(now, "%Y-%m-%dT%H:%M:%SZ") if now
-                else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-        return (base - dt.timedelta(days=since_days)).strftime("%Y/%m/%d")
-    raise ValueError("no previous fetch in the ledger and no since_days given: no starting point")
-
-
-# ---------------------------------------------------------------- versioned table store
-#
-# Spark I/O only (works on any Hadoop-compatible store): each version is
-# written in full under a sortable name, then a one-row record is appended to
-# ``<root>/_versions``; readers take the greatest recorded version, so a crash
-# before the record leaves the previous version current.
+        base = F.to_timestamp(F.lit(now), "yyyy-MM-dd'T'HH:mm:ss'Z'") if now else F.current_timestamp()
+        start = F.coalesce(start, F.date_format(base - F.make_interval(days=F.lit(int(since_days))), "yyyy/MM/dd"))
+    chosen = low_watermark(ledger, margin_hours).select(start.alias("after_date")).first().after_date
+    if chosen is None:
+        raise ValueError("the ledger records no fetch and since_days is not given: nothing to start from")
+    return chosen
 
-VERSIONS_SCHEMA = "version string, note string"
-
-
-def write_versioned(df: DataFrame, root: str, mode_note: str = "") -> str:
-    import time
 
-    version = f"v-{time.strftime('%Y%m%d%H%M%S', time.gmtime())}-{time.time_ns() % 10**9:09d}-{uuid.uuid4().hex[:8]}"
-    target = f"{root.rstrip('/')}/{version}"
-    df.write.mode("errorifexists").parquet(target)
-    df.sparkSession.createDataFrame([(version, mode_note)], VERSIONS_SCHEMA) \
-        .coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/_versions")
-    return target
+# ---------------------------------------------------------------- tables on any store
 
 
-def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
-    """A table that may not exist yet (then empty with ``schema``)."""
+def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet",
+               options: dict[str, str] | None = None) -> DataFrame:
+    """A table that may not exist yet (then empty with ``schema``).  Any other fault is an error:
+    a ledger that cannot be read must not look empty."""
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.schema(schema).format(fmt).load(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-
-
-def read_versioned(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """Current version of a versioned table; empty when none was written yet."""
-    versions = read_table(spark, f"{root.rstrip('/')}/_versions", VERSIONS_SCHEMA, "json")
-    current = versions.agg(F.max("version").alias("v")).first()["v"]
-    if current is None:
+        return spark.read.schema(schema).options(**(options or {})).format(fmt).load(path)
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{current}")
 
 
 # ---------------------------------------------------------------- bucketed ledger

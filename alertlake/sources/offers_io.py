@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertlake import fixed
+from alertlake.sources.ledger import read_table
 
 CSV_OPTIONS = {"sep": fixed.CSV_SEPARATOR, "encoding": "UTF-8", "quote": '"', "escape": '"',
                "multiLine": "true"}
@@ -30,40 +31,32 @@ def read_offers_csv(spark: SparkSession, path: str, headers: list[str] | None =
     return df.select(*[F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(h) for h in headers])
 
 
-def resolve_write_headers(force_headers: bool | None) -> tuple[bool, str]:
-    """S9 header policy: automatic = always a header (each dated file stands alone)."""
-    if force_headers is None:
-        return True, "auto"
-    return force_headers, "forced on" if force_headers else "forced off"
-
-
 def write_offers_csv(rows: DataFrame, path: str, headers: list[str] | None = None,
                      force_headers: bool | None = None, mode: str = "append") -> None:
     """Write rows in header order; keys outside the contract are
-    dropped, missing columns written as ""."""
+    dropped, missing columns written as "".  Each file starts with a header line unless
+    ``force_headers`` is False."""
     headers = fixed.OFFER_COLUMNS if headers is None else headers
-    with_header, _ = resolve_write_headers(force_headers)
     cols = [F.coalesce(F.col(h).cast("string"), F.lit("")).alias(h) if h in rows.columns else F.lit("").alias(h)
             for h in headers]
     (rows.select(*cols).write.mode(mode).options(**CSV_OPTIONS)
-     .option("header", str(with_header).lower()).csv(path))
+     .option("header", "false" if force_headers is False else "true").csv(path))
 
 
-def write_dated_delta(rows: DataFrame, root: str, run_date: str, force_headers: bool | None = None) -> str:
-    """The run's delta as ``<root>/run_date=<yyyyMMdd>/`` (one folder per day,
-    replaced on replay so a re-run never duplicates lines)."""
-    target = f"{root}/run_date={run_date}"
+def write_dated_delta(rows: DataFrame, root: str, day: str, run_id: str, force_headers: bool | None = None) -> str:
+    """The run's delta as ``<root>/run_date=<yyyyMMdd>/run=<run id>/`` (replaced on replay,
+    so a re-run never duplicates lines; runs of one day stand side by side)."""
+    target = f"{root}/run_date={day}/run={run_id}"
     write_offers_csv(rows, target, force_headers=force_headers, mode="overwrite")
     return target
 
 
-def read_dated_delta(spark: SparkSession, root: str, run_date: str) -> DataFrame:
-    """One day's delta (partition folder), empty when the day has none."""
-    import os
-    p = f"{root}/run_date={run_date}"
-    if not os.path.exists(p):
-        return spark.createDataFrame([], string_schema(fixed.OFFER_COLUMNS))
-    return read_offers_csv(spark, p)
+def read_dated_delta(spark: SparkSession, root: str, day: str) -> DataFrame:
+    """One day's deltas, empty when the day has none."""
+    headers = fixed.OFFER_COLUMNS
+    options = {**CSV_OPTIONS, "header": "true", "enforceSchema": "false", "recursiveFileLookup": "true"}
+    df = read_table(spark, f"{root}/run_date={day}", string_schema(headers), "csv", options)
+    return df.select(*[F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(h) for h in headers])
 
 
 def append_history_csv(history: DataFrame, path: str) -> None:

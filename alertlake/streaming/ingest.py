@@ -9,8 +9,10 @@
   the ledger, extraction with ordered IDs and duplicate links against the
   archive, publish — the ledger is written last.
 * ST4: each micro-batch records ``(query_id, batch_id)`` after its writes; a
-  replayed batch that was already committed is skipped, and all writes of a
-  batch overwrite their own partitions, so a retry never duplicates rows.
+  replayed batch that was already committed is read to its end (Spark requires
+  that its state is written) and then skipped.  A run id holds the query's id,
+  which Spark keeps over restarts, so two queries on one workspace never share
+  one, and a retry replaces its own partitions.
 """
 
 from __future__ import annotations
@@ -33,9 +35,11 @@ def mail_stream(spark: SparkSession, sources: str, margin_hours: int = fixed.OVE
     files = M.exclude_dirs(files, sources)
     rel = P.relative_path(F.col("path"), sources)
     decoded = M.decode_mails(files.select(rel.alias("path"), "content"))
+    # A mail without Message-ID repeats nothing but its own file.
     return (decoded.withColumn("ingest_ts", F.current_timestamp())
+            .withColumn("_same", F.coalesce(F.concat(F.lit("id "), "message_id"), F.concat(F.lit("file "), "path")))
             .withWatermark("ingest_ts", f"{int(margin_hours)} hours")
-            .dropDuplicatesWithinWatermark(["message_id"]))
+            .dropDuplicatesWithinWatermark(["_same"]).drop("_same"))
 
 
 def _committed(spark: SparkSession, ws: P.Workspace, query_id: str, batch_id: int) -> bool:
@@ -47,25 +51,32 @@ def process_batch(spark: SparkSession, ws: P.Workspace, cfg: P.Config, query_id:
                   batch: DataFrame, batch_id: int, now: str) -> None:
     """ST3 + ST4 body of ``foreachBatch``."""
     if _committed(spark, ws, query_id, batch_id):
+        batch.write.format("noop").mode("overwrite").save()
         return
-    run_id = f"s{batch_id:08d}"
+    run_id = f"s-{query_id}-{batch_id:08d}"
     P.index_decoded(spark, ws, batch.drop("ingest_ts"), run_id, now, dry_run=False)
-    P.extract_run(spark, ws, cfg, run_id, dry_run=False)
+    P.extract_run(spark, ws, cfg, run_id, dry_run=False, now=now)
+    ids = P.ids_to_mark(spark, ws, cfg, run_id)
     P.publish_run(spark, ws, run_id, now, dry_run=False)
+    P.mark_run(ws, ids, run_id)
     spark.createDataFrame([(query_id, batch_id, run_id)], COMMITS_SCHEMA) \
         .write.mode("append").parquet(ws.path("stream_commits"))
     release_kept()
 
 
 def start(spark: SparkSession, ws: P.Workspace, checkpoint: str, cfg: P.Config | None = None,
-          now: str | None = None, available_now: bool = True, query_id: str = "mail-ingest") -> StreamingQuery:
-    """Start the ingest stream (``availableNow`` processes what is there, then stops)."""
+          now: str | None = None, available_now: bool = True, query_id: str | None = None) -> StreamingQuery:
+    """Start the ingest stream (``availableNow`` processes what is there, then stops).
+
+    ``query_id`` names the stream in run ids and commits; by default it is Spark's own id of the
+    query, which its checkpoint keeps."""
     cfg = cfg or P.Config()
 
     def body(batch: DataFrame, batch_id: int) -> None:
         stamp = now or batch.sparkSession.range(1).select(
             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")).first()[0]
-        process_batch(batch.sparkSession, ws, cfg, query_id, batch, batch_id, stamp)
+        own = query_id or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        process_batch(batch.sparkSession, ws, cfg, own, batch, batch_id, stamp)
 
     w = mail_stream(spark, ws.sources).writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

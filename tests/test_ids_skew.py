@@ -21,13 +21,17 @@ def test_no_single_partition_exchange(spark):
     assert "SinglePartition" not in plan
 
 
-def test_hot_key_salting(spark):
-    rows = spark.range(20000).select(F.when(F.col("id") < 15000, F.lit("hot")).otherwise(
+def test_hot_rows_are_not_shuffled(spark):
+    """One key at 90 %: its rows get their statistics where they are, so no task holds them alone."""
+    rows = spark.range(20000).repartition(8).select(F.when(F.col("id") < 18000, F.lit("hot")).when(F.col("id") < 18010, None).otherwise(
         F.concat(F.lit("k"), (F.col("id") % 100).cast("string"))).alias("key"), "id")
     stats = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
-    out = join_back(rows, stats, ["key"], "n", hot_rows=1000, buckets=8)
+    out = join_back(rows, stats, ["key"], "n", hot_rows=1000)
     assert out.count() == 20000
-    assert out.where("key = 'hot'").select("first").distinct().collect()[0][0] == 0
+    assert [tuple(r) for r in out.where("key = 'hot'").select("first", "n").distinct().collect()] == [(0, 18000)]
+    assert [tuple(r) for r in out.where("key is null").select("first", "n").distinct().collect()] == [(18000, 10)]
+    tasks = out.where("key = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 8 and max(r["count"] for r in tasks) < 6000
 
 
 def test_duplicate_links(spark):

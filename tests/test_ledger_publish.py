@@ -22,18 +22,20 @@ def test_low_watermark(spark):
     assert LG.low_watermark(L(spark, [])).first()["after_date"] is None
 
 
-def test_json_ledger_roundtrip_and_versions(spark, tmpdir_path):
+def test_json_ledger_from_path_and_uri(spark, tmpdir_path):
     p = tmpdir_path / "ledger.json"
     p.write_text(json.dumps({"<m1>": {"gmail_id": "g1", "fichier": "a/x.eml", "date_email": "d",
                                       "fetched_at": "t", "indexed_at": "", "statut_extraction": "PENDING"}}))
     led = LG.read_ledger_json(spark, str(p))
     assert led.collect()[0]["fichier"] == "a/x.eml"
+    assert LG.read_ledger_json(spark, f"file://{p}").collect() == led.collect()
     assert LG.read_ledger_json(spark, str(tmpdir_path / "none.json")).count() == 0
-    root = str(tmpdir_path / "ledger")
-    LG.write_versioned(led, root)
-    LG.write_versioned(led.withColumn("statut_extraction", F.lit("OK")), root)
-    cur = LG.read_versioned(spark, root, LG.LEDGER_SCHEMA)
-    assert [r["statut_extraction"] for r in cur.collect()] == ["OK"]
+
+
+def test_only_a_missing_path_reads_as_empty(spark, tmpdir_path):
+    assert LG.read_table(spark, str(tmpdir_path / "none"), "a string").count() == 0
+    with pytest.raises(Exception):
+        LG.read_table(spark, str(tmpdir_path), "a string", "no-such-format")
 
 
 def test_upsert_index_defaults(spark):

@@ -23,14 +23,16 @@ def test_reads_a_standard_csv_writer_file(spark, tmpdir_path):
 def test_round_trip_and_header_policy(spark, tmpdir_path):
     df = spark.createDataFrame([("E000002", "Titre; \"q\"", "x")], "ID string, Titre string, extra string")
     root = str(tmpdir_path / "deltas")
-    IO.write_dated_delta(df, root, "20260602")
-    IO.write_dated_delta(df, root, "20260602")          # replay replaces the day
-    back = IO.read_dated_delta(spark, root, "20260602").collect()
+    IO.write_dated_delta(df, root, "20260602", "r1")
+    IO.write_dated_delta(df, root, "20260602", "r1")    # replay replaces the run
+    back = IO.read_dated_delta(spark, f"file://{root}", "20260602").collect()   # a URI reads like the plain path
     assert len(back) == 1 and back[0]["Titre"] == 'Titre; "q"' and back[0]["Traite"] == ""
     assert "extra" not in back[0].asDict()
     assert IO.read_dated_delta(spark, root, "20990101").count() == 0
-    assert IO.resolve_write_headers(None) == (True, "auto")
-    assert IO.resolve_write_headers(False)[0] is False
+    IO.write_dated_delta(df.withColumn("ID", F.lit("E000003")), root, "20260602", "r2")
+    assert sorted(r["ID"] for r in IO.read_dated_delta(spark, root, "20260602").collect()) == ["E000002", "E000003"]
+    IO.write_offers_csv(df, str(tmpdir_path / "bare"), force_headers=False)
+    assert [r[0] for r in spark.read.option("sep", ";").csv(str(tmpdir_path / "bare")).select("_c0").collect()] == ["E000002"]
 
 
 def test_history_and_schema_evolution(spark, tmpdir_path):

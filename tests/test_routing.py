@@ -40,11 +40,11 @@ def test_active_domains_and_dispatch(spark):
                    "c": ("IGNORE", "no_extractor"), "d": (None, None), "e": ("ERREUR", "missing_file")}
 
 
-def test_providers_from_json(tmp_path):
+def test_providers_from_json(spark, tmp_path):
     p = tmp_path / "patterns.json"
     p.write_text('{"_comment": "x", "a": {"folder": "fa", "sender_domains": ["A.com"]}}', encoding="utf-8")
-    assert dims.providers_from_json(p) == [("a", "fa", ["A.com"], False)]
-    assert dims.providers_from_json(tmp_path / "missing.json") == []
+    assert dims.providers_from_json(spark, f"file://{p}") == dims.providers_from_json(spark, p) == [("a", "fa", ["A.com"], False)]
+    assert dims.providers_from_json(spark, tmp_path / "missing.json") == []
 
 
 def test_file_action(spark):
