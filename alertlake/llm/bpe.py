@@ -87,7 +87,7 @@ class Encoder:
         if not word.isascii():
             word = unicodedata.normalize("NFC", word).replace("Σ", "σ")  # no final sigma
         word = word.lower()
-        return [word] if word.isascii() and word.isalpha() else _PIECES.findall(word)
+        return [word] if word.isalpha() else _PIECES.findall(word)
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and where each word begins (one entry more than words)."""
@@ -128,7 +128,7 @@ class Encoder:
         sym[ends - 1] = self.last[raw[ends - 1]]
         nxt, prv = np.arange(1, n + 2), np.arange(-1, n)
         nxt[ends - 1], prv[begins] = n, n
-        alive = np.ones(n, bool)
+        alive, merging = np.ones(n, bool), np.zeros(n + 1, bool)
         rank = np.append(self._rank(sym, nxt, np.arange(n)), _NONE)
 
         index: dict[int, list[np.ndarray]] = {}
@@ -165,8 +165,10 @@ class Encoder:
             prv[beyond] = at
             alive[after] = False
             rank[after] = _NONE
-            changed = np.concatenate([at, prv[at]])
-            changed = np.unique(changed[changed < n])
+            before = prv[at]  # no two alike; one may also be among `at`
+            merging[at] = True
+            changed = np.concatenate([at, before[(before < n) & ~merging[before]]])
+            merging[at] = False
             now = self._rank(sym, nxt, changed)
             rank[changed] = now
             fresh = now != _NONE
@@ -179,6 +181,7 @@ class Encoder:
     def _apart(at: np.ndarray, nxt: np.ndarray) -> np.ndarray:
         """Of overlapping positions of a pair of equal symbols, every other one from the left."""
         taken, used = [], -1
+        at = np.sort(at)
         for p, q in zip(at.tolist(), nxt[at].tolist()):
             if p != used:
                 taken.append(p)
@@ -207,7 +210,7 @@ def _per_word(words: list[str], ids: np.ndarray, begin: np.ndarray, of_id: list[
 
 def _joined(split: list[list[str]], of_word: dict[str, bytes]) -> list[bytes]:
     """Each text's words' bytes joined by spaces; a word has one id at least."""
-    return [b" ".join([of_word[w] for w in words]) for words in split]
+    return [b" ".join(map(of_word.__getitem__, words)) for words in split]
 
 
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,7 +259,7 @@ def digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
         for part in slices(batches, "text", BLOCK_BYTES):
             split, words, ids, begin = own.block(part.column(1).to_pylist())
             size = dict(zip(words, np.diff(begin).tolist()))
-            count = [sum([size[w] for w in text]) for text in split]
+            count = [sum(map(size.__getitem__, text)) for text in split]
             coded = [hashlib.sha256(x).hexdigest() for x in _joined(split, _per_word(words, ids, begin, own.decimal))]
             text = [hashlib.sha256(x).hexdigest() for x in _joined(split, _per_word(words, ids, begin, own.tokens))]
             yield pa.RecordBatch.from_arrays(

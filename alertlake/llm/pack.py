@@ -45,7 +45,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
             of_word = {w: raw[a:b] for w, a, b in zip(words, at, at[1:])}
             row, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(split):
-                coded = b"".join([of_word[w] for w in text]) + end
+                coded = b"".join(map(of_word.__getitem__, text)) + end
                 for k, a in enumerate(range(0, len(coded), 4 * capacity)):
                     cut = coded[a:a + 4 * capacity]
                     row.append(i)
