@@ -3,6 +3,7 @@ bounded slices of Arrow batches."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -13,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from alertlake.session import ensure_checkpoint_dir
 
 #: Bytes of one column that a Python task looks at together.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Bytes of an Arrow batch that Spark hands to a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +72,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
                 start, held = i, 0
             held += n
         yield batch.slice(start)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers are kept for later tasks, several to an executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
