@@ -189,8 +189,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     named = (classes.join(joined.withColumnRenamed("node", "class"), "class", "left").join(counts, "class", "left")
              .withColumn("component", F.coalesce("component", "class")))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(smallest, "component").select(
-        "label", "dim", "vec", "component_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    # A table of its own: AQE may then split the partition of a vector that many rows share.
+    named = save(named.join(smallest, "component").select(
+        "label", "dim", "vec", "component_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
 
     linked = rows.where("vec is not null").join(named, ["label", "dim", "vec"]).select("id", "n_links", "component_id")
     alone = rows.where("vec is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))

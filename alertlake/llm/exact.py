@@ -148,9 +148,10 @@ def _resolve(flagged: DataFrame) -> DataFrame:
         F.lit(True).alias("kept"), "text_sha256")
     rows = flagged.where(F.col("again"))
     # One row per digest and map task is shuffled, however large a group is.
-    groups = rows.groupBy("text_sha256").agg(F.max(F.struct("doc_id", "row_id")).alias("last"),
-                                             F.count(F.lit(1)).alias("group_size"))
-    # Only ids and digests are joined; AQE splits the partition of a hot digest.
+    groups = save(rows.groupBy("text_sha256").agg(F.max(F.struct("doc_id", "row_id")).alias("last"),
+                                                  F.count(F.lit(1)).alias("group_size")))
+    # Only ids and digests are joined.  The groups are a table of their own, so that nothing but the join asks
+    # for its partitions and AQE may split that of a hot digest.
     joined = rows.join(groups, "text_sha256").select(
         "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size",
         (F.col("row_id") == F.col("last.row_id")).alias("kept"), "text_sha256")

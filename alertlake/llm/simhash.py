@@ -183,7 +183,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = least.join(joined.withColumnRenamed("node", "print"), "print", "left")
     named = named.withColumn("component", F.coalesce("component", "print"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(smallest, "component").select("print", "component_id")
+    # A table of its own: AQE may then split the partition of a fingerprint that many documents share.
+    named = save(named.join(smallest, "component").select("print", "component_id"))
     return rows.join(named, "print").select(
         F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id")
