@@ -120,18 +120,23 @@ def test_csv_delta_export(spark, workspace, tmpdir_path):
     assert all(r["Traite"] == "FALSE" for r in rows)
 
 
+def two_jobs(**fields):
+    """A configuration with the jobs that these tests need; fewer jobs, shorter plans."""
+    return P.Config(extractable=["linkedin", "talent_com"], **fields)
+
+
 def test_unusable_mails_are_reported_once_and_get_no_id(spark, tmpdir_path):
     src = tmpdir_path / "sources"
     write_eml(src / "linkedin" / "a.eml", "<a@x>", "L <j@linkedin.com>", "x", "not a date", LI)
     write_eml(src / "linkedin" / "b.eml", None, "L <j@linkedin.com>", "x", "Mon, 01 Jun 2026 10:00:00 +0200", LI)
     write_eml(src / "linkedin" / "c[1].eml", "<c@x>", "L <j@linkedin.com>", "x", "Mon, 01 Jun 26 10:00:00 GMT", LI)
     ws = P.Workspace(str(tmpdir_path / "ws"), str(src))
-    r1 = P.run_pipeline(spark, ws, "r1", "2026-06-02T10:00:00Z")
+    r1 = P.run_pipeline(spark, ws, "r1", "2026-06-02T10:00:00Z", cfg=two_jobs())
     assert r1["index"]["errors"] == 2 and r1["extract"]["offres_ecrites"] == 1
     assert {r.path: r.reason for r in spark.read.parquet(ws.path("index_errors")).collect()} == {
         "linkedin/a.eml": "no readable date: ", "linkedin/b.eml": "no Message-ID"}
     assert spark.read.parquet(ws.path("offers")).first()["Date_decouverte"] == "2026-06-01"
-    assert P.run_pipeline(spark, ws, "r2", "2026-06-03T10:00:00Z")["index"] == {"errors": 0}
+    assert P.run_pipeline(spark, ws, "r2", "2026-06-03T10:00:00Z", cfg=two_jobs())["index"] == {"errors": 0}
 
 
 def test_quarantine_names_do_not_clash(spark, tmpdir_path):
@@ -140,10 +145,10 @@ def test_quarantine_names_do_not_clash(spark, tmpdir_path):
     mail = ("<a@x>", "L <j@linkedin.com>", "x", "Mon, 01 Jun 2026 10:00:00 +0200", LI)
     for folder in ("k1", "k2", "k3"):
         write_eml(src / folder / "same.eml", *mail)
-    P.run_pipeline(spark, ws, "r1", "2026-06-02T10:00:00Z")
+    P.run_pipeline(spark, ws, "r1", "2026-06-02T10:00:00Z", cfg=two_jobs())
     write_eml(src / "k4" / "same.eml", *mail)
     write_eml(src / "k4" / "same_20260601120000.eml", *mail)
-    P.run_pipeline(spark, ws, "r2", "2026-06-03T10:00:00Z")
+    P.run_pipeline(spark, ws, "r2", "2026-06-03T10:00:00Z", cfg=two_jobs())
     got = {r.path: r.quarantine_path for r in spark.read.parquet(ws.path("quarantine")).collect()}
     assert got == {"k2/same.eml": "_duplicates/same.eml", "k3/same.eml": "_duplicates/same_2.eml",
                    "k4/same.eml": "_duplicates/same_3.eml", "k4/same_20260601120000.eml": "_duplicates/same_20260601120000.eml"}
@@ -165,14 +170,14 @@ def test_fetched_messages_are_indexed_and_marked(spark, tmpdir_path):
     ws = P.Workspace(str(tmpdir_path / "ws"), str(tmpdir_path / "none"))
     rows = [("g1", "<a@x>", "L <j@linkedin.com>", 5, LI), ("g2", "<b@x>", "T <n@alerts.talent.com>", 5, TC),
             ("g3", "<c@x>", "X <a@unknown.example>", 5, LI), ("g4", "<d@x>", "L <j@linkedin.com>", 1, LI)]
-    r1 = P.run_pipeline(spark, ws, "r1", "2026-06-06T10:00:00Z", listing=_listing(spark, rows), since_days=3)
+    r1 = P.run_pipeline(spark, ws, "r1", "2026-06-06T10:00:00Z", cfg=two_jobs(), listing=_listing(spark, rows), since_days=3)
     assert (r1["index"]["n_found"], r1["index"]["n_new"], r1["index"]["n_downloaded"]) == (2, 2, 2)
     assert r1["marked"] == 2
     assert sorted(r.gmail_id for r in spark.read.parquet(ws.path("to_mark")).collect()) == ["g1", "g2"]
     led = {r.message_id: r for r in LG.read_ledger(spark, ws.path("ledger")).collect()}
     assert led["<a@x>"]["gmail_id"] == "g1" and led["<a@x>"]["fetched_at"] == "2026-06-06T10:00:00Z"
     rows += [("g5", "<a@x>", "L <j@linkedin.com>", 6, LI), ("g6", "<f@x>", "L <j@linkedin.com>", 6, LI.replace("9876543210", "55"))]
-    r2 = P.run_pipeline(spark, ws, "r2", "2026-06-07T10:00:00Z", listing=_listing(spark, rows))
+    r2 = P.run_pipeline(spark, ws, "r2", "2026-06-07T10:00:00Z", cfg=two_jobs(), listing=_listing(spark, rows))
     assert (r2["index"]["n_found"], r2["index"]["n_new"], r2["index"]["n_downloaded"]) == (2, 2, 1)
     assert r2["marked"] == 1
 
@@ -182,7 +187,7 @@ def test_mark_cap_stops_a_run_before_it_publishes(spark, tmpdir_path):
     ws = P.Workspace(str(tmpdir_path / "ws"), str(tmpdir_path / "none"))
     rows = [(f"g{i}", f"<{i}@x>", "L <j@linkedin.com>", 5, LI) for i in range(3)]
     with pytest.raises(RuntimeError, match="safety cap"):
-        P.run_pipeline(spark, ws, "r1", "2026-06-06T10:00:00Z", cfg=P.Config(mark_cap=2), listing=_listing(spark, rows), since_days=3)
+        P.run_pipeline(spark, ws, "r1", "2026-06-06T10:00:00Z", cfg=two_jobs(mark_cap=2), listing=_listing(spark, rows), since_days=3)
     assert not os.path.exists(ws.path("published"))
 
 
@@ -199,6 +204,6 @@ def test_geocode_reference(spark, tmpdir_path):
     write_eml(src / "linkedin" / "a.eml", "<a@x>", "L <j@linkedin.com>", "x", "Mon, 01 Jun 2026 10:00:00 +0200",
               li_card(1, "Bergère", "Alpage · Zzyzx"))
     ws = P.Workspace(str(tmpdir_path / "ws"), str(src))
-    cfg = P.Config(geocode=spark.createDataFrame([("Zzyzx", "05100")], "city string, postcode string"))
+    cfg = two_jobs(geocode=spark.createDataFrame([("Zzyzx", "05100")], "city string, postcode string"))
     P.run_pipeline(spark, ws, "r1", "2026-06-02T10:00:00Z", cfg=cfg)
     assert spark.read.parquet(ws.path("offers")).first()["Dept"] == "05"

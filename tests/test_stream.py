@@ -4,7 +4,7 @@ from alertlake.plans import pipeline as P
 from alertlake.sources import ledger as LG
 from alertlake.streaming import ingest as S
 from tests.test_extract import ia_card, li_card
-from tests.test_pipeline import FT, LI, TC, write_eml
+from tests.test_pipeline import FT, LI, TC, two_jobs, write_eml
 
 IA = ia_card("Analyste", "https://fr.indeed.com/rc/clk?jk=0123456789abcdef", ["Data Sud", "Nice (06)"])
 
@@ -77,15 +77,15 @@ def test_a_committed_batch_may_be_replayed(spark, tmpdir_path):
     src, ckpt = tmpdir_path / "sources", tmpdir_path / "ckpt"
     ws = P.Workspace(str(tmpdir_path / "ws"), str(src))
     write_eml(src / "a.eml", "<a@x>", SENDER, "x", DAY, LI)
-    S.start(spark, ws, str(ckpt), now="2026-06-02T10:00:00Z").awaitTermination(300)
+    S.start(spark, ws, str(ckpt), cfg=two_jobs(), now="2026-06-02T10:00:00Z").awaitTermination(300)
     write_eml(src / "b.eml", "<b@x>", SENDER, "x", DAY, li_card(11, "Relieur"))
-    S.start(spark, ws, str(ckpt), now="2026-06-02T11:00:00Z").awaitTermination(300)
+    S.start(spark, ws, str(ckpt), cfg=two_jobs(), now="2026-06-02T11:00:00Z").awaitTermination(300)
     commits = sorted((p for p in (ckpt / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
     last = commits[-1]
     last.unlink()
     (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
     write_eml(src / "c.eml", "<c@x>", SENDER, "x", DAY, li_card(12, "Doreur"))
-    S.start(spark, ws, str(ckpt), now="2026-06-02T12:00:00Z").awaitTermination(300)
+    S.start(spark, ws, str(ckpt), cfg=two_jobs(), now="2026-06-02T12:00:00Z").awaitTermination(300)
     offers = spark.read.parquet(ws.path("offers")).collect()
     assert sorted((r["ID"], r["Message_ID"]) for r in offers) == [("E000001", "<a@x>"), ("E000002", "<b@x>"), ("E000003", "<c@x>")]
     assert spark.read.parquet(ws.path("published")).count() == 3
@@ -96,8 +96,8 @@ def test_two_queries_share_a_workspace(spark, tmpdir_path):
     ws2 = P.Workspace(str(tmpdir_path / "ws"), str(tmpdir_path / "s2"))
     write_eml(tmpdir_path / "s1" / "a.eml", "<a@x>", SENDER, "x", DAY, LI)
     write_eml(tmpdir_path / "s2" / "b.eml", "<b@x>", SENDER, "x", DAY, li_card(21, "Luthier"))
-    S.start(spark, ws1, str(tmpdir_path / "c1"), now="2026-06-02T10:00:00Z").awaitTermination(300)
-    S.start(spark, ws2, str(tmpdir_path / "c2"), now="2026-06-02T11:00:00Z").awaitTermination(300)
+    S.start(spark, ws1, str(tmpdir_path / "c1"), cfg=two_jobs(), now="2026-06-02T10:00:00Z").awaitTermination(300)
+    S.start(spark, ws2, str(tmpdir_path / "c2"), cfg=two_jobs(), now="2026-06-02T11:00:00Z").awaitTermination(300)
     rows = spark.read.parquet(ws1.path("offers")).collect()
     assert sorted((r["ID"], r["Message_ID"]) for r in rows) == [("E000001", "<a@x>"), ("E000002", "<b@x>")]
     assert spark.read.parquet(ws1.path("published")).count() == 2
@@ -107,5 +107,5 @@ def test_mails_without_id_are_all_reported(spark, tmpdir_path):
     ws = P.Workspace(str(tmpdir_path / "ws"), str(tmpdir_path / "s"))
     for i in range(3):
         write_eml(tmpdir_path / "s" / f"{i}.eml", None, SENDER, "x", DAY, LI)
-    S.start(spark, ws, str(tmpdir_path / "c"), now="2026-06-02T10:00:00Z").awaitTermination(300)
+    S.start(spark, ws, str(tmpdir_path / "c"), cfg=two_jobs(), now="2026-06-02T10:00:00Z").awaitTermination(300)
     assert spark.read.parquet(ws.path("index_errors")).count() == 3
