@@ -114,6 +114,13 @@ class Model:
         self.levels.reverse()
         self.even = 1.0 / (len(self.levels[0][0]) + 1)
 
+    @classmethod
+    def of_levels(cls, levels: list[tuple], even: float) -> Model:
+        """A model from its tables, lowest order first: n-grams, shares, contexts, what these leave."""
+        model = cls.__new__(cls)
+        model.levels, model.even = levels, even
+        return model
+
     def log_probability(self, grams: np.ndarray) -> np.ndarray:
         p = np.full(len(grams), self.even)
         for k, (names, share, contexts, left) in enumerate(self.levels, 1):

@@ -4,6 +4,9 @@ For each language an interpolated Kneser-Ney model of character 4-grams is train
 texts that carry that language.  A text gets the language under which its cross-entropy per
 character is lowest.  It is rejected if that lowest cross-entropy lies far above what is usual,
 for training texts of that language and about that length, or if it has no letter.
+
+The models are estimated from all counts, as Spark tables.  They are cut into shards of bounded size, each
+a broadcast of its own, which a task reads one after another and of which it holds one at a time.
 """
 
 from __future__ import annotations
@@ -17,11 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alertlake.llm.common import bound_batches, save, slices
-from alertlake.llm.grams import Model, Tally, letter_codes, text_grams
+from alertlake.llm.grams import BITS, ORDER, Model, Tally, letter_codes, text_grams
+from alertlake.llm.quality import Tables
 
-#: Different n-grams over all languages, the bound of the model that is sent to every task.  Where
-#: there are more, each language loses its rarest ones.
-MAX_GRAMS = 4_000_000
+#: Rows of the models' tables in a shard: what the driver and a task hold of the models at a time.
+SHARD_ROWS = 4_000_000
+#: Bytes of text that a task looks at with each shard in turn, where there are several.
+CHUNK_BYTES = 8 << 20
 UNKNOWN = "und"
 #: A length class calibrates if it has so many training texts.
 SUPPORT = 100
@@ -59,62 +64,177 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
+#: An n-gram's two middle characters decide on its part: they are in it and in its context of every order above 2.
+_MIDDLE = (1 << 2 * BITS) - 1
+_PRIME = 1_000_003
+
+
+def _part(grams: np.ndarray, parts: int) -> np.ndarray:
+    """The number of the part that answers for each n-gram of the highest order."""
+    middle = grams >> np.uint64(BITS) & np.uint64(_MIDDLE)
+    return middle % np.uint64(_PRIME) % np.uint64(parts)
+
+
+def _rows(tables: Tables) -> DataFrame:
+    """The models' tables as one: (lang, level, kind, gram, value, middle).
+
+    Level 0 is the equal share; kind 0 holds shares of n-grams, kind 1 what contexts leave.  ``middle`` is null for the
+    levels that every part of a model has."""
+    def one(level: int, kind: int, rows: DataFrame, gram: str, value: str) -> DataFrame:
+        own = F.col(gram).cast("long")
+        middle = F.lit(None).cast("long")
+        if level > 2:
+            middle = (own if kind else F.shiftrightunsigned(own, BITS)).bitwiseAND(F.lit(_MIDDLE)) % _PRIME
+        return rows.select("lang", F.lit(level).alias("level"), F.lit(kind).alias("kind"), own.alias("gram"),
+                           F.col(value).alias("value"), middle.alias("middle"))
+
+    out = one(0, 0, tables.even.withColumn("gram", F.lit(0)), "gram", "even")
+    for k in range(1, ORDER + 1):
+        out = out.unionByName(one(k, 0, tables.share[k], "gram", "share"))
+        out = out.unionByName(one(k, 1, tables.left[k], "context", "left"))
+    return out
+
+
+def _model(rows: pa.Table) -> Model:
+    """A part of a language's model."""
+    level, kind, grams, values = (rows.column(c).to_numpy() for c in ("level", "kind", "gram", "value"))
+    grams = grams.view(np.uint64)
+
+    def pick(k: int, which: int, none: float) -> tuple[np.ndarray, np.ndarray]:
+        own = (level == k) & (kind == which)
+        order = np.argsort(grams[own])
+        if not len(order):  # no n-gram nor context of a level above 1 is zero, so this row answers nothing
+            return np.zeros(1, np.uint64), np.array([none])
+        return grams[own][order], values[own][order]
+
+    levels = [(*pick(k, 0, 0.0), *pick(k, 1, 1.0)) for k in range(1, ORDER + 1)]
+    return Model.of_levels(levels, float(values[level == 0][0]))
+
+
+class Models:
+    """The models of all languages: ``langs`` by name, and ``shards``, broadcasts of [(lang, part, parts, model)]."""
+
+    def __init__(self, counts: DataFrame, shard_rows: int):
+        spark = counts.sparkSession
+        rows = save(_rows(Tables(counts, modified=False)))
+        # Two numbers for each language.
+        sizes = rows.groupBy("lang").agg(F.count("middle").alias("split"), F.count(F.lit(1)).alias("n")).collect()
+        self.langs = sorted(r.lang for r in sizes)
+        plan: list[list[tuple[str, int, int]]] = []
+        room = 0
+        for r in sorted(sizes):
+            parts = max(1, -(-r.split // shard_rows))
+            for part in range(parts):
+                n = r.n - r.split + r.split // parts
+                if not plan or n > room:
+                    plan.append([])
+                    room = shard_rows
+                plan[-1].append((r.lang, part, parts))
+                room -= n
+        self.shards = []
+        for shard in plan:
+            # Of a language in several parts, a shard has one or a few.
+            whole = [lang for lang, _, parts in shard if parts == 1]
+            wanted = F.col("lang").isin(whole) if whole else F.lit(False)
+            for lang, part, parts in shard:
+                if parts > 1:
+                    own = F.col("middle").isNull() | (F.col("middle") % parts == part)
+                    wanted = wanted | ((F.col("lang") == lang) & own)
+            held = rows.where(wanted).sort("lang").toArrow()
+            names = held.column("lang").combine_chunks().dictionary_encode()
+            number = names.indices.to_numpy()
+            at = {name: k for k, name in enumerate(names.dictionary.to_pylist())}
+            middle = held.column("middle").fill_null(-1).to_numpy()
+            models = []
+            for lang, part, parts in shard:
+                own = (number == at[lang]) & ((middle < 0) | (middle % parts == part))
+                models.append((lang, part, parts, _model(held.filter(pa.array(own)))))
+            self.shards.append(spark.sparkContext.broadcast(models))
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          max_grams: int = MAX_GRAMS) -> dict[str, Model]:
+          shard_rows: int = SHARD_ROWS) -> Models:
     """A model for each language, from all texts that are not held out and carry a language."""
     learn = docs.where(~held_out(F.col(f"`{id_col}`")) & F.col(f"`{lang_col}`").isNotNull()
                        & F.col(f"`{text_col}`").isNotNull())
-    counts = save(gram_counts(learn.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))))
-    # How many n-grams of a language occur 1, 2-3, 4-7, ... times: a few rows for each language.
-    sizes: dict[str, dict[int, int]] = {}
-    for r in counts.groupBy("lang", F.floor(F.log2("n")).alias("power")).agg(F.count(F.lit(1)).alias("n")).collect():
-        sizes.setdefault(r.lang, {})[r.power] = r.n
-    models = {}
-    for lang in sorted(sizes):
-        least, held = 0, sum(sizes[lang].values())
-        while held > max_grams // len(sizes):
-            held -= sizes[lang].get(least, 0)
-            least += 1
-        own = counts.where((F.col("lang") == lang) & (F.col("n") >= 1 << least)).select("gram", "n").toArrow()
-        if own.num_rows:
-            models[lang] = Model(own.column("gram").to_numpy().view(np.uint64), own.column("n").to_numpy(), modified=False)
-    return models
-
-
-def scores(docs: DataFrame, models: dict[str, Model], text_col: str) -> DataFrame:
+    return Models(gram_counts(learn.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))), shard_rows)
+
+
+class _Slice:
+    """Rows of a batch, and the sum of each text's log-probabilities under each language."""
+
+    def __init__(self, part: pa.RecordBatch, text_at: int, langs: int):
+        self.part = part
+        grams, self.counts = text_grams(_lowered(part.column(text_at).to_pylist()), letter_codes())
+        at, self.different = pd.factorize(grams)
+        self.at = at.astype(np.int32)
+        self.first = np.cumsum(self.counts) - self.counts
+        self.sums = np.zeros((part.num_rows, langs))
+
+    def add(self, k: int, part: int, parts: int, model: Model) -> None:
+        if parts == 1:
+            logs = model.log_probability(self.different)
+        else:
+            logs = np.zeros(len(self.different))
+            own = _part(self.different, parts) == part
+            logs[own] = model.log_probability(self.different[own])
+        self.sums[:, k] += np.add.reduceat(logs[self.at], self.first)
+
+
+def _groups(parts: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Slices in lists of about ``most`` bytes (one slice at least)."""
+    group, held = [], 0
+    for part in parts:
+        group.append(part)
+        held += part.nbytes
+        if held >= most:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
+def scores(docs: DataFrame, models: Models, text_col: str) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score``, ``cross_entropy``, ``letters`` appended (columns of
     these names are replaced).
 
     ``score`` is the share of the predicted language, from 0 to 1, if the languages' shares
     are in proportion to their probabilities per character."""
     bound_batches(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast((sorted(models), [models[m] for m in sorted(models)]))
+    langs, shards = models.langs, models.shards
+    number = {lang: k for k, lang in enumerate(langs)}
     new = ["lang_pred", "score", "cross_entropy", "letters"]
     names = [c for c in docs.columns if c not in new]
     text_at = names.index(text_col)
     source = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, own = held.value
-        for part in slices(batches, f"c{text_at}"):
-            grams, counts = text_grams(_lowered(part.column(text_at).to_pylist()), letter_codes())
-            seen, different = pd.factorize(grams)
-            first = np.cumsum(counts) - counts
-            entropy = np.full((len(counts), len(langs)), np.inf)
-            for k, model in enumerate(own):
-                entropy[:, k] = -np.add.reduceat(model.log_probability(different)[seen], first) / counts
-            letters = counts - 1  # with the boundaries between words; none without a letter
-            known = (letters > 0) & (len(langs) > 0)
-            best = entropy.argmin(axis=1) if langs else np.zeros(len(counts), int)
-            low = entropy[np.arange(len(counts)), best] if langs else np.zeros(len(counts))
-            share = np.zeros(len(counts))
-            if langs:
-                share = 1 / np.exp(low[:, None] - entropy).sum(axis=1)
-            pred = [langs[b] if k else UNKNOWN for b, k in zip(best, known)]
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(pred, pa.string()), pa.array(np.where(known, share, 0.0)),
-                 pa.array(np.where(known, low, np.nan), from_pandas=True), pa.array(letters, pa.int64())],
-                names=[*part.schema.names, "lang_pred", "score", "cross_entropy", "letters"])
+        for group in _groups(slices(batches, f"c{text_at}"), CHUNK_BYTES if len(shards) > 1 else 1):
+            held = [_Slice(part, text_at, len(langs)) for part in group]
+            for shard in shards:
+                for lang, part, parts, model in shard.value:
+                    for one in held:
+                        one.add(number[lang], part, parts, model)
+                if len(shards) > 1:
+                    vars(shard).pop("_value", None)  # read again from the worker's disk with the next group
+            for one in held:
+                yield finish(one)
+
+    def finish(one: _Slice) -> pa.RecordBatch:
+        counts, part = one.counts, one.part
+        entropy = -one.sums / counts[:, None]
+        letters = counts - 1  # with the boundaries between words; none without a letter
+        known = (letters > 0) & (len(langs) > 0)
+        best = entropy.argmin(axis=1) if langs else np.zeros(len(counts), int)
+        low = entropy[np.arange(len(counts)), best] if langs else np.zeros(len(counts))
+        share = np.zeros(len(counts))
+        if langs:
+            share = 1 / np.exp(low[:, None] - entropy).sum(axis=1)
+        pred = [langs[b] if k else UNKNOWN for b, k in zip(best, known)]
+        return pa.RecordBatch.from_arrays(
+            [*part.columns, pa.array(pred, pa.string()), pa.array(np.where(known, share, 0.0)),
+             pa.array(np.where(known, low, np.nan), from_pandas=True), pa.array(letters, pa.int64())],
+            names=[*part.schema.names, "lang_pred", "score", "cross_entropy", "letters"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields)
     out = source.mapInArrow(run, f"{schema}, lang_pred string, score double, cross_entropy double, letters long")

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from alertlake.llm import grams, langid, quality
 from alertlake.llm.common import table
@@ -131,6 +132,28 @@ def test_language_id_rejects_and_edge_cases(spark, monkeypatch):
     assert {r.lang_pred for r in langid.identify(docs.where("lang is null")).collect()} == {"und"}
 
 
+def test_language_models_keep_all_counts_in_any_number_of_shards(spark):
+    random.seed(5)
+    rows = [(None, "".join(random.choice(letters) for _ in range(300)), lang) for i in range(30)
+            for lang, letters in [("aa", "abcdefghijklm "), ("bb", "hijklmnopqrst "), (f"rare{i}", "uvwxyz")]]
+    docs = spark.createDataFrame([(*r, "", "") for r in rows], DOCS).withColumn("doc_id", F.lit(0).cast("long"))
+    counts = defaultdict(Counter)
+    for _, t, lang in rows:
+        counts[lang].update(_plain_grams(t, lambda c: ord(c) if c.isalpha() else 0))
+    plain = {lang: Plain(c, False) for lang, c in counts.items()}
+    asked = [rows[0][1], rows[1][1][:50], "zebra", "xyz abc"]
+    texts = spark.createDataFrame([(t,) for t in asked], "text string")
+    for shard_rows, least in ((10_000_000, 1), (2000, 10)):
+        models = langid.train(docs, shard_rows=shard_rows)
+        assert len(models.langs) == 32 and len(models.shards) >= least
+        got = {r.text: r for r in langid.scores(texts, models, "text").collect()}
+        for t in asked:
+            own = _plain_grams(t, lambda c: ord(c) if c.isalpha() else 0)
+            want = {lang: -sum(math.log(p.p(g)) for g in own) / len(own) for lang, p in plain.items()}
+            assert got[t].cross_entropy == pytest.approx(min(want.values()), abs=1e-9)
+            assert want[got[t].lang_pred] == pytest.approx(min(want.values()), abs=1e-9)
+
+
 def test_prediction_ignores_the_columns_of_the_row(spark):
     docs = table(spark, SF_SMALL, "documents")
     train = langid.train(docs)
