@@ -3,7 +3,8 @@
 For each language an interpolated Kneser-Ney model of character 4-grams is trained on the
 texts that carry that language.  A text gets the language under which its cross-entropy per
 character is lowest.  It is rejected if that lowest cross-entropy lies far above what is usual,
-for training texts of that language and about that length, or if it has no letter.
+for training texts of that language and about that length, or if it has no letter.  What is usual
+is seen by cross-fitting: the training texts are in two folds, and a model of one judges the other.
 
 The models are estimated from all counts, as Spark tables.  They are cut into shards of bounded size, each
 a broadcast of its own, which a task reads one after another and of which it holds one at a time.
@@ -11,6 +12,7 @@ a broadcast of its own, which a task reads one after another and of which it hol
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +30,16 @@ SHARD_ROWS = 4_000_000
 #: Bytes of text that a task looks at with each shard in turn, where there are several.
 CHUNK_BYTES = 8 << 20
 UNKNOWN = "und"
-#: A length class calibrates if it has so many training texts.
-SUPPORT = 100
-#: How far above the median the limit is, in distances from the median to the 99th percentile.
-SLACK = 4.0
+#: Where the limits of languages with few training texts are.
+REST = "\0rest"
+#: A length class, or a language, calibrates if it has so many training texts.
+SUPPORT = 20
+#: How far above the median the limit is, in distances from the median to the third quartile.
+SLACK = 20.0
+#: The least such distance, as a share of the median: many copies of a text leave no spread.
+LEAST_SPREAD = 0.01
+#: The power of the length by which it grows towards shorter texts: 0.5 were characters independent.
+WIDEN = 1 / 3
 
 
 def held_out(id_col: F.Column) -> F.Column:
@@ -43,25 +51,41 @@ def _lowered(texts: list[str | None]) -> list[str]:
     return [(t or "").lower() for t in texts]
 
 
+def _folds(lowered: list[str]) -> np.ndarray:
+    """0 or 1 for each text, the same for equal ones: no copy of a text is in the model that judges it."""
+    return np.fromiter((zlib.crc32(t.encode("utf-8", "surrogatepass")) & 1 for t in lowered), np.int64, len(lowered))
+
+
+def _name(lang: str, fold: str) -> str:
+    """The name of a model: of all texts of a language (fold "all") or those of one fold ("0", "1")."""
+    return f"{lang}/{fold}"
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n) over all texts (columns lang, text); an n-gram is a signed long."""
+    """(lang, gram, n) over all texts (columns lang, text), and over those of each fold; an n-gram is a signed long.
+
+    ``lang`` is a model's name, see ``_name``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies: dict[str, Tally] = {}
         for part in slices(batches, "text"):
-            grams, counts = text_grams(_lowered(part.column(1).to_pylist()), letter_codes())
-            text = np.repeat(np.arange(part.num_rows), counts)
-            langs, names = pd.factorize(np.array(part.column(0).to_pylist(), object))
+            lowered = _lowered(part.column(1).to_pylist())
+            grams, counts = text_grams(lowered, letter_codes())
+            labels = [_name(x, str(f)) for x, f in zip(part.column(0).to_pylist(), _folds(lowered))]
+            of, names = pd.factorize(np.array(labels, object))
+            of = np.repeat(of, counts)
             for i, name in enumerate(names):
-                tallies.setdefault(name, Tally()).add(grams[langs[text] == i])
+                tallies.setdefault(name, Tally()).add(grams[of == i])
         for name, tally in tallies.items():
             grams, counts = tally.close()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts)],
                 names=["lang", "gram", "n"])
 
-    return (docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
-            .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    folds = save(docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
+                 .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    both = F.concat(F.expr("substring(lang, 1, length(lang) - 1)"), F.lit("all"))
+    return folds.unionByName(folds.groupBy(both.alias("lang"), "gram").agg(F.sum("n").alias("n")))
 
 
 #: An n-gram's two middle characters decide on its part: they are in it and in its context of every order above 2.
@@ -112,14 +136,14 @@ def _model(rows: pa.Table) -> Model:
 
 
 class Models:
-    """The models of all languages: ``langs`` by name, and ``shards``, broadcasts of [(lang, part, parts, model)]."""
+    """The models of all languages: ``langs`` by name, and ``shards``, broadcasts of [(lang, fold, part, parts, model)]."""
 
     def __init__(self, counts: DataFrame, shard_rows: int):
         spark = counts.sparkSession
         rows = save(_rows(Tables(counts, modified=False)))
-        # Two numbers for each language.
+        # Two numbers for each model.
         sizes = rows.groupBy("lang").agg(F.count("middle").alias("split"), F.count(F.lit(1)).alias("n")).collect()
-        self.langs = sorted(r.lang for r in sizes)
+        self.langs = sorted(r.lang.rpartition("/")[0] for r in sizes if r.lang.endswith("/all"))
         plan: list[list[tuple[str, int, int]]] = []
         room = 0
         for r in sorted(sizes):
@@ -133,7 +157,7 @@ class Models:
                 room -= n
         self.shards = []
         for shard in plan:
-            # Of a language in several parts, a shard has one or a few.
+            # Of a model in several parts, a shard has one or a few.
             whole = [lang for lang, _, parts in shard if parts == 1]
             wanted = F.col("lang").isin(whole) if whole else F.lit(False)
             for lang, part, parts in shard:
@@ -148,24 +172,39 @@ class Models:
             models = []
             for lang, part, parts in shard:
                 own = (number == at[lang]) & ((middle < 0) | (middle % parts == part))
-                models.append((lang, part, parts, _model(held.filter(pa.array(own)))))
+                name, _, fold = lang.rpartition("/")
+                models.append((name, fold, part, parts, _model(held.filter(pa.array(own)))))
             self.shards.append(spark.sparkContext.broadcast(models))
 
 
+def _label(id_col: str, text_col: str, lang_col: str) -> F.Column:
+    """The language of a text that the models learn from, null for others."""
+    return F.when(~held_out(F.col(f"`{id_col}`")) & F.col(f"`{text_col}`").isNotNull(), F.col(f"`{lang_col}`"))
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           shard_rows: int = SHARD_ROWS) -> Models:
-    """A model for each language, from all texts that are not held out and carry a language."""
-    learn = docs.where(~held_out(F.col(f"`{id_col}`")) & F.col(f"`{lang_col}`").isNotNull()
-                       & F.col(f"`{text_col}`").isNotNull())
+    """Models for each language, from all texts that are not held out and carry a language."""
+    learn = docs.where(_label(id_col, text_col, lang_col).isNotNull())
     return Models(gram_counts(learn.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))), shard_rows)
 
 
 class _Slice:
-    """Rows of a batch, and the sum of each text's log-probabilities under each language."""
+    """Rows of a batch, and the sum of each text's log-probabilities under each language.
+
+    ``unseen`` has those of a training text under its language's model of the other fold."""
 
-    def __init__(self, part: pa.RecordBatch, text_at: int, langs: int):
+    def __init__(self, part: pa.RecordBatch, text_at: int, langs: int, labels: list[str | None]):
         self.part = part
-        grams, self.counts = text_grams(_lowered(part.column(text_at).to_pylist()), letter_codes())
+        lowered = _lowered(part.column(text_at).to_pylist())
+        grams, self.counts = text_grams(lowered, letter_codes())
+        # The texts that a fold's model judges.
+        self.judged: dict[tuple[str, str], list[int]] = {}
+        if any(x is not None for x in labels):
+            for i, (lang, fold) in enumerate(zip(labels, _folds(lowered))):
+                if lang is not None:
+                    self.judged.setdefault((lang, str(1 - fold)), []).append(i)
+        self.unseen = np.full(part.num_rows, np.nan)
         at, self.different = pd.factorize(grams)
         self.at = at.astype(np.int32)
         self.first = np.cumsum(self.counts) - self.counts
@@ -180,6 +219,23 @@ class _Slice:
             logs[own] = model.log_probability(self.different[own])
         self.sums[:, k] += np.add.reduceat(logs[self.at], self.first)
 
+    def cross(self, lang: str, fold: str, part: int, parts: int, model: Model) -> None:
+        rows = self.judged.get((lang, fold))
+        if rows is None:
+            return
+        chosen = np.zeros(len(self.counts), bool)
+        chosen[rows] = True
+        at = self.at[np.repeat(chosen, self.counts)]
+        own = np.zeros(len(self.different), bool)
+        own[at] = True
+        if parts > 1:
+            own &= _part(self.different, parts) == part
+        logs = np.zeros(len(self.different))
+        logs[own] = model.log_probability(self.different[own])
+        counts = self.counts[chosen]
+        sums = np.add.reduceat(logs[at], np.cumsum(counts) - counts)
+        self.unseen[chosen] = np.where(np.isnan(self.unseen[chosen]), 0.0, self.unseen[chosen]) + sums
+
 
 def _groups(parts: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
     """Slices in lists of about ``most`` bytes (one slice at least)."""
@@ -194,27 +250,36 @@ def _groups(parts: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.Reco
         yield group
 
 
-def scores(docs: DataFrame, models: Models, text_col: str) -> DataFrame:
+def scores(docs: DataFrame, models: Models, text_col: str, label: F.Column | None = None) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score``, ``cross_entropy``, ``letters`` appended (columns of
     these names are replaced).
 
     ``score`` is the share of the predicted language, from 0 to 1, if the languages' shares
-    are in proportion to their probabilities per character."""
+    are in proportion to their probabilities per character.  With ``label``, the languages of the
+    training texts, there is ``unseen_entropy`` too: a training text's cross-entropy under its own
+    language's model of the other fold.  It takes no part in the prediction."""
     bound_batches(docs.sparkSession)
     langs, shards = models.langs, models.shards
     number = {lang: k for k, lang in enumerate(langs)}
-    new = ["lang_pred", "score", "cross_entropy", "letters"]
+    new = ["lang_pred", "score", "cross_entropy", "letters", "unseen_entropy"][:4 if label is None else 5]
     names = [c for c in docs.columns if c not in new]
     text_at = names.index(text_col)
     source = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields)
+    labelled = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
+                           (F.lit(None) if label is None else label).cast("string").alias("label"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(slices(batches, f"c{text_at}"), CHUNK_BYTES if len(shards) > 1 else 1):
-            held = [_Slice(part, text_at, len(langs)) for part in group]
+            held = [_Slice(part.select(part.schema.names[:-1]), text_at, len(langs), part.column(part.num_columns - 1).to_pylist())
+                    for part in group]
             for shard in shards:
-                for lang, part, parts, model in shard.value:
+                for lang, fold, part, parts, model in shard.value:
                     for one in held:
-                        one.add(number[lang], part, parts, model)
+                        if fold == "all":
+                            one.add(number[lang], part, parts, model)
+                        else:
+                            one.cross(lang, fold, part, parts, model)
                 if len(shards) > 1:
                     vars(shard).pop("_value", None)  # read again from the worker's disk with the next group
             for one in held:
@@ -231,13 +296,13 @@ def scores(docs: DataFrame, models: Models, text_col: str) -> DataFrame:
         if langs:
             share = 1 / np.exp(low[:, None] - entropy).sum(axis=1)
         pred = [langs[b] if k else UNKNOWN for b, k in zip(best, known)]
-        return pa.RecordBatch.from_arrays(
-            [*part.columns, pa.array(pred, pa.string()), pa.array(np.where(known, share, 0.0)),
-             pa.array(np.where(known, low, np.nan), from_pandas=True), pa.array(letters, pa.int64())],
-            names=[*part.schema.names, "lang_pred", "score", "cross_entropy", "letters"])
+        columns = [pa.array(pred, pa.string()), pa.array(np.where(known, share, 0.0)),
+                   pa.array(np.where(known, low, np.nan), from_pandas=True), pa.array(letters, pa.int64()),
+                   pa.array(-one.unseen / counts, from_pandas=True)]
+        return pa.RecordBatch.from_arrays([*part.columns, *columns[:len(new)]], names=[*part.schema.names, *new])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields)
-    out = source.mapInArrow(run, f"{schema}, lang_pred string, score double, cross_entropy double, letters long")
+    kinds = ["string", "double", "double", "long", "double"]
+    out = labelled.mapInArrow(run, ", ".join([schema, *(f"{n} {k}" for n, k in zip(new, kinds))]))
     return out.toDF(*names, *new)
 
 
@@ -245,31 +310,46 @@ def _length_class() -> F.Column:
     return F.floor(F.log2(F.col("letters"))).cast("int")
 
 
-def limits(scored: DataFrame, id_col: str, lang_col: str) -> dict[str, list[float | None]]:
+def limits(scored: DataFrame, lang_col: str) -> dict[str, list[float]]:
     """For each language, by length class: the highest cross-entropy that is accepted.
 
-    From all training texts whose language was recognised.  A class with few of them has the limit of
-    the next shorter class, which is more lenient; without one nothing is rejected (None)."""
-    right = scored.where(~held_out(F.col(f"`{id_col}`")) & (F.col(f"`{lang_col}`") == F.col("lang_pred")))
-    found = right.groupBy("lang_pred", _length_class().alias("size")).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("cross_entropy", [0.5, 0.99], 100_000).alias("q")).collect()
-    out: dict[str, list[float | None]] = {}
-    for lang in {r.lang_pred for r in found}:
-        own = {r.size: r.q[0] + SLACK * (r.q[1] - r.q[0]) for r in found if r.lang_pred == lang and r.n >= SUPPORT}
-        row, last = [], None
-        for size in range(64):
-            last = own.get(size, last)
-            row.append(last)
-        out[lang] = row
+    From all training texts whose language was recognised, each judged by the other fold's model.  Median and
+    third quartile set the limit, so junk that is less than a quarter of a class does not move it far.  A class with
+    few texts has the limit of the whole language, widened the more the shorter its texts are; a
+    language with few has the most lenient limit of any other; nothing is rejected only if none has enough."""
+    right = scored.where((F.col(lang_col) == F.col("lang_pred")) & F.col("unseen_entropy").isNotNull())
+    quartiles = [F.count(F.lit(1)).alias("n"), F.percentile_approx("unseen_entropy", [0.5, 0.75], 100_000).alias("q"),
+                 F.percentile_approx("letters", 0.5, 100_000).alias("letters")]
+    classes = right.groupBy("lang_pred", _length_class().alias("size")).agg(*quartiles).collect()
+    whole = right.groupBy("lang_pred").agg(*quartiles).collect()
+
+    def slack(q: list[float]) -> float:
+        return SLACK * max(q[1] - q[0], LEAST_SPREAD * q[0])
+
+    out: dict[str, list[float]] = {}
+    for r in whole:
+        if r.n >= SUPPORT:
+            out[r.lang_pred] = [r.q[0] + slack(r.q) * max(1.0, r.letters / 2.0**size) ** WIDEN for size in range(64)]
+    for r in classes:
+        if r.n >= SUPPORT:
+            out[r.lang_pred][r.size] = r.q[0] + slack(r.q)
+    if out:
+        lenient = [max(row[size] for row in out.values()) for size in range(64)]
+        out[REST] = lenient
     return out
 
 
-def _accepted(found: dict[str, list[float | None]]) -> F.Column:
-    ok = F.col("lang_pred") != UNKNOWN
+def _accepted(found: dict[str, list[float]]) -> F.Column:
+    rest = F.lit(None).cast("double")
+    limit = None
     for lang, row in found.items():
-        limit = F.element_at(F.array(*[F.lit(x).cast("double") for x in row]), _length_class() + 1)
-        ok = ok & ~F.coalesce((F.col("lang_pred") == lang) & (F.col("cross_entropy") > limit), F.lit(False))
-    return ok
+        own = F.element_at(F.array(*[F.lit(x).cast("double") for x in row]), _length_class() + 1)
+        if lang == REST:
+            rest = own
+        else:
+            limit = F.when(F.col("lang_pred") == lang, own) if limit is None else limit.when(F.col("lang_pred") == lang, own)
+    limit = rest if limit is None else limit.otherwise(rest)
+    return (F.col("lang_pred") != UNKNOWN) & ~F.coalesce(F.col("cross_entropy") > limit, F.lit(False))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -281,9 +361,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     same prediction; an empty table gives an empty result."""
     models = train(docs, id_col, text_col, lang_col)
     part = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    scored = save(scores(part, models, "text").drop("text"))
+    scored = save(scores(part, models, "text", _label("id", "text", "lang")).drop("text"))
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "lang_pred", "score",
-                         "cross_entropy", _accepted(limits(scored, "id", "lang")).alias("accepted"))
+                         "cross_entropy", _accepted(limits(scored, "lang")).alias("accepted"))
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -291,5 +371,5 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
     i, t, lang = (names[docs.columns.index(c)] for c in (id_col, text_col, lang_col))
-    scored = save(scores(plain, train(docs, id_col, text_col, lang_col), t))
-    return scored.where(_accepted(limits(scored, i, lang))).select(*names).toDF(*docs.columns)
+    scored = save(scores(plain, train(docs, id_col, text_col, lang_col), t, _label(i, t, lang)))
+    return scored.where(_accepted(limits(scored, lang))).select(*names).toDF(*docs.columns)

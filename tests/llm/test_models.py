@@ -154,6 +154,20 @@ def test_language_models_keep_all_counts_in_any_number_of_shards(spark):
             assert want[got[t].lang_pred] == pytest.approx(min(want.values()), abs=1e-9)
 
 
+def test_junk_among_the_training_texts_is_rejected_at_any_length(spark):
+    random.seed(6)
+    words = ["".join(random.choice("etaoinshrdlu") for _ in range(random.randrange(2, 7))) for _ in range(80)]
+    rows = [(i, " ".join(random.choices(words, k=80)), "en") for i in range(400)]
+    rows += [(i, rows[0][1], "en") for i in range(400, 500)]  # copies
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows += [(i, "".join(random.choice(letters) for _ in range(n)), lang)
+             for i, n, lang in [(600 + k, 360, "en") for k in range(15)] + [(700 + k, 60, None) for k in range(10)]]
+    rows += [(800 + k, " ".join(random.choices(words, k=12)), "en") for k in range(10)]  # a class of its own, with few texts
+    out = {r.doc_id: r.accepted for r in langid.identify(spark.createDataFrame([(*r, "", "") for r in rows], DOCS)).collect()}
+    assert not any(ok for i, ok in out.items() if 600 <= i < 800)
+    assert sum(ok for i, ok in out.items() if i < 600 or i >= 800) >= 505
+
+
 def test_prediction_ignores_the_columns_of_the_row(spark):
     docs = table(spark, SF_SMALL, "documents")
     train = langid.train(docs)
