@@ -197,6 +197,15 @@ def test_quality_keeps_trusted_and_drops_noise(spark):
     assert quality.classify(docs.where("doc_id < 5"), trusted.limit(0)).where("kept").count() == 5
 
 
+def test_quality_drops_labelled_bad_documents_and_keeps_trusted_ones(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.01", name) for name in ("documents", "labels"))
+    judged = quality.classify(docs, quality.trusted_ids(labels)).join(labels, "doc_id").where("lang = 'en'").collect()
+    bad = [r.kept for r in judged if r.quality == 0 or r.toxic == 1]
+    good = [r.kept for r in judged if r.quality == 1 and r.toxic == 0]
+    assert bad.count(False) >= 0.9 * len(bad)
+    assert good.count(True) >= 0.96 * len(good)
+
+
 def test_perplexity_equals_the_formula(spark):
     rows = [(i, t, "aa") for i, t in enumerate(["one two three", "one three", "two  two\ttwo 12", "Three one"] * 3)]
     docs = spark.createDataFrame(rows, "id long, text string, lang string")
