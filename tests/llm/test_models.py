@@ -197,6 +197,28 @@ def test_quality_keeps_trusted_and_drops_noise(spark):
     assert quality.classify(docs.where("doc_id < 5"), trusted.limit(0)).where("kept").count() == 5
 
 
+def test_quality_judges_languages_with_little_trusted_text(spark):
+    random.seed(7)
+    words = ["".join(random.choice("abcdefgh") for _ in range(random.randrange(2, 7))) for _ in range(80)]
+
+    def good():
+        return " ".join(random.choices(words, k=80))
+
+    def noise():
+        return "".join(random.choice("XYZ%&!? ") for _ in range(300))
+
+    rows = [(i, good(), "aa") for i in range(200)] + [(i, good(), "cc") for i in range(200, 240)]
+    rows += [(i, noise(), lang) for i, lang in zip(range(300, 340), ["cc", None, "bb", ""] * 10)]
+    rows += [(i, good(), lang) for i, lang in zip(range(400, 440), [None, "bb"] * 20)]
+    docs = spark.createDataFrame([(*r, "", "") for r in rows], DOCS)
+    trusted = spark.createDataFrame([(i,) for i in range(240)], "doc_id long")
+    out = {r.doc_id: r for r in quality.classify(docs, trusted).collect()}
+    assert len(out) == len(rows)
+    assert not any(out[i].kept for i in range(300, 340))
+    assert sum(out[i].kept for i in range(400, 440)) >= 38
+    assert sum(out[i].kept for i in range(200, 240)) >= 37
+
+
 def test_quality_drops_labelled_bad_documents_and_keeps_trusted_ones(spark):
     docs, labels = (table(spark, "/root/testdata/sf0.01", name) for name in ("documents", "labels"))
     judged = quality.classify(docs, quality.trusted_ids(labels)).join(labels, "doc_id").where("lang = 'en'").collect()
