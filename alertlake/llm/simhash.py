@@ -191,14 +191,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id.
-
-    Of repeated rows with that id, those that differ in any column stay, and one of equal
-    rows.  Rows with null ids form no component of their own: they stay if no row of their
-    component has an id."""
-    groups = near_duplicates(docs, id_col, text_col, **how)
-    drop = groups.where(F.col(id_col).isNull() | (F.col(id_col) != F.col("component_id"))).select(id_col)
-    return docs.join(drop.distinct(), id_col, "left_anti")
+    """``docs`` with exactly one row of each component, the one with the smallest id.
+
+    Null ids come last.  Of several rows with that id, equal or not, one stays.  The rows are written down
+    with a key of their own, so repeated ids take no other row with them."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    i, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    keyed = save(docs.toDF(*names).withColumn("key", F.monotonically_increasing_id()))
+    rows = keyed.select(F.struct(F.col(i).isNull().alias("none"), F.col(i).alias("id"), "key").alias("row"), text)
+    groups = near_duplicates(rows, "row", text, **how)
+    drop = groups.where(F.col("row.key") != F.col("component_id.key")).select("row.key")
+    return keyed.join(drop, "key", "left_anti").select(*names).toDF(*docs.columns)
 
 
 def brute_force(rows: list[tuple], shingle: int = SHINGLE, radius: int = RADIUS) -> list[tuple]:

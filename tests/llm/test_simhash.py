@@ -83,6 +83,16 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_keep_one_keeps_one_row_of_each_group(spark):
+    near = "a b c d"
+    rows = [(1, near, "x"), (1, near, "x"), (2, near, "y"), (None, near, "z"), (None, "only null ids", "u"), (None, "only null ids", "u"),
+            (7, near, "repeated id, near row 1"), (7, "another text with the id of that row", "v"), (8, "e f g h", "w")]
+    got = simhash.keep_one(spark.createDataFrame(rows, DOCS))
+    assert got.columns == ["doc_id", "text", "fingerprint"]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
+        [(1, near), (None, "only null ids"), (7, "another text with the id of that row"), (8, "e f g h")], key=str)
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(10, 60)]
     star = [(200, i) for i in range(201, 260)] + [(5, 5)]
