@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from alertlake.llm import bpe, embed, exact, langid, linededup, pack, quality, shard, simhash, urls
+from alertlake.llm import (bpe, embed, exact, langid, linededup, negatives, pack, periodic, quality, shard, simhash,
+                           toxicity, urls)
 from alertlake.llm.common import table
 
 #: The vocabulary file of BPE and packing.
@@ -78,3 +80,18 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_url_filter", urls.oracle())
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@_query("op11_toxicity")
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.find_runs(periodic.planted(table(spark, sf_dir, "documents"))))
+
+
+@_query("op13_hard_negatives", negatives.ORACLE)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(negatives.relabelled(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
