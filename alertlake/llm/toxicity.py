@@ -5,8 +5,8 @@ own vector, all hashed to rows of one table; a text is the mean of its words; tw
 softmax tell toxic from clean.  The table and the outputs are trained together, in numpy.  An unseen spelling
 shares most n-grams with the spelling it comes from, hence most of its vector.
 
-Training takes place in one task, on a bounded sample of the labelled documents: tasks turn these into
-bags of rows first, so only bags travel.  As the outputs are linear, a trained model comes down to one
+Training takes place in one task, on a bounded sample of the labelled documents, which it turns into bags of
+rows one by one.  As the outputs are linear, a trained model comes down to one
 number for each row of the table, and a word's part in a text's score to the mean of a few of them.
 Scoring reads every text whole, in blocks.
 """
@@ -32,7 +32,7 @@ WIDTH = 8
 NGRAMS = (3, 4, 5)
 #: The training sample: at most so many labelled documents, those with the smallest hash of their id, and of
 #: these as many as have this many rows in their bags altogether.
-MAX_FIT = 20_000
+MAX_FIT = 10_000
 MAX_FIT_ROWS = 30_000_000
 #: Steps of training, whatever the sample, and texts in a step.
 STEPS = 1200
@@ -102,15 +102,6 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     return held_rows, held.astype(np.float32)
 
 
-def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text"):
-        made = [bag(t or "") for t in part.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [part.column("mark"), part.column("id"), part.column("toxic"), pa.array([len(r) for r, _ in made], pa.int64()),
-             pa.array([r.tobytes() for r, _ in made], pa.binary()), pa.array([w.tobytes() for _, w in made], pa.binary())],
-            names=["mark", "id", "toxic", "held", "rows", "weights"])
-
-
 # ---------------------------------------------------------------- training
 
 def train(rows: np.ndarray, weights: np.ndarray, size: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
@@ -158,19 +149,18 @@ def train(rows: np.ndarray, weights: np.ndarray, size: np.ndarray, toxic: np.nda
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The model of the bags given, in order, up to ``MAX_FIT_ROWS`` rows of bags."""
+    """The model of the texts given, in order, up to ``MAX_FIT_ROWS`` rows of bags."""
     rows, weights = np.empty(MAX_FIT_ROWS, np.int32), np.empty(MAX_FIT_ROWS, np.float32)  # memory as it is filled
     size, toxic, held = [], [], 0
-    for batch in batches:
-        for i in range(batch.num_rows):
-            own = batch.column("held")[i].as_py()
-            if held + own > MAX_FIT_ROWS:
+    for part in slices(batches, "text"):
+        for text, label in zip(part.column("text"), part.column("toxic").to_pylist()):
+            row, weight = bag(text.as_py() or "")
+            if held + len(row) > MAX_FIT_ROWS:
                 continue
-            rows[held:held + own] = np.frombuffer(batch.column("rows")[i].as_buffer(), np.int32)
-            weights[held:held + own] = np.frombuffer(batch.column("weights")[i].as_buffer(), np.float32)
-            size.append(own)
-            toxic.append(batch.column("toxic")[i].as_py())
-            held += own
+            rows[held:held + len(row)], weights[held:held + len(row)] = row, weight
+            size.append(len(row))
+            toxic.append(label)
+            held += len(row)
     if size:
         parts, start = train(rows[:held], weights[:held], np.array(size), np.array(toxic))
         yield pa.RecordBatch.from_arrays([pa.array([parts.tobytes()], pa.binary()), pa.array([start])],
@@ -193,12 +183,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # MAX_FIT ids at most.
     sample = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(
         F.broadcast(save(chosen)), "id")
-    kind = sample.schema["id"].dataType.simpleString()
-    columns = f"mark long, id {kind}, toxic int, held long, rows binary, weights binary"
-    bags = save(sample.select("mark", "id", "toxic", "text").mapInArrow(_bags, columns))
-    one = F.min_by(F.struct("toxic", "held", "rows", "weights"), F.xxhash64("rows", "weights")).alias("b")
-    ordered = save(bags.groupBy("mark", "id").agg(one).select("mark", "id", "b.*"))
-    return save(ordered.repartition(1).sortWithinPartitions("mark", "id").mapInArrow(_fit, "parts binary, start double"))
+    one = F.min_by(F.struct("toxic", "text"), F.xxhash64("text")).alias("d")
+    texts = sample.groupBy("mark", "id").agg(one).select("mark", "id", "d.toxic", "d.text")
+    return save(texts.repartition(1).sortWithinPartitions("mark", "id").mapInArrow(_fit, "parts binary, start double"))
 
 
 # ---------------------------------------------------------------- scoring
