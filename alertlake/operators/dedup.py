@@ -7,6 +7,8 @@ shuffle on the dedup key (links), both distributed and skew-safe.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,7 +75,7 @@ def key_map(archive: DataFrame, key_col: str = "Cle_dedup", id_col: str = "ID",
 
 
 def link_duplicates(batch: DataFrame, key_col: str = "Cle_dedup", id_col: str = "ID",
-                    order_col: str = "ord", archive_map: DataFrame | None = None,
+                    order_col: str = "ord", archive_map: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
                     out_col: str = "Doublon_ID", archive: DataFrame | None = None,
                     canonical: str = "last", archive_order_col: str = "ord") -> DataFrame:
     """W2 + J6: the first row of a key gets ``""``; later rows of that key in the
@@ -81,7 +83,7 @@ def link_duplicates(batch: DataFrame, key_col: str = "Cle_dedup", id_col: str =
     row to the archived ID.
 
     The archive is given either as a ready map (``archive_map``: ``key_col``,
-    ``_arch_id``) or as rows (``archive``: ``key_col``, ``id_col``,
+    ``_arch_id``; also a function that makes it from the batch's keys) or as rows (``archive``: ``key_col``, ``id_col``,
     ``archive_order_col``).  Rows are first semi-joined with the batch's keys (a
     broadcast of the batch's distinct keys when small enough), so only archive
     rows sharing a key with the batch are aggregated: per-run work follows the
@@ -94,6 +96,9 @@ def link_duplicates(batch: DataFrame, key_col: str = "Cle_dedup", id_col: str =
         keys, _ = sized_broadcast(stats.select(key_col))
         archive_map = key_map(archive.join(keys, key_col, "left_semi"), key_col, id_col, archive_order_col,
                               canonical)
+    if callable(archive_map):
+        stats = keep(stats)  # read by the lookup and the join
+        archive_map = archive_map(stats.select(key_col).where(F.col(key_col).isNotNull()))
     if archive_map is not None:
         stats = stats.join(archive_map, key_col, "left")
     else:

@@ -9,6 +9,8 @@ Duplicates and blacklisted offers are kept, only marked.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ def rejects(raw: DataFrame) -> DataFrame:
             .select("message_id", "offer_pos", F.lit("titre_vide").alias("reason")))
 
 
-def offer_rows(raw: DataFrame, start_id: int | Column = 1, archive_map: DataFrame | None = None,
+def offer_rows(raw: DataFrame, start_id: int | Column = 1, archive_map: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
                keywords: dict[str, list[str]] | None = None, blacklist: list[str] | None = None,
                dept: Column | None = None, archive: DataFrame | None = None,
                canonical: str = "last") -> DataFrame:

@@ -1,18 +1,16 @@
 """Status ledger: one row per Message-ID.
 
-The ledger is a table (Parquet), not a JSON file: upserts are a full outer
-join on ``message_id`` written to a new version folder, which becomes current
-only once recorded, so readers never see a half-written ledger.
+The ledger is a keyed table (``sources/keyed.py``), not a JSON file: a run commits the rows that it
+changes, so an upsert of a few mails rewrites nothing, and runs at the same time lose nothing.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertlake import fixed
+from alertlake.sources.keyed import KeyedTable
 
 LEDGER_COLUMNS = ["message_id", "gmail_id", "fichier", "date_email", "fetched_at", "indexed_at",
                   "statut_extraction"]
@@ -132,64 +130,26 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet"
         return spark.createDataFrame([], schema)
 
 
-# ---------------------------------------------------------------- bucketed ledger
-#
-# The ledger is hash-bucketed by Message-ID.  A run rewrites only the buckets
-# its Message-IDs fall in; each version records the buckets it wrote, and the
-# current ledger is, per bucket, the latest version holding it.  Per-run work
-# follows the run's ids, not the whole history.
-
-N_BUCKETS = 64
-BUCKETED_VERSIONS_SCHEMA = "version string, note string, buckets array<int>"
-
-
-def bucket_of(message_id: Column, n_buckets: int = N_BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(message_id), F.lit(n_buckets)).cast("int")
-
-
-def _ledger_versions(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, f"{root.rstrip('/')}/_versions", BUCKETED_VERSIONS_SCHEMA, "json")
-
-
-def read_ledger(spark: SparkSession, root: str, buckets: list[int] | None = None) -> DataFrame:
-    """Current ledger (optionally only some buckets); empty when never written."""
-    v = _ledger_versions(spark, root).select("version", F.explode("buckets").alias("b"))
-    if buckets is not None:
-        v = v.where(F.col("b").isin(*buckets))
-    # at most one row per bucket: a bounded list of paths
-    latest = v.groupBy("b").agg(F.max("version").alias("version")).collect()
-    paths = [f"{root.rstrip('/')}/{r['version']}/_bucket={r['b']}" for r in latest]
-    if not paths:
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(*paths)
-
-
-def touched_buckets(ids: DataFrame, n_buckets: int = N_BUCKETS) -> list[int]:
-    """Buckets of some Message-IDs (at most ``n_buckets`` numbers)."""
-    return sorted(r[0] for r in ids.select(bucket_of(F.col("message_id"), n_buckets).alias("b"))
-                  .distinct().collect())
-
-
-def write_ledger(df: DataFrame, root: str, buckets: list[int], note: str = "",
-                 n_buckets: int = N_BUCKETS) -> str | None:
-    """Write the rows of the given buckets as a new version (other buckets keep
-    their current version).  ``df`` must hold every row of those buckets."""
-    import time
-
-    if not buckets:
-        return None
-    version = f"v-{time.strftime('%Y%m%d%H%M%S', time.gmtime())}-{time.time_ns() % 10**9:09d}-{uuid.uuid4().hex[:8]}"
-    target = f"{root.rstrip('/')}/{version}"
-    rows = df.select(*LEDGER_COLUMNS).withColumn("_bucket", bucket_of(F.col("message_id"), n_buckets))
-    rows = rows.where(F.col("_bucket").isin(*buckets))
-    rows.write.mode("errorifexists").partitionBy("_bucket").parquet(target)
-    # a touched bucket left without rows still gets an (empty) folder, so that
-    # it is current (at most n_buckets numbers read back)
-    spark = df.sparkSession
-    written = {r[0] for r in read_table(spark, target, LEDGER_SCHEMA + ", _bucket int")
-               .select("_bucket").distinct().collect()}
-    for b in sorted(set(buckets) - written):
-        spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(f"{target}/_bucket={b}")
-    spark.createDataFrame([(version, note, list(buckets))], BUCKETED_VERSIONS_SCHEMA) \
-        .coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/_versions")
-    return target
+# ---------------------------------------------------------------- the ledger as a keyed table
+
+
+def ledger_table(spark: SparkSession, root: str) -> KeyedTable:
+    """The stored ledger: an upsert writes the rows it changes, the latest commit of a Message-ID holds."""
+    return KeyedTable(spark, root, LEDGER_SCHEMA, "message_id")
+
+
+def read_ledger(spark: SparkSession, root: str, ids: DataFrame | None = None) -> DataFrame:
+    """Current ledger (or only the buckets of some Message-IDs); empty when never written."""
+    return ledger_table(spark, root).read(ids)
+
+
+def index_messages(ledger: KeyedTable, txn: str, indexed: DataFrame, now: Column, after: int = 0) -> int:
+    """R14 as one commit: only the rows of the indexed messages are written."""
+    ids = indexed.select("message_id").distinct()
+    return ledger.commit(txn, lambda rows: upsert_index(rows.join(ids, "message_id", "left_semi"), indexed, now), ids, after)
+
+
+def record_statuses(ledger: KeyedTable, txn: str, statuses: DataFrame, after: int = 0) -> int:
+    """S6 as one commit: only rows that get a status are written."""
+    ids = statuses.select("message_id").distinct()
+    return ledger.commit(txn, lambda rows: set_status(rows.join(ids, "message_id", "left_semi"), statuses), ids, after)

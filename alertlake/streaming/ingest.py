@@ -8,11 +8,9 @@
 * ST3: ``foreachBatch`` runs the batch steps on the micro-batch: index into
   the ledger, extraction with ordered IDs and duplicate links against the
   archive, publish — the ledger is written last.
-* ST4: each micro-batch records ``(query_id, batch_id)`` after its writes; a
-  replayed batch that was already committed is read to its end (Spark requires
-  that its state is written) and then skipped.  A run id holds the query's id,
-  which Spark keeps over restarts, so two queries on one workspace never share
-  one, and a retry replaces its own partitions.
+* ST4: a micro-batch is a run of the workspace's journal.  Its run id holds the query's id, which Spark
+  keeps over restarts, and the batch's, so a batch that died is finished where its journal ends, and one that
+  is done is read to its end (Spark requires that its state is written) and changes nothing.
 """
 
 from __future__ import annotations
@@ -26,9 +24,6 @@ from alertlake.plans import pipeline as P
 from alertlake.session import release_kept
 from alertlake.sources import mail as M
 
-COMMITS_SCHEMA = "query_id string, batch_id long, run_id string"
-
-
 def mail_stream(spark: SparkSession, sources: str, margin_hours: int = fixed.OVERLAP_MARGIN_HOURS) -> DataFrame:
     files = (spark.readStream.format("binaryFile").schema(M.BINARY_SCHEMA)
              .option("pathGlobFilter", "*.eml").option("recursiveFileLookup", "true").load(sources))
@@ -42,26 +37,19 @@ def mail_stream(spark: SparkSession, sources: str, margin_hours: int = fixed.OVE
             .dropDuplicatesWithinWatermark(["_same"]).drop("_same"))
 
 
-def _committed(spark: SparkSession, ws: P.Workspace, query_id: str, batch_id: int) -> bool:
-    c = ws.read(spark, "stream_commits", COMMITS_SCHEMA)
-    return c.where((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)).limit(1).count() > 0
-
-
 def process_batch(spark: SparkSession, ws: P.Workspace, cfg: P.Config, query_id: str,
                   batch: DataFrame, batch_id: int, now: str) -> None:
     """ST3 + ST4 body of ``foreachBatch``."""
-    if _committed(spark, ws, query_id, batch_id):
+    run_id = f"s-{query_id}-{batch_id:08d}"
+    journal = ws.journal(spark)
+    if journal.record(run_id, "index") is not None:
         batch.write.format("noop").mode("overwrite").save()
+    if journal.record(run_id, "done") is not None:
         return
-    run_id = f"s-{query_id}-{batch_id:08d}"
-    P.index_decoded(spark, ws, batch.drop("ingest_ts"), run_id, now, dry_run=False)
-    P.extract_run(spark, ws, cfg, run_id, dry_run=False, now=now)
-    ids = P.ids_to_mark(spark, ws, cfg, run_id)
-    P.publish_run(spark, ws, run_id, now, dry_run=False)
-    P.mark_run(ws, ids, run_id)
-    spark.createDataFrame([(query_id, batch_id, run_id)], COMMITS_SCHEMA) \
-        .write.mode("append").parquet(ws.path("stream_commits"))
-    release_kept()
+    try:
+        P.run_stages(spark, ws, cfg, run_id, now, lambda at: P.index_decoded(spark, ws, batch.drop("ingest_ts"), run_id, at, False))
+    finally:
+        release_kept()
 
 
 def start(spark: SparkSession, ws: P.Workspace, checkpoint: str, cfg: P.Config | None = None,

@@ -106,19 +106,13 @@ def test_after_date_fallback_and_error(spark):
     assert LG.after_date(real, since_days=3) == "2026/06/09"
 
 
-def test_bucketed_ledger_rewrites_only_touched_buckets(spark, tmpdir_path):
-    root = str(tmpdir_path / "bl")
-    rows = [(f"<m{i}>", "g", f"p/{i}.eml", "", "", "", "PENDING") for i in range(40)]
-    led = L(spark, rows)
-    all_b = sorted({r[0] for r in led.select(LG.bucket_of(F.col("message_id"))).collect()})
-    LG.write_ledger(led, root, all_b, "init")
-    assert LG.read_ledger(spark, root).count() == 40
-    one = spark.createDataFrame([("<m3>",)], "message_id string")
-    b = LG.touched_buckets(one)
-    part = LG.read_ledger(spark, root, b)
-    upd = LG.set_status(part, spark.createDataFrame([("<m3>", "OK")], "message_id string, statut_extraction string"))
-    LG.write_ledger(upd, root, b, "update")
-    cur = {r["message_id"]: r["statut_extraction"] for r in LG.read_ledger(spark, root).collect()}
+def test_ledger_commits_write_only_the_rows_they_change(spark, tmpdir_path):
+    ledger = LG.ledger_table(spark, str(tmpdir_path / "bl"))
+    ledger.commit("init", lambda _: L(spark, [(f"<m{i}>", "g", f"p/{i}.eml", "", "", "", "PENDING") for i in range(40)]))
+    before = ledger.state().parts
+    LG.record_statuses(ledger, "update", spark.createDataFrame([("<m3>", "OK"), ("<none>", "OK")], "message_id string, statut_extraction string"))
+    cur = {r["message_id"]: r["statut_extraction"] for r in LG.read_ledger(spark, ledger.root).collect()}
     assert len(cur) == 40 and cur["<m3>"] == "OK" and cur["<m4>"] == "PENDING"
-    versions = spark.read.json(root + "/_versions").collect()
-    assert len(versions) == 2 and len([v for v in versions if v["note"] == "update"][0]["buckets"]) == 1
+    assert [p.rows for p in ledger.state().parts if p not in before] == [1]
+    one = LG.read_ledger(spark, ledger.root, spark.createDataFrame([("<m3>",)], "message_id string"))
+    assert 0 < one.count() < 40 and one.where("message_id = '<m3>'").first()["statut_extraction"] == "OK"
