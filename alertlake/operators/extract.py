@@ -58,7 +58,7 @@ FT_OFFER = (r'(?s)<a href="(https://candidat\.francetravail\.fr/offres/recherche
             + WS + r'*<span[^>]*>' + WS + r'*(.*?)' + WS + r'*<br' + WS + r'*/?>' + WS
             + r'*(?:<!--.*?-->' + WS + r'*)?(.*?)</span>' + WS + r'*</a>(?=(.{0,600}))')
 FT_SPAN = r"<span[^>]*>([^<]*)</span>"
-FT_LOC = r"^([0-9]{2})" + WS + "*-" + WS + "*(.+)"
+FT_LOC = r"^([0-9]{2})" + WS + "*-" + WS + r"*([^\n]+)"
 
 
 def extract_france_travail(emails: DataFrame) -> DataFrame:
@@ -169,28 +169,35 @@ LI_INFO = (r'<p[^>]*class="[^"]*line-clamp-1[^"]*"[^>]*>' + WS + r'*([^<]+? · [
 
 def extract_linkedin(emails: DataFrame) -> DataFrame:
     # a job id is marked seen before its title is validated (first match wins)
-    m = L.explode_matches(emails, "html", LI_PAIR, {"job_id": 1, "t_raw": 2}, ["message_id", "html"],
-                          first_by=["job_id"])
+    # what surrounds the job's first link is cut out before the matches are exploded: none carries the mail
+    html = F.col("html")
+
+    def around(match: Column) -> Column:
+        def cut(at: Column) -> Column:  # 1-based
+            begin = F.greatest(at - 201, F.lit(0))
+            return F.struct(F.regexp_extract(F.substring(html, at, 6000), LI_INFO, 1).alias("info"),
+                            F.substring(html, begin + 1, at + 499 - begin).alias("window"))
+        return L.bound(F.instr(html, F.concat(F.lit("jobs/view/"), match["job_id"])), cut)
+
+    m = L.explode_matches(emails, "html", LI_PAIR, {"job_id": 1, "t_raw": 2}, ["message_id"], first_by=["job_id"],
+                          extra={"_around": around})
     m = m.withColumn("titre", _strip(T.clean_entities(F.col("t_raw")))).where(F.length("titre") >= 5)
-    idx = F.instr(F.col("html"), F.concat(F.lit("jobs/view/"), F.col("job_id")))  # 1-based
-    info = _strip(T.clean_entities(F.regexp_extract(F.substring("html", idx, 6000), LI_INFO, 1)))
+    info = _strip(T.clean_entities(F.col("_around.info")))
     company = F.substring_index(info, " · ", 1)
     lieu = F.when(F.instr(info, " · ") > 0, F.expr("substr(_info, instr(_info, ' · ') + 3)")).otherwise(F.lit(""))
-    start = F.greatest(idx - 201, F.lit(0))
-    window = F.substring("html", start + 1, idx + 499 - start)
     m = m.withColumn("_info", info)
     return _finish(
         m, "linkedin", titre=F.col("titre"),
         entreprise=F.when(F.col("_info") != "", _strip(company)),
         ville=F.when(F.col("_info") != "", _strip(F.regexp_replace(lieu, WS + r"*\([^)]*\)" + WS + "*$", ""))),
-        type_contrat=contract(T.clean_html(window), "linkedin"),
+        type_contrat=contract(T.clean_html(F.col("_around.window")), "linkedin"),
         url=F.concat(F.lit("https://www.linkedin.com/jobs/view/"), F.col("job_id")),
         url_qualite=F.lit("construite"))
 
 
 # ---------------------------------------------------------------- X5 Meteojob
 
-MJ_SUBJECT = r"(?iu)^" + WS + r"*(.+?)" + WS + r"+recrute un" + WS + r"+(.+?)" + WS + r"*$"
+MJ_SUBJECT = r"(?iu)^" + WS + r"*([^\n]+?)" + WS + r"+recrute un" + WS + r"+([^\n]+?)" + WS + r"*$"
 MJ_URLS = [
     r'(?s)<a[^>]*class="hotoffer-cta-link"[^>]*href="(https://www\.meteojob\.com/jobs/[0-9]+\?[^"]{0,400})"',
     r'href="(https://www\.meteojob\.com/candidat/offres/offre-d-emploi-[^"]+)"',
@@ -221,7 +228,7 @@ def extract_meteojob_company(emails: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X6 Jobijoba
 
-JJ_TITLE = r'title="(.+?) - ([^"' + WSC + r']+)"'
+JJ_TITLE = r'title="([^\n]+?) - ([^"' + WSC + r']+)"'
 JJ_CLIC = r'<a[^>]*href="(https://emails\.jobijoba\.com/clic/[^"]+)"'
 JJ_COMPANY = r"color:#000000[^>]*>([^<]{2,60})</span>"
 JJ_CITY = r"(?s)</strong>.*?<span>" + WS + r"*([^<]{2,50}?)" + WS + r"*</span>"
@@ -229,30 +236,20 @@ JJ_SALARY_NUM = r"([0-9][0-9" + WSC + r"]+)" + WS + r"*<span itemprop=['\"]salar
 JJ_SALARY = JJ_SALARY_NUM + WS + r"*à" + WS + r"*" + JJ_SALARY_NUM + WS + r"*(par an|par mois)"
 
 
-def _after(state: Column, match: Column) -> Column:
-    """The starts so far and that of the next match, searched from the last one's end."""
-    at = F.call_function("locate", match, F.col("html"), state["next"])
-    return F.struct((at + F.length(match)).alias("next"), F.concat(state["all"], F.array(at)).alias("all"))
-
-
 def extract_jobijoba(emails: DataFrame) -> DataFrame:
-    # Titles are found one after another, each behind the end of the one before; a card reaches from
-    # its title to the next one.  All on the row's own arrays: nothing is shuffled.
-    found = F.regexp_extract_all("html", F.lit(JJ_TITLE), 0)
-    starts = F.aggregate(
-        "_titles", F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("all")),
-        _after)["all"]
-    m = emails.withColumn("_titles", found).where(F.size("_titles") > 0).withColumn("_starts", starts)
-    ends = F.concat(F.slice("_starts", 2, F.size("_starts")), F.array(F.length("html") + 1))
-    pieces = F.concat(F.array(F.substring("html", F.lit(1), F.get("_starts", F.lit(0)) - 1)),
-                      F.zip_with("_starts", ends, lambda a, b: F.substring(F.col("html"), a, b - a)))
+    # A card reaches from its title to the next one: the titles, and what stands between them.  All on the
+    # row's own arrays: nothing is shuffled.
+    m = emails.withColumn("_titles", F.regexp_extract_all("html", F.lit(JJ_TITLE), 0)).where(F.size("_titles") > 0)
+    m = m.withColumn("_between", F.split("html", JJ_TITLE, -1))
+    cards = F.zip_with("_titles", F.slice("_between", F.lit(2), F.size("_titles")), lambda a, b: F.concat(a, b))
+    pieces = F.concat(F.slice("_between", 1, 1), cards)
     m = m.withColumn("_pieces", pieces)
     # A card's link opens before its title: the last link of all earlier pieces.
     last = F.transform("_pieces", lambda x: F.get(F.reverse(F.regexp_extract_all(x, F.lit(JJ_CLIC), 1)), 0))
-    m = m.withColumn("_links", last).select(
-        "message_id", "_links", F.posexplode(F.arrays_zip(
-            F.col("_titles").alias("title"), F.slice("_pieces", 2, F.size("_starts")).alias("block"))).alias("_i", "_c"))
-    m = m.withColumn("url", F.get(F.reverse(F.filter(F.slice("_links", F.lit(1), F.col("_i") + 1), lambda x: x.isNotNull())), 0))
+    m = m.select("message_id", F.posexplode(F.arrays_zip(
+        F.col("_titles").alias("title"), F.slice("_pieces", F.lit(2), F.size("_titles")).alias("block"),
+        F.slice(L.filled_forward(last), F.lit(1), F.size("_titles")).alias("url"))).alias("_i", "_c"))
+    m = m.withColumn("url", F.col("_c.url"))
     b = m.select("message_id", "url", (F.col("_i") + 1).cast("bigint").alias("pos"), F.col("_c.block").alias("block"),
                  _strip(T.clean_entities(F.regexp_extract("_c.title", JJ_TITLE, 1))).alias("titre"),
                  _strip(F.regexp_extract("_c.title", JJ_TITLE, 2)).alias("platform")).where(F.length("titre") >= 4)

@@ -1,11 +1,15 @@
 """Link / token extraction shared by the extraction jobs.
 
-All matches of a pattern in a document come out of one ``regexp_extract_all``
-per group, zipped and exploded; no per-row Python.
+All matches of a pattern in a document come out of one ``regexp_extract_all``;
+their groups are taken from the short match where the pattern looks at nothing
+around it (else one pass per group), and exploded; no per-row Python.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,38 +18,70 @@ from alertlake.functions import text as T
 
 def explode_matches(df: DataFrame, text_col: str, pattern: str, groups: dict[str, int],
                     keep: list[str], pos_col: str = "pos", limit: int | None = None,
-                    first_by: list[str] | None = None) -> DataFrame:
+                    first_by: list[str] | None = None,
+                    extra: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """One row per match of ``pattern`` in ``text_col`` with its 1-based position.
 
     ``groups`` maps output column -> capture group.  ``limit`` keeps the first
     ``limit`` matches of each document (a feature of some templates: applied
     before any later filter).  ``first_by`` keeps only the first match of each
     value of those groups (X12 within-document dedup), decided on the match
-    array of the row itself: no shuffle.
+    array of the row itself: no shuffle.  ``extra`` columns are made from a match
+    (and the row) before it is exploded, so that it need not carry the text.
     """
-    arrays = [F.regexp_extract_all(text_col, F.lit(pattern), g).alias(name) for name, g in groups.items()]
-    zipped = F.arrays_zip(*arrays)
+    if _alone(pattern):
+        zipped = F.transform(F.regexp_extract_all(text_col, F.lit(pattern), 0), lambda m: F.struct(
+            *[F.regexp_extract(m, pattern, g).alias(name) for name, g in groups.items()]))
+    else:
+        zipped = F.arrays_zip(*[F.regexp_extract_all(text_col, F.lit(pattern), g).alias(name) for name, g in groups.items()])
     if limit is not None:
         zipped = F.slice(zipped, 1, limit)
     pos = F.transform(zipped, lambda m, i: F.struct(m.alias("m"), (i + 1).cast("bigint").alias("p")))
     if first_by:
         pos = first_in_array(pos, lambda e: F.struct(*[e["m"][k] for k in first_by]))
+    if extra:
+        pos = F.transform(pos, lambda e: F.struct(e["m"].alias("m"), e["p"].alias("p"), F.struct(
+            *[make(e["m"]).alias(name) for name, make in extra.items()]).alias("x")))
     out = df.select(*keep, F.explode(pos).alias("_e"))
-    return out.select(*keep, F.col("_e.p").alias(pos_col),
-                      *[F.col(f"_e.m.{name}").alias(name) for name in groups])
+    return out.select(*keep, F.col("_e.p").alias(pos_col), *[F.col(f"_e.m.{name}").alias(name) for name in groups],
+                      *[F.col(f"_e.x.{name}").alias(name) for name in extra or ()])
+
+
+def _alone(pattern: str) -> bool:
+    """Does a match depend on its own characters only (no look-around, anchor or boundary)?"""
+    return not re.search(r"\(\?[=!<]|\\[bBAzZG]|(?<!\[)\^|\$", pattern)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, wherever ``use`` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def filled_forward(arr: Column) -> Column:
+    """The array with each NULL replaced by the last value before it (none: NULL): a run of places per value."""
+    def fill(a: Column) -> Column:
+        heads = F.filter(F.transform(a, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda e: e["x"].isNotNull())
+        return bound(heads, lambda h: F.concat(
+            F.slice(a, F.lit(1), F.coalesce(F.get(h, F.lit(0))["i"], F.size(a))),
+            F.flatten(F.transform(h, lambda e, k: F.array_repeat(
+                e["x"], (F.coalesce(F.get(h, k + 1)["i"], F.size(a)) - e["i"]).cast("int"))))))
+
+    return bound(arr, fill)
 
 
 def first_in_array(arr: Column, key) -> Column:
     """Elements whose ``key`` does not occur earlier in the array (order kept).
 
-    The array and its keys are bound to lambda variables, so the regexes that make
-    the array run once per row, not once per element."""
+    Keys are sorted with their places, so equal ones stand together and the first of each is its least
+    place: n log n steps.  The array and its keys are bound to lambda variables, so the regexes that
+    make the array run once per row, not once per element."""
     def first(a: Column) -> Column:
-        both = F.struct(a.alias("a"), F.transform(a, key).alias("k"))
-        return F.element_at(F.transform(F.array(both), lambda b: F.filter(
-            b["a"], lambda e, i: F.array_position(b["k"], F.get(b["k"], i)) == i + 1)), 1)
+        keyed = F.sort_array(F.transform(a, lambda e, i: F.struct(key(e).alias("k"), i.alias("i"))))
+        heads = bound(keyed, lambda s: F.filter(
+            s, lambda e, j: (j == 0) | ~F.get(s, j - 1)["k"].eqNullSafe(e["k"])))
+        return F.transform(F.sort_array(F.transform(heads, lambda e: e["i"])), lambda i: F.get(a, i))
 
-    return F.element_at(F.transform(F.array(arr), first), 1)
+    return bound(arr, first)
 
 
 def carry_forward_last(df: DataFrame, part_cols: list[str], order_col: str, value: Column,

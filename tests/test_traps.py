@@ -1,5 +1,7 @@
 """One test per behaviour trap of SURVEY §1.1 not covered elsewhere."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from alertlake import fixed
@@ -35,9 +37,9 @@ def test_q1_first_or_last_archived_row(spark):
     assert last == {"k": "E000002"} and first == {"k": "E000001"}
 
 
-def test_q17_hot_placeholder_key_salted(spark, monkeypatch):
-    """A third of the offers share the placeholder key; salting engages and
-    every later row still links to the first one."""
+def test_q17_hot_placeholder_key_is_not_shuffled(spark, monkeypatch):
+    """A third of the offers share the placeholder key: its rows are joined by broadcast where they are, the
+    others by shuffle, and every later row still links to the first one."""
     monkeypatch.setattr(skew, "DEFAULT_HOT_ROWS", 50)
     n = 600
     raw = spark.range(n).select(
@@ -49,7 +51,11 @@ def test_q17_hot_placeholder_key_salted(spark, monkeypatch):
         F.lit("vide").alias("url_qualite"))
     rows = enrich.offer_rows(raw)
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan
+    # The join back of the statistics: for hot keys a broadcast of at most 1 000 rows, for the rest a join by key.
+    union = plan[plan.index("Union"):]
+    warm, cold = re.split(r"\n   [+:]- ", union)[1:3]
+    assert "BroadcastHashJoin" in warm and "hashpartitioning(Cle_dedup" not in warm.split("BroadcastExchange")[0]
+    assert "Cle_dedup" in cold
     hot = rows.where(F.col("Cle_dedup") == "inconnu|inconnue|inconnu")
     assert hot.count() == n // 3
     assert hot.where(F.col("Doublon_ID") == "").count() == 1
