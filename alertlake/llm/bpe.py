@@ -7,7 +7,10 @@ their ranks.  Words do not influence each other, so every word sees its own merg
 order, leftmost first, as the tokenizer applies them.
 
 The tokenizer is a JSON file of the ``tokenizers`` library: byte symbols, an end-of-word suffix,
-NFC, white space dropped and lower case.  Special tokens in a text are single ids.
+NFC, white space dropped and lower case.  Special tokens in a text are single ids.  What is a letter or a
+number, and what a character's lower case and composed form are, follows the library's version of Unicode: words
+with characters from U+0180 on are normalised and cut by the library's own normaliser and pre-tokeniser.
+Encoding itself is done here.
 """
 
 from __future__ import annotations
@@ -15,26 +18,27 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+from tokenizers import Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alertlake.llm.common import bound_batches, slices
 
 #: Bytes of texts whose words are indexed together.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 _NONE = np.iinfo(np.int32).max
 #: Fixed values of the tokenizer family: how words are cut, and white space.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
 _SPACE = ((9, 13), (32, 32), (0x85, 0x85), (0xa0, 0xa0), (0x1680, 0x1680), (0x2000, 0x200a),
           (0x2028, 0x2029), (0x202f, 0x202f), (0x205f, 0x205f), (0x3000, 0x3000))
 _WORDS = regex.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _SPACE) + "]+")
+_MARKS = ".,;:!?"
 #: Control characters that str.split() takes for white space and the tokenizer does not.
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -60,7 +64,10 @@ class Encoder:
         for token, i in [*vocab.items(), *self.special.items()]:
             self.tokens[i] = token.encode()
         self.decimal = [str(i).encode() for i in range(size)]
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         symbols = _byte_symbols()
+        self.byte_of = {ord(c): b for b, c in enumerate(symbols)}
         self.inner = np.array([vocab[s] for s in symbols], np.int64)
         self.last = np.array([vocab[s + end] for s in symbols], np.int64)
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
@@ -82,33 +89,39 @@ class Encoder:
     def _plain(text: str) -> list[str]:
         return _WORDS.findall(text) if any(c in text for c in _NOT_SPACE) else text.split()
 
-    @staticmethod
-    def _cut(word: str) -> list[str]:
-        if not word.isascii():
-            word = unicodedata.normalize("NFC", word).replace("Σ", "σ")  # no final sigma
-        word = word.lower()
-        return [word] if word.isalpha() else _PIECES.findall(word)
+    def _cut(self, word: str) -> list[str]:
+        """The pieces of a word that are merged by themselves."""
+        if not word.isascii() and max(word) >= "\u0180":
+            pieces = self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(word))
+            return [bytes(map(self.byte_of.__getitem__, map(ord, piece))).decode() for piece, _ in pieces]
+        return _PIECES.findall(word.lower())  # composed already, and alike in all versions
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and where each word begins (one entry more than words)."""
         number: dict[str, int] = {}
         parts, counts = [], []
         for w in words:
-            own = [w] if w in self.special else self._cut(w)
+            # Letters, or letters and one mark after them, need no pattern.
+            if w.isascii() and w[:-1].isalpha():
+                low = w.lower()
+                own = (low,) if low.isalpha() else (low[:-1], low[-1]) if low[-1] in _MARKS else self._cut(w)
+            else:
+                own = () if w in self.special else self._cut(w)
             counts.append(len(own))
-            parts.extend([number.setdefault(p, len(number)) for p in own])
+            for p in own:
+                parts.append(number.setdefault(p, len(number)))
         ids, begin = self._merge([p.encode() for p in number]) if number else (np.empty(0, np.int64), np.zeros(1, np.int64))
-        for text, i in self.special.items():
-            if text in number:  # a word cut like this cannot arise from ordinary text
-                at = number[text]
-                ids = np.concatenate([ids[:begin[at]], [i], ids[begin[at + 1]:]])
-                begin = np.concatenate([begin[:at + 1], begin[at + 1:] - (begin[at + 1] - begin[at] - 1)])
         parts = np.array(parts, np.int64)
         size = np.diff(begin)[parts]
         ends = np.concatenate([[0], np.cumsum(size)])
         at = np.arange(ends[-1]) - np.repeat(ends[:-1] - begin[:-1][parts], size)
         cuts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-        return ids[at], ends[cuts]
+        ids, begin = ids[at], ends[cuts]
+        if any(w in self.special for w in words):
+            where = np.array([i for i, w in enumerate(words) if w in self.special])
+            ids = np.insert(ids, begin[where], [self.special[words[i]] for i in where])
+            begin = begin + np.searchsorted(where, np.arange(len(begin)))
+        return ids, begin
 
     def _rank(self, sym: np.ndarray, nxt: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The rank of the pair that begins at each position."""

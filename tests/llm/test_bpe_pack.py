@@ -44,6 +44,32 @@ def test_ids_and_decoded_texts_equal_the_library(spark):
     assert bpe.digests(docs.limit(0), PATH).count() == 0
 
 
+def _differing(texts):
+    """Texts whose ids differ from the library's."""
+    own = bpe.encoder(PATH)
+    split, words, ids, begin = own.block(texts)
+    of = {w: ids[a:b].tolist() for w, a, b in zip(words, begin, begin[1:])}
+    want = LIBRARY.encode_batch(texts, add_special_tokens=False)
+    return [t for t, s, e in zip(texts, split, want) if [i for w in s for i in of[w]] != e.ids]
+
+
+@pytest.mark.parametrize("shape", ["%s", "a%sb", "x%s%s1 %s."])
+def test_every_code_point_is_cut_as_the_library_does(shape):
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    for at in range(0, len(points), 50_000):
+        assert _differing([shape.replace("%s", c) for c in points[at:at + 50_000]]) == []
+
+
+def test_sequences_of_marks_are_composed_as_the_library_does():
+    import unicodedata
+
+    rng = random.Random(1)
+    marks = [chr(i) for i in range(0x110000) if unicodedata.combining(chr(i))] + [chr(i) for i in (*range(0x1AB0, 0x1B00), 0x200D)]
+    letters = "aeouAEIOUncsΑΩαωΣЖиИ가힣한각1. "
+    assert _differing(["".join(rng.choice(letters) + "".join(rng.choices(marks, k=rng.randint(0, 3))) for _ in range(rng.randint(1, 4)))
+                       for _ in range(100_000)]) == []
+
+
 def _rooms(plan, pieces):
     filled: dict[int, int] = {}
     ends = [*plan[1:, 0].tolist(), pieces]
