@@ -9,6 +9,7 @@ with entries that occur in the driver corpus.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +28,11 @@ from alertlake.functions import rx
 from alertlake.sources import dims
 from alertlake.sources import ledger as LG
 from alertlake.sources import mail as M
+from alertlake.sources import offers_io as IO
+from alertlake.sources.archive import Archive
 from alertlake.plans import sqlx
 from alertlake.plans import views as V
-from alertlake.session import keep, materialize, memo
+from alertlake.session import ensure_checkpoint_dir, keep, materialize, memo
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -671,6 +674,58 @@ def q_ledger_upsert(spark, d):
     return LG.upsert_index(old.select(*LG.LEDGER_COLUMNS), idx, F.lit(run_t))
 
 
+def _workspace(spark) -> str:
+    """A folder of its own in the shared folder, for the tables that a query commits to."""
+    return f"{ensure_checkpoint_dir(spark)}/queries/{uuid.uuid4().hex}"
+
+
+@register("q_ledger_commits", V.with_ctes(V.SQL_EV_FILES, SQL_RUN, SQL_LEDGER_OLD, SQL_NEW_FILES, SQL_FILE_ACTIONS, body="""
+SELECT coalesce(n.message_id, o.message_id) AS message_id,
+       CASE WHEN n.message_id IS NOT NULL THEN coalesce(o.gmail_id, 'manual') ELSE o.gmail_id END AS gmail_id,
+       CASE WHEN n.message_id IS NOT NULL THEN n.fichier ELSE o.fichier END AS fichier,
+       CASE WHEN n.message_id IS NOT NULL THEN 'OK' ELSE o.statut_extraction END AS statut_extraction
+FROM ledger_old o FULL OUTER JOIN (SELECT message_id, fichier FROM acts WHERE action <> 'duplicate') n USING (message_id)"""))
+def q_ledger_commits(spark, d):
+    """S6 + R14: the stored ledger after three commits: the old entries, a run's index results, its statuses."""
+    day = _run_day(spark, d)
+    ledger = LG.ledger_table(spark, f"{_workspace(spark)}/ledger")
+    old = _ev_ledger(V.ev_files(spark, d).where(F.col("ts") < F.lit(day).cast("timestamp_ntz")))
+    ledger.commit("old", lambda _: old, blind=True)
+    new = materialize(_file_actions(spark, d).where(F.col("action") != "duplicate").select(
+        "message_id", "fichier", F.lit("").alias("date_email")))
+    LG.index_messages(ledger, "index", new, F.lit(""))
+    LG.record_statuses(ledger, "status", new.select("message_id", F.lit("OK").alias("statut_extraction")))
+    return ledger.read().select("message_id", "gmail_id", "fichier", "statut_extraction")
+
+
+@register("q_key_index", V.with_ctes(SQL_KEYED, body="""
+SELECT cle AS "Cle_dedup", arg_min("ID", ord) AS first_id, arg_max("ID", ord) AS last_id, count(*) AS n
+FROM keyed WHERE archived AND coalesce(cle, '') <> '' AND cle IN (SELECT cle FROM keyed WHERE NOT archived) GROUP BY cle"""))
+def q_key_index(spark, d):
+    """J6 + A3 + A8: the archive's rows enter the persisted key index in two commits; the batch's keys are looked up."""
+    archive = Archive(spark, _workspace(spark))
+    k = _keyed(spark, d)
+    for part in (0, 1):
+        archive.add_keys(f"run {part}", k.where(F.col("archived") & (F.col("ord") % 2 == part)))
+    asked = k.where(~F.col("archived")).select("Cle_dedup").distinct()
+    return archive.keys.read(asked).join(asked, "Cle_dedup", "left_semi").select("Cle_dedup", "first_id", "last_id", "n")
+
+
+@register("q_publish_parts", """
+WITH runs AS (SELECT coalesce(lang, '') AS run, count(*) AS n FROM documents GROUP BY 1)
+SELECT run, n AS "rows", sum(n) OVER (ORDER BY run)::BIGINT - n + 1 AS first_id, sum(n) OVER (ORDER BY run)::BIGINT AS last_id,
+       0::BIGINT AS published_before FROM runs""")
+def q_publish_parts(spark, d):
+    """A1 + A2 + P3: a run for each language reserves the IDs of its offers in turn; one batch claims all partitions."""
+    archive = Archive(spark, _workspace(spark))
+    docs = V.table(spark, d, "documents").groupBy(F.coalesce("lang", F.lit("")).alias("run")).agg(F.count(F.lit(1)).alias("n"))
+    for r in docs.orderBy("run").collect():  # one row per language
+        archive.reserve(r["run"], r["n"])
+    _, before = archive.claim("b1", [])
+    return archive.parts.read().where("kind = 'offers' and published_by = 'b1'").select(
+        "run", "rows", "first_id", "last_id", F.lit(before).cast("bigint").alias("published_before"))
+
+
 # ---------------------------------------------------------------- offers, status, publish
 #
 # ``conversations`` as extraction output: a conversation is a mail, a turn is
@@ -736,6 +791,17 @@ def q_offer_rows(spark, d):
     return conv_rows(spark, d).drop("_seq")
 
 
+@register("q_csv_delta", V.with_ctes(SQL_CONV, body="SELECT " + ", ".join(
+    f"coalesce(\"{c}\", '') AS \"{c}\"" for c in fixed.OFFER_COLUMNS) + " FROM offer_rows"))
+def q_csv_delta(spark, d):
+    """The offer rows written as a day's delta of two runs (quotes, separators and line ends in cells) and read back."""
+    root = f"{_workspace(spark)}/deltas"
+    rows = materialize(conv_rows(spark, d).drop("_seq"))
+    for part in (0, 1):
+        IO.write_dated_delta(rows.where(F.pmod(F.xxhash64("ID"), F.lit(2)) == part), root, "20260101", f"r{part}")
+    return IO.read_dated_delta(spark, root, "20260101")
+
+
 @register("q_rejects", V.with_ctes(SQL_CONV, body="SELECT message_id, offer_pos, 'titre_vide' AS reason FROM conv_raw WHERE titre = ''"))
 def q_rejects(spark, d):
     """Offers rejected for an empty title (no ID consumed)."""
@@ -877,7 +943,7 @@ SQL_AUDIT = """audit AS (
   SELECT CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS status,
          strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS recorded_at,
          CASE WHEN value > 50 THEN strftime(ts + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%SZ') END AS acked_at
-  FROM events WHERE event_type IN ('error', 'purchase'))"""
+  FROM events)"""
 
 
 @register("q_gate", V.with_ctes(SQL_AUDIT, body="""
@@ -885,9 +951,9 @@ SELECT count(*) FILTER (WHERE status = 'failed' AND acked_at IS NULL) > 0 AS blo
        count(*) FILTER (WHERE status = 'failed' AND acked_at IS NULL) AS n_unacked,
        max(recorded_at) FILTER (WHERE status = 'failed' AND acked_at IS NULL) AS last_failure_at FROM audit"""))
 def q_gate(spark, d):
-    """Publish attempts (errors = failed, purchases = ok; high value = acknowledged)
+    """Publish attempts (errors = failed, all other events = ok; high value = acknowledged)
     and the resulting gate state."""
-    e = V.table(spark, d, "events").where(F.col("event_type").isin("error", "purchase"))
+    e = V.table(spark, d, "events")
     audit = e.select(F.when(F.col("event_type") == "error", F.lit("failed")).otherwise(F.lit("ok")).alias("status"),
                      F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("recorded_at"),
                      F.when(F.col("value") > 50, F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"),
