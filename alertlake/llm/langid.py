@@ -26,7 +26,7 @@ from alertlake.llm.grams import BITS, ORDER, Model, Tally, letter_codes, text_gr
 from alertlake.llm.quality import Tables
 
 #: Rows of the models' tables in a shard: what the driver and a task hold of the models at a time.
-SHARD_ROWS = 4_000_000
+SHARD_ROWS = 2_000_000
 #: Bytes of text that a task looks at with each shard in turn, where there are several.
 CHUNK_BYTES = 8 << 20
 UNKNOWN = "und"
