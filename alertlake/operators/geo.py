@@ -5,8 +5,8 @@ offers), then joins the small answer back:
 
 1. exact: accent-stripped, lower-cased, trimmed key equal to a dimension key;
 2. prefix: the first dimension entry (config order) whose key starts with the
-   key's first word — a theta join of the distinct unmatched words against
-   the config-sized dimension (broadcast after a size check);
+   key's first word — an equality join of the distinct unmatched words with the
+   dimension keys' beginnings, cut at the lengths that the words have;
 3. geocode: a user-supplied reference table ``(city, postcode)`` standing in
    for the online geocoder; département = first two postcode characters;
 4. otherwise "".
@@ -47,9 +47,7 @@ def resolve_cities(cities: DataFrame, city_dim: DataFrame, geocode_ref: DataFram
     c = c.join(dim_b, c["_key"] == dim_b["city_key"], "left").drop("city_key")
     words = c.where(F.col("dept_exact").isNull()).select(first_word(F.col("_key")).alias("_fw")) \
         .where(F.col("_fw") != "").distinct()
-    dim_all, _ = sized_broadcast(city_dim.select("pos", "city_key", "dept"))
-    pref = (words.join(dim_all, F.col("city_key").startswith(F.col("_fw")))
-            .groupBy("_fw").agg(F.min_by("dept", "pos").alias("dept_prefix")))
+    pref = first_with_prefix(words, "_fw", city_dim, "city_key").withColumnRenamed("dept", "dept_prefix")
     c = c.withColumn("_fw", first_word(F.col("_key"))).join(pref, "_fw", "left")
     c = c.withColumn("dept_prefix", F.when(F.col("dept_exact").isNull(), F.col("dept_prefix")))
     if geocode_ref is not None:
@@ -68,6 +66,21 @@ def resolve_cities(cities: DataFrame, city_dim: DataFrame, geocode_ref: DataFram
                     dept.alias("Dept"), method.alias("dept_method"))
 
 
+def first_with_prefix(words: DataFrame, word_col: str, city_dim: DataFrame, key_col: str) -> DataFrame:
+    """(word, dept) of the first dimension row (by ``pos``) whose key starts with the word, for words that have one.
+
+    A key starts with a word where its beginning of the word's length equals it.  So the keys are cut at each length
+    that occurs among the words (at most the longest key's), and the join is by hash, whatever the sizes."""
+    longest = city_dim.agg(F.max(F.length(key_col))).first()[0] or 0
+    lengths = [r[0] for r in words.select(F.length(word_col).alias("n")).where(F.col("n").between(1, longest)).distinct().collect()]
+    cut = F.transform(F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>"),
+                      lambda n: F.when(F.length(key_col) >= n, F.substring(F.col(key_col), F.lit(1), n)))
+    begins = (city_dim.select("pos", "dept", F.explode(cut).alias(word_col)).where(F.col(word_col).isNotNull())
+              .groupBy(word_col).agg(F.min_by("dept", "pos").alias("dept")))
+    small, _ = sized_broadcast(words.select(word_col).distinct())
+    return begins.join(small, word_col, "left_semi")
+
+
 def attach_dept(offers: DataFrame, resolved: DataFrame, city_col: str = "ville",
                 dept_col: str = "dept") -> DataFrame:
     """Fill an empty ``dept_col`` from the resolved cities (skew-safe join back)."""

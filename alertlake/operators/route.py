@@ -3,8 +3,8 @@
 Routing works on *distinct* domains: a mail table has few distinct sender
 domains, so suffixes are exploded and matched once per domain against the
 (broadcast) provider dimension, and the small per-domain answer is joined
-back to the mails — broadcast when its size allows, else salted against
-hot domains (one provider can send a third of all mail).
+back to the mails — broadcast when its size allows, else with the statistics of
+hot domains broadcast (one provider can send a third of all mail).
 """
 
 from __future__ import annotations
