@@ -101,12 +101,15 @@ class Encoder:
         number: dict[str, int] = {}
         parts, counts = [], []
         for w in words:
-            # Letters, or letters and one mark after them, need no pattern.
-            if w.isascii() and w[:-1].isalpha():
-                low = w.lower()
-                own = (low,) if low.isalpha() else (low[:-1], low[-1]) if low[-1] in _MARKS else self._cut(w)
+            if w.isascii():  # letters, or letters and one mark after them, need no pattern
+                if w.isalpha():
+                    parts.append(number.setdefault(w.lower(), len(number)))
+                    counts.append(1)
+                    continue
+                own = (w[:-1].lower(), w[-1]) if w[-1] in _MARKS and w[:-1].isalpha() else \
+                    () if w in self.special else self._cut(w)
             else:
-                own = () if w in self.special else self._cut(w)
+                own = self._cut(w)
             counts.append(len(own))
             for p in own:
                 parts.append(number.setdefault(p, len(number)))
