@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from alertlake.llm.common import bound_batches, slices
 
 #: Bytes of texts whose words are indexed together.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 _NONE = np.iinfo(np.int32).max
 #: Fixed values of the tokenizer family: how words are cut, and white space.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
