@@ -104,7 +104,8 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 # ---------------------------------------------------------------- training
 
-def train(rows: np.ndarray, weights: np.ndarray, size: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
+def train(rows: np.ndarray, weights: np.ndarray, size: np.ndarray, toxic: np.ndarray,
+          steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Each row's part in the log-odds of toxic, and what every text starts from.
 
     Bags stand one after another in ``rows`` and ``weights``, ``size`` of them for each text.  The table and the two
@@ -120,7 +121,7 @@ def train(rows: np.ndarray, weights: np.ndarray, size: np.ndarray, toxic: np.nda
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in learned]
     begin = np.cumsum(size) - size
     order = np.empty(0, np.int64)
-    for step in range(1, STEPS + 1):
+    for step in range(1, steps + 1):
         if len(order) < BATCH:
             order = np.concatenate([order, rng.permutation(len(size))])
         own, order = order[:BATCH], order[BATCH:]
@@ -136,7 +137,7 @@ def train(rows: np.ndarray, weights: np.ndarray, size: np.ndarray, toxic: np.nda
         pull = np.bincount(row, weight * wrong[1][of], len(seen)).astype(np.float32)
         slope = [pull[:, None] * (outputs[:, 1] - outputs[:, 0]) + DECAY / len(size) * table,
                  np.stack([-(pull @ table), pull @ table], axis=1), wrong.sum(axis=1)]
-        rate = RATE * (1 - step / (STEPS + 1)) * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
+        rate = RATE * (1 - step / (steps + 1)) * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
         for part, g, (m, v) in zip(learned, slope, moments):
             g = g.astype(np.float32)
             m += 0.1 * (g - m)
@@ -148,29 +149,33 @@ def train(rows: np.ndarray, weights: np.ndarray, size: np.ndarray, toxic: np.nda
     return parts, float(bias[1] - bias[0])
 
 
-def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fit(steps: int):
     """The model of the texts given, in order, up to ``MAX_FIT_ROWS`` rows of bags."""
-    rows, weights = np.empty(MAX_FIT_ROWS, np.int32), np.empty(MAX_FIT_ROWS, np.float32)  # memory as it is filled
-    size, toxic, held = [], [], 0
-    for part in slices(batches, "text"):
-        for text, label in zip(part.column("text"), part.column("toxic").to_pylist()):
-            row, weight = bag(text.as_py() or "")
-            if held + len(row) > MAX_FIT_ROWS:
-                continue
-            rows[held:held + len(row)], weights[held:held + len(row)] = row, weight
-            size.append(len(row))
-            toxic.append(label)
-            held += len(row)
-    if size:
-        parts, start = train(rows[:held], weights[:held], np.array(size), np.array(toxic))
-        yield pa.RecordBatch.from_arrays([pa.array([parts.tobytes()], pa.binary()), pa.array([start])],
-                                         names=["parts", "start"])
-    del rows, weights
-    give_back()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, weights = np.empty(MAX_FIT_ROWS, np.int32), np.empty(MAX_FIT_ROWS, np.float32)  # memory as it is filled
+        size, toxic, held = [], [], 0
+        for part in slices(batches, "text"):
+            for text, label in zip(part.column("text"), part.column("toxic").to_pylist()):
+                row, weight = bag(text.as_py() or "")
+                if held + len(row) > MAX_FIT_ROWS:
+                    continue
+                rows[held:held + len(row)], weights[held:held + len(row)] = row, weight
+                size.append(len(row))
+                toxic.append(label)
+                held += len(row)
+        if size:
+            parts, start = train(rows[:held], weights[:held], np.array(size), np.array(toxic), steps)
+            yield pa.RecordBatch.from_arrays([pa.array([parts.tobytes()], pa.binary()), pa.array([start])],
+                                             names=["parts", "start"])
+        del rows, weights
+        give_back()
+
+    return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic") -> DataFrame:
+        label_col: str = "toxic", steps: int = STEPS) -> DataFrame:
     """A table of one row (``parts``, ``start``), or none if no document is labelled.
 
     A document whose labels differ is toxic.  Only documents of the sample are read as texts; of rows of ``docs``
@@ -185,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.broadcast(save(chosen)), "id")
     one = F.min_by(F.struct("toxic", "text"), F.xxhash64("text")).alias("d")
     texts = sample.groupBy("mark", "id").agg(one).select("mark", "id", "d.toxic", "d.text")
-    return save(texts.repartition(1).sortWithinPartitions("mark", "id").mapInArrow(_fit, "parts binary, start double"))
+    return save(texts.repartition(1).sortWithinPartitions("mark", "id").mapInArrow(_fit(steps), "parts binary, start double"))
 
 
 # ---------------------------------------------------------------- scoring
@@ -230,7 +235,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
+                   label_col: str = "toxic", threshold: float = THRESHOLD, steps: int = STEPS) -> DataFrame:
     """One row per row of ``docs``: its id, ``held_out``, ``score`` from 0 to 1, and ``predicted``, 1 from ``threshold`` on.
 
     The model learns from labelled rows that are not held out (see ``held_out`` and ``fit``).  Null and empty texts, and
@@ -240,7 +245,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     spark = docs.sparkSession
     bound_batches(spark)
     learn = labels.where(~held_out(id_col))
-    model = fit(docs, learn, id_col, text_col, label_col).first()
+    model = fit(docs, learn, id_col, text_col, label_col, steps).first()
     source = docs.select(F.col(f"`{id_col}`").alias("id"), held_out(id_col).alias("held_out"),
                          F.col(f"`{text_col}`").alias("text"))
     if model is None:

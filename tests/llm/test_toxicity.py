@@ -36,7 +36,7 @@ def frames(spark):
 
 def test_held_out_accuracy_and_columns(spark, frames):
     rows, docs, labels = frames
-    got = toxicity.score_toxicity(docs, labels)
+    got = toxicity.score_toxicity(docs, labels, steps=300)
     assert got.columns == ["doc_id", "held_out", "score", "predicted"]
     found = {r.doc_id: r for r in got.collect()}
     assert len(found) == len(rows)
@@ -54,8 +54,8 @@ def test_held_out_labels_are_not_learned(spark, frames):
     from pyspark.sql import functions as F
 
     turned = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    a = sorted(map(tuple, toxicity.score_toxicity(docs, labels).collect()))
-    b = sorted(map(tuple, toxicity.score_toxicity(docs, turned).collect()))
+    a = sorted(map(tuple, toxicity.score_toxicity(docs, labels, steps=300).collect()))
+    b = sorted(map(tuple, toxicity.score_toxicity(docs, turned, steps=300).collect()))
     assert a == b  # also: two runs give the same model
 
 
@@ -65,7 +65,7 @@ def test_unseen_spellings_share_vectors(spark, frames):
     texts = [filler] + [filler + " " + " ".join([w] * 6) for w in ("vilewortt", "grimmsnod", "foul-marks", "VILEWORT")]
     asked = spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     both = docs.select("doc_id", "text").unionByName(asked)
-    got = {r.doc_id: r.score for r in toxicity.score_toxicity(both, labels).where("doc_id >= 10000").collect()}
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(both, labels, steps=300).where("doc_id >= 10000").collect()}
     assert got[10_000] < 0.1 and min(got[10_000 + i] for i in range(1, len(texts))) > 0.3, got
 
 
@@ -76,11 +76,11 @@ def test_rows_of_every_kind(spark, frames):
     both = docs.select("doc_id", "text").unionByName(odd)
     extra = labels.select("doc_id", "toxic").unionByName(
         spark.createDataFrame([(None, 1), (1, None), (0, 0), (999_999, 1)], "doc_id long, toxic int"))
-    got = toxicity.score_toxicity(both, extra).where("doc_id >= 5000 or doc_id is null").collect()
+    got = toxicity.score_toxicity(both, extra, steps=100).where("doc_id >= 5000 or doc_id is null").collect()
     assert len(got) == 8 and all(0 <= r.score <= 1 for r in got)
     assert all(not r.held_out for r in got if r.doc_id is None)
     assert len({r.score for r in got if r.doc_id in (5000, 5001)}) == 1  # no words
-    assert toxicity.score_toxicity(docs.where("false"), labels).collect() == []
+    assert toxicity.score_toxicity(docs.where("false"), labels, steps=10).collect() == []
     unlabelled = toxicity.score_toxicity(odd, labels.where("false")).collect()
     assert [(r.score, r.predicted) for r in unlabelled] == [(0.0, 0)] * 8
 
