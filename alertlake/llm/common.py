@@ -43,6 +43,7 @@ def save(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
+    give_back()
     saved = spark.read.schema(df.schema).parquet(path)
     saved.saved_path = path
     return saved
