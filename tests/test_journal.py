@@ -147,7 +147,9 @@ def test_stream_replay_after_a_stop(spark, tmpdir_path, monkeypatch, undisturbed
     go()
     got = _tables(spark, ws)
     assert len(got["offers"]) == 3 and len(got["published"]) == 3
-    assert sorted(got["emails"]) == sorted([*undisturbed[0]["emails"], "Row(message_id='<z@x>', path='z.eml')"])
+    # the stream drops a repeated Message-ID before it is landed, whichever file comes first
+    landed = [r.message_id for r in ws.read_whole(spark, "emails", P.EMAIL_COLS, "index").collect()]
+    assert sorted(landed) == ["<a@x>", "<b@x>", "<z@x>"]
 
 
 def test_journal_records_once(spark, tmpdir_path):
