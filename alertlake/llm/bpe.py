@@ -32,6 +32,9 @@ from alertlake.llm.common import bound_batches, slices
 
 #: Bytes of texts whose words are indexed together.
 BLOCK_BYTES = 8 << 20
+#: Words of former blocks whose ids a worker keeps at most, and the longest of them.
+KNOWN_WORDS = 300_000
+KNOWN_LENGTH = 64
 _NONE = np.iinfo(np.int32).max
 #: Fixed values of the tokenizer family: how words are cut, and white space.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
@@ -77,6 +80,7 @@ class Encoder:
         pairs = self.left << 32 | self.right
         self.pairs, first = np.unique(pairs, return_index=True)
         self.ranks = first.astype(np.int32)
+        self.known: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
         """A text's words; a special token is a word of its own."""
@@ -211,6 +215,26 @@ class Encoder:
         ids, begin = self.encode_words(distinct)
         return split, distinct, ids, begin
 
+    def raw_block(self, texts: list[str | None]) -> tuple[list[list[str]], dict[str, bytes]]:
+        """Each text's words, and the ids of these words (and maybe others) as little-endian 32-bit numbers.
+
+        Words of former blocks are not encoded again.  What is kept between blocks is bounded; beyond the bound,
+        only the words of the present block stay."""
+        split = [self.words(t or "") for t in texts]
+        distinct = set().union(*split)
+        new = list(distinct.difference(self.known))
+        ids, begin = self.encode_words(new)
+        raw, at = ids.astype("<u4").tobytes(), (begin * 4).tolist()
+        if len(self.known) + len(new) > KNOWN_WORDS:
+            self.known = {w: self.known[w] for w in distinct.intersection(self.known)}
+        self.known.update((w, raw[a:b]) for w, a, b in zip(new, at, at[1:]))
+        of_word = self.known
+        if len(of_word) > KNOWN_WORDS:
+            self.known = {}
+        elif any(len(w) > KNOWN_LENGTH for w in new):
+            self.known = {w: x for w, x in of_word.items() if len(w) <= KNOWN_LENGTH}
+        return split, of_word
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:

@@ -40,9 +40,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, end = encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
         for part in slices(batches, "text", BLOCK_BYTES):
-            split, words, ids, begin = own.block(part.column(1).to_pylist())
-            raw, at = ids.astype("<u4").tobytes(), (begin * 4).tolist()
-            of_word = {w: raw[a:b] for w, a, b in zip(words, at, at[1:])}
+            split, of_word = own.raw_block(part.column(1).to_pylist())
             row, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(split):
                 coded = b"".join(map(of_word.__getitem__, text)) + end

@@ -70,6 +70,17 @@ def test_sequences_of_marks_are_composed_as_the_library_does():
                        for _ in range(100_000)]) == []
 
 
+@pytest.mark.parametrize("most", [0, 200, 1 << 20])
+def test_words_known_from_former_blocks_keep_their_ids(monkeypatch, most):
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", most)
+    own, texts = bpe.Encoder(PATH), [t for t in _texts() if t is not None]
+    for at in [*range(0, len(texts), 40), 0]:
+        split, raw = own.raw_block(texts[at:at + 40])
+        for t, words in zip(texts[at:at + 40], split):
+            assert list(struct.unpack(f"<{len(_ids(t))}I", b"".join(raw[w] for w in words))) == _ids(t)
+        assert len(own.known) <= most and all(len(w) <= bpe.KNOWN_LENGTH for w in own.known)
+
+
 def _rooms(plan, pieces):
     filled: dict[int, int] = {}
     ends = [*plan[1:, 0].tolist(), pieces]
