@@ -33,13 +33,15 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
 
 
-def save(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+def save(df: DataFrame, partition_by: str | None = None, codec: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` once as a table in the shared folder and read it back.
 
-    Every later reader sees the same rows, also after executors were lost."""
+    Every later reader sees the same rows, also after executors were lost.  ``codec`` is the table's compression."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}"
     writer = df.write
+    if codec:
+        writer = writer.option("compression", codec)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
