@@ -15,6 +15,7 @@ of f free places has at most 2**f fingerprints, so splitting ends.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,10 @@ SEED = 42
 #: The most fingerprints that are compared with each other in one bucket.
 BUCKET = 1024
 ALL = (1 << 64) - 1
+#: Bytes of a text whose words are held together, and shingles whose votes are added up together.
+RUN_BYTES = 1 << 18
+VOTES = 1 << 15
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
 def _signed(x: int) -> int:
@@ -45,31 +50,61 @@ def covering_masks(radius: int = RADIUS, places: int = 64) -> list[int]:
     return [sum(1 << i for i, x in enumerate(of_place) if (x & v).bit_count() & 1) for v in vectors]
 
 
-def _shingle_hashes(text: str, size: int) -> list[int]:
-    words = text.encode().lower().split()  # bytes: only A-Z and ASCII white space
-    if not words:
-        return []
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= size:
-        return [digest(b" ".join(words), SEED)]
-    return [digest(b" ".join(s), SEED) for s in zip(*(words[i:] for i in range(size)))]
+def _runs(raw: bytes) -> Iterator[list[bytes]]:
+    """A text's words, in runs of about ``RUN_BYTES`` (one word at least)."""
+    at = 0
+    while at < len(raw):
+        space = _SPACE.search(raw, at + RUN_BYTES)
+        end = space.start() if space else len(raw)
+        words = raw[at:end].split()
+        if words:
+            yield words
+        at = end
+
+
+def _shingle_hashes(text: str, size: int) -> Iterator[np.ndarray]:
+    """The hashes of a text's shingles, run by run; each run goes on with the last words of the one before."""
+    raw = text.encode().lower()  # bytes: only A-Z and, in split(), ASCII white space
+    digest, held, some = xxhash.xxh64_intdigest, [], False
+    for words in _runs(raw):
+        held += words
+        if len(held) >= size:
+            some = True
+            yield np.array([digest(b" ".join(s), SEED) for s in zip(*(held[i:] for i in range(size)))], "<u8")
+            held = held[len(held) - size + 1:]
+    if held and not some:
+        yield np.array([digest(b" ".join(held), SEED)], "<u8")
+
+
+def _votes(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """How many of the hashes from each place on have each bit."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.add.reduceat(bits, begin, axis=0, dtype=np.int32)
 
 
 def _fingerprints(texts: list[str | None], size: int) -> np.ndarray:
-    """64 majority votes for each text; none without words."""
-    hashes = [_shingle_hashes(t or "", size) for t in texts]
-    counts = np.array([len(h) for h in hashes])
-    out = np.zeros(len(texts), np.uint64)
-    full = np.flatnonzero(counts)
-    if not len(full):
-        return out
-    flat = np.concatenate([np.array(hashes[i], dtype="<u8") for i in full])
-    bits = np.unpackbits(flat.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    begin = np.concatenate([[0], np.cumsum(counts[full])[:-1]])
-    votes = np.add.reduceat(bits, begin, axis=0, dtype=np.int64)
-    ones = (votes * 2 > counts[full][:, None]).astype(np.uint8)
-    out[full] = np.packbits(ones, axis=1, bitorder="little").view("<u8").ravel()
-    return out
+    """64 majority votes for each text; none without words.  The votes of a long text are added up run by run."""
+    votes, counts = np.zeros((len(texts), 64), np.int64), np.zeros(len(texts), np.int64)
+    held: list[tuple[int, np.ndarray]] = []
+    waiting = 0
+
+    def close() -> None:
+        if held:
+            size_of = np.array([len(h) for _, h in held])
+            own = np.array([i for i, _ in held])
+            np.add.at(votes, own, _votes(np.concatenate([h for _, h in held]), np.cumsum(size_of) - size_of))
+            np.add.at(counts, own, size_of)
+            held.clear()
+
+    for i, text in enumerate(texts):
+        for hashes in _shingle_hashes(text or "", size):
+            held.append((i, hashes))
+            waiting += len(hashes)
+            if waiting >= VOTES:
+                close()
+                waiting = 0
+    close()
+    return np.packbits(votes * 2 > counts[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -208,7 +243,9 @@ def brute_force(rows: list[tuple], shingle: int = SHINGLE, radius: int = RADIUS)
     """What ``near_duplicates`` returns for (id, text) rows, by comparing all pairs."""
     prints = []
     for _, text in rows:
-        hashes = _shingle_hashes(text or "", shingle)
+        words = (text or "").encode().lower().split()
+        shingles = [words[i:i + shingle] for i in range(max(1, len(words) - shingle + 1))] if words else []
+        hashes = [xxhash.xxh64_intdigest(b" ".join(x), SEED) for x in shingles]
         ones = [2 * sum(h >> i & 1 for h in hashes) > len(hashes) for i in range(64)]
         prints.append(sum(1 << i for i, one in enumerate(ones) if one))
     label = [i for i, _ in rows]

@@ -42,6 +42,26 @@ def test_near_duplicates_equal_brute_force(spark, radius):
     assert len({r[2] for r in got}) < len({r[1] for r in got}), "some different fingerprints are linked"
 
 
+@pytest.mark.parametrize("run,votes", [(1, 1), (7, 30), (1 << 18, 1 << 17)])
+def test_votes_of_runs_are_those_of_whole_texts(monkeypatch, run, votes):
+    monkeypatch.setattr(simhash, "RUN_BYTES", run)
+    monkeypatch.setattr(simhash, "VOTES", votes)
+    rows = [r[:2] for r in _docs() if len(r[1] or "") < 2000]
+    want = [p for _, p, _ in simhash.brute_force(rows)]
+    assert [f"{p:016x}" for p in simhash._fingerprints([t for _, t in rows], 3).tolist()] == want
+
+
+def test_a_long_text_takes_few_times_its_own_memory():
+    import tracemalloc
+
+    text = " ".join(f"w{i % 9973}" for i in range(700_000))
+    tracemalloc.start()
+    assert simhash._fingerprints([text], 3)[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20 and len(text) > 4 << 20
+
+
 def test_full_buckets_are_split_without_loss(spark):
     random.seed(4)
     centre = random.getrandbits(64)
