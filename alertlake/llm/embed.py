@@ -32,6 +32,8 @@ BLOCK = 2048
 #: Pivots over all labels, the bound of what is sent to every task; the largest labels come first.
 MAX_PIVOTS = 4096
 _CHUNK = 256  # rows of a tile that are multiplied together
+#: Products of vectors and pivots that a task holds at once.
+PRODUCTS = 1 << 21
 
 
 def _matrix(raw: pa.Array, kind: str) -> np.ndarray:
@@ -91,8 +93,30 @@ def _pivots(classes: DataFrame, kind: str, block: int) -> dict:
     return out
 
 
+def _apart(centres: np.ndarray) -> np.ndarray:
+    """The distances of all pivots of a label, rounded up; a pivot is 1 from itself.
+
+    Made row by row from differences, as products would not tell close pivots apart.  A distance that is a little
+    too large copies a vector to a cell more, never less."""
+    out = np.empty((len(centres), len(centres)), np.float32)
+    for i, c in enumerate(centres):
+        out[i] = np.nextafter(np.linalg.norm(centres - c, axis=1).astype(np.float32), np.float32(np.inf))
+    np.fill_diagonal(out, 1)
+    return out
+
+
 def _cells(pivots, kind: str, radius: float):
-    """Rows of a class table with ``cell`` and ``home``: the home cell, and those it is copied to."""
+    """Rows of a class table with ``cell`` and ``home``: the home cell, and those it is copied to.
+
+    A task measures the pivots of a label once; at most MAX_PIVOTS altogether, 64 MB."""
+    known: dict = {}
+
+    def nearest(x: np.ndarray, centres: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        dots = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ centres.T
+        own = dots.argmax(axis=1)
+        beyond = (dots[np.arange(len(x)), own][:, None] - dots) / apart[own]
+        at, cell = np.nonzero(beyond <= radius + 1e-9)
+        return at, cell, cell == own[at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,14 +131,13 @@ def _cells(pivots, kind: str, radius: float):
                 if centres is None:
                     at, cell, home = np.arange(len(members)), np.zeros(len(members), int), np.ones(len(members), bool)
                 else:
+                    if key not in known:
+                        known[key] = _apart(centres)
                     x = _matrix(part.column("vec"), kind)
-                    dots = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ centres.T
-                    own = dots.argmax(axis=1)
-                    apart = np.linalg.norm(centres[:, None] - centres[None], axis=2)[own]
-                    apart[np.arange(len(x)), own] = 1
-                    beyond = (dots[np.arange(len(x)), own][:, None] - dots) / apart
-                    at, cell = np.nonzero(beyond <= radius + 1e-9)
-                    home = cell == own[at]
+                    step = max(1, PRODUCTS // len(centres))
+                    found = [(at + k, *rest) for k in range(0, len(x), step)
+                             for at, *rest in [nearest(x[k:k + step], centres, known[key])]]
+                    at, cell, home = map(np.concatenate, zip(*found))
                 copies = part.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
                     [*copies.columns, pa.array(cell, pa.int32()), pa.array(home)],

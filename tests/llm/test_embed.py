@@ -52,6 +52,34 @@ def test_pivots_leave_far_cells_out(spark):
     assert sorted(out) == [(1, 0, True), (2, 0, True), (2, 1, False), (3, 2, True)]
 
 
+def test_cells_by_steps_equal_those_of_all_distances(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(30, 6))
+    centres[1] = centres[0] + 1e-9  # close pivots
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    vecs = rng.normal(size=(200, 6)).astype("<f4")
+
+    class Held:
+        value = {(0, 6): centres}
+
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(200)), pa.array([1] * 200), pa.array([0] * 200, pa.int32()), pa.array([6] * 200, pa.int32()),
+         pa.array([v.tobytes() for v in vecs], pa.binary())], names=["class", "n", "label", "dim", "vec"])
+    monkeypatch.setattr(embed, "PRODUCTS", 100)
+    got = {(r["class"], r["cell"]): r["home"] for b in embed._cells(Held, "<f4", 0.37)(iter([batch])) for r in b.to_pylist()}
+    x = vecs.astype(float)
+    dots = x / np.linalg.norm(x, axis=1, keepdims=True) @ centres.T
+    for i, own in enumerate(dots.argmax(axis=1).tolist()):
+        assert got[(i, own)]
+        for j in range(30):
+            far = j != own and (dots[i, own] - dots[i, j]) / np.linalg.norm(centres[own] - centres[j]) > 0.37 + 1e-5
+            assert ((i, j) in got) != far or not far
+    assert len(got) < 200 * 20
+
+
 def test_empty_table_and_repeated_ids(spark):
     frame = spark.createDataFrame([], VECTORS)
     assert embed.near_duplicates(frame).count() == 0
