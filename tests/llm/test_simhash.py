@@ -54,7 +54,7 @@ def test_votes_of_runs_are_those_of_whole_texts(monkeypatch, run, votes):
 def test_a_long_text_takes_few_times_its_own_memory():
     import tracemalloc
 
-    text = " ".join(f"w{i % 9973}" for i in range(700_000))
+    text = " ".join(f"w{i % 9973}" for i in range(800_000))
     tracemalloc.start()
     assert simhash._fingerprints([text], 3)[0]
     peak = tracemalloc.get_traced_memory()[1]
