@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 from pyspark.sql import DataFrame
@@ -110,6 +111,9 @@ class Encoder:
                     parts.append(number.setdefault(w.lower(), len(number)))
                     counts.append(1)
                     continue
+                if not w:
+                    counts.append(0)
+                    continue
                 own = (w[:-1].lower(), w[-1]) if w[-1] in _MARKS and w[:-1].isalpha() else \
                     () if w in self.special else self._cut(w)
             else:
@@ -215,25 +219,52 @@ class Encoder:
         ids, begin = self.encode_words(distinct)
         return split, distinct, ids, begin
 
-    def raw_block(self, texts: list[str | None]) -> tuple[list[list[str]], dict[str, bytes]]:
-        """Each text's words, and the ids of these words (and maybe others) as little-endian 32-bit numbers.
+    def text_ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text, as little-endian 32-bit numbers; null is empty and has none.
+
+        Arrow cuts texts into words and numbers the different ones.  Texts that may hold a special token, or a character
+        that only Arrow takes for white space, are cut by ``words``."""
+        texts = pc.fill_null(texts, "")
+        odd = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, "[" + "".join(_NOT_SPACE) + "]"))
+        if not pc.any(odd).as_py():
+            return self._list_ids(pc.utf8_split_whitespace(texts))
+        cut = [self.words(t) for t in texts.filter(odd).to_pylist()]
+        rest = iter(self._list_ids(pc.utf8_split_whitespace(texts.filter(pc.invert(odd)))))
+        special = iter(self._list_ids(pa.array(cut, pa.list_(pa.string()))))
+        return [next(special if x else rest) for x in odd.to_pylist()]
+
+    def _list_ids(self, lists: pa.ListArray) -> list[np.ndarray]:
+        """The ids of each list of words; an empty word has none."""
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        raw = self._raw(words)
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        start = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(raw), "<u4")
+        at = coded.indices.to_numpy()
+        size, start = size[at], start[at]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = flat[np.arange(ends[-1]) + np.repeat(start - ends[:-1], size)]
+        lengths = pc.list_value_length(lists).to_numpy()
+        begin = ends[np.concatenate([[0], np.cumsum(lengths)])].tolist()
+        return [ids[a:b] for a, b in zip(begin, begin[1:])]
+
+    def _raw(self, words: list[str]) -> list[bytes]:
+        """The ids of different words as little-endian 32-bit numbers.
 
         Words of former blocks are not encoded again.  What is kept between blocks is bounded; beyond the bound,
         only the words of the present block stay."""
-        split = [self.words(t or "") for t in texts]
-        distinct = set().union(*split)
-        new = list(distinct.difference(self.known))
-        ids, begin = self.encode_words(new)
+        out = list(map(self.known.get, words))
+        new = [i for i, x in enumerate(out) if x is None]
+        ids, begin = self.encode_words([words[i] for i in new])
         raw, at = ids.astype("<u4").tobytes(), (begin * 4).tolist()
+        for i, a, b in zip(new, at, at[1:]):
+            out[i] = raw[a:b]
         if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known = {w: self.known[w] for w in distinct.intersection(self.known)}
-        self.known.update((w, raw[a:b]) for w, a, b in zip(new, at, at[1:]))
-        of_word = self.known
-        if len(of_word) > KNOWN_WORDS:
             self.known = {}
-        elif any(len(w) > KNOWN_LENGTH for w in new):
-            self.known = {w: x for w, x in of_word.items() if len(w) <= KNOWN_LENGTH}
-        return split, of_word
+            new = range(len(words)) if len(words) <= KNOWN_WORDS else ()
+        self.known.update((words[i], out[i]) for i in new if len(words[i]) <= KNOWN_LENGTH)
+        return out
 
 
 @lru_cache(maxsize=2)

@@ -40,10 +40,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, end = encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
         for part in slices(batches, "text", BLOCK_BYTES):
-            split, of_word = own.raw_block(part.column(1).to_pylist())
             row, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(split):
-                coded = b"".join(map(of_word.__getitem__, text)) + end
+            for i, ids in enumerate(own.text_ids(part.column(1))):
+                coded = ids.tobytes() + end
                 for k, a in enumerate(range(0, len(coded), 4 * capacity)):
                     cut = coded[a:a + 4 * capacity]
                     row.append(i)

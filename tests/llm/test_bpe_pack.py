@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -73,12 +74,22 @@ def test_sequences_of_marks_are_composed_as_the_library_does():
 @pytest.mark.parametrize("most", [0, 200, 1 << 20])
 def test_words_known_from_former_blocks_keep_their_ids(monkeypatch, most):
     monkeypatch.setattr(bpe, "KNOWN_WORDS", most)
-    own, texts = bpe.Encoder(PATH), [t for t in _texts() if t is not None]
+    own, texts = bpe.Encoder(PATH), [*_texts(), "a\x1cb <|endoftext|>", " \x1f", " a  b ", "x\u2003y\u0085"]
     for at in [*range(0, len(texts), 40), 0]:
-        split, raw = own.raw_block(texts[at:at + 40])
-        for t, words in zip(texts[at:at + 40], split):
-            assert list(struct.unpack(f"<{len(_ids(t))}I", b"".join(raw[w] for w in words))) == _ids(t)
+        part = texts[at:at + 40]
+        assert [x.tolist() for x in own.text_ids(pa.array(part, pa.string()))] == [_ids(t) for t in part]
         assert len(own.known) <= most and all(len(w) <= bpe.KNOWN_LENGTH for w in own.known)
+    assert own.text_ids(pa.array([], pa.string())) == []
+
+
+@pytest.mark.parametrize("shape", ["%s", "a%sb"])
+def test_texts_of_every_code_point_have_the_librarys_ids(shape):
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    own = bpe.encoder(PATH)
+    for at in range(0, len(points), 200_000):
+        texts = [shape.replace("%s", c) for c in points[at:at + 200_000]]
+        got = own.text_ids(pa.array(texts))
+        assert [t for t, g, e in zip(texts, got, LIBRARY.encode_batch(texts, add_special_tokens=False)) if g.tolist() != e.ids] == []
 
 
 def _rooms(plan, pieces):
