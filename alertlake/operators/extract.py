@@ -169,18 +169,30 @@ LI_INFO = (r'<p[^>]*class="[^"]*line-clamp-1[^"]*"[^>]*>' + WS + r'*([^<]+? · [
 
 def extract_linkedin(emails: DataFrame) -> DataFrame:
     # a job id is marked seen before its title is validated (first match wins)
-    # what surrounds the job's first link is cut out before the matches are exploded: none carries the mail
-    html = F.col("html")
-
-    def around(match: Column) -> Column:
-        def cut(at: Column) -> Column:  # 1-based
-            begin = F.greatest(at - 201, F.lit(0))
-            return F.struct(F.regexp_extract(F.substring(html, at, 6000), LI_INFO, 1).alias("info"),
-                            F.substring(html, begin + 1, at + 499 - begin).alias("window"))
-        return L.bound(F.instr(html, F.concat(F.lit("jobs/view/"), match["job_id"])), cut)
-
-    m = L.explode_matches(emails, "html", LI_PAIR, {"job_id": 1, "t_raw": 2}, ["message_id"], first_by=["job_id"],
-                          extra={"_around": around})
+    # What surrounds the first link that begins with the job's id is cut out of the mail's blocks before the jobs are
+    # exploded: none carries the mail, and the mail is not searched again for each.
+    size = 6000  # characters after a link that may hold its place
+    m = emails.select("message_id", "html", L.matches("html", LI_PAIR, {"job_id": 1, "t_raw": 2}, first_by=["job_id"]).alias("_jobs"),
+                      L.blocks(F.col("html"), size).alias("_blocks")).where(F.size("_jobs") > 0)
+    m = m.withColumn("_at", L.least_places(L.places(F.col("_blocks"), size, "jobs/view/"),
+                                           F.transform("_jobs", lambda j: j["m"]["job_id"])))
+    # an id of more digits than surely follow a link in its blocks is searched for
+    searched = lambda j: F.instr(F.col("html"), F.concat(F.lit("jobs/view/"), j["m"]["job_id"])) - 1
+
+    def around(at: Column) -> Column:
+        b = F.floor(at / size).cast("int")
+        three = F.concat(*[F.coalesce(F.get(F.col("_blocks"), b + k), F.lit("")) for k in (-1, 0, 1)])
+        here = at % size + F.when(b > 0, size).otherwise(0)
+        begin = F.greatest(here - 200, F.lit(0))
+        return F.struct(F.regexp_extract(F.substring(three, here + 1, F.lit(size)), LI_INFO, 1).alias("info"),
+                        F.substring(three, begin + 1, here + 500 - begin).alias("window"))
+
+    jobs = F.zip_with("_jobs", "_at", lambda j, at: F.struct(
+        j.alias("j"), L.bound(
+            F.when(F.length(j["m"]["job_id"]) < size - 10, at).otherwise(searched(j)), around).alias("around")))
+    m = m.select("message_id", F.explode(jobs).alias("_j")).select(
+        "message_id", F.col("_j.j.p").alias("pos"), F.col("_j.j.m.job_id").alias("job_id"), F.col("_j.j.m.t_raw").alias("t_raw"),
+        F.col("_j.around").alias("_around"))
     m = m.withColumn("titre", _strip(T.clean_entities(F.col("t_raw")))).where(F.length("titre") >= 5)
     info = _strip(T.clean_entities(F.col("_around.info")))
     company = F.substring_index(info, " · ", 1)

@@ -18,17 +18,23 @@ from alertlake.functions import text as T
 
 def explode_matches(df: DataFrame, text_col: str, pattern: str, groups: dict[str, int],
                     keep: list[str], pos_col: str = "pos", limit: int | None = None,
-                    first_by: list[str] | None = None,
-                    extra: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+                    first_by: list[str] | None = None) -> DataFrame:
     """One row per match of ``pattern`` in ``text_col`` with its 1-based position.
 
     ``groups`` maps output column -> capture group.  ``limit`` keeps the first
     ``limit`` matches of each document (a feature of some templates: applied
     before any later filter).  ``first_by`` keeps only the first match of each
     value of those groups (X12 within-document dedup), decided on the match
-    array of the row itself: no shuffle.  ``extra`` columns are made from a match
-    (and the row) before it is exploded, so that it need not carry the text.
+    array of the row itself: no shuffle.
     """
+    found = matches(text_col, pattern, groups, limit, first_by)
+    out = df.select(*keep, F.explode(found).alias("_e"))
+    return out.select(*keep, F.col("_e.p").alias(pos_col), *[F.col(f"_e.m.{name}").alias(name) for name in groups])
+
+
+def matches(text_col: str, pattern: str, groups: dict[str, int], limit: int | None = None,
+            first_by: list[str] | None = None) -> Column:
+    """The matches that ``explode_matches`` explodes: structs of the groups (``m``) and the position (``p``)."""
     if _alone(pattern):
         zipped = F.transform(F.regexp_extract_all(text_col, F.lit(pattern), 0), lambda m: F.struct(
             *[F.regexp_extract(m, pattern, g).alias(name) for name, g in groups.items()]))
@@ -39,12 +45,7 @@ def explode_matches(df: DataFrame, text_col: str, pattern: str, groups: dict[str
     pos = F.transform(zipped, lambda m, i: F.struct(m.alias("m"), (i + 1).cast("bigint").alias("p")))
     if first_by:
         pos = first_in_array(pos, lambda e: F.struct(*[e["m"][k] for k in first_by]))
-    if extra:
-        pos = F.transform(pos, lambda e: F.struct(e["m"].alias("m"), e["p"].alias("p"), F.struct(
-            *[make(e["m"]).alias(name) for name, make in extra.items()]).alias("x")))
-    out = df.select(*keep, F.explode(pos).alias("_e"))
-    return out.select(*keep, F.col("_e.p").alias(pos_col), *[F.col(f"_e.m.{name}").alias(name) for name in groups],
-                      *[F.col(f"_e.x.{name}").alias(name) for name in extra or ()])
+    return pos
 
 
 def _alone(pattern: str) -> bool:
@@ -57,6 +58,49 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def blocks(text: Column, size: int) -> Column:
+    """The text in blocks of ``size`` characters (the last one may be shorter)."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), 0)
+
+
+def places(cut: Column, size: int, marker: str) -> Column:
+    """Where ``marker`` (letters and slashes) occurs in a text cut into ``blocks``: its place from 0, and the
+    digits that follow it, up to ``size - len(marker)`` at least.  Blocks are no shorter than the marker.  One pass, and a sum over what a block holds for each place."""
+    def in_block(all_: Column) -> Column:
+        def of(block: Column, b: Column) -> Column:
+            def found(two: Column) -> Column:
+                own = F.split(F.substring(two, F.lit(1), F.length(block) + (len(marker) - 1)), marker, -1)
+                return bound(own, lambda parts: F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda _, i: bound(
+                    F.aggregate(F.slice(parts, F.lit(1), i + 1), i * len(marker), lambda n, x: n + F.length(x)),
+                    lambda at: F.struct((b * size + at).alias("at"), F.regexp_extract(
+                        F.substring(two, at + (len(marker) + 1), F.lit(size)), "^[0-9]+", 0).alias("digits")))))
+            return bound(F.concat(block, F.coalesce(F.get(all_, b + 1), F.lit(""))), found)
+        return F.flatten(F.transform(all_, of))
+
+    return bound(cut, in_block)
+
+
+def least_places(at: Column, ids: Column) -> Column:
+    """For each of ``ids``, the least of ``places`` whose digits begin with it (none: NULL).
+
+    The places' beginnings as long as an id and the ids are sorted together, so an id stands next to its places."""
+    def of_lengths(wanted: Column) -> Column:
+        beginnings = F.flatten(F.transform(F.array_distinct(F.transform(wanted, F.length)), lambda n: F.transform(
+            F.filter(at, lambda p: F.length(p["digits"]) >= n),
+            lambda p: F.struct(F.substring(p["digits"], F.lit(1), n).alias("k"), F.lit(0).alias("q"), p["at"].alias("i")))))
+        asked = F.transform(wanted, lambda x, i: F.struct(x.alias("k"), F.lit(1).alias("q"), i.alias("i")))
+        return bound(F.sort_array(F.concat(beginnings, asked)), answered)
+
+    def answered(s: Column) -> Column:
+        heads = F.transform(s, lambda e, j: F.when(
+            (j == 0) | (F.get(s, j - 1)["k"] != e["k"]), F.struct(F.when(e["q"] == 0, e["i"]).alias("at"))))
+        both = F.zip_with(s, filled_forward(heads), lambda e, h: F.struct(
+            F.when(e["q"] == 1, e["i"]).alias("i"), h["at"].alias("at")))
+        return F.transform(F.sort_array(F.filter(both, lambda x: x["i"].isNotNull())), lambda x: x["at"])
+
+    return bound(ids, of_lengths)
+
+
 def filled_forward(arr: Column) -> Column:
     """The array with each NULL replaced by the last value before it (none: NULL): a run of places per value."""
     def fill(a: Column) -> Column:

@@ -4,7 +4,10 @@ from dataclasses import dataclass, field
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from alertlake.operators import extract as X
+from alertlake.operators import links as L
 
 NOISE = '<p style="margin:0">Pr&eacute;f&eacute;rences | <a href="https://example.org/desabo?x=1">Se d&eacute;sabonner</a></p>'
 
@@ -200,3 +203,30 @@ def test_many_links_cost_no_more_than_their_number(spark):
 
     seconds(50)
     assert seconds(800) < 6 * max(seconds(200), 0.5)
+
+
+def test_linkedin_places_in_long_mails_equal_a_search(spark):
+    import random
+    import re
+
+    rng = random.Random(4)
+    for size in (20, 41, 6000):
+        for _ in range(8):
+            ids = [str(rng.choice([1, 12, 123, 77, 770, 9])) for _ in range(rng.randint(1, 40))]
+            text = "".join(rng.choice(["é😀x", "jobs/", "\n", "view/"]) * rng.randint(0, 9) + f"jobs/view/{i}" for i in ids) + "z" * rng.randint(0, 9)
+            asked = list(dict.fromkeys(ids)) + ["5"]
+            df = spark.createDataFrame([(text, asked)], "t string, ids array<string>").withColumn("b", L.blocks(F.col("t"), size))
+            row = df.select(L.places(F.col("b"), size, "jobs/view/").alias("p"),
+                            L.least_places(L.places(F.col("b"), size, "jobs/view/"), F.col("ids")).alias("at")).first()
+            assert [p.at for p in row.p] == [x.start() for x in re.finditer("jobs/view/", text)]
+            assert row.at == [None if (at := text.find("jobs/view/" + i)) < 0 else at for i in asked]
+
+
+def test_linkedin_window_of_each_job(spark):
+    filler = "é" * 2950
+    cards = [li_card(10 ** k, f"Poste {k} ici", f"Firme {k} · Ville {k}", filler + (" CDI " if k % 2 else "")) for k in range(12)]
+    got = pick(run(spark, X.extract_linkedin, Mail(cards)), "titre", "entreprise", "ville")
+    # an id that begins with a shorter one is found where the shorter one is first: at its own link, which comes first
+    assert got == [(f"Poste {k} ici", f"Firme {k}", f"Ville {k}") for k in range(12)]
+    back = pick(run(spark, X.extract_linkedin, Mail(cards[::-1])), "titre", "entreprise")
+    assert back == [(f"Poste {k} ici", "Firme 11") for k in range(11, -1, -1)]  # "1" is first found in the last id's link
