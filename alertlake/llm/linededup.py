@@ -31,7 +31,8 @@ SHINGLE = 5
 #: The similarity as a fraction, so that limits are exact.
 NUMERATOR, DENOMINATOR = 4, 5
 #: Cells of the rarity sketch (a power of two).  Any order gives the same result; rarity makes groups small.
-CELLS = 1 << 18
+CELL_BITS = 18
+CELLS = 1 << CELL_BITS
 #: Bits of the filter that tells which lines' tokens are needed (a power of two).  Where it gets full, more
 #: tokens than needed are shuffled.
 FILTER_BITS = 1 << 27
@@ -39,8 +40,11 @@ FILTER_BITS = 1 << 27
 BLOCK, BLOCK_TOKENS = 1024, 500_000
 #: Rows of one token that are held to recognise groups of the same lines.
 HELD = 1 << 20
+#: Tiles of at most so many lines are compared together, about so many tokens at once.
+FEW, FEW_TOKENS = 32, 1 << 18
+#: Words of at most so many bytes are hashed eight bytes at a time.
+WORD_BYTES = 64
 _FILTER_BLOCK = 17
-_SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
 _U = np.uint64
 
 
@@ -67,31 +71,59 @@ def _hash_runs(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.nd
     return _mix(np.add.reduceat(values * _weights(at), begin) + size.astype(np.uint64))
 
 
+#: By their number, from 0 to 8: the first bytes of eight.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _hash_words(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """One hash for each word of ``data``, whose length is a multiple of 8 and which ends with 8 bytes or more of no word."""
+    out = _WEIGHTS[np.minimum(size, WORD_BYTES)]
+    eight = data.view("<u8")
+    live = np.flatnonzero(size <= WORD_BYTES)
+    for start in range(0, WORD_BYTES, 8):
+        if start:
+            live = live[size[live] > start]
+        if not len(live):
+            break
+        at = begin[live] + start
+        near, bits = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        piece = (eight[near] >> bits) | (eight[near + 1] << _U(1) << (_U(63) - bits))
+        piece &= _FIRST_BYTES[np.minimum(size[live] - start, 8)]
+        out[live] = _mix(out[live] + piece)
+    long = np.flatnonzero(size > WORD_BYTES)
+    if len(long):
+        held = size[long]
+        first = np.cumsum(held) - held
+        at = np.repeat(begin[long] - first, held) + np.arange(held.sum())
+        out[long] = _hash_runs(data[at].astype(np.uint64) + _U(1), first, held)
+    return out
+
+
 class Lines:
     """The lines of a slice of texts: for each line its text's number, place, and key (0 without words)."""
 
     def __init__(self, texts: pa.Array):
         raw = [(t or "").encode() for t in texts.to_pylist()]
-        data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        joined = b"\n".join(raw) + b"\n"
+        padded = np.frombuffer(joined + bytes(16 - len(joined) % 8), np.uint8)
+        data = padded[:len(joined)]
         breaks = np.flatnonzero(data == 10)
         ends = np.cumsum([len(r) + 1 for r in raw]) - 1  # each text's last line break
         self.text = np.searchsorted(ends, breaks)
         before = np.searchsorted(breaks, np.append(0, ends[:-1] + 1))
         self.place = np.arange(len(breaks)) - before[self.text]
 
-        space = _SPACE[data]
-        begin = np.flatnonzero(~space & np.append(True, space[:-1]))
-        size = np.flatnonzero(space & np.append(False, ~space[:-1])) - begin
+        space = (data == 32) | (data - np.uint8(9) < 5)  # 9 to 13
+        turns = np.flatnonzero(np.append(~space[:1], space[1:] != space[:-1]))
+        begin, end = turns[::2], turns[1::2]
+        self.words = np.diff(np.searchsorted(begin, breaks), prepend=0)
+        self.of = np.repeat(np.arange(len(breaks)), self.words)
+        self.word = _hash_words(padded, begin, end - begin)
         self.key = np.zeros(len(breaks), np.uint64)
-        self.words = np.zeros(len(breaks), np.int64)
-        self.word = np.empty(0, np.uint64)
-        self.of = np.empty(0, np.int64)
-        if len(begin):
-            self.word = _hash_runs(data[~space].astype(np.uint64) + _U(1), np.cumsum(size) - size, size)
-            self.of = np.searchsorted(breaks, begin)
-            full, first, held = np.unique(self.of, return_index=True, return_counts=True)
-            self.key[full] = _hash_runs(self.word, first, held)
-            self.words[full] = held
+        full = np.flatnonzero(self.words)
+        if len(full):
+            held = self.words[full]
+            self.key[full] = _hash_runs(self.word, np.cumsum(held) - held, held)
 
     def first(self) -> np.ndarray:
         """Which lines with words are the first of their key."""
@@ -112,15 +144,21 @@ class Lines:
         short = np.flatnonzero(use & (self.words > 0) & (self.words < shingle))
         return np.concatenate([_mix(token[inside]), self.key[short]]), np.concatenate([of[:many][inside], short])
 
-    def sets(self, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The different tokens of the chosen lines, by line and token, and their lines."""
+    def sets(self, use: np.ndarray, rank: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The different tokens of the chosen lines and their lines, by line and token.
+
+        With a rank for each cell of the sketch, a line's tokens are in the order of rank and token."""
         token, line = self.tokens(use)
-        # One sort by line and a token's high bits; where these agree for different tokens, one by both.
-        rough = (line.astype(np.uint64) << _U(40)) | (token >> _U(24))
+        # One sort by line and a token's high bits; where these agree for different tokens, one by all.
+        rough = line.astype(np.uint64) << _U(40)
+        if rank is None:
+            rough |= token >> _U(24)
+        else:
+            rough |= (rank[_cells(token)] << _U(40 - CELL_BITS)) | (token >> _U(24 + CELL_BITS))
         order = np.argsort(rough)
         token, line, rough = token[order], line[order], rough[order]
-        if len(line) and (int(line[-1]) >= 1 << 24 or np.any((rough[1:] == rough[:-1]) & (token[1:] != token[:-1]))):
-            order = np.lexsort((token, line))
+        if len(self.key) > 1 << 24 or np.any((rough[1:] == rough[:-1]) & (token[1:] != token[:-1])):
+            order = np.lexsort((token, line) if rank is None else (token, rank[_cells(token)], line))
             token, line = token[order], line[order]
         new = np.ones(len(token), bool)
         new[1:] = (line[1:] != line[:-1]) | (token[1:] != token[:-1])
@@ -166,11 +204,13 @@ def _add_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _rarity(sketches: DataFrame):
-    """The counts of all tasks, added up in two levels; an array of fixed size."""
+    """The rank of each cell by the counts of all tasks, added up in two levels; an array of fixed size."""
     total = np.zeros(CELLS, np.int64)
     for r in sketches.coalesce(16).mapInArrow(_add_sketches, "sketch binary").toLocalIterator():
         total += np.frombuffer(zlib.decompress(r.sketch), "<i8")
-    return sketches.sparkSession.sparkContext.broadcast(total)
+    rank = np.empty(CELLS, np.uint64)
+    rank[np.argsort(total, kind="stable")] = np.arange(CELLS)
+    return sketches.sparkSession.sparkContext.broadcast(rank)
 
 
 def _prefixes(rarity):
@@ -178,11 +218,7 @@ def _prefixes(rarity):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, lines in _read(batches):
-            token, line = lines.sets(lines.first())
-            # The rarest first; tokens of equal rarity stay in their order.
-            rare = np.minimum(rarity.value[_cells(token)], (1 << 32) - 1)
-            order = np.argsort((line << 32) + rare, kind="stable")
-            line, token = line[order], token[order]
+            token, line = lines.sets(lines.first(), rarity.value)  # the rarest first
             held = np.bincount(line, minlength=len(lines.key))
             n = held[line]
             at = np.arange(len(line)) - (np.cumsum(held) - held)[line]
@@ -201,7 +237,7 @@ def _may_match(n, m, i, j):
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 3: (group, key, n) for tokens that several lines share; rows come by token and key.
+    """Step 3: (group, key, n) for tokens that several lines share; rows come by token.
 
     A group's name is made of its lines' keys, so the same lines sharing many tokens are one group.  A
     token with very many rows is not held; its name is made of the token."""
@@ -213,8 +249,11 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [_long(names), pa.array(rows[1]), pa.array(rows[2])], names=["gid", "key", "n"])
 
     def closed(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not rows.shape[1]:
+        again = rows[0, 1:] == rows[0, :-1]
+        if not again.any():
             return
+        rows = rows[:, np.append(again, False) | np.append(False, again)]  # most tokens have one row
+        rows = rows[:, np.lexsort((rows[1], rows[0]))]
         new = np.append(True, np.any(rows[:2, 1:] != rows[:2, :-1], axis=0))
         rows = rows[:, new]
         first = np.flatnonzero(np.append(True, rows[0, 1:] != rows[0, :-1]))
@@ -300,20 +339,44 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return shared
 
 
+def _later(token: np.ndarray, n: np.ndarray, m: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which sets match one of a smaller rank in their tile; all tiles at once.
+
+    ``token`` holds the sets' tokens in a row, ``n`` their numbers; tiles are runs of ``m`` sets."""
+    tile, first = np.repeat(np.arange(len(m)), m), np.cumsum(m) - m
+    cell = np.cumsum(m * m) - m * m  # a cell for each two sets of a tile
+    place = np.arange(len(n)) - first[tile]
+    owner = np.repeat(np.arange(len(n)), n)
+    mixed = token + tile[owner].astype(np.uint64) * _WEIGHTS[0]
+    order = np.argsort(mixed)
+    mixed, own = mixed[order], owner[order]
+    same = mixed[1:] == mixed[:-1]
+    if np.any(same & (tile[own[1:]] != tile[own[:-1]])):
+        order = np.lexsort((token, tile[owner]))
+        own = owner[order]
+        same = (token[order][1:] == token[order][:-1]) & (tile[own[1:]] == tile[own[:-1]])
+    start = np.flatnonzero(np.append(True, ~same))
+    size = np.diff(np.append(start, len(own)))
+    pairs = [np.empty(0, np.int64)]
+    for c in np.unique(size[size > 1]).tolist():
+        some = own[start[size == c][:, None] + np.arange(c)]
+        of = tile[some[:, :1]]
+        i, j = np.triu_indices(c, 1)
+        at = place[some]
+        pairs.append((cell[of] + np.minimum(at[:, i], at[:, j]) * m[of] + np.maximum(at[:, i], at[:, j])).ravel())
+    found, shared = np.unique(np.concatenate(pairs), return_counts=True)
+    of = np.searchsorted(cell, found, side="right") - 1
+    a, b = first[of] + (found - cell[of]) // m[of], first[of] + (found - cell[of]) % m[of]
+    near = shared * DENOMINATOR >= (n[a] + n[b] - shared) * NUMERATOR
+    return np.unique(np.where(rank[a] > rank[b], a, b)[near])
+
+
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 4: the keys of lines with an earlier match; a tile's rows come together."""
 
     def compare(sets: list[np.ndarray], rank: np.ndarray) -> np.ndarray:
         """Which sets match one of a smaller rank."""
         n = np.array([len(s) for s in sets])
-        if len(sets) == 2:
-            a, b = sets
-            at = np.searchsorted(b, a)
-            at[at == len(b)] = 0
-            both = int(np.count_nonzero(b[at] == a))
-            if both * DENOMINATOR < (n[0] + n[1] - both) * NUMERATOR:
-                return np.empty(0, int)
-            return np.array([int(rank[1] > rank[0])])
         shared = _overlaps(sets)
         near = shared * DENOMINATOR >= (n[:, None] + n - shared) * NUMERATOR
         near &= rank[None] < rank[:, None]
@@ -321,10 +384,28 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def run(rows: pa.Table, cuts: list[int]) -> pa.RecordBatch:
         keys = rows.column("key").to_numpy()
-        sets = [np.frombuffer(t, np.uint64) for t in rows.column("tokens").to_pylist()]
+        held = rows.column("tokens").cast(pa.large_binary()).combine_chunks()
+        ends = np.frombuffer(held.buffers()[1], np.int64)[held.offset:held.offset + len(held) + 1] // 8
+        token = np.frombuffer(held.buffers()[2], np.uint64, held.buffers()[2].size // 8)
+        n = np.diff(ends)
         rank = np.empty(len(keys), int)
         rank[np.lexsort([rows.column(c).to_numpy() for c in ("line", "row", "doc")])] = np.arange(len(keys))
-        found = [keys[a:b][compare(sets[a:b], rank[a:b])] for a, b in zip(cuts, cuts[1:]) if b - a > 1]
+        cuts = np.array(cuts)
+        m = np.diff(cuts)
+        found = []
+        for k in np.flatnonzero(m > FEW).tolist():
+            a, b = cuts[k], cuts[k + 1]
+            sets = [token[x:y] for x, y in zip(ends[a:b].tolist(), ends[a + 1:b + 1].tolist())]
+            found.append(keys[a:b][compare(sets, rank[a:b])])
+        # Runs of small tiles, cut where a tile is large or their tokens fill a block.
+        few = m <= FEW
+        block = (ends[cuts[:-1]] - ends[0]) // FEW_TOKENS
+        new = np.append(True, (few[1:] != few[:-1]) | (block[1:] != block[:-1]))
+        runs = np.append(np.flatnonzero(new), len(m))
+        for x, y in zip(runs[:-1].tolist(), runs[1:].tolist()):
+            if few[x]:
+                a, b = cuts[x], cuts[y]
+                found.append(keys[a:b][_later(token[ends[a]:ends[b]], n[a:b], m[x:y], rank[a:b])])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate([keys[:0], *found]))], names=["key"])
 
     held: pa.Table | None = None
@@ -370,7 +451,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lines = first.where("sketch is null").drop("sketch")
 
     prefixes = source.mapInArrow(_prefixes(rarity), "token long, key long, n int, at int")
-    grouped = (prefixes.repartition("token").sortWithinPartitions("token", "key")
+    grouped = (prefixes.repartition("token").sortWithinPartitions("token")
                .mapInArrow(_groups, "gid long, key long, n long"))
     members = save(grouped.distinct())
     keys = members.select("key").distinct()

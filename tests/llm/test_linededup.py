@@ -61,3 +61,40 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     got = sorted((r.doc_id or 0, r.n_removed) for r in linededup.deduplicate_lines(docs).collect())
     assert got == [(0, 0), (1, 1), (1, 2)]
     assert linededup.deduplicate_lines(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("few", [linededup.FEW, 1])
+def test_small_tiles_are_compared_at_once(monkeypatch, few):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(linededup, "FEW", few)
+    monkeypatch.setattr(linededup, "FEW_TOKENS", 700)
+    if few > 1:
+        monkeypatch.setattr(linededup, "_overlaps", None)  # compares one tile at a time
+    random.seed(3)
+    rows, want = [], []
+    for tile in range(200):
+        base, held = random.sample(range(10**9), 20), []
+        for k in range(random.choice([1, 2, 2, 3, 5, 9])):
+            tokens = set(base[:random.randrange(14, 21)]) | set(random.sample(range(10**9), random.randrange(3)))
+            held.append((tile * 100 + k, random.choice([None, 1, 2]) or -1, random.randrange(10**6), k, tokens))
+        for key, *rank, tokens in held:
+            if any(r < rank and len(tokens & t) * 5 >= len(tokens | t) * 4 for _, *r, t in held):
+                want.append(key)
+        rows += [{"gid": tile // 2, "down": 0, "across": tile % 2, "key": key, "doc": doc, "row": row, "line": line,
+                  "tokens": np.array(sorted(t), np.uint64).tobytes()} for key, doc, row, line, t in held]
+    table = pa.Table.from_pylist(rows)
+    got = [k for b in linededup._matches(iter(table.to_batches(max_chunksize=90))) for k in b.column(0).to_pylist()]
+    assert sorted(got) == sorted(want) and 100 < len(want) < len(rows) - 200
+
+
+def test_words_of_any_length_are_told_apart():
+    import pyarrow as pa
+
+    words = [c * n for c in ("a", "b", "é", "\0") for n in range(1, 70)] + ["a" * n + "b" for n in range(1, 140)] + ["x" * 5000]
+    text = pa.array([" ".join(words), "q\t" + "\n".join(reversed(words)) + " \x0b", None])
+    lines = linededup.Lines(text)
+    assert len(set(lines.word.tolist())) == len(set(words)) + 1
+    assert lines.word.tolist()[len(words) + 1:] == lines.word.tolist()[:len(words)][::-1]
+    assert lines.words.tolist() == [len(words), 2] + [1] * (len(words) - 1) + [0]
