@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from alertlake.llm.common import bound_batches, forget, give_back, save, slices
 from alertlake.llm.grams import BITS, ORDER, Tally, discounts, text_grams, visible_codes
 
-#: The model is fitted on at most so many trusted documents (those with the smallest hash of their id).
+#: The pooled quantile comes from at most so many trusted documents (those with the smallest hash of their id).
 MAX_FIT = 100_000
 #: The quantile of unseen trusted documents' perplexity, by language, up to which a document is kept.
 QUANTILE = 0.98
@@ -251,14 +251,15 @@ def perplexities(docs: DataFrame, model: Tables, lang: str, text: str, keep: lis
 
 
 def _judged(docs: DataFrame, trusted: DataFrame, i: str, lang: str, text: str, keep: list[str],
-            quantile: float, max_fit: int) -> DataFrame:
+            quantile: float) -> DataFrame:
     """``keep`` with perplexity, threshold and ``kept``; ``trusted`` has one column, ids."""
     spark = docs.sparkSession
-    ids = trusted.select(F.col(trusted.columns[0]).alias(i)).where(F.col(i).isNotNull()).distinct()
+    # Saved, so that Spark knows their size: it broadcasts few ids and else shuffles the texts of that half by id.
+    ids = save(trusted.select(F.col(trusted.columns[0]).alias(i)).where(F.col(i).isNotNull()).distinct())
     # One half of the trusted documents teaches the model, the other half sets the thresholds.
     half = F.crc32(F.col(i).cast("string").cast("binary")) % 2 == 0
-    fit = ids.where(half).orderBy(F.xxhash64(i), i).limit(max_fit)  # bounded, so it may be broadcast
-    counts = save(_counts(docs.join(F.broadcast(fit), i, "left_semi"), lang, text), codec=CODEC)
+    fit = docs.where(half).join(ids.where(half), i, "left_semi")
+    counts = save(_counts(fit, lang, text), codec=CODEC)
     pooled = save(counts.groupBy(F.lit(POOL).alias("lang"), "gram").agg(F.sum("n").alias("n")), codec=CODEC)
     model = Tables(counts.unionByName(pooled), saved=True)
     scored = perplexities(docs, model, lang, text, keep)
@@ -284,17 +285,18 @@ def _judged(docs: DataFrame, trusted: DataFrame, i: str, lang: str, text: str, k
     if scored.where(other).isEmpty():
         return judged
     return judged.unionByName(_by_pool(docs.where(other), docs.join(F.broadcast(
-        ids.where(~half).orderBy(F.xxhash64(i), i).limit(max_fit)), i, "left_semi"), model, lang, text, keep, quantile))
+        ids.where(~half).orderBy(F.xxhash64(i), i).limit(MAX_FIT)), i, "left_semi"), model, lang, text, keep, quantile))
 
 
 def _by_pool(docs: DataFrame, unseen: DataFrame, model: Tables, lang: str, text: str, keep: list[str],
              quantile: float) -> DataFrame:
-    """``docs`` judged by the pooled model and the quantile of unseen trusted documents of all languages.
+    """``docs`` judged by the pooled model and the quantile of all unseen trusted documents of all languages.
 
     ``perplexity`` is that of the language's own model, if there is one; ``threshold`` is null."""
-    sample = save(unseen.select(F.lit(POOL).alias("pool"), text))
-    limit = (perplexities(sample, model, "pool", text, ["pool"])
+    held = save(unseen.select(F.lit(POOL).alias("pool"), text), codec=CODEC)
+    limit = (perplexities(held, model, "pool", text, ["pool"])
              .agg(F.percentile_approx(F.log("perplexity"), quantile, 100_000)).first()[0])
+    forget(held)
     scored = (perplexities(docs, model, lang, text, docs.columns).drop("n_chars_scored")
               .withColumnRenamed("perplexity", "own perplexity").withColumn("pool", F.lit(POOL)))
     scored = perplexities(scored, model, "pool", text, [*keep, "own perplexity"])
@@ -306,7 +308,7 @@ def _by_pool(docs: DataFrame, unseen: DataFrame, model: Tables, lang: str, text:
 
 
 def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             quantile: float = QUANTILE, max_fit: int = MAX_FIT) -> DataFrame:
+             quantile: float = QUANTILE) -> DataFrame:
     """One row per row of ``docs``: its id, ``lang``, ``perplexity``, ``threshold``, ``kept``.
 
     ``trusted`` holds the ids of trusted documents in its first column.  A null or blank text has no
@@ -315,16 +317,16 @@ def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_c
     pooled model judges it (see ``ALLOWANCE``).  It is kept unjudged only if no document of any language is trusted and
     unseen.  Repeated rows get equal results; other columns are not read; an empty table gives an empty result."""
     part = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    judged = _judged(part, trusted, "id", "lang", "text", ["id", "lang"], quantile, max_fit)
+    judged = _judged(part, trusted, "id", "lang", "text", ["id", "lang"], quantile)
     return judged.select(F.col("id").alias(id_col), "lang", "perplexity", "threshold", "kept")
 
 
 def keep_good(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-              quantile: float = QUANTILE, max_fit: int = MAX_FIT) -> DataFrame:
+              quantile: float = QUANTILE) -> DataFrame:
     """``docs`` without the rows that ``classify`` does not keep, with all columns of ``docs``."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     i, text, lang = (names[docs.columns.index(c)] for c in (id_col, text_col, lang_col))
-    judged = _judged(docs.toDF(*names), trusted, i, lang, text, names, quantile, max_fit)
+    judged = _judged(docs.toDF(*names), trusted, i, lang, text, names, quantile)
     return judged.where("kept").select(*names).toDF(*docs.columns)
 
 

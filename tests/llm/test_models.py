@@ -219,6 +219,39 @@ def test_quality_judges_languages_with_little_trusted_text(spark):
     assert sum(out[i].kept for i in range(200, 240)) >= 37
 
 
+def _many_trusted(spark, taught):
+    """205 000 short trusted texts; of those that teach (or do not) all after the first 100 000 by the hash of their id."""
+    ids = spark.range(205_000).select(F.col("id").alias("doc_id"))
+    teaches = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    mine = ids.where(teaches if taught else ~teaches)
+    late = mine.orderBy(F.xxhash64("doc_id"), "doc_id").offset(100_000).withColumn("late", F.lit(True))
+    return ids, ids.join(late, "doc_id", "left").select("doc_id", F.col("late").isNotNull().alias("late"))
+
+
+def test_quality_learns_from_every_trusted_document_of_its_half(spark):
+    trusted, marked = _many_trusted(spark, True)
+    assert marked.where("late").count() > 1000
+    docs = marked.selectExpr("doc_id", "'ab ab' as text", "if(late, 'bb', 'aa') as lang")
+    # A language that only the last of them have has a model.
+    assert quality.classify(docs, trusted).where("perplexity is null").isEmpty()
+
+
+def test_quality_is_the_same_when_ids_are_not_broadcast(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.001", name) for name in ("documents", "labels"))
+
+    def judged():
+        rows = quality.classify(docs, quality.trusted_ids(labels)).collect()
+        return {r.doc_id: (None if r.perplexity is None else round(r.perplexity, 9), r.kept) for r in rows}
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    want = judged()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert judged() == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_quality_drops_labelled_bad_documents_and_keeps_trusted_ones(spark):
     docs, labels = (table(spark, "/root/testdata/sf0.01", name) for name in ("documents", "labels"))
     judged = quality.classify(docs, quality.trusted_ids(labels)).join(labels, "doc_id").where("lang = 'en'").collect()
