@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 from alertlake.llm.common import bound_batches, forget, give_back, save, slices
 from alertlake.llm.grams import BITS, ORDER, Tally, discounts, text_grams, visible_codes
 
-#: The pooled quantile comes from at most so many trusted documents (those with the smallest hash of their id).
-MAX_FIT = 100_000
 #: The quantile of unseen trusted documents' perplexity, by language, up to which a document is kept.
 QUANTILE = 0.98
 #: A language with fewer unseen trusted documents has no quantile of its own, with fewer than the second not even a median.
@@ -284,8 +282,8 @@ def _judged(docs: DataFrame, trusted: DataFrame, i: str, lang: str, text: str, k
     other = ~own.isin([x for x, _ in found])
     if scored.where(other).isEmpty():
         return judged
-    return judged.unionByName(_by_pool(docs.where(other), docs.join(F.broadcast(
-        ids.where(~half).orderBy(F.xxhash64(i), i).limit(MAX_FIT)), i, "left_semi"), model, lang, text, keep, quantile))
+    return judged.unionByName(_by_pool(docs.where(other), docs.where(~half).join(ids.where(~half), i, "left_semi"),
+                                       model, lang, text, keep, quantile))
 
 
 def _by_pool(docs: DataFrame, unseen: DataFrame, model: Tables, lang: str, text: str, keep: list[str],

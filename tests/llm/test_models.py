@@ -236,6 +236,16 @@ def test_quality_learns_from_every_trusted_document_of_its_half(spark):
     assert quality.classify(docs, trusted).where("perplexity is null").isEmpty()
 
 
+def test_quality_pools_every_unseen_trusted_document(spark):
+    trusted, marked = _many_trusted(spark, False)
+    assert marked.where("late").count() > 0.021 * 102_500
+    docs = marked.selectExpr("doc_id", "if(late, repeat('#', 200), 'ab ab') as text", "'aa' as lang")
+    other = spark.createDataFrame([(-1, "#" * 200, "cc")], "doc_id long, text string, lang string")
+    # More than 2 in 100 unseen trusted texts are like the one in a language of its own, so the 0.98 quantile admits it.
+    kept = quality.classify(docs.unionByName(other), trusted).where("doc_id = -1").first().kept
+    assert kept
+
+
 def test_quality_is_the_same_when_ids_are_not_broadcast(spark):
     docs, labels = (table(spark, "/root/testdata/sf0.001", name) for name in ("documents", "labels"))
 
